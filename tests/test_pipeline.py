@@ -1,0 +1,130 @@
+"""Bronze, silver and gold as jobs: batch equals stream, late and repeated input."""
+
+import shutil
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tracelode.operators import silver
+from tracelode.operators.normalize import normalize
+from tracelode.plans import pipeline, views
+from tracelode.sources import landing, sinks
+from tracelode.streaming import bronze as bronze_stream
+
+
+def land(fixture_file, root, name, target=None):
+    folder = Path(root) / "landing" / "year=2026" / "month=03"
+    folder.mkdir(parents=True, exist_ok=True)
+    shutil.copy(fixture_file(name), folder / (target or name))
+
+
+def step(spark, root):
+    pipeline.run_bronze(spark, f"{root}/landing", root, glob="*.jsonl")
+    pipeline.run_silver(spark, root)
+
+
+def same(a, b):
+    cols = sorted(a.columns)
+    assert sorted(map(repr, a.select(cols).collect())) == sorted(map(repr, b.select(cols).collect()))
+
+
+def test_stream_equals_batch_and_ignores_redelivery(spark, fixture_file, scratch):
+    for name in ("dups_a.jsonl", "rejects.jsonl", "bad.jsonl"):
+        land(fixture_file, scratch, name)
+    step(spark, scratch)
+    tables = pipeline.read_silver(spark, scratch)
+    before = {n: sorted(map(repr, t.drop("batch_id").collect())) for n, t in tables.items()}
+    same(tables["sessions"], pipeline.sessions_from_scratch(spark, scratch))
+    events = normalize(bronze_stream.read_bronze(spark, f"{scratch}/bronze"))
+    for name, want in silver.facts(events).items():
+        same(tables[name].drop("batch_id", "event_date"), want)
+    assert bronze_stream.read_quarantine(spark, f"{scratch}/bronze").count() == 4
+
+    land(fixture_file, scratch, "dups_b.jsonl")
+    step(spark, scratch)
+    again = pipeline.read_silver(spark, scratch)
+    assert {n: sorted(map(repr, t.drop("batch_id").collect())) for n, t in again.items()} == before
+
+
+def test_nothing_new_adds_nothing(spark, fixture_file, scratch):
+    land(fixture_file, scratch, "day.jsonl")
+    step(spark, scratch)
+    step(spark, scratch)
+    assert bronze_stream.read_bronze(spark, f"{scratch}/bronze").count() == 3
+
+
+def test_late_event_reopens_its_session_and_its_day(spark, fixture_file, scratch):
+    land(fixture_file, scratch, "late_1.jsonl")
+    step(spark, scratch)
+    pipeline.run_gold(spark, scratch)
+    days = spark.read.parquet(f"{scratch}/gold/daily_user_metrics")
+    assert {(str(r.usage_date), r.user_email) for r in days.collect()} == {
+        ("2026-03-03", "bob@example.com"), ("2026-03-03", "cy@example.com"),
+    }
+
+    land(fixture_file, scratch, "late_2.jsonl")
+    step(spark, scratch)
+    same(pipeline.read_silver(spark, scratch)["sessions"], pipeline.sessions_from_scratch(spark, scratch))
+    newest = spark.read.parquet(f"{scratch}/silver/prompts").agg(F.max("batch_id")).first()[0]
+    pipeline.run_gold(spark, scratch, since_batch=newest)
+    days = spark.read.parquet(f"{scratch}/gold/daily_user_metrics")
+    got = {(str(r.usage_date), r.user_email, r.total_prompts, r.total_duration_sec) for r in days.collect()}
+    assert ("2026-03-02", "bob@example.com", 2, 1800) in got
+
+
+def test_serving_and_roles(spark, fixture_file, scratch):
+    for name in ("day.jsonl", "rejects.jsonl"):
+        land(fixture_file, scratch, name)
+    step(spark, scratch)
+    pipeline.run_gold(spark, scratch)
+    names = pipeline.run_sync(spark, scratch, lambda n: {"path": f"{scratch}/served/{n}"})
+    assert len(names) == 6
+    assert spark.read.parquet(f"{scratch}/served/token_costs").count() == 1
+
+    tables = pipeline.read_silver(spark, scratch)
+    available = views.serving_views(tables)
+    assert "v_security_leak_audit" not in views.register(available, "executive")
+    assert views.register(available, "security_audit") == ["v_security_leak_audit"]
+    assert len(views.register(available)) == 4
+    total = spark.sql("SELECT sum(total_spend_usd) AS usd, max(metric_date) AS day FROM v_executive_daily_kpis").first()
+    assert total.usd == 0.01 and str(total.day) == "2026-03-02"
+    for name in views.register(available, "executive"):
+        assert not {"prompt_text", "response_text", "flagged_content_snippet"} & set(spark.table(name).columns)
+
+
+def test_sql_key_function(spark):
+    views.register_functions(spark)
+    from tracelode.functions.keys import surrogate_key
+
+    df = spark.createDataFrame([("s", "p", "1")], "a string, b string, c string")
+    row = df.select(surrogate_key("a", "b", "c", F.lit("prompt")).alias("x"), F.expr("event_key(a, b, c, 'prompt')").alias("y")).first()
+    assert row.x == row.y
+
+
+def test_partition_overwrite_keeps_other_days(spark, scratch):
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "day int, v string")
+    sinks.write_table(first, scratch, ["day"], files_per_partition=3)
+    sinks.write_table(spark.createDataFrame([(2, "c")], "day int, v string"), scratch, ["day"], only_touched=True)
+    assert sorted(tuple(r) for r in spark.read.parquet(scratch).select("day", "v").collect()) == [(1, "a"), (2, "c")]
+
+
+def test_copy_into_skips_bad_lines(spark, fixture_file):
+    assert landing.copy_into(spark, fixture_file("bad.jsonl")).count() == 5
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from tracelode.session import scratch_dir
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        scratch_dir(Session(), "x")

@@ -33,6 +33,14 @@ def cost_units(prices: dict[str, Price] | None = None, model: str = "model_name"
     return total.cast("bigint")
 
 
+def reported_or_priced(events: DataFrame, prices: dict[str, Price] | None = None, model: str = "model") -> Column:
+    """The cost an event reports as ``cost_usd``, else the cost of its tokens."""
+    priced = cost_units(prices, model)
+    if "cost_usd" not in events.columns:
+        return priced
+    return F.coalesce(F.round(F.col("cost_usd") * 100_000_000).cast("bigint"), priced)
+
+
 def with_price_table(facts: DataFrame, prices: DataFrame, model: str = "model_name") -> DataFrame:
     """Cost from a price table ``(model, input, output, cache_creation, cache_read)``.
 

@@ -56,7 +56,9 @@ def redaction_counts(
     df: DataFrame, text: str, by: list[str], rules: tuple[r.Rule, ...] = r.SECRET_RULES
 ) -> DataFrame:
     """Hits and texts hit, per rule and group. One pass over the texts, then a small unpivot."""
-    found = df.select(*by, *[r.hits(text, rule).cast("bigint").alias(f"_{rule.name}") for rule in rules])
+    found = df.select(*by, r.hits(text, rules).alias("_hits")).select(
+        *by, *[F.col("_hits")[i].cast("bigint").alias(f"_{rule.name}") for i, rule in enumerate(rules)]
+    )
     sums = found.groupBy(*by).agg(
         *[
             F.struct(
@@ -75,20 +77,16 @@ def verdicts(
 ) -> DataFrame:
     """Allow or deny each prompt. ``reason`` is the first rule that matched, ``matched`` all of
     them. The log carries no text."""
-    matched = F.concat_ws(",", *[F.when(_matches(text, rule), F.lit(rule.name)) for rule in rules])
-    judged = prompts.withColumn("matched", matched)
-    denied = F.col("matched") != ""
-    return judged.withColumns(
-        {
-            "verdict": F.when(denied, "deny").otherwise("allow"),
-            "reason": F.when(denied, F.substring_index("matched", ",", 1)),
-        }
-    ).drop(text)
-
-
-def _matches(text: str, rule: r.Rule) -> Column:
-    found = F.col(text).rlike(rule.regex)
-    return rule.possible(F.col(text)) & found if rule.hints else found
+    matched = r.matched_rules(text, rules)
+    return prompts.select(
+        *[c for c in prompts.columns if c != text],
+        matched.alias("_matched"),
+    ).select(
+        *[c for c in prompts.columns if c != text],
+        F.array_join("_matched", ",").alias("matched"),
+        F.when(F.size("_matched") > 0, "deny").otherwise("allow").alias("verdict"),
+        F.get("_matched", F.lit(0)).alias("reason"),
+    )
 
 
 def shadow_report(judged: DataFrame) -> DataFrame:

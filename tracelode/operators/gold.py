@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelode.functions.measures import count_if, rounded_ratio, sum_long, usd, usd_rounded
-from tracelode.functions.redact import is_flagged, redact
+from tracelode.functions.redact import is_flagged, redact, will_be_flagged
 
 
 def daily_user_metrics(sessions: DataFrame) -> DataFrame:
@@ -102,8 +102,13 @@ def leak_alerts(events: DataFrame) -> DataFrame:
         lambda item: item["text"].isNotNull(),
     )
     kept = [c for c in ("event_id", "event_timestamp", "user_email", "department", "session_id") if c in events.columns]
-    scanned = events.select(*kept, F.inline(texts)).select(*kept, "source", redact("text").alias("flagged_text"))
-    return scanned.filter(is_flagged("flagged_text")).withColumn("alert_date", F.to_date("event_timestamp"))
+    return (
+        events.select(*kept, F.inline(texts))
+        .filter(will_be_flagged("text"))
+        .select(
+            F.to_date("event_timestamp").alias("alert_date"), *kept, "source", redact("text").alias("flagged_text")
+        )
+    )
 
 
 def prompt_leak_audit(prompts: DataFrame) -> DataFrame:

@@ -22,9 +22,14 @@ def last_day(facts: DataFrame, time: str = "event_timestamp") -> Column:
 
 
 def trailing(facts: DataFrame, as_of: Column | date, days: int = 30, time: str = "event_timestamp") -> DataFrame:
-    """Rows of the last ``days`` days. The bound is on the raw column, so scans can skip by it."""
-    end = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return facts.filter(F.col(time) >= F.date_sub(end, days))
+    """Rows of the last ``days`` days.
+
+    The bound is on the plain column, so scans can skip by it. A table stored by
+    ``event_date`` gets the bound there as well: only that drops whole partitions.
+    """
+    start = F.date_sub(as_of if isinstance(as_of, Column) else F.lit(as_of), days)
+    recent = facts.filter(F.col(time) >= start)
+    return recent.filter(F.col("event_date") >= start) if "event_date" in facts.columns else recent
 
 
 def scorecard(costs: DataFrame, as_of: Column | date, days: int = 30) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tracelode import schemas
 from tracelode.functions.keys import surrogate_key
 from tracelode.functions.measures import count_if, sum_long
-from tracelode.functions.pricing import Price, cost_units
+from tracelode.functions.pricing import Price, cost_units, reported_or_priced
 from tracelode.functions.redact import redact
 from tracelode.operators.dedupe import keep_first
 
@@ -151,7 +151,7 @@ def sessions(events: DataFrame) -> DataFrame:
 def sessions_by_user(events: DataFrame) -> DataFrame:
     """Sessions per (session, organisation, user) with token and cost totals."""
     name = F.col("event_name")
-    priced = events.withColumn("cost_units", cost_units(model="model"))
+    priced = events.withColumn("cost_units", reported_or_priced(events))
     return (
         priced.filter(F.col("session_id").isNotNull())
         .groupBy("session_id", "org_id", "user_account_uuid")
@@ -191,14 +191,13 @@ def users(events: DataFrame) -> DataFrame:
     )
 
 
-def fan_out(events: DataFrame, dedupe: bool = True) -> dict[str, DataFrame]:
-    """The five silver tables of one batch of events."""
+def facts(events: DataFrame, dedupe: bool = True) -> dict[str, DataFrame]:
+    """The four fact tables of one set of events."""
     return {
         "prompts": prompts(events, dedupe),
         "responses": responses(events, dedupe),
         "tool_executions": tool_executions(events, dedupe),
         "token_costs": token_costs(events, dedupe=dedupe),
-        "sessions": sessions(events),
     }
 
 

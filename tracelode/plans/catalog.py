@@ -41,7 +41,7 @@ def _tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prompts_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompts = td.canonical(spark, sf_dir).filter(F.col("event_name") == "user_prompt")
+    prompts = td.canonical(spark, sf_dir, spread=True).filter(F.col("event_name") == "user_prompt")
     return td.with_text(prompts, spark, sf_dir)
 
 
@@ -135,14 +135,15 @@ def dedupe_session_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts of the second half of the month arrive at a table that holds the first half."""
+    """Prompts from the 10th on arrive, some twice, at a table that holds all up to the 15th."""
     events = td.ordered(td.canonical(spark, sf_dir))
     prompts = events.filter(F.col("event_name") == "user_prompt").select(
         merge_key("session_id", "prompt_id", "event_sequence", F.lit("prompt")).alias("prompt_sk"),
-        "session_id", "prompt_id", "event_sequence", "event_timestamp", "event_id", "org_id",
+        "session_id", "prompt_id", "event_sequence", "event_timestamp", "event_date", "event_id", "org_id",
     )
     target = prompts.filter(F.col("event_timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"))
-    return dedupe.insert_new(target, _redelivered(prompts).drop("delivery"), "prompt_sk", ["event_timestamp"])
+    batch = _redelivered(prompts).filter(F.col("event_date") >= F.lit("2024-01-10").cast("date")).drop("delivery")
+    return dedupe.insert_new(target, batch, "prompt_sk", ["event_timestamp"], within="event_date").drop("event_date")
 
 
 @query
@@ -229,7 +230,7 @@ def dept_cost_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = td.table(spark, sf_dir, "documents").select("doc_id", redact("text").alias("redacted"))
+    documents = td.table(spark, sf_dir, "documents", spread=True).select("doc_id", redact("text").alias("redacted"))
     return documents.select(
         "doc_id",
         F.length("redacted").alias("redacted_length"),
@@ -240,13 +241,13 @@ def redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def redaction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = td.table(spark, sf_dir, "documents").select("source", "text")
+    documents = td.table(spark, sf_dir, "documents", spread=True).select("source", "text")
     return audit.redaction_counts(documents, "text", ["source"], SECRET_RULES + PERSONAL_RULES)
 
 
 @query
 def security_leak_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = gold.leak_alerts(td.with_text(td.canonical(spark, sf_dir), spark, sf_dir))
+    alerts = gold.leak_alerts(td.with_text(td.canonical(spark, sf_dir, spread=True), spark, sf_dir))
     return alerts.withColumn("flagged_text", F.md5("flagged_text"))
 
 

@@ -1,0 +1,101 @@
+"""The jobs a scheduler calls: bronze, silver, gold, serving. Each can be run again at any time."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracelode import schemas
+from tracelode.operators import gold, silver
+from tracelode.operators.normalize import normalize
+from tracelode.sources import sinks
+from tracelode.streaming import bronze as bronze_stream
+from tracelode.streaming import silver as silver_stream
+
+FACT_TABLES = tuple(schemas.SILVER)
+
+
+def run_bronze(spark: SparkSession, landing: str, root: str, glob: str = "*.jsonl.gz", max_files: int = 1000) -> None:
+    bronze_stream.ingest(spark, landing, f"{root}/bronze", f"{root}/_checkpoints/bronze", max_files, glob)
+
+
+def run_silver(spark: SparkSession, root: str, watermark: str = "1 day", max_files: int = 1000) -> None:
+    """New bronze rows, without re-deliveries, into the silver tables."""
+    events = silver_stream.once(silver_stream.bronze_events(spark, f"{root}/bronze", max_files), watermark)
+    silver_stream.fan_out(events, lambda name: f"{root}/silver/{name}", f"{root}/_checkpoints/silver")
+
+
+def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The silver tables. Their schemas are given: a table without rows yet has no files to ask."""
+    tables = {
+        name: spark.read.schema(schemas.stored(schema)).parquet(f"{root}/silver/{name}")
+        for name, schema in schemas.SILVER.items()
+    }
+    tables["sessions"] = silver_stream.read_sessions(spark, f"{root}/silver/session_parts")
+    return tables
+
+
+def gold_tables(tables: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
+    """Gold tables with the date each is partitioned by."""
+    alerts = gold.prompt_leak_audit(tables["prompts"])
+    return {
+        "daily_user_metrics": (gold.daily_user_metrics(tables["sessions"]), "usage_date"),
+        "tool_adoption_summary": (gold.tool_adoption_summary(tables["tool_executions"]), "execution_date"),
+        "department_cost_attribution": (gold.department_cost_attribution(tables["token_costs"]), "cost_date"),
+        "security_leak_alerts": (alerts.withColumnRenamed("audit_date", "alert_date"), "alert_date"),
+    }
+
+
+def _only_days(rows: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """Rows of the given days. ``days`` has one row per calendar day, so it is broadcast, and
+    on a partition column the scan skips all other partitions."""
+    return rows.join(F.broadcast(days.select(F.col("day").alias(day)).distinct()), day, "left_semi")
+
+
+def touched(spark: SparkSession, root: str, tables: dict[str, DataFrame], since_batch: int) -> dict[str, DataFrame]:
+    """The silver tables cut to the days that batches from ``since_batch`` on added rows to.
+
+    A late event touches its own old day. In the session table it touches the day its session
+    started, so that day is complete again with all its sessions.
+    """
+    out = {}
+    for name in FACT_TABLES:
+        days = tables[name].filter(F.col("batch_id") >= since_batch).select(F.col("event_date").alias("day"))
+        out[name] = _only_days(tables[name], days, "event_date")
+    parts = spark.read.parquet(f"{root}/silver/session_parts").filter(F.col("batch_id") >= since_batch)
+    started = tables["sessions"].withColumn("start_day", F.to_date("session_start"))
+    days = started.join(parts.select("session_id"), "session_id", "left_semi").select(F.col("start_day").alias("day"))
+    out["sessions"] = _only_days(started, days, "start_day").drop("start_day")
+    return out
+
+
+def run_gold(spark: SparkSession, root: str, since_batch: int | None = None) -> None:
+    """Recompute gold, or only the days that changed since a silver batch.
+
+    Then only the partitions of those days are replaced.
+    """
+    tables = read_silver(spark, root)
+    if since_batch is not None:
+        tables = touched(spark, root, tables, since_batch)
+    for name, (df, date) in gold_tables(tables).items():
+        sinks.write_table(df, f"{root}/gold/{name}", [date], only_touched=since_batch is not None)
+
+
+def run_sync(
+    spark: SparkSession, root: str, target: Callable[[str], dict[str, str]], format: str = "parquet"
+) -> list[str]:
+    """Gold tables, sessions and costs to the serving store."""
+    stored = read_silver(spark, root)
+    tables = {
+        name: spark.read.schema(df.schema).parquet(f"{root}/gold/{name}")
+        for name, (df, _) in gold_tables(stored).items()
+    }
+    tables |= {"sessions": stored["sessions"], "token_costs": stored["token_costs"]}
+    return sinks.sync_tables(tables, target, format)
+
+
+def sessions_from_scratch(spark: SparkSession, root: str) -> DataFrame:
+    """Sessions recomputed from bronze: what the merged parts must equal."""
+    return silver.sessions(normalize(bronze_stream.read_bronze(spark, f"{root}/bronze")))

@@ -120,3 +120,18 @@ SILVER_SESSIONS = _table(
     total_tool_calls="long",
     session_duration_sec="long",
 )
+
+SILVER = {
+    "prompts": SILVER_PROMPTS,
+    "responses": SILVER_RESPONSES,
+    "tool_executions": SILVER_TOOL_EXECUTIONS,
+    "token_costs": SILVER_TOKEN_COSTS,
+}
+
+
+def stored(schema: T.StructType) -> T.StructType:
+    """A silver fact table as stored: by batch and day."""
+    return T.StructType([*schema, *_table(batch_id="long", event_date="date")])
+
+
+SESSION_PARTS = T.StructType([*[f for f in SILVER_SESSIONS if f.name != "session_duration_sec"], *_table(batch_id="long")])

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -21,11 +22,13 @@ def write_table(
 
     ``only_touched`` replaces just the partitions the new rows belong to. Rows are not moved
     before the write unless ``files_per_partition`` asks for it; then each partition value is
-    spread over that many tasks, so one large day does not end up in one task.
+    spread over that many tasks, so one large day does not end up in one task. The spread is
+    a hash of the row, not a random number: a task that runs again makes the same rows.
     """
     out = df
     if partition_by and files_per_partition:
-        spread = F.floor(F.rand(7) * files_per_partition)
+        content = [f.name for f in df.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+        spread = F.pmod(F.xxhash64(*content), F.lit(files_per_partition))
         out = df.withColumn("_file", spread).repartition(*partition_by, "_file").drop("_file")
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:

@@ -38,8 +38,19 @@ SKILLS = ("review", "refactor", None)
 AGENTS = ("planner", "explorer", None, None)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table. ``spread`` is for scans that feed costly text work."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_scan(df) if spread else df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores; leave any other alone.
+
+    One row group or one gzip file is one task, however long its rows take to process.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def _pick(values: tuple[str | None, ...], number: Column) -> Column:
@@ -55,10 +66,10 @@ def _floor(col: Column) -> Column:
     return F.floor(col).cast("bigint")
 
 
-def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Canonical events without texts and without session order (see ``ordered``, ``with_text``)."""
     k, user, value, kind = F.col("k"), F.col("user_id"), F.col("value"), F.col("event_name")
-    base = table(spark, sf_dir, "events").select(
+    base = table(spark, sf_dir, "events", spread).select(
         "event_id",
         "user_id",
         "value",

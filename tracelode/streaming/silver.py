@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracelode import schemas
 from tracelode.operators import silver
 from tracelode.operators.normalize import normalize
 
@@ -48,11 +49,11 @@ def fan_out(
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            tables = silver.fan_out(kept, dedupe=False)
-            tables["session_parts"] = silver.session_parts(kept)
-            del tables["sessions"]
-            for name, df in tables.items():
-                df.write.mode("overwrite").parquet(f"{target(name)}/batch_id={batch_id}")
+            for name, facts in silver.facts(kept, dedupe=False).items():
+                dated = facts.withColumn("event_date", F.to_date("event_timestamp"))
+                dated.write.mode("overwrite").partitionBy("event_date").parquet(f"{target(name)}/batch_id={batch_id}")
+            parts = silver.session_parts(kept)
+            parts.write.mode("overwrite").parquet(f"{target('session_parts')}/batch_id={batch_id}")
         finally:
             kept.unpersist()
 
@@ -66,7 +67,7 @@ def fan_out(
 
 
 def read_sessions(spark: SparkSession, parts: str) -> DataFrame:
-    return silver.merge_sessions(spark.read.parquet(parts))
+    return silver.merge_sessions(spark.read.schema(schemas.SESSION_PARTS).parquet(parts))
 
 
 def compact_sessions(spark: SparkSession, parts: str, out: str) -> None:
