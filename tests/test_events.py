@@ -75,6 +75,15 @@ def test_key_by_sequence_keeps_events_of_one_tick(spark, fixture_file):
     assert dedupe.keep_first(events, ["session_id", "event_timestamp"], ["event_sequence"]).count() == 1
 
 
+def test_events_without_a_sequence_are_all_kept(spark, fixture_file):
+    events = read(spark, fixture_file("same_tick.jsonl"), fixture_file("day.jsonl")).withColumn(
+        "event_sequence", F.lit(None).cast("bigint")
+    )
+    late = events.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 1 HOUR"))
+    both = events.unionByName(late)
+    assert silver.prompts(both.unionByName(both)).count() == 2 * events.filter("event_name = 'user_prompt'").count()
+
+
 def test_keys(spark):
     df = spark.createDataFrame([("s", None, 3)], "a string, b string, c int")
     row = df.select(surrogate_key("a", "b", "c", F.lit("prompt")), merge_key("a", "b", "c", F.lit("prompt"))).first()

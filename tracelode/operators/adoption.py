@@ -65,7 +65,9 @@ def commits_by_model(points: DataFrame, requests: DataFrame) -> DataFrame:
 def top_cost_sessions(costs: DataFrame, limit: int) -> DataFrame:
     """The most expensive sessions; ties by id."""
     return (
-        costs.groupBy("session_id")
+        costs.groupBy("session_id", "user_email")
+        .agg(F.sum("cost_units").alias("cost_units"))
+        .groupBy("session_id")
         .agg(F.min("user_email").alias("user_email"), F.sum("cost_units").alias("cost_units"))
         .orderBy(F.desc("cost_units"), "session_id")
         .limit(limit)
@@ -140,19 +142,19 @@ def active_users(events: DataFrame, windows: dict[str, int], user: str = "user_e
     )
     ends = active.agg(F.min("day").alias("first"), F.max("day").alias("last"))
     calendar = ends.select(
-        F.lit(next(iter(windows))).alias("name"),
+        F.lit("_calendar").alias("name"),
         F.explode(F.sequence("first", "last")).alias("day"),
-        F.lit(0).cast("bigint").alias("change"),
+        F.lit(1).cast("bigint").alias("change"),
     )
-    by_day = changes.unionByName(calendar).groupBy("day").pivot("name", list(windows)).agg(F.sum("change"))
-    # One row per calendar day from here on.
+    by_day = changes.unionByName(calendar).groupBy("day").pivot("name", ["_calendar", *windows]).agg(F.sum("change"))
+    # One row per day from here on. Spans that end after the last active day leave the calendar.
     so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = by_day.select(
         F.col("day").alias("usage_date"),
+        "_calendar",
         *[F.sum(F.coalesce(name, F.lit(0))).over(so_far).alias(name) for name in windows],
     )
-    last = active.agg(F.max("day")).scalar()
-    return counted.filter(F.col("usage_date") <= last)
+    return counted.filter(F.col("_calendar") == 1).drop("_calendar")
 
 
 def _change(day: Column, change: int) -> Column:

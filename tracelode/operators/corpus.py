@@ -144,11 +144,7 @@ def corpus_stats(pages: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
 
 
-def merge_retried(first: DataFrame, retried: DataFrame, key: str = "rel") -> tuple[DataFrame, DataFrame]:
-    """Fetch results with an ``ok`` flag, after a second try of the failures.
-
-    Returns what succeeded at either try, and what failed at both.
-    """
-    saved = first.filter("ok").unionByName(retried.filter("ok"))
-    failed = first.filter(~F.col("ok")).join(retried.filter("ok").select(key), key, "left_anti")
-    return saved, failed
+def fetch_status(first: DataFrame, retried: DataFrame, key: str = "rel") -> DataFrame:
+    """One row per page after a second try of the failures: ``ok`` if either try worked."""
+    both = first.select(key, "ok").unionByName(retried.select(key, "ok"))
+    return both.groupBy(key).agg(F.bool_or("ok").alias("ok"))

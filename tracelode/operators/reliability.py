@@ -26,28 +26,30 @@ def retry_exhausted(events: DataFrame, max_retries: int = MAX_RETRIES) -> DataFr
 
 
 def session_recovery(
-    events: DataFrame, recovered_by: tuple[str, ...] = ("api_request", "assistant_response"),
+    events: DataFrame,
+    recovered_by: tuple[str, ...] = ("api_request", "assistant_response"),
     max_retries: int = MAX_RETRIES,
 ) -> DataFrame:
     """Sessions with an exhausted request: did a later request get through?
 
-    Two maxima per session decide it; no self-join and no sort.
+    Two latest times per session decide it; no self-join and no sort.
     """
-    at = F.struct("event_timestamp", "event_id")
+    failed, at = _exhausted(max_retries), F.col("event_timestamp")
+    served = F.col("event_name").isin(*recovered_by)
     ends = (
-        events.filter(F.col("session_id").isNotNull())
+        events.filter(F.col("session_id").isNotNull() & (failed | served))
         .groupBy("session_id")
         .agg(
-            count_if(_exhausted(max_retries)).alias("exhausted"),
-            F.max(F.when(_exhausted(max_retries), at)).alias("_failed"),
-            F.max(F.when(F.col("event_name").isin(*recovered_by), at)).alias("_served"),
+            count_if(failed).alias("exhausted"),
+            F.max(F.when(failed, at)).alias("last_exhausted_at"),
+            F.max(F.when(served, at)).alias("_served"),
         )
     )
     return ends.filter("exhausted > 0").select(
         "session_id",
         "exhausted",
-        F.col("_failed.event_timestamp").alias("last_exhausted_at"),
-        F.when(F.col("_served") > F.col("_failed"), "recovered").otherwise("stalled").alias("outcome"),
+        "last_exhausted_at",
+        F.when(F.col("_served") > F.col("last_exhausted_at"), "recovered").otherwise("stalled").alias("outcome"),
     )
 
 
@@ -91,10 +93,13 @@ def tool_decision_outcome(events: DataFrame) -> DataFrame:
         events.filter(F.col("tool_use_id").isNotNull())
         .groupBy("tool_use_id")
         .agg(
-            F.max(F.when(name == "tool_decision", F.col("decision"))).alias("decision"),
+            count_if((name == "tool_decision") & (F.col("decision") == "reject")).alias("_rejects"),
+            count_if((name == "tool_decision") & (F.col("decision") == "accept")).alias("_accepts"),
             count_if(name == "tool_result").alias("results"),
             count_if((name == "tool_result") & (F.col("exit_code") != 0)).alias("failures"),
         )
+        .withColumn("decision", F.when(F.col("_rejects") > 0, "reject").when(F.col("_accepts") > 0, "accept"))
+        .drop("_rejects", "_accepts")
     )
     outcome = (
         F.when((F.col("decision") == "reject") & (F.col("results") == 0), "rejected")
@@ -121,9 +126,6 @@ def prompt_trace(events: DataFrame) -> DataFrame:
         {"_start": Running("max", F.when(is_prompt, start))},
     )
 
-    def micros(col: Column) -> Column:
-        return F.unix_micros(col.cast("timestamp"))
-
     return traced.filter(F.col("_start").isNotNull()).select(
         "session_id",
         "prompt_id",

@@ -36,9 +36,14 @@ def _key(events: DataFrame, kind: str, *parts: str) -> Column:
 
 
 def unique_events(events: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key. Ties are broken by time and then by content, so a rerun agrees."""
+    """One row per key. Ties are broken by time and then by content, so a rerun agrees.
+
+    Events without a sequence number are told apart by their time. Without that, all of a
+    session's would share one key and only one of them would be kept.
+    """
     content = F.xxhash64(*[f.name for f in events.schema if not isinstance(f.dataType, T.VariantType)])
-    return keep_first(events, keys, ["event_timestamp", content])
+    timed = events.withColumn("_time", F.when(F.col("event_sequence").isNull(), F.col("event_timestamp")))
+    return keep_first(timed, [*keys, "_time"], ["event_timestamp", content]).drop("_time")
 
 
 def prompts(events: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -104,18 +109,18 @@ def _seconds(start: str, end: str) -> Column:
     return epoch(end) - epoch(start)
 
 
-def session_parts(events: DataFrame, *by: str) -> DataFrame:
+def session_parts(events: DataFrame) -> DataFrame:
     """Session measures that can be merged: minima, maxima and counts.
 
-    Rows without a session are left out: they belong to no session.
+    Grouped by the text attributes as well, so that only fixed-width values are aggregated:
+    a minimum over text would make Spark sort all events instead of hashing them. Rows
+    without a session are left out: they belong to no session.
     """
     name = F.col("event_name")
     return (
         events.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id", *by)
+        .groupBy("session_id", "user_email", "department")
         .agg(
-            F.min("user_email").alias("user_email"),
-            F.min("department").alias("department"),
             F.min("event_timestamp").alias("session_start"),
             F.max("event_timestamp").alias("session_end"),
             count_if(name == "user_prompt").alias("total_prompts"),
@@ -126,26 +131,21 @@ def session_parts(events: DataFrame, *by: str) -> DataFrame:
 
 
 def merge_sessions(parts: DataFrame) -> DataFrame:
-    """Sessions from parts, for instance one part per micro-batch: late events need no recompute."""
-    return with_duration(
-        parts.groupBy("session_id").agg(
-            F.min("user_email").alias("user_email"),
-            F.min("department").alias("department"),
-            F.min("session_start").alias("session_start"),
-            F.max("session_end").alias("session_end"),
-            F.sum("total_prompts").alias("total_prompts"),
-            F.sum("total_responses").alias("total_responses"),
-            F.sum("total_tool_calls").alias("total_tool_calls"),
-        )
+    """Sessions from parts, for instance of many micro-batches: late events need no recompute."""
+    merged = parts.groupBy("session_id").agg(
+        F.min("user_email").alias("user_email"),
+        F.min("department").alias("department"),
+        F.min("session_start").alias("session_start"),
+        F.max("session_end").alias("session_end"),
+        F.sum("total_prompts").alias("total_prompts"),
+        F.sum("total_responses").alias("total_responses"),
+        F.sum("total_tool_calls").alias("total_tool_calls"),
     )
-
-
-def with_duration(sessions: DataFrame) -> DataFrame:
-    return sessions.withColumn("session_duration_sec", _seconds("session_start", "session_end"))
+    return merged.withColumn("session_duration_sec", _seconds("session_start", "session_end"))
 
 
 def sessions(events: DataFrame) -> DataFrame:
-    return with_duration(session_parts(events))
+    return merge_sessions(session_parts(events))
 
 
 def sessions_by_user(events: DataFrame) -> DataFrame:
@@ -172,10 +172,8 @@ def users(events: DataFrame) -> DataFrame:
     """User dimension. Rolled up per session first, so the distinct count sees few rows."""
     per_session = (
         events.filter(F.col("user_account_uuid").isNotNull())
-        .groupBy("user_account_uuid", "session_id")
+        .groupBy("user_account_uuid", "session_id", "user_email", "department")
         .agg(
-            F.min("user_email").alias("user_email"),
-            F.min("department").alias("department"),
             F.min("event_timestamp").alias("first_seen"),
             F.max("event_timestamp").alias("last_seen"),
             F.count("*").alias("events"),
@@ -186,7 +184,7 @@ def users(events: DataFrame) -> DataFrame:
         F.min("department").alias("department"),
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
-        F.count("session_id").alias("sessions"),
+        F.count_distinct("session_id").alias("sessions"),
         F.sum("events").alias("events"),
     )
 

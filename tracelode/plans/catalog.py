@@ -49,6 +49,13 @@ def _last_day(spark: SparkSession, sf_dir: str) -> Column:
     return kpi.last_day(td.table(spark, sf_dir, "events"), "ts")
 
 
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A derived table that several branches of a query read: written once, in the shared folder."""
+    path = scratch_dir(spark, name)
+    sinks.write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # --- silver ---------------------------------------------------------------------------
 
 
@@ -136,11 +143,12 @@ def dedupe_session_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def merge_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts from the 10th on arrive, some twice, at a table that holds all up to the 15th."""
-    events = td.ordered(td.canonical(spark, sf_dir))
-    prompts = events.filter(F.col("event_name") == "user_prompt").select(
+    events = td.ordered(td.canonical(spark, sf_dir)).filter(F.col("event_name") == "user_prompt")
+    prompts = events.select(
         merge_key("session_id", "prompt_id", "event_sequence", F.lit("prompt")).alias("prompt_sk"),
         "session_id", "prompt_id", "event_sequence", "event_timestamp", "event_date", "event_id", "org_id",
     )
+    prompts = _stored(spark, prompts, "merge_insert_new")
     target = prompts.filter(F.col("event_timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"))
     batch = _redelivered(prompts).filter(F.col("event_date") >= F.lit("2024-01-10").cast("date")).drop("delivery")
     return dedupe.insert_new(target, batch, "prompt_sk", ["event_timestamp"], within="event_date").drop("event_date")
@@ -339,6 +347,16 @@ def daily_user_usage_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.daily_user_usage_literal(events, silver.sessions_by_user(events))
 
 
+def _stored_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Prompts and responses of the full log, stored: the transcript reads them three times."""
+    events = td.ordered(td.canonical(spark, sf_dir))
+    talk = events.filter(F.col("event_name").isin("user_prompt", "assistant_response")).select(
+        "event_id", "event_name", "event_timestamp", "event_sequence", "session_id", "prompt_id", "org_id",
+        "user_account_uuid", "model",
+    )
+    return _stored(spark, td.with_text(talk, spark, sf_dir).drop("tool_output"), name)
+
+
 def _transcript(events: DataFrame) -> DataFrame:
     """Prompts and responses of unredacted canonical events, joined."""
     prompts = events.filter(F.col("event_name") == "user_prompt")
@@ -348,7 +366,7 @@ def _transcript(events: DataFrame) -> DataFrame:
 
 @query
 def compliance_transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = td.event_log(spark, sf_dir)
+    events = _stored_log(spark, sf_dir, "compliance_transcript_lines")
     lines = usage.transcript_lines(silver.prompts(events, dedupe=False), silver.responses(events, dedupe=False))
     return lines.withColumns({c: F.md5(c) for c in ("prompt_text", "response_text")})
 
@@ -358,7 +376,8 @@ def conversation_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = td.transcript_events(spark, sf_dir).withColumns(
         {c: F.lit(None).cast("string") for c in ("org_id", "user_account_uuid", "model")}
     )
-    lines = _transcript(turns.withColumn("event_timestamp", F.lit(None).cast("timestamp_ntz")))
+    turns = turns.withColumn("event_timestamp", F.lit(None).cast("timestamp_ntz"))
+    lines = _transcript(_stored(spark, turns, "conversation_transcript"))
     return lines.select(
         "session_id", "prompt_id", "prompt_sequence", "prompt_text", "response_sequence", "response_text"
     )
@@ -371,7 +390,7 @@ def transcript_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def compliance_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = td.event_log(spark, sf_dir)
+    events = _stored_log(spark, sf_dir, "compliance_masked")
     masked = audit.masked_transcript(_transcript(events))
     return masked.withColumns({c: F.md5(c) for c in ("prompt_text", "response_text")})
 
@@ -496,7 +515,10 @@ def tool_decision_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prompt_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.prompt_trace(td.ordered(td.canonical(spark, sf_dir)))
+    events = td.ordered(td.canonical(spark, sf_dir)).select(
+        "session_id", "prompt_id", "event_sequence", "event_timestamp", "event_name"
+    )
+    return reliability.prompt_trace(_stored(spark, events, "prompt_trace"))
 
 
 @query
@@ -714,11 +736,9 @@ def kb_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kb_ok_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetch log with failures and a retry that saves some of them."""
-    pages = _pages(spark, sf_dir).select("page_id", "rel")
-    first = pages.withColumn("ok", F.col("page_id") % 5 != 0)
-    retried = pages.filter(F.col("page_id") % 5 == 0).withColumn("ok", F.col("page_id") % 2 == 0)
-    saved, failed = corpus.merge_retried(first, retried, "page_id")
-    return saved.unionByName(failed)
+    pages = _pages(spark, sf_dir).select("page_id", "rel", (F.col("page_id") % 5 != 0).alias("ok"))
+    retried = pages.filter(~F.col("ok")).withColumn("ok", F.col("page_id") % 2 == 0)
+    return pages.drop("ok").join(corpus.fetch_status(pages, retried, "page_id"), "page_id")
 
 
 # --- files and streams --------------------------------------------------------------------

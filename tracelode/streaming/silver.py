@@ -12,7 +12,8 @@ from tracelode import schemas
 from tracelode.operators import silver
 from tracelode.operators.normalize import normalize
 
-EVENT_KEY = ["session_id", "event_name", "prompt_id", "event_sequence"]
+# The time tells events without a sequence number apart; a re-delivery repeats it.
+EVENT_KEY = ["session_id", "event_name", "prompt_id", "event_sequence", "event_timestamp"]
 
 
 def bronze_events(spark: SparkSession, bronze: str, max_files: int = 1000) -> DataFrame:
