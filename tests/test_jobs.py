@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tracelode.operators import silver
 from tracelode.operators.normalize import normalize
-from tracelode.plans import pipeline, views
+from tracelode.plans import jobs, views
+from tracelode.session import configure
 from tracelode.sources import landing, sinks
 from tracelode.streaming import bronze as bronze_stream
 
@@ -20,8 +21,8 @@ def land(fixture_file, root, name, target=None):
 
 
 def step(spark, root):
-    pipeline.run_bronze(spark, f"{root}/landing", root, glob="*.jsonl")
-    pipeline.run_silver(spark, root)
+    jobs.run_bronze(spark, f"{root}/landing", root, glob="*.jsonl")
+    jobs.run_silver(spark, root)
 
 
 def same(a, b):
@@ -33,9 +34,9 @@ def test_stream_equals_batch_and_ignores_redelivery(spark, fixture_file, scratch
     for name in ("dups_a.jsonl", "rejects.jsonl", "bad.jsonl"):
         land(fixture_file, scratch, name)
     step(spark, scratch)
-    tables = pipeline.read_silver(spark, scratch)
+    tables = jobs.read_silver(spark, scratch)
     before = {n: sorted(map(repr, t.drop("batch_id").collect())) for n, t in tables.items()}
-    same(tables["sessions"], pipeline.sessions_from_scratch(spark, scratch))
+    same(tables["sessions"], jobs.sessions_from_scratch(spark, scratch))
     events = normalize(bronze_stream.read_bronze(spark, f"{scratch}/bronze"))
     for name, want in silver.facts(events).items():
         same(tables[name].drop("batch_id", "event_date"), want)
@@ -43,7 +44,7 @@ def test_stream_equals_batch_and_ignores_redelivery(spark, fixture_file, scratch
 
     land(fixture_file, scratch, "dups_b.jsonl")
     step(spark, scratch)
-    again = pipeline.read_silver(spark, scratch)
+    again = jobs.read_silver(spark, scratch)
     assert {n: sorted(map(repr, t.drop("batch_id").collect())) for n, t in again.items()} == before
 
 
@@ -57,7 +58,7 @@ def test_nothing_new_adds_nothing(spark, fixture_file, scratch):
 def test_late_event_reopens_its_session_and_its_day(spark, fixture_file, scratch):
     land(fixture_file, scratch, "late_1.jsonl")
     step(spark, scratch)
-    pipeline.run_gold(spark, scratch)
+    jobs.run_gold(spark, scratch)
     days = spark.read.parquet(f"{scratch}/gold/daily_user_metrics")
     assert {(str(r.usage_date), r.user_email) for r in days.collect()} == {
         ("2026-03-03", "bob@example.com"), ("2026-03-03", "cy@example.com"),
@@ -65,9 +66,9 @@ def test_late_event_reopens_its_session_and_its_day(spark, fixture_file, scratch
 
     land(fixture_file, scratch, "late_2.jsonl")
     step(spark, scratch)
-    same(pipeline.read_silver(spark, scratch)["sessions"], pipeline.sessions_from_scratch(spark, scratch))
+    same(jobs.read_silver(spark, scratch)["sessions"], jobs.sessions_from_scratch(spark, scratch))
     newest = spark.read.parquet(f"{scratch}/silver/prompts").agg(F.max("batch_id")).first()[0]
-    pipeline.run_gold(spark, scratch, since_batch=newest)
+    jobs.run_gold(spark, scratch, since_batch=newest)
     days = spark.read.parquet(f"{scratch}/gold/daily_user_metrics")
     got = {(str(r.usage_date), r.user_email, r.total_prompts, r.total_duration_sec) for r in days.collect()}
     assert ("2026-03-02", "bob@example.com", 2, 1800) in got
@@ -77,12 +78,12 @@ def test_serving_and_roles(spark, fixture_file, scratch):
     for name in ("day.jsonl", "rejects.jsonl"):
         land(fixture_file, scratch, name)
     step(spark, scratch)
-    pipeline.run_gold(spark, scratch)
-    names = pipeline.run_sync(spark, scratch, lambda n: {"path": f"{scratch}/served/{n}"})
+    jobs.run_gold(spark, scratch)
+    names = jobs.run_sync(spark, scratch, lambda n: {"path": f"{scratch}/served/{n}"})
     assert len(names) == 6
     assert spark.read.parquet(f"{scratch}/served/token_costs").count() == 1
 
-    tables = pipeline.read_silver(spark, scratch)
+    tables = jobs.read_silver(spark, scratch)
     available = views.serving_views(tables)
     assert "v_security_leak_audit" not in views.register(available, "executive")
     assert views.register(available, "security_audit") == ["v_security_leak_audit"]
@@ -113,6 +114,31 @@ def test_copy_into_skips_bad_lines(spark, fixture_file):
     assert landing.copy_into(spark, fixture_file("bad.jsonl")).count() == 5
 
 
+def test_repeated_keys_marks_and_bad_bytes(spark, scratch):
+    Path(scratch).mkdir(parents=True)
+    Path(scratch, "a.jsonl").write_bytes(
+        b'{"event_name":"x","session_id":"a","session_id":"b"}\n\xef\xbb\xbf {"event_name":"y"}\n{"event_name":"z\xff"}\n'
+    )
+    configure(spark)
+    names = sorted(r.event_name for r in landing.with_payload(landing.read_lines(spark, scratch)).collect())
+    assert names == ["x", "y", "z\ufffd"]
+    assert {r.session_id for r in normalize(landing.copy_into(spark, scratch)).collect()} == {"b", None}
+
+
+def test_raw_bodies(spark, scratch):
+    Path(scratch).mkdir(parents=True)
+    Path(scratch, "u1.request.json").write_text('{\n "model": "model-m"\n}')
+    row = landing.read_bodies(spark, scratch).select("kind", "body_length", F.expr("try_variant_get(payload, '$.model', 'string')")).first()
+    assert tuple(row) == ("request", len(b'{\n "model": "model-m"\n}'), "model-m")
+
+
+def test_catalogue_table(spark, scratch):
+    df = spark.createDataFrame([("a", 1)], "v string, day int")
+    sinks.write_table(df, scratch, ["day"])
+    sinks.register_table(spark, "lake", "t_" + Path(scratch).name.replace("-", "_"), scratch, df.schema, ["day"])
+    assert spark.table("lake.t_" + Path(scratch).name.replace("-", "_")).count() == 1
+
+
 def test_cluster_without_shared_folder_is_refused():
     from tracelode.session import scratch_dir
 

@@ -44,8 +44,8 @@ def normalize(
 
 def parse_lines(lines: DataFrame, text: str = "line") -> DataFrame:
     """JSON text to a VARIANT ``payload``, NULL where the line is no JSON object."""
-    is_object = F.ltrim(F.col(text)).startswith("{")
-    return lines.withColumn("payload", F.when(is_object, F.try_parse_json(F.col(text))))
+    record = F.ltrim(F.col(text), F.lit("\ufeff \t"))
+    return lines.withColumn("payload", F.when(record.startswith("{"), F.try_parse_json(record)))
 
 
 def drop_empty(events: DataFrame, name: str = "event_name", body: str = "body") -> DataFrame:
@@ -60,6 +60,11 @@ def upsert_attributes(events: DataFrame, values: dict[str, str], attributes: str
     return events.withColumn(attributes, F.map_concat(kept, added))
 
 
+def stamp(events: DataFrame, instance: str) -> DataFrame:
+    """Mark records with the time and the collector that took them in."""
+    return events.withColumns({"ingestion_time": F.current_timestamp(), "collector_instance": F.lit(instance)})
+
+
 def truncate_text(df: DataFrame, text: str, limit: int) -> DataFrame:
     """Cut a text column at ``limit`` characters; adds ``<text>_length`` and ``<text>_truncated``."""
     return df.withColumns(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tracelode import schemas
 from tracelode.operators import gold, silver
 from tracelode.operators.normalize import normalize
+from tracelode.session import configure
 from tracelode.sources import sinks
 from tracelode.streaming import bronze as bronze_stream
 from tracelode.streaming import silver as silver_stream
@@ -18,13 +19,21 @@ FACT_TABLES = tuple(schemas.SILVER)
 
 
 def run_bronze(spark: SparkSession, landing: str, root: str, glob: str = "*.jsonl.gz", max_files: int = 1000) -> None:
+    configure(spark)
     bronze_stream.ingest(spark, landing, f"{root}/bronze", f"{root}/_checkpoints/bronze", max_files, glob)
 
 
-def run_silver(spark: SparkSession, root: str, watermark: str = "1 day", max_files: int = 1000) -> None:
+def run_silver(
+    spark: SparkSession,
+    root: str,
+    watermark: str = "1 day",
+    max_files: int = 1000,
+    files_per_day: int | None = None,
+) -> None:
     """New bronze rows, without re-deliveries, into the silver tables."""
+    configure(spark)
     events = silver_stream.once(silver_stream.bronze_events(spark, f"{root}/bronze", max_files), watermark)
-    silver_stream.fan_out(events, lambda name: f"{root}/silver/{name}", f"{root}/_checkpoints/silver")
+    silver_stream.fan_out(events, lambda name: f"{root}/silver/{name}", f"{root}/_checkpoints/silver", files_per_day)
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -25,6 +25,19 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def configure(spark: SparkSession) -> None:
+    """Session settings of the jobs.
+
+    A record that repeats a key is loaded with its last value. Keys of the re-delivery check
+    live in RocksDB, so a day of keys need not fit the executors' heap.
+    """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 

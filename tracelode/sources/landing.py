@@ -60,6 +60,21 @@ def copy_into(spark: SparkSession, path: str, glob: str | None = None) -> DataFr
     )
 
 
+def read_bodies(spark: SparkSession, path: str) -> DataFrame:
+    """Raw request and response bodies, one JSON document per file.
+
+    ``body_ref`` is the file path, as the events name it. Documents are read one per row; the
+    number of files per task is up to Spark's split packing.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return files.select(
+        F.col("_metadata.file_path").alias("body_ref"),
+        F.regexp_extract("_metadata.file_name", r"\.(request|response)\.json$", 1).alias("kind"),
+        F.octet_length("value").cast("bigint").alias("body_length"),
+        F.try_parse_json("value").alias("payload"),
+    )
+
+
 def rescued(lines: DataFrame, known: list[str], text: str = "line") -> DataFrame:
     """Top-level attributes outside the contract, as a map of JSON texts in ``_rescued``."""
     attributes = F.from_json(F.col(text), "map<string,string>")

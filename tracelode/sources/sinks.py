@@ -43,6 +43,17 @@ def register(spark: SparkSession, name: str, path: str) -> None:
     spark.read.parquet(path).createOrReplaceTempView(name)
 
 
+def register_table(spark: SparkSession, database: str, name: str, path: str, schema: T.StructType,
+                   partitions: list[str]) -> None:
+    """A catalogue table over stored files; run again to pick up new partitions."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {by} LOCATION '{path}'")
+    if partitions:
+        spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """A table whose files gained columns over time: old rows have NULL in the new ones."""
     return spark.read.option("mergeSchema", "true").parquet(path)

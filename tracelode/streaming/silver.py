@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tracelode import schemas
 from tracelode.operators import silver
 from tracelode.operators.normalize import normalize
+from tracelode.sources.sinks import write_table
 
 # The time tells events without a sequence number apart; a re-delivery repeats it.
 EVENT_KEY = ["session_id", "event_name", "prompt_id", "event_sequence", "event_timestamp"]
@@ -39,12 +40,16 @@ def fan_out(
     events: DataFrame,
     target: Callable[[str], str],
     checkpoint: str,
+    files_per_day: int | None = None,
 ) -> None:
     """Write the five silver tables from each micro-batch, then stop when all input is done.
 
     The batch is normalised once and kept while its five writes run. Every write replaces the
     batch's own folder, so a repeated batch changes nothing. ``session_parts`` holds mergeable
     session measures per batch: a late event adds a part, and no session is recomputed.
+
+    ``files_per_day`` is for a backfill of many days: rows are brought together by day first,
+    or each task would write a small file for every day.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -52,9 +57,8 @@ def fan_out(
         try:
             for name, facts in silver.facts(kept, dedupe=False).items():
                 dated = facts.withColumn("event_date", F.to_date("event_timestamp"))
-                dated.write.mode("overwrite").partitionBy("event_date").parquet(f"{target(name)}/batch_id={batch_id}")
-            parts = silver.session_parts(kept)
-            parts.write.mode("overwrite").parquet(f"{target('session_parts')}/batch_id={batch_id}")
+                write_table(dated, f"{target(name)}/batch_id={batch_id}", ["event_date"], files_per_partition=files_per_day)
+            write_table(silver.session_parts(kept), f"{target('session_parts')}/batch_id={batch_id}")
         finally:
             kept.unpersist()
 
