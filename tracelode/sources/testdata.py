@@ -53,13 +53,10 @@ def spread_scan(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def _pick(values: tuple[str | None, ...], number: Column) -> Column:
-    """values[number % len(values)] as a CASE expression."""
-    index = number % len(values)
-    out = F.lit(values[0])
-    for i, value in enumerate(values[1:], 1):
-        out = F.when(index == i, F.lit(value).cast("string")).otherwise(out)
-    return out
+def _pick(values: tuple[str | None, ...], number: str) -> Column:
+    """values[number % len(values)] as a CASE expression; ``number`` is a SQL expression."""
+    arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
+    return F.expr(f"CASE ({number}) % {len(values)} {arms} END")
 
 
 def _floor(col: Column) -> Column:
@@ -85,7 +82,7 @@ def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
         return F.when(kind == name, col)
 
     is_tool = kind.isin("tool_result", "tool_decision")
-    command = _pick(COMMANDS, k)
+    command = _pick(COMMANDS, "k")
     return base.select(
         "*",
         F.concat_ws("-", user.cast("string"), F.to_date(F.date_trunc("week", "event_timestamp")).cast("string")).alias(
@@ -96,10 +93,10 @@ def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
         .otherwise(F.concat(F.lit("u"), user.cast("string")))
         .alias("user_account_uuid"),
         F.concat(F.lit("user"), user.cast("string"), F.lit("@example.com")).alias("user_email"),
-        _pick(DEPARTMENTS, user).alias("department"),
-        _pick(MODELS, k).alias("model"),
+        _pick(DEPARTMENTS, "user_id").alias("department"),
+        _pick(MODELS, "k").alias("model"),
         only("user_prompt", _floor(value)).alias("prompt_tokens"),
-        F.when(is_tool, _pick(TOOLS, k)).alias("tool_name"),
+        F.when(is_tool, _pick(TOOLS, "k")).alias("tool_name"),
         F.when(
             is_tool,
             F.when(k % 5 == 0, F.concat(F.lit('{"command": "'), command, F.lit('"}'))).otherwise(
@@ -116,7 +113,7 @@ def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
         only(
             "tool_decision",
             F.when(k % 8 == 3, "user_reject").when(k % 8 == 7, "user_abort").otherwise(
-                _pick(("config", "hook", "user_temporary"), k)
+                _pick(("config", "hook", "user_temporary"), "k")
             ),
         ).alias("decision_source"),
         only("tool_decision", _floor(value * 50)).alias("wait_ms"),
@@ -125,14 +122,14 @@ def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
         only("assistant_response", k * 50).alias("cache_read_tokens"),
         only("assistant_response", k * 5).alias("cache_creation_tokens"),
         only("assistant_response", _floor(value * 20)).alias("latency_ms"),
-        only("assistant_response", _pick(("main", "main", "main", "subagent", "auxiliary"), k)).alias("query_source"),
-        only("assistant_response", _pick(SKILLS, k)).alias("skill_name"),
-        only("assistant_response", _pick(AGENTS, k)).alias("agent_name"),
+        only("assistant_response", _pick(("main", "main", "main", "subagent", "auxiliary"), "k")).alias("query_source"),
+        only("assistant_response", _pick(SKILLS, "k")).alias("skill_name"),
+        only("assistant_response", _pick(AGENTS, "k")).alias("agent_name"),
         only("api_error", k % 11 + 1).cast("int").alias("attempt"),
         only("api_error", F.when(k % 2 == 0, 429).otherwise(500)).alias("status_code"),
         F.concat(
             F.lit("department="),
-            F.coalesce(_pick(DEPARTMENTS, user), F.lit("none")),
+            F.coalesce(_pick(DEPARTMENTS, "user_id"), F.lit("none")),
             F.lit(",team.id=team%20"),
             (user % 4).cast("string"),
             F.lit(",cost_center=eng%2D"),
@@ -210,7 +207,7 @@ def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     events = canonical(spark, sf_dir).withColumn(
         "event_name",
-        F.when(F.col("event_name") == "api_error", _pick(names, k)).otherwise(F.col("event_name")),
+        F.when(F.col("event_name") == "api_error", _pick(names, "k")).otherwise(F.col("event_name")),
     )
 
     def only(name: str, col: Column) -> Column:
@@ -218,7 +215,7 @@ def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return events.withColumns(
         {
-            "to_mode": only("permission_mode_changed", _pick(("default", "plan", "bypass"), _floor(k / 6))),
+            "to_mode": only("permission_mode_changed", _pick(("default", "plan", "bypass"), "k div 6")),
             "num_blocking": only("hook_execution_complete", k % 4),
             "success": only("auth", F.when(k % 5 == 0, "false").otherwise("true")),
             "status": only("mcp_server_connection", F.when(k % 8 == 4, "failed").otherwise("connected")),
@@ -247,7 +244,7 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(
             only("user_prompt", F.lit("session.count")),
             only("assistant_response", F.lit("lines_of_code.count")),
-            only("tool_result", _pick(("commit.count", "pull_request.count"), k)),
+            only("tool_result", _pick(("commit.count", "pull_request.count"), "k")),
             only("tool_decision", F.lit("code_edit_tool.decision")),
             only("api_error", F.lit("active_time.total")),
         ).alias("metric"),
@@ -256,14 +253,14 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(1))
         .cast("bigint")
         .alias("points"),
-        only("user_prompt", _pick(("fresh", "resume", "continue", "agents_view"), k)).alias("start_type"),
+        only("user_prompt", _pick(("fresh", "resume", "continue", "agents_view"), "k")).alias("start_type"),
         F.coalesce(
-            only("assistant_response", _pick(("added", "removed"), k)), only("api_error", _pick(("user", "cli"), k))
+            only("assistant_response", _pick(("added", "removed"), "k")), only("api_error", _pick(("user", "cli"), "k"))
         ).alias("type"),
-        only("tool_decision", _pick(("Edit", "Write", "NotebookEdit"), k)).alias("tool_name"),
+        only("tool_decision", _pick(("Edit", "Write", "NotebookEdit"), "k")).alias("tool_name"),
         only("tool_decision", F.col("decision")).alias("decision"),
         only("tool_decision", F.col("decision_source")).alias("source"),
-        only("tool_decision", _pick(("Python", "TypeScript", "Markdown", "unknown"), F.col("user_id"))).alias(
+        only("tool_decision", _pick(("Python", "TypeScript", "Markdown", "unknown"), "user_id")).alias(
             "language"
         ),
         F.concat(F.lit("2."), (k % 4).cast("string")).alias("app_version"),
@@ -280,7 +277,7 @@ def compactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_id",
             "event_date",
             "session_id",
-            _pick(("auto", "manual"), k).alias("trigger"),
+            _pick(("auto", "manual"), "k").alias("trigger"),
             F.when(k % 9 == 0, "false").otherwise("true").alias("success"),
             _floor(value * 1000).alias("pre_tokens"),
             _floor(value * 150).alias("post_tokens"),
