@@ -72,6 +72,31 @@ def test_late_event_reopens_its_session_and_its_day(spark, fixture_file, scratch
     days = spark.read.parquet(f"{scratch}/gold/daily_user_metrics")
     got = {(str(r.usage_date), r.user_email, r.total_prompts, r.total_duration_sec) for r in days.collect()}
     assert ("2026-03-02", "bob@example.com", 2, 1800) in got
+    used = spark.read.parquet(f"{scratch}/gold/daily_user_usage")
+    assert {(str(r.usage_date), r.sessions, r.prompts, r.tool_events) for r in used.collect()} == {
+        ("2026-03-02", 1, 1, 0), ("2026-03-03", 1, 2, 1),
+    }
+
+
+@pytest.mark.parametrize("keep_others", [True, False])
+def test_touched_days_equal_a_full_recompute(spark, fixture_file, scratch, keep_others):
+    """Two batches, gold after each; then the same gold from scratch in another place."""
+    land(fixture_file, scratch, "late_1.jsonl")
+    land(fixture_file, scratch, "lone_1.jsonl")
+    if keep_others:
+        land(fixture_file, scratch, "dups_a.jsonl")
+    for name in ("rejects.jsonl",):
+        land(fixture_file, scratch, name)
+    step(spark, scratch)
+    jobs.run_gold(spark, scratch)
+    for name in ("late_2.jsonl", "lone_2.jsonl", "same_tick.jsonl", "shapes.jsonl"):
+        land(fixture_file, scratch, name)
+    step(spark, scratch)
+    tables = jobs.read_silver(spark, scratch)
+    newest = tables["prompts"].agg(F.max("batch_id")).first()[0]
+    jobs.run_gold(spark, scratch, since_batch=newest)
+    for name, (df, _) in jobs.gold_tables(tables).items():
+        same(spark.read.schema(df.schema).parquet(f"{scratch}/gold/{name}"), df)
 
 
 def test_serving_and_roles(spark, fixture_file, scratch):
@@ -80,7 +105,7 @@ def test_serving_and_roles(spark, fixture_file, scratch):
     step(spark, scratch)
     jobs.run_gold(spark, scratch)
     names = jobs.run_sync(spark, scratch, lambda n: {"path": f"{scratch}/served/{n}"})
-    assert len(names) == 6
+    assert len(names) == 8
     assert spark.read.parquet(f"{scratch}/served/token_costs").count() == 1
 
     tables = jobs.read_silver(spark, scratch)

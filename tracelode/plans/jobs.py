@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelode import schemas
-from tracelode.operators import gold, silver
+from tracelode.operators import gold, silver, usage
 from tracelode.operators.normalize import normalize
 from tracelode.session import configure
 from tracelode.sources import sinks
@@ -43,17 +44,21 @@ def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         for name, schema in schemas.SILVER.items()
     }
     tables["sessions"] = silver_stream.read_sessions(spark, f"{root}/silver/session_parts")
+    tables["session_days"] = silver_stream.read_session_days(spark, f"{root}/silver/session_days")
     return tables
 
 
 def gold_tables(tables: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
     """Gold tables with the date each is partitioned by."""
     alerts = gold.prompt_leak_audit(tables["prompts"])
+    lines = usage.transcript_lines(tables["prompts"], tables["responses"])
     return {
         "daily_user_metrics": (gold.daily_user_metrics(tables["sessions"]), "usage_date"),
         "tool_adoption_summary": (gold.tool_adoption_summary(tables["tool_executions"]), "execution_date"),
         "department_cost_attribution": (gold.department_cost_attribution(tables["token_costs"]), "cost_date"),
         "security_leak_alerts": (alerts.withColumnRenamed("audit_date", "alert_date"), "alert_date"),
+        "daily_user_usage": (usage.daily_usage(tables["session_days"]), "usage_date"),
+        "compliance_transcript_lines": (lines.withColumn("prompt_date", F.to_date("prompt_ts")), "prompt_date"),
     }
 
 
@@ -63,33 +68,84 @@ def _only_days(rows: DataFrame, days: DataFrame, day: str) -> DataFrame:
     return rows.join(F.broadcast(days.select(F.col("day").alias(day)).distinct()), day, "left_semi")
 
 
-def touched(spark: SparkSession, root: str, tables: dict[str, DataFrame], since_batch: int) -> dict[str, DataFrame]:
-    """The silver tables cut to the days that batches from ``since_batch`` on added rows to.
+def _of_sessions(rows: DataFrame, sessions: DataFrame) -> DataFrame:
+    return rows.join(sessions.select("session_id").distinct(), "session_id", "left_semi")
 
-    A late event touches its own old day. In the session table it touches the day its session
-    started, so that day is complete again with all its sessions.
+
+def _start_days(parts: DataFrame, changed: DataFrame, since_batch: int) -> DataFrame:
+    """The days the changed sessions start on now, and those they started on before."""
+    of_changed = _of_sessions(parts, changed)
+    before = F.when(F.col("batch_id") < since_batch, F.col("session_start"))
+    starts = of_changed.groupBy("session_id").agg(F.min("session_start").alias("now"), F.min(before).alias("before"))
+    both = starts.select(F.explode(F.array("now", "before")).alias("start"))
+    return both.filter(F.col("start").isNotNull()).select(F.to_date("start").alias("day")).distinct()
+
+
+def touched_gold(
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], since_batch: int
+) -> dict[str, tuple[DataFrame, str]]:
+    """Gold cut to the days that batches from ``since_batch`` on have changed, each complete.
+
+    A late event changes its own old day, and through its session the day the session
+    started, the days the session's usage falls on, and the prompts of the session.
     """
-    out = {}
+
+    def new(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("batch_id") >= since_batch)
+
+    cut = {}
     for name in FACT_TABLES:
-        days = tables[name].filter(F.col("batch_id") >= since_batch).select(F.col("event_date").alias("day"))
-        out[name] = _only_days(tables[name], days, "event_date")
-    parts = spark.read.parquet(f"{root}/silver/session_parts").filter(F.col("batch_id") >= since_batch)
-    started = tables["sessions"].withColumn("start_day", F.to_date("session_start"))
-    days = started.join(parts.select("session_id"), "session_id", "left_semi").select(F.col("start_day").alias("day"))
-    out["sessions"] = _only_days(started, days, "start_day").drop("start_day")
+        cut[name] = _only_days(tables[name], new(tables[name]).select(F.col("event_date").alias("day")), "event_date")
+
+    def stored(name: str, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/silver/{name}")
+
+    parts = stored("session_parts", schemas.SESSION_PARTS)
+    changed = new(parts).select("session_id")
+    started = tables["sessions"].withColumn("day", F.to_date("session_start"))
+    start_days = _start_days(parts, changed, since_batch)
+    cut["sessions"] = _only_days(started, start_days, "day").drop("day")
+
+    days = tables["session_days"]
+    usage_days = _of_sessions(days, changed).select(F.col("usage_date").alias("day"))
+    cut["session_days"] = _of_sessions(days, _only_days(days, usage_days, "usage_date"))
+
+    # All responses of the sessions whose prompts are shown again lie between the first start
+    # and the last end of those sessions; no other partition of the responses is read.
+    prompt_days = _of_sessions(tables["prompts"], changed).select(F.col("event_date").alias("day"))
+    asked = _only_days(tables["prompts"], prompt_days, "event_date")
+    span = _of_sessions(tables["sessions"], asked)
+    first, last = (span.agg(F.to_date(f(c))).scalar() for f, c in ((F.min, "session_start"), (F.max, "session_end")))
+    answers = tables["responses"].filter(F.col("event_date").between(first, last))
+
+    out = gold_tables(cut)
+    out["daily_user_usage"] = (_only_days(out["daily_user_usage"][0], usage_days, "usage_date"), "usage_date")
+    lines = usage.transcript_lines(asked, _of_sessions(answers, asked))
+    out["compliance_transcript_lines"] = (lines.withColumn("prompt_date", F.to_date("prompt_ts")), "prompt_date")
     return out
 
 
 def run_gold(spark: SparkSession, root: str, since_batch: int | None = None) -> None:
     """Recompute gold, or only the days that changed since a silver batch.
 
-    Then only the partitions of those days are replaced.
+    Then only the partitions of those days are replaced. A late event can move the start of
+    the only session of a day to the day before; the partition left without rows is emptied.
     """
     tables = read_silver(spark, root)
-    if since_batch is not None:
-        tables = touched(spark, root, tables, since_batch)
-    for name, (df, date) in gold_tables(tables).items():
-        sinks.write_table(df, f"{root}/gold/{name}", [date], only_touched=since_batch is not None)
+    if since_batch is None:
+        for name, (df, date) in gold_tables(tables).items():
+            sinks.write_table(df, f"{root}/gold/{name}", [date])
+        return
+    out = touched_gold(spark, root, tables, since_batch)
+    for name, (df, date) in out.items():
+        sinks.write_table(df, f"{root}/gold/{name}", [date], only_touched=True)
+    parts = spark.read.schema(schemas.SESSION_PARTS).parquet(f"{root}/silver/session_parts")
+    changed = parts.filter(F.col("batch_id") >= since_batch).select("session_id")
+    left = _start_days(parts, changed, since_batch).join(
+        tables["sessions"].select(F.to_date("session_start").alias("day")).distinct(), "day", "left_anti"
+    )
+    df, date = out["daily_user_metrics"]
+    sinks.empty_partitions(df, f"{root}/gold/daily_user_metrics", date, left)
 
 
 def run_sync(

@@ -135,3 +135,17 @@ def stored(schema: T.StructType) -> T.StructType:
 
 
 SESSION_PARTS = T.StructType([*[f for f in SILVER_SESSIONS if f.name != "session_duration_sec"], *_table(batch_id="long")])
+
+SESSION_DAYS = _table(
+    session_id="string",
+    org_id="string",
+    user_account_uuid="string",
+    usage_date="date",
+    prompts="long",
+    responses="long",
+    tool_events="long",
+    input_tokens="long",
+    output_tokens="long",
+    cost_units="long",
+    batch_id="long",
+)

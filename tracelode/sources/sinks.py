@@ -38,6 +38,14 @@ def write_table(
     writer.parquet(path)
 
 
+def empty_partitions(df: DataFrame, path: str, date: str, days: DataFrame) -> None:
+    """Replace the partitions of some days by empty ones: an overwrite by partition does not
+    reach a day that has no new rows. ``days`` holds calendar days, one row each."""
+    nothing = df.drop(date).limit(0)
+    for (day,) in days.select(F.col("day").cast("string")).collect():
+        nothing.write.mode("overwrite").parquet(f"{path}/{date}={day}")
+
+
 def register(spark: SparkSession, name: str, path: str) -> None:
     """A temporary view over a stored table."""
     spark.read.parquet(path).createOrReplaceTempView(name)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelode import schemas
-from tracelode.operators import silver
+from tracelode.operators import silver, usage
 from tracelode.operators.normalize import normalize
 from tracelode.sources.sinks import write_table
 
@@ -42,11 +42,12 @@ def fan_out(
     checkpoint: str,
     files_per_day: int | None = None,
 ) -> None:
-    """Write the five silver tables from each micro-batch, then stop when all input is done.
+    """Write the silver tables from each micro-batch, then stop when all input is done.
 
-    The batch is normalised once and kept while its five writes run. Every write replaces the
-    batch's own folder, so a repeated batch changes nothing. ``session_parts`` holds mergeable
-    session measures per batch: a late event adds a part, and no session is recomputed.
+    The batch is normalised once and kept while its writes run. Every write replaces the
+    batch's own folder, so a repeated batch changes nothing. ``session_parts`` and
+    ``session_days`` hold mergeable measures per batch: a late event adds a part, and no
+    session is recomputed.
 
     ``files_per_day`` is for a backfill of many days: rows are brought together by day first,
     or each task would write a small file for every day.
@@ -59,6 +60,7 @@ def fan_out(
                 dated = facts.withColumn("event_date", F.to_date("event_timestamp"))
                 write_table(dated, f"{target(name)}/batch_id={batch_id}", ["event_date"], files_per_partition=files_per_day)
             write_table(silver.session_parts(kept), f"{target('session_parts')}/batch_id={batch_id}")
+            write_table(usage.session_days(kept), f"{target('session_days')}/batch_id={batch_id}")
         finally:
             kept.unpersist()
 
@@ -75,6 +77,10 @@ def read_sessions(spark: SparkSession, parts: str) -> DataFrame:
     return silver.merge_sessions(spark.read.schema(schemas.SESSION_PARTS).parquet(parts))
 
 
+def read_session_days(spark: SparkSession, parts: str) -> DataFrame:
+    return usage.merge_session_days(spark.read.schema(schemas.SESSION_DAYS).parquet(parts))
+
+
 def compact_sessions(spark: SparkSession, parts: str, out: str) -> None:
     """Rewrite the parts as one part per session, in a new place."""
     merged = read_sessions(spark, parts).drop("session_duration_sec")
