@@ -153,6 +153,18 @@ def test_declared_lengths(spark, fixture_file):
     assert audit.length_mismatches(events, "response_text", "response_length").count() == 0
 
 
+def test_truncation_marks_what_it_cuts(spark):
+    df = spark.createDataFrame([("é" * 5,), ("abc",), (None,)], "text string")
+    got = [tuple(r) for r in norm.truncate_text(df, "text", 4).select("text", "text_length", "text_truncated").collect()]
+    assert got == [("éééé", 5, True), ("abc", 3, False), (None, None, None)]
+
+
+def test_stamp_and_gate(spark):
+    df = spark.createDataFrame([("s", "hi", None)], "session_id string, prompt_text string, response_text string")
+    row = norm.stamp(norm.gate_content(df, {"prompt_text": False, "response_text": False}), "node-1").first()
+    assert (row.prompt_text, row.response_text, row.collector_instance) == ("<REDACTED>", None, "node-1")
+
+
 def test_prices(spark):
     facts = spark.createDataFrame(
         [("a", 10, 1, None, 0), ("b", 10, 1, None, 0)],

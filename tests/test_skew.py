@@ -61,12 +61,21 @@ def test_salted_join(spark, hot, rows_per_task):
     left = left.unionByName(spark.createDataFrame([("none", 1, -1), (None, 2, -2)], left.schema))
     right = hot.filter("id % 3 = 0").select("key", F.col("id").alias("rid"))
     right = right.unionByName(spark.createDataFrame([(None, -3)], right.schema))
-    got = salted_left_join(left, right, ["key"], ["rid"], rows_per_task)
+    got = salted_left_join(left, right, ["key"], ["lid"], ["rid"], rows_per_task)
     r = right.withColumnRenamed("key", "rkey")
     want = left.join(r, left.key.eqNullSafe(r.rkey), "left").select("key", "lt", "lid", "rid")
     assert as_set(got.select("key", "lt", "lid", "rid")) == as_set(want)
 
 
+def test_salted_join_with_a_hot_left_side(spark, hot):
+    left = hot.select("key", F.col("id").alias("lid"))
+    right = hot.filter("key <> 'hot' AND id % 7 = 0").select("key", F.col("id").alias("rid"))
+    right = right.unionByName(spark.createDataFrame([("hot", -1)], right.schema))
+    got = salted_left_join(left, right, ["key"], ["lid"], ["rid"], 25)
+    want = left.join(right, "key", "left").select("key", "lid", "rid")
+    assert as_set(got) == as_set(want)
+
+
 def test_keep_first_is_deterministic(hot):
     got = {r.key: r.id for r in keep_first(hot, ["key"], ["t", "id"]).collect()}
     rows = hot.collect()

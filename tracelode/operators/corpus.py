@@ -104,7 +104,7 @@ def header(title: str, url: str, summary: str) -> Column:
 
 def append_missing(entries: DataFrame, extras: DataFrame, key: str = "rel") -> DataFrame:
     """Entries plus the extras whose key is not there yet."""
-    return entries.unionByName(extras.join(entries.select(key), key, "left_anti"))
+    return entries.unionByName(extras.join(entries.select(key).distinct(), key, "left_anti"))
 
 
 def by_slug(pages: DataFrame, order_by: list[str]) -> DataFrame:
@@ -127,20 +127,20 @@ def explode_taxonomy(sections: DataFrame) -> DataFrame:
 
 
 def uncategorised(taxonomy: DataFrame, pages: DataFrame) -> DataFrame:
-    return pages.join(taxonomy.select("slug"), "slug", "left_anti")
+    return pages.join(taxonomy.select("slug").distinct(), "slug", "left_anti")
 
 
 def corpus_stats(pages: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Pages, bytes and pages outside the taxonomy, in one pass over the pages."""
-    listed = taxonomy.select("slug").distinct().withColumn("_listed", F.lit(1))
-    return (
-        pages.select("slug", "bytes")
-        .join(listed, "slug", "left")
-        .agg(
-            F.count("*").alias("pages"),
-            F.sum("bytes").alias("total_bytes"),
-            (F.count("*") - F.count("_listed")).alias("uncategorised"),
-        )
+    """Pages, bytes and pages outside the taxonomy.
+
+    Counted per slug before the join, which then has one row per slug on both sides.
+    """
+    per_slug = pages.groupBy("slug").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    listed = taxonomy.select("slug").distinct().withColumn("_listed", F.lit(True))
+    return per_slug.join(listed, "slug", "left").agg(
+        F.sum("n").alias("pages"),
+        F.sum("bytes").alias("total_bytes"),
+        F.sum(F.when(F.col("_listed").isNull(), F.col("n")).otherwise(0)).alias("uncategorised"),
     )
 
 

@@ -29,4 +29,4 @@ def insert_new(
     if within:
         low, high = (source.agg(f(within)).scalar() for f in (F.min, F.max))
         known = known.filter((F.col(within) >= low) & (F.col(within) <= high))
-    return keep_first(source, [key], order_by).join(known.select(key), key, "left_anti")
+    return keep_first(source, [key], order_by).join(known.select(key).distinct(), key, "left_anti")

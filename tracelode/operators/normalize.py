@@ -65,7 +65,11 @@ def stamp(events: DataFrame, instance: str) -> DataFrame:
     return events.withColumns({"ingestion_time": F.current_timestamp(), "collector_instance": F.lit(instance)})
 
 
-def truncate_text(df: DataFrame, text: str, limit: int) -> DataFrame:
+# Fixed value: content limit in characters.
+CONTENT_LIMIT = 61_440
+
+
+def truncate_text(df: DataFrame, text: str, limit: int = CONTENT_LIMIT) -> DataFrame:
     """Cut a text column at ``limit`` characters; adds ``<text>_length`` and ``<text>_truncated``."""
     return df.withColumns(
         {

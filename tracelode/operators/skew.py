@@ -14,37 +14,56 @@ def salted_left_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
-    spread_by: list[str],
+    left_spread: list[str],
+    right_spread: list[str],
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Null-safe left equi-join for a right side with hot keys.
+    """Null-safe left equi-join for sides with hot keys.
 
-    A key with more than ``rows_per_task`` right rows is cut into parts by a hash of
-    ``spread_by``; its left rows are repeated once per part. The list of hot keys is broadcast:
-    it cannot be longer than right rows / ``rows_per_task``. All other rows join as they are.
+    A key with more than ``rows_per_task`` rows on a side is cut into parts there, by a hash of
+    the spread columns, and the other side's rows of that key are repeated once per part. The
+    list of hot keys is broadcast: it cannot be longer than rows / ``rows_per_task``. All other
+    rows join as they are.
     """
-    counted = right.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task)
-    parts = F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int")
-    hot = F.broadcast(counted.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], parts.alias("_parts")))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sides = left.select(*keys, one.alias("_l"), none.alias("_r")).unionByName(
+        right.select(*keys, none.alias("_l"), one.alias("_r"))
+    )
+    counts = sides.groupBy(*keys).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
 
-    def with_parts(side: DataFrame) -> DataFrame:
-        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-        return side.join(hot, same, "left").drop(*[f"_hot_{k}" for k in keys])
+    def parts(count: str) -> Column:
+        return F.greatest(F.ceil(F.col(count) / F.lit(rows_per_task)).cast("int"), F.lit(1))
 
-    lefts = with_parts(left).withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
+    hot = F.broadcast(
+        counts.filter((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task)).select(
+            *[F.col(k).alias(f"_hot_{k}") for k in keys], parts("_l").alias("_lefts"), parts("_r").alias("_rights")
+        )
     )
-    rights = with_parts(right).select(
-        *[F.col(k).alias(f"_right_{k}") for k in keys],
-        F.when(F.col("_parts").isNull(), 0)
-        .otherwise(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int"))
-        .alias("_right_part"),
+
+    def with_parts(side: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+        joined = side.join(hot, same, "left").drop(*[f"_hot_{k}" for k in keys])
+        joined = joined.withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_lefts", "_rights")})
+        return joined.withColumns(
+            {
+                f"_{own}": F.pmod(F.xxhash64(*spread), F.col(f"_{own}s")).cast("int"),
+                f"_{other}": F.explode(F.sequence(F.lit(0), F.col(f"_{other}s") - 1)),
+            }
+        )
+
+    lefts = with_parts(left, "left", "right", left_spread)
+    rights = with_parts(right, "right", "left", right_spread)
+    matches = rights.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
+        F.col("_left").alias("_of_left"),
+        F.col("_right").alias("_of_right"),
         F.lit(True).alias("_matched"),
         *[c for c in right.columns if c not in keys],
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys] + [F.col("_part") == F.col("_right_part")]
-    joined = lefts.join(rights, reduce(Column.__and__, on), "left")
-    # A hot key has right rows by definition, so an unmatched copy of its left row is no result.
-    return joined.filter(F.col("_parts").isNull() | F.col("_matched")).drop(
-        "_parts", "_part", "_right_part", "_matched", *[f"_right_{k}" for k in keys]
+    on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    on += [F.col("_left") == F.col("_of_left"), F.col("_right") == F.col("_of_right")]
+    joined = lefts.join(matches, reduce(Column.__and__, on), "left")
+    # A key cut on the right has right rows by definition: an unmatched copy of its left row is no result.
+    return joined.filter((F.col("_rights") == 1) | F.col("_matched")).select(
+        *left.columns, *[c for c in right.columns if c not in keys]
     )

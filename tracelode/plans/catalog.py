@@ -182,7 +182,7 @@ def enrich_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def truncate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = norm.truncate_text(td.table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 4096)
+    cut = norm.truncate_text(td.table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
     return cut.select("doc_id", F.md5("text").alias("text_md5"), "text_length", "text_truncated")
 
 

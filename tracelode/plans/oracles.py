@@ -345,8 +345,8 @@ SELECT event_id, CASE WHEN k % 4 <> 0 THEN event_name END AS event_name,
 SELECT event_id, 'event.name=' || event_name || ';org.id=acme;pipeline.environment=prod;pipeline.source=agent;session.id='
   || session_id AS attributes FROM canon""")
     q["truncate_content"] = """
-SELECT doc_id, md5(substring(text, 1, 4096)) AS text_md5, CAST(length(text) AS INTEGER) AS text_length,
-  length(text) > 4096 AS text_truncated FROM documents"""
+SELECT doc_id, md5(substring(text, 1, 61440)) AS text_md5, CAST(length(text) AS INTEGER) AS text_length,
+  length(text) > 61440 AS text_truncated FROM documents"""
     q["content_gate"] = _with(CANON, _texted("canon"), select="""
 SELECT event_id, md5(CASE WHEN prompt_text IS NOT NULL THEN CASE WHEN org_id = 'org1' THEN prompt_text ELSE '<REDACTED>' END END)
   AS prompt_md5, md5(response_text) AS response_md5,
