@@ -38,6 +38,20 @@ def test_shapes_do_not_depend_on_the_session_time_zone(spark, fixture_file):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_durations_ignore_clock_changes_of_the_session_zone(spark):
+    rows_ = [("s", "2026-03-08 06:30:00"), ("s", "2026-03-08 07:30:00"), ("t", "2026-03-08 02:30:00"), ("t", "2026-03-08 03:30:00")]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        events = spark.createDataFrame(rows_, "session_id string, at string").select(
+            "session_id", F.col("at").cast("timestamp_ntz").alias("event_timestamp"), F.lit("user_prompt").alias("event_name"),
+            F.lit(None).cast("string").alias("user_email"), F.lit(None).cast("string").alias("department"),
+        )
+        got = dict(rows(silver.sessions(events), "session_id", "session_duration_sec"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == {"s": 3600, "t": 3600}
+
+
 def test_bad_lines_and_contract(spark, fixture_file):
     lines = spark.read.text(fixture_file("bad.jsonl")).withColumnRenamed("value", "line")
     parsed = landing.with_payload(lines)

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tracelode.functions.times import as_utc
+
 
 @dataclass(frozen=True)
 class Field:
@@ -129,11 +131,6 @@ def pick(rec: Column, field: str) -> Column:
     return F.coalesce(*found)
 
 
-def as_utc(instant: Column) -> Column:
-    """An instant as UTC wall clock (TIMESTAMP_NTZ), whatever the session time zone is."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-
-
 def strip_namespace(name: Column) -> Column:
     """``agent.user_prompt`` and ``user_prompt`` are the same event."""
     return F.regexp_replace(name, r"^[A-Za-z0-9_-]+\.", "")

@@ -83,33 +83,31 @@ def spend_by_agent(requests: DataFrame) -> DataFrame:
     )
 
 
-def usage_spikes(
-    costs: DataFrame, sessions_by: str = "session_id", days: int = 7, factor: int = 2
-) -> DataFrame:
-    """Days on which a department's cost, tokens or sessions exceed ``factor`` times the mean
-    of the ``days`` days before.
+def usage_spikes(costs: DataFrame, by: str = "department", days: int = 7, factor: int = 2) -> DataFrame:
+    """Days on which cost, tokens or sessions of a department (or user) exceed ``factor`` times
+    the mean of its last ``days`` active days.
 
-    The window runs over one row per department and day. Compared as integers.
+    The window runs over one row per department (or user) and day. Compared as integers.
     """
     tokens = F.col("input_tokens") + F.col("output_tokens")
     daily = (
-        costs.groupBy(F.to_date("event_timestamp").alias("usage_date"), "department", sessions_by)
+        costs.groupBy(F.to_date("event_timestamp").alias("usage_date"), by, "session_id")
         .agg(F.sum("cost_units").alias("cost"), F.sum(tokens).alias("tokens"))
-        .groupBy("usage_date", "department")
+        .groupBy("usage_date", by)
         .agg(
             F.sum("cost").alias("cost"),
             F.sum("tokens").alias("tokens"),
-            F.count(sessions_by).alias("sessions"),
+            F.count("session_id").alias("sessions"),
         )
     )
-    before = Window.partitionBy("department").orderBy("usage_date").rowsBetween(-days, -1)
+    before = Window.partitionBy(by).orderBy("usage_date").rowsBetween(-days, -1)
     out = daily.withColumn("days_before", F.count("*").over(before))
     for m in ("cost", "tokens", "sessions"):
         out = out.withColumn(
             f"{m}_spike", F.col(m) * F.col("days_before") > F.sum(m).over(before) * factor
         )
     return out.select(
-        "usage_date", "department", "cost", "tokens", "sessions", "days_before",
+        "usage_date", by, "cost", "tokens", "sessions", "days_before",
         *[F.coalesce(f"{m}_spike", F.lit(False)).alias(f"{m}_spike") for m in ("cost", "tokens", "sessions")],
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tracelode.functions import redact as r
 from tracelode.functions.keys import surrogate_key
+from tracelode.functions.times import epoch_seconds, utc_column
 from tracelode.schemas import EVENT_NAMES, REQUIRED_FIELDS
 
 INTEGER_FIELDS = ("event_sequence", "prompt_length", "response_length", "input_tokens", "output_tokens",
@@ -192,7 +193,7 @@ def ingest_lag(events: DataFrame, ingested_at: str, breach_seconds: int, by: lis
     Lags are whole seconds. They are counted per distinct value first, so a group with most
     of the rows sends one row per value to the percentile.
     """
-    lag = F.col(ingested_at).cast("timestamp").cast("bigint") - F.col("event_timestamp").cast("timestamp").cast("bigint")
+    lag = epoch_seconds(utc_column(events, ingested_at)) - epoch_seconds(utc_column(events, "event_timestamp"))
     histogram = events.select(*by, lag.alias("lag")).groupBy(*by, "lag").agg(F.count("*").alias("n"))
     return histogram.groupBy(*by).agg(
         F.sum("n").alias("events"),

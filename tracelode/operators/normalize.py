@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelode.functions import paths
+from tracelode.functions.times import as_utc
 
 # Extracted for every record; the rest of the contract on demand.
 CORE_FIELDS = (
@@ -35,7 +36,7 @@ def normalize(
     if "org_id" in columns:
         columns["org_id"] = F.coalesce(columns["org_id"], F.lit("unknown"))
     if "event_timestamp" in columns and ingest_time in raw.columns:
-        columns["event_timestamp"] = F.coalesce(columns["event_timestamp"], paths.as_utc(F.col(ingest_time)))
+        columns["event_timestamp"] = F.coalesce(columns["event_timestamp"], as_utc(F.col(ingest_time)))
     kept = [c for c in raw.columns if c not in columns and c != payload]
     records = raw.withColumn("_record", paths.record(F.col(payload), fields))
     out = records.select(*kept, *[c.alias(n) for n, c in columns.items()])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelode.functions.measures import count_if, rounded_ratio
+from tracelode.functions.times import since_epoch
 from tracelode.operators.sliced import Running, running
 
 # Fixed value: default number of retries; a request that used them all made one attempt more.
@@ -132,7 +133,8 @@ def prompt_trace(events: DataFrame) -> DataFrame:
         (F.col("event_sequence") - F.col("_start.seq")).alias("step"),
         "event_sequence",
         "event_name",
-        F.expr("(unix_micros(cast(event_timestamp as timestamp)) - unix_micros(cast(_start.ts as timestamp))) div 1000")
+        F.floor((since_epoch(F.col("event_timestamp")) - since_epoch(F.col("_start.ts"))) * 1000)
+        .cast("bigint")
         .alias("offset_ms"),
     )
 

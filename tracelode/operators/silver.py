@@ -11,6 +11,7 @@ from tracelode.functions.keys import surrogate_key
 from tracelode.functions.measures import count_if, sum_long
 from tracelode.functions.pricing import Price, cost_units, reported_or_priced
 from tracelode.functions.redact import redact
+from tracelode.functions.times import epoch_seconds
 from tracelode.operators.dedupe import keep_first
 
 
@@ -102,13 +103,6 @@ def token_costs(events: DataFrame, prices: dict[str, Price] | None = None, dedup
     return found.select(*_fields(events, schemas.SILVER_TOKEN_COSTS, computed))
 
 
-def _seconds(start: str, end: str) -> Column:
-    def epoch(c: str) -> Column:
-        return F.col(c).cast("timestamp").cast("bigint")
-
-    return epoch(end) - epoch(start)
-
-
 def session_parts(events: DataFrame) -> DataFrame:
     """Session measures that can be merged: minima, maxima and counts.
 
@@ -141,7 +135,8 @@ def merge_sessions(parts: DataFrame) -> DataFrame:
         F.sum("total_responses").alias("total_responses"),
         F.sum("total_tool_calls").alias("total_tool_calls"),
     )
-    return merged.withColumn("session_duration_sec", _seconds("session_start", "session_end"))
+    duration = epoch_seconds(F.col("session_end")) - epoch_seconds(F.col("session_start"))
+    return merged.withColumn("session_duration_sec", duration)
 
 
 def sessions(events: DataFrame) -> DataFrame:

@@ -576,6 +576,11 @@ def usage_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adoption.usage_spikes(_costs(spark, sf_dir))
 
 
+@query
+def user_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adoption.usage_spikes(_costs(spark, sf_dir), "user_email")
+
+
 @query
 def dau_wau_mau(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over responses, so that users have days without activity."""

@@ -597,6 +597,7 @@ SELECT *, count(*) OVER w AS days_before, coalesce(cost * count(*) OVER w > sum(
   coalesce(tokens * count(*) OVER w > sum(tokens) OVER w * 2, false) AS tokens_spike,
   coalesce(sessions * count(*) OVER w > sum(sessions) OVER w * 2, false) AS sessions_spike
 FROM d WINDOW w AS (PARTITION BY department ORDER BY usage_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""")
+    q["user_spikes"] = q["usage_spikes"].replace(", department,", ", user_email,").replace("BY department", "BY user_email")
     active = "(SELECT count(DISTINCT user_email) FROM a WHERE day BETWEEN c.d - {} AND c.d)"
     q["dau_wau_mau"] = _with(CANON, """
 a AS (SELECT DISTINCT user_email, event_date AS day FROM canon WHERE event_name = 'assistant_response'),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelode import schemas
+from tracelode.functions.times import as_instant, as_utc
 from tracelode.operators import silver, usage
 from tracelode.operators.normalize import normalize
 from tracelode.sources.sinks import write_table
@@ -91,13 +92,13 @@ def tool_counts(events: DataFrame, watermark: str = "1 hour", width: str = "1 da
     """Tool results per tool and tumbling window; a window closes when the watermark passes it."""
     results = events.filter(F.col("event_name") == "tool_result")
     return (
-        results.withColumn("at", F.col("event_timestamp").cast("timestamp"))
+        results.withColumn("at", as_instant(F.col("event_timestamp")))
         .withWatermark("at", watermark)
         .groupBy(F.window("at", width).alias("w"), "tool_name")
         .agg(F.count("*").alias("results"), F.sum("duration_ms").alias("duration_ms"))
         .select(
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            as_utc(F.col("w.start")).alias("window_start"),
+            as_utc(F.col("w.end")).alias("window_end"),
             "tool_name",
             "results",
             "duration_ms",
