@@ -39,7 +39,7 @@ def test_stream_equals_batch_and_ignores_redelivery(spark, fixture_file, scratch
     same(tables["sessions"], jobs.sessions_from_scratch(spark, scratch))
     events = normalize(bronze_stream.read_bronze(spark, f"{scratch}/bronze"))
     for name, want in silver.facts(events).items():
-        same(tables[name].drop("batch_id", "event_date"), want)
+        same(tables[name].drop("batch_id", "event_date", "processed_at"), want)
     assert bronze_stream.read_quarantine(spark, f"{scratch}/bronze").count() == 4
 
     land(fixture_file, scratch, "dups_b.jsonl")
@@ -179,3 +179,16 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         scratch_dir(Session(), "x")
+
+
+def test_many_small_batches_equal_one(spark, fixture_file, scratch):
+    for name in ("late_1.jsonl", "late_2.jsonl", "rejects.jsonl", "retries.jsonl", "day.jsonl"):
+        land(fixture_file, scratch, name)
+    jobs.run_bronze(spark, f"{scratch}/landing", scratch, glob="*.jsonl", max_files=1)
+    jobs.run_silver(spark, scratch, max_files=2, files_per_day=2)
+    tables = jobs.read_silver(spark, scratch)
+    assert tables["prompts"].select("batch_id").distinct().count() > 1
+    same(tables["sessions"], jobs.sessions_from_scratch(spark, scratch))
+    events = normalize(bronze_stream.read_bronze(spark, f"{scratch}/bronze"))
+    for name, want in silver.facts(events).items():
+        same(tables[name].drop("batch_id", "event_date", "processed_at"), want)

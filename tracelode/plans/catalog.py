@@ -762,9 +762,9 @@ def _land(spark: SparkSession, events: DataFrame, name: str) -> str:
     return root
 
 
-def _bronze(spark: SparkSession, sf_dir: str, name: str, max_files: int = 10) -> str:
+def _bronze(spark: SparkSession, sf_dir: str, name: str) -> str:
     root = _land(spark, td.canonical(spark, sf_dir), name)
-    bronze_stream.ingest(spark, f"{root}/logs", f"{root}/bronze", f"{root}/checkpoint", max_files, "*.gz")
+    bronze_stream.ingest(spark, f"{root}/logs", f"{root}/bronze", f"{root}/checkpoint", glob="*.gz")
     return f"{root}/bronze"
 
 
@@ -908,9 +908,8 @@ def stream_silver_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions merged from the parts of all micro-batches."""
     root = _bronze(spark, sf_dir, "stream_sessions")
-    silver_stream.fan_out(
-        silver_stream.bronze_events(spark, root, 7), lambda name: f"{root}_{name}", f"{root}_checkpoint"
-    )
+    events = silver_stream.bronze_events(spark, root)
+    silver_stream.fan_out(events, lambda name: f"{root}_{name}", f"{root}_checkpoint")
     return silver_stream.read_sessions(spark, f"{root}_session_parts")
 
 

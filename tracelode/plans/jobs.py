@@ -134,11 +134,11 @@ def run_gold(spark: SparkSession, root: str, since_batch: int | None = None) ->
     tables = read_silver(spark, root)
     if since_batch is None:
         for name, (df, date) in gold_tables(tables).items():
-            sinks.write_table(df, f"{root}/gold/{name}", [date])
+            sinks.write_table(df, f"{root}/gold/{name}", [date], stamp=True)
         return
     out = touched_gold(spark, root, tables, since_batch)
     for name, (df, date) in out.items():
-        sinks.write_table(df, f"{root}/gold/{name}", [date], only_touched=True)
+        sinks.write_table(df, f"{root}/gold/{name}", [date], only_touched=True, stamp=True)
     parts = spark.read.schema(schemas.SESSION_PARTS).parquet(f"{root}/silver/session_parts")
     changed = parts.filter(F.col("batch_id") >= since_batch).select("session_id")
     left = _start_days(parts, changed, since_batch).join(
@@ -154,7 +154,7 @@ def run_sync(
     """Gold tables, sessions and costs to the serving store."""
     stored = read_silver(spark, root)
     tables = {
-        name: spark.read.schema(df.schema).parquet(f"{root}/gold/{name}")
+        name: spark.read.schema(schemas.processed(df.schema)).parquet(f"{root}/gold/{name}")
         for name, (df, _) in gold_tables(stored).items()
     }
     tables |= {"sessions": stored["sessions"], "token_costs": stored["token_costs"]}

@@ -129,9 +129,14 @@ SILVER = {
 }
 
 
+def processed(schema: T.StructType) -> T.StructType:
+    """A table as a job wrote it, with the time of the job."""
+    return T.StructType([*schema, *_table(processed_at="instant")])
+
+
 def stored(schema: T.StructType) -> T.StructType:
     """A silver fact table as stored: by batch and day."""
-    return T.StructType([*schema, *_table(batch_id="long", event_date="date")])
+    return T.StructType([*processed(schema), *_table(batch_id="long", event_date="date")])
 
 
 SESSION_PARTS = T.StructType([*[f for f in SILVER_SESSIONS if f.name != "session_duration_sec"], *_table(batch_id="long")])

@@ -17,6 +17,7 @@ def write_table(
     partition_by: list[str] | None = None,
     only_touched: bool = False,
     files_per_partition: int | None = None,
+    stamp: bool = False,
 ) -> None:
     """Overwrite a parquet table; a new schema simply replaces the old one.
 
@@ -24,12 +25,15 @@ def write_table(
     before the write unless ``files_per_partition`` asks for it; then each partition value is
     spread over that many tasks, so one large day does not end up in one task. The spread is
     a hash of the row, not a random number: a task that runs again makes the same rows.
+    ``stamp`` adds the time of the job as ``processed_at``.
     """
     out = df
     if partition_by and files_per_partition:
         content = [f.name for f in df.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
         spread = F.pmod(F.xxhash64(*content), F.lit(files_per_partition))
         out = df.withColumn("_file", spread).repartition(*partition_by, "_file").drop("_file")
+    if stamp:
+        out = out.withColumn("processed_at", F.current_timestamp())
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

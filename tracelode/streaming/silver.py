@@ -59,7 +59,8 @@ def fan_out(
         try:
             for name, facts in silver.facts(kept, dedupe=False).items():
                 dated = facts.withColumn("event_date", F.to_date("event_timestamp"))
-                write_table(dated, f"{target(name)}/batch_id={batch_id}", ["event_date"], files_per_partition=files_per_day)
+                folder = f"{target(name)}/batch_id={batch_id}"
+                write_table(dated, folder, ["event_date"], files_per_partition=files_per_day, stamp=True)
             write_table(silver.session_parts(kept), f"{target('session_parts')}/batch_id={batch_id}")
             write_table(usage.session_days(kept), f"{target('session_days')}/batch_id={batch_id}")
         finally:
