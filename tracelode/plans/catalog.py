@@ -14,6 +14,7 @@ from tracelode.functions.pricing import cost_units
 from tracelode.functions.redact import PERSONAL_RULES, SECRET_RULES, is_flagged, redact
 from tracelode.operators import adoption, audit, corpus, dedupe, gold, kpi, reliability, silver, usage
 from tracelode.operators import normalize as norm
+from tracelode.schemas import TOOL_EVENTS
 from tracelode.session import scratch_dir
 from tracelode.sources import landing, sinks
 from tracelode.sources import testdata as td
@@ -33,16 +34,15 @@ def query(fn: Query) -> Query:
 
 
 def _costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.token_costs(td.canonical(spark, sf_dir), dedupe=False)
+    return silver.token_costs(td.canonical(spark, sf_dir, only=("assistant_response",)), dedupe=False)
 
 
 def _tools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.tool_executions(td.canonical(spark, sf_dir), dedupe=False)
+    return silver.tool_executions(td.canonical(spark, sf_dir, only=TOOL_EVENTS), dedupe=False)
 
 
 def _prompts_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompts = td.canonical(spark, sf_dir, spread=True).filter(F.col("event_name") == "user_prompt")
-    return td.with_text(prompts, spark, sf_dir)
+    return td.with_text(td.canonical(spark, sf_dir, spread=True, only=("user_prompt",)), spark, sf_dir)
 
 
 def _last_day(spark: SparkSession, sf_dir: str) -> Column:
@@ -133,7 +133,7 @@ def dedupe_by_sk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dedupe_session_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key (session, tick, tool): with a tick of an hour, distinct events collide and one survives."""
-    events = td.canonical(spark, sf_dir).filter(F.col("tool_name").isNotNull())
+    events = td.canonical(spark, sf_dir, only=TOOL_EVENTS)
     ticked = events.withColumn("tick", F.date_trunc("hour", "event_timestamp").cast("timestamp_ntz"))
     return dedupe.keep_first(ticked, ["session_id", "tick", "tool_name"], ["event_timestamp", "event_id"]).select(
         "session_id", "tick", "tool_name", "event_id", "event_timestamp"
@@ -326,14 +326,14 @@ def kpi_security_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = td.canonical(spark, sf_dir)
     owners = usage.session_users(silver.sessions_by_user(events))
-    return usage.events_by_user(events.filter(F.col("event_name") == "assistant_response"), owners, "responses")
+    return usage.events_by_user(td.canonical(spark, sf_dir, only=("assistant_response",)), owners, "responses")
 
 
 @query
 def tools_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = td.canonical(spark, sf_dir)
     owners = usage.session_users(silver.sessions_by_user(events))
-    return usage.events_by_user(events.filter(F.col("tool_name").isNotNull()), owners, "tool_events")
+    return usage.events_by_user(td.canonical(spark, sf_dir, only=TOOL_EVENTS), owners, "tool_events")
 
 
 @query
@@ -385,7 +385,7 @@ def conversation_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def transcript_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.nearest_response(td.canonical(spark, sf_dir))
+    return usage.nearest_response(td.canonical(spark, sf_dir, only=("user_prompt", "assistant_response")))
 
 
 @query
@@ -467,7 +467,7 @@ def dlp_shadow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def risky_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.risky_commands(td.canonical(spark, sf_dir).filter(F.col("tool_name").isNotNull()))
+    return audit.risky_commands(td.canonical(spark, sf_dir, only=TOOL_EVENTS))
 
 
 @query
@@ -490,22 +490,22 @@ def ingest_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def retry_exhausted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.retry_exhausted(td.canonical(spark, sf_dir))
+    return reliability.retry_exhausted(td.canonical(spark, sf_dir, only=("api_error",)))
 
 
 @query
 def session_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.session_recovery(td.canonical(spark, sf_dir))
+    return reliability.session_recovery(td.canonical(spark, sf_dir, only=("api_error", "assistant_response")))
 
 
 @query
 def tool_success(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.tool_success(td.canonical(spark, sf_dir))
+    return reliability.tool_success(td.canonical(spark, sf_dir, only=("tool_result",)))
 
 
 @query
 def tool_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reliability.tool_errors(td.canonical(spark, sf_dir))
+    return reliability.tool_errors(td.canonical(spark, sf_dir, only=("tool_result",)))
 
 
 @query
@@ -553,7 +553,9 @@ def daily_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def commits_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adoption.commits_by_model(td.metric_points(spark, sf_dir), td.canonical(spark, sf_dir))
+    return adoption.commits_by_model(
+        td.metric_points(spark, sf_dir), td.canonical(spark, sf_dir, only=("assistant_response",))
+    )
 
 
 @query
@@ -567,7 +569,7 @@ def spend_by_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _priced_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = td.canonical(spark, sf_dir).filter(F.col("event_name") == "assistant_response")
+    requests = td.canonical(spark, sf_dir, only=("assistant_response",))
     return requests.withColumn("cost_units", cost_units(model="model"))
 
 
@@ -584,7 +586,7 @@ def user_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dau_wau_mau(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over responses, so that users have days without activity."""
-    events = td.canonical(spark, sf_dir).filter(F.col("event_name") == "assistant_response")
+    events = td.canonical(spark, sf_dir, only=("assistant_response",))
     return adoption.active_users(events, {"dau": 1, "wau": 7, "mau": 30})
 
 
@@ -627,7 +629,7 @@ def conversation_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def session_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adoption.session_tools(td.canonical(spark, sf_dir))
+    return adoption.session_tools(td.canonical(spark, sf_dir, only=TOOL_EVENTS))
 
 
 # --- corpus -----------------------------------------------------------------------------

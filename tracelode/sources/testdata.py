@@ -63,10 +63,19 @@ def _floor(col: Column) -> Column:
     return F.floor(col).cast("bigint")
 
 
-def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """Canonical events without texts and without session order (see ``ordered``, ``with_text``)."""
+def canonical(
+    spark: SparkSession, sf_dir: str, spread: bool = False, only: tuple[str, ...] = tuple(EVENT_NAMES.values())
+) -> DataFrame:
+    """Canonical events without texts and without session order (see ``ordered``, ``with_text``).
+
+    ``only`` names the kinds of events wanted. They are picked by the stored column, which the
+    scan can skip by; the derived name could not be pushed down.
+    """
     k, user, value, kind = F.col("k"), F.col("user_id"), F.col("value"), F.col("event_name")
-    base = table(spark, sf_dir, "events", spread).select(
+    stored = table(spark, sf_dir, "events", spread)
+    if set(only) != set(EVENT_NAMES.values()):
+        stored = stored.filter(F.col("event_type").isin([t for t, n in EVENT_NAMES.items() if n in only]))
+    base = stored.select(
         "event_id",
         "user_id",
         "value",
@@ -78,7 +87,7 @@ def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
         F.to_date("ts").alias("event_date"),
     )
 
-    def only(name: str, col: Column) -> Column:
+    def when(name: str, col: Column) -> Column:
         return F.when(kind == name, col)
 
     is_tool = kind.isin("tool_result", "tool_decision")
@@ -95,7 +104,7 @@ def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
         F.concat(F.lit("user"), user.cast("string"), F.lit("@example.com")).alias("user_email"),
         _pick(DEPARTMENTS, "user_id").alias("department"),
         _pick(MODELS, "k").alias("model"),
-        only("user_prompt", _floor(value)).alias("prompt_tokens"),
+        when("user_prompt", _floor(value)).alias("prompt_tokens"),
         F.when(is_tool, _pick(TOOLS, "k")).alias("tool_name"),
         F.when(
             is_tool,
@@ -103,30 +112,30 @@ def canonical(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFra
                 F.concat(F.lit('{"file_path": "src/f'), k.cast("string"), F.lit('.py"}'))
             ),
         ).alias("tool_input"),
-        only("tool_result", F.when(k % 7 == 0, F.lit(None)).when(k % 4 == 0, 1).otherwise(0)).alias("exit_code"),
-        only(
+        when("tool_result", F.when(k % 7 == 0, F.lit(None)).when(k % 4 == 0, 1).otherwise(0)).alias("exit_code"),
+        when(
             "tool_result",
             F.when((k % 7 != 0) & (k % 4 == 0), F.when(k % 8 == 0, "ShellError").otherwise("Error:ENOENT")),
         ).alias("error_type"),
-        only("tool_result", _floor(value * 100)).alias("duration_ms"),
-        only("tool_decision", F.when(k % 4 == 3, "reject").otherwise("accept")).alias("decision"),
-        only(
+        when("tool_result", _floor(value * 100)).alias("duration_ms"),
+        when("tool_decision", F.when(k % 4 == 3, "reject").otherwise("accept")).alias("decision"),
+        when(
             "tool_decision",
             F.when(k % 8 == 3, "user_reject").when(k % 8 == 7, "user_abort").otherwise(
                 _pick(("config", "hook", "user_temporary"), "k")
             ),
         ).alias("decision_source"),
-        only("tool_decision", _floor(value * 50)).alias("wait_ms"),
-        only("assistant_response", F.when(k % 10 != 0, _floor(value * 10))).alias("input_tokens"),
-        only("assistant_response", _floor(value * 2)).alias("output_tokens"),
-        only("assistant_response", k * 50).alias("cache_read_tokens"),
-        only("assistant_response", k * 5).alias("cache_creation_tokens"),
-        only("assistant_response", _floor(value * 20)).alias("latency_ms"),
-        only("assistant_response", _pick(("main", "main", "main", "subagent", "auxiliary"), "k")).alias("query_source"),
-        only("assistant_response", _pick(SKILLS, "k")).alias("skill_name"),
-        only("assistant_response", _pick(AGENTS, "k")).alias("agent_name"),
-        only("api_error", k % 11 + 1).cast("int").alias("attempt"),
-        only("api_error", F.when(k % 2 == 0, 429).otherwise(500)).alias("status_code"),
+        when("tool_decision", _floor(value * 50)).alias("wait_ms"),
+        when("assistant_response", F.when(k % 10 != 0, _floor(value * 10))).alias("input_tokens"),
+        when("assistant_response", _floor(value * 2)).alias("output_tokens"),
+        when("assistant_response", k * 50).alias("cache_read_tokens"),
+        when("assistant_response", k * 5).alias("cache_creation_tokens"),
+        when("assistant_response", _floor(value * 20)).alias("latency_ms"),
+        when("assistant_response", _pick(("main", "main", "main", "subagent", "auxiliary"), "k")).alias("query_source"),
+        when("assistant_response", _pick(SKILLS, "k")).alias("skill_name"),
+        when("assistant_response", _pick(AGENTS, "k")).alias("agent_name"),
+        when("api_error", k % 11 + 1).cast("int").alias("attempt"),
+        when("api_error", F.when(k % 2 == 0, 429).otherwise(500)).alias("status_code"),
         F.concat(
             F.lit("department="),
             F.coalesce(_pick(DEPARTMENTS, "user_id"), F.lit("none")),
@@ -271,8 +280,7 @@ def compactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation compactions: one per api error."""
     k, value = F.col("k"), F.col("value")
     return (
-        canonical(spark, sf_dir)
-        .filter(F.col("event_name") == "api_error")
+        canonical(spark, sf_dir, only=("api_error",))
         .select(
             "event_id",
             "event_date",
