@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tracelode.operators.dedupe import insert_new, keep_first
 from tracelode.operators.skew import salted_left_join
-from tracelode.operators.sliced import Running, running
+from tracelode.operators.sliced import Running, running, time_slices
 
 
 @pytest.fixture(scope="module")
@@ -23,14 +23,20 @@ def as_set(df):
     return sorted(map(repr, df.collect()))
 
 
+def slices(width):
+    """Slices of ``t``, then single values of ``t`` with ranges of ``id``."""
+    return [(F.floor(F.col("t") / width).cast("bigint"),), (F.col("t").cast("bigint"), F.floor(F.col("id") / 50).cast("bigint"))]
+
+
+@pytest.mark.parametrize("rows_per_slice", [3, 40, 10**6])
 @pytest.mark.parametrize("width", [1, 7, 1000])
-def test_running_values(hot, width):
+def test_running_values(hot, width, rows_per_slice):
     values = {
         "n": Running("sum", F.lit(1)),
         "flags": Running("sum", F.col("flag").cast("int")),
         "last_flag": Running("max", F.when(F.col("flag"), F.struct("t", "id"))),
     }
-    got = running(hot, ["key"], F.floor(F.col("t") / width), ["t", "id"], values)
+    got = running(hot, ["key"], slices(width), ["t", "id"], values, rows_per_slice=rows_per_slice)
     w = Window.partitionBy("key").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = hot.select(
         "*",
@@ -41,11 +47,13 @@ def test_running_values(hot, width):
     assert as_set(got.select(want.columns)) == as_set(want)
 
 
+@pytest.mark.parametrize("rows_per_slice", [3, 10**6])
 @pytest.mark.parametrize("width", [1, 13, 1000])
-def test_next_row_by_descending_minimum(hot, width):
+def test_next_row_by_descending_minimum(hot, width, rows_per_slice):
     got = running(
-        hot, ["key"], F.floor(F.col("t") / width), ["t", "id"],
-        {"nxt": Running("min", F.when(F.col("flag"), F.struct("t", "id")))}, descending=True,
+        hot, ["key"], slices(width), ["t", "id"],
+        {"nxt": Running("min", F.when(F.col("flag"), F.struct("t", "id")))},
+        descending=True, rows_per_slice=rows_per_slice,
     ).select("id", "nxt")
     rows = hot.collect()
     want = {}
@@ -67,6 +75,19 @@ def test_salted_join(spark, hot, rows_per_task):
     assert as_set(got.select("key", "lt", "lid", "rid")) == as_set(want)
 
 
+def test_time_slices_of_a_clock_that_stood_still(spark):
+    """Two thirds of the rows at one instant, others in the same second and hour."""
+    at = ["2026-03-02 10:00:00.5"] * 400 + [f"2026-03-02 10:00:00.{i:03d}" for i in range(100)]
+    at += [f"2026-03-02 10:{i % 60:02d}:01" for i in range(100)]
+    df = spark.createDataFrame([("s", t, i * 3000) for i, t in enumerate(at)], "key string, t string, id long")
+    df = df.withColumn("t", F.col("t").cast("timestamp_ntz"))
+    got = running(
+        df, ["key"], time_slices("t", "id"), ["t", "id"], {"n": Running("sum", F.lit(1))}, rows_per_slice=50
+    )
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("t", "id")).cast("bigint"))
+    assert as_set(got.select(want.columns)) == as_set(want)
+
+
 def test_salted_join_with_a_hot_left_side(spark, hot):
     left = hot.select("key", F.col("id").alias("lid"))
     right = hot.filter("key <> 'hot' AND id % 7 = 0").select("key", F.col("id").alias("rid"))

@@ -122,7 +122,7 @@ def prompt_trace(events: DataFrame) -> DataFrame:
     traced = running(
         events,
         ["session_id"],
-        F.date_trunc("hour", "event_timestamp"),
+        [(F.floor(F.col("event_sequence") / 100_000).cast("bigint"),)],
         ["event_sequence"],
         {"_start": Running("max", F.when(is_prompt, start))},
     )

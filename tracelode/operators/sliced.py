@@ -1,19 +1,23 @@
 """Running values over keys of any size.
 
 A plain window sorts a whole key in one task, so a session (or an 'unknown' bucket) that
-holds a third of all rows stops the job. Here a key is cut into slices, for instance hours.
+holds a third of all rows stops the job. Here a key is cut into slices of time.
 Each slice is windowed on its own, the per-slice totals are small and get their own window,
-and what a row needs from earlier slices is joined back on (key, slice).
+and what a row needs from earlier slices is joined back on (key, slice). A slice that is still
+too large, for instance because a clock stood still, is cut again by a finer rule.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracelode.functions.times import epoch_seconds, since_epoch
+
 
 @dataclass(frozen=True)
 class Running:
@@ -32,27 +36,82 @@ class Running:
         return (F.greatest if self.kind == "max" else F.least)(carried, local)
 
 
+ROWS_PER_SLICE = 5_000_000
+_WHOLE = -(2**63)
+
+
+def time_slices(time: str, tie: str) -> list[tuple[Column, ...]]:
+    """Ten minutes, then single instants with ranges of the number that breaks ties.
+
+    Ten minutes of one key seldom hold millions of rows, unless a clock stood still; then
+    there are few instants, and the ranges of the tie number spread each of them.
+    """
+    micros = (since_epoch(F.col(time)) * 1_000_000).cast("bigint")
+    return [
+        (F.floor(epoch_seconds(F.col(time)) / 600).cast("bigint"),),
+        (micros, F.floor(F.col(tie) / 1_000_000).cast("bigint")),
+    ]
+
+
+def _cut(
+    rows: DataFrame,
+    keys: list[str],
+    levels: list[tuple[Column, ...]],
+    totals: list[Column],
+    rows_per_slice: int,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows with slice columns, the totals per slice, and the names of the slice columns.
+
+    A finer level only applies to slices above ``rows_per_slice``; the broadcast list of those
+    cannot be longer than rows / ``rows_per_slice``. Where there are none, Spark finds the list
+    empty at run time and skips the passes over the finer levels.
+    """
+    names = [[f"_slice_{depth}_{i}" for i in range(len(level))] for depth, level in enumerate(levels)]
+    whole = F.lit(_WHOLE).cast("bigint")
+    out = rows.withColumns(dict(zip(names[0], levels[0])))
+    parts = []
+    for depth in range(len(levels)):
+        path = [*keys, *(n for level in names[: depth + 1] for n in level)]
+        refined = out if depth == 0 else out.filter(F.col(names[depth][0]) != _WHOLE)
+        counted = refined.groupBy(*path).agg(F.count("*").alias("_n"), *totals)
+        if depth + 1 == len(levels):
+            parts.append(counted)
+            break
+        large = counted.filter(F.col("_n") > rows_per_slice).select(*path, F.lit(True).alias("_large"))
+        small = counted.filter(F.col("_n") <= rows_per_slice)
+        parts.append(small.withColumns({n: whole for level in names[depth + 1 :] for n in level}))
+        finer = zip(names[depth + 1], levels[depth + 1])
+        out = out.join(F.broadcast(large), path, "left")
+        out = out.withColumns({n: F.when(F.col("_large"), c).otherwise(whole) for n, c in finer}).drop("_large")
+    return out, reduce(DataFrame.unionByName, parts).drop("_n"), [n for level in names for n in level]
+
+
 def running(
     df: DataFrame,
     keys: list[str],
-    slice_by: Column,
+    slices: list[tuple[Column, ...]],
     order_by: list[str],
     values: dict[str, Running],
     descending: bool = False,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add one running column per entry of ``values``.
 
-    ``order_by`` must be a total order within a key and ``slice_by`` must not decrease along
-    it. The keys must not be NULL. With ``descending`` the values run from the last row back,
-    which turns ``min`` over an ordered struct into "the next such row".
+    ``order_by`` must be a total order within a key. ``slices`` are BIGINT columns, coarse to
+    fine, none of which may decrease along that order within its coarser slice. Keys and slices
+    must not be NULL. With ``descending`` the values run from the last row back, which turns
+    ``min`` over an ordered struct into "the next such row".
     """
     direction = F.desc if descending else F.asc
-    slice_keys = [*keys, "_slice"]
-    rows = df.withColumns({"_slice": slice_by, **{f"_in_{n}": r.value for n, r in values.items()}})
+    inputs = df.withColumns({f"_in_{n}": r.value for n, r in values.items()})
+    aggregates = [r.aggregate(f"_in_{n}").alias(f"_all_{n}") for n, r in values.items()]
+    rows, totals, cuts = _cut(inputs, keys, slices, aggregates, rows_per_slice)
+    slice_keys = [*keys, *cuts]
 
-    totals = rows.groupBy(*slice_keys).agg(*[r.aggregate(f"_in_{n}").alias(f"_all_{n}") for n, r in values.items()])
     earlier = (
-        Window.partitionBy(*keys).orderBy(direction("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys)
+        .orderBy(*[direction(c) for c in cuts])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = totals.select(
         *slice_keys, *[r.aggregate(f"_all_{n}").over(earlier).alias(f"_carry_{n}") for n, r in values.items()]
@@ -67,5 +126,5 @@ def running(
     return (
         local.join(carried, slice_keys)
         .withColumns({n: r.combine(F.col(f"_carry_{n}"), F.col(f"_in_{n}")) for n, r in values.items()})
-        .drop("_slice", *[f"_{p}_{n}" for n in values for p in ("in", "carry")])
+        .drop(*cuts, *[f"_{p}_{n}" for n in values for p in ("in", "carry")])
     )

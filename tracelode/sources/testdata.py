@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelode.operators.sliced import Running, running
+from tracelode.operators.sliced import Running, running, time_slices
 
 # Fixed values of the mapping.
 EVENT_NAMES = {
@@ -150,8 +150,8 @@ def canonical(
 def ordered(events: DataFrame) -> DataFrame:
     """Add ``event_sequence``, ``prompt_id`` and ``tool_use_id`` by running counts per session.
 
-    Real events carry these attributes. Here a session is cut into hours, so that even one
-    session with most of the events is counted in parallel.
+    Real events carry these attributes. Here a session is cut into slices, so that even
+    one session with most of the events is counted in parallel.
     """
 
     def flag(name: str) -> Column:
@@ -160,7 +160,7 @@ def ordered(events: DataFrame) -> DataFrame:
     out = running(
         events,
         ["session_id"],
-        F.date_trunc("hour", "event_timestamp"),
+        time_slices("event_timestamp", "event_id"),
         ["event_timestamp", "event_id"],
         {
             "event_sequence": Running("sum", F.lit(1).cast("bigint")),
@@ -323,7 +323,7 @@ def transcript_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = running(
         turns,
         ["session_id"],
-        F.floor(F.col("event_sequence") / 1000),
+        [(F.floor(F.col("event_sequence") / 1000).cast("bigint"),)],
         ["event_sequence"],
         {"_prompts": Running("sum", (F.col("event_name") == "user_prompt").cast("bigint"))},
     )
