@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelode.llm.tables import same, stored, text_key
+from tracelode.llm.tables import document, stored, text_key
 from tracelode.llm.words import SPACE, text_buffers
 
 #: Primes below 2**31: a product of a byte and a power, summed over a chunk, stays below 2**64.
@@ -115,9 +115,9 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, chunk: int =
     # A text of one chunk or many, of a fingerprint that occurs more than once, is compared byte by byte. Equal
     # chunks are merged on the map side, so a group of any size reaches a reducer as a few rows.
     shared = prints.groupBy(*GROUP).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = prints.join(shared, GROUP, "left_semi").select("doc_id", "text_key", *GROUP).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text", text_key())
-    texts = texts.join(members, same(texts, members, ["doc_id", "text_key"])).select("text", *GROUP)
+    members = prints.join(shared, GROUP, "left_semi").select(document().alias("document"), *GROUP).distinct()
+    texts = docs.select("doc_id", "text", text_key()).select(document().alias("document"), "text")
+    texts = texts.join(members, "document").select("text", *GROUP)
     variants = _text_chunks(texts, chunk).groupBy(*GROUP, "number", "part").agg(F.count("*").alias("n"))
     mixed = variants.groupBy(*GROUP, "number").agg(F.count("*").alias("n")).filter("n > 1").select(*GROUP).distinct()
 
@@ -131,12 +131,15 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, chunk: int =
         F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("id"), "text_key")).alias("best"),
     )
     once = rows.groupBy(*key, "doc_id", "text_key", "text_sha256").agg(F.count("*").cast("int").alias("times"))
-    joined = once.join(best, same(once, best, key)).select(
-        once["doc_id"],
-        once["text_key"],
+    # A split is only null where the fingerprint stands for one text.
+    key = [*GROUP, F.coalesce("split", F.lit("")).alias("split")]
+    once, best = once.select("doc_id", "text_key", "text_sha256", "times", *key), best.select("group_size", "best", *key)
+    joined = once.join(best, [*GROUP, "split"]).select(
+        "doc_id",
+        "text_key",
         F.bitwise_not("best.id").alias("keep_id"),
         "group_size",
-        (F.bitwise_not("best.id").eqNullSafe(once["doc_id"]) & (F.col("best.text_key") == once["text_key"])).alias("stays"),
+        (F.bitwise_not("best.id").eqNullSafe(F.col("doc_id")) & (F.col("best.text_key") == once["text_key"])).alias("stays"),
         "text_sha256",
         F.explode(F.sequence(F.lit(1), "times")).alias("copy"),
     )
@@ -147,15 +150,9 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, chunk: int =
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
-    stay = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    rows = rows.join(stay, rows["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (F.col("_text_key") == F.col("_key")))
-    return first_of_each(rows, ["_id", "_key"]).select(*docs.columns)
-
-
-def first_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row of each key. After a join on the keys this needs no shuffle."""
-    from pyspark.sql import Window
-
-    numbered = rows.withColumn("_copy", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
-    return numbered.filter("_copy = 1").drop("_copy")
+    stay = exact_groups(docs).filter("kept").select(document().alias("_stays"))
+    rows = docs.withColumn("_text_key", F.xxhash64("text")).withColumn("_document", document(key="_text_key"))
+    rows = rows.join(stay, F.col("_document") == F.col("_stays"))
+    # A document stored twice comes twice. The join has brought its rows together, so this needs no shuffle.
+    numbered = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_document").orderBy("_document")))
+    return numbered.filter("_copy = 1").select(*docs.columns)

@@ -14,7 +14,9 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelode.llm.tables import stored
-from tracelode.llm.words import text_buffers
+from tracelode.llm.words import SPACE, text_buffers
 
 SEQUENCE = 4096
 END_ID = 2
-#: Distinct words whose ids a Python worker keeps; the store starts anew beyond it.
-CACHE_WORDS = 300_000
+#: Distinct words whose ids a Python worker keeps, about 200 MB; the store starts anew beyond it.
+CACHE_WORDS = 700_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -37,6 +39,46 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_chars() -> dict[int, int]:
+    """Byte-level tokenizers write bytes as characters: printable ones as they are, the others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+_BYTE_CHARS = _byte_chars()
+_TAIL = re.compile(r"[!-&(-/:-@\[-`{-~]*\Z")
+
+
+def _as_byte_chars(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_BYTE_CHARS)
+
+
+#: Marks that are pieces of their own between an ASCII letter and white space.
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[ord("a") : ord("z") + 1] = True
+
+
+def _simpler(text: bytes) -> bytes:
+    """A text of the same ids with fewer distinct words: ASCII in lower case, marks set off by a space.
+
+    Not with special tokens, which are found in the raw text, nor with combining marks, for which
+    composition and lower case do not commute.
+    """
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text
+    data = np.frombuffer(text.lower(), np.uint8)
+    if len(data) < 2:
+        return data.tobytes()
+    mark = _MARK[data]
+    mark[0] = False
+    mark[1:] &= _LETTER[data[:-1]]
+    mark[:-1] &= SPACE[data[1:]]
+    return np.insert(data, np.flatnonzero(mark), 0x20).tobytes()
+
+
 class WordTokens:
     """Ids of whole texts, made of the ids of their words.
 
@@ -49,7 +91,10 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        probe = "straße"  # the model alone gives the same ids for a word of letters
+        self.letters = [t.id for t in self.model.tokenize(_as_byte_chars(probe))] == self.tokenizer.encode(probe, add_special_tokens=False).ids
         self.limit = limit
         self._clear()
 
@@ -59,26 +104,29 @@ class WordTokens:
         self.flat, self.filled = np.zeros(1 << 18, np.uint32), 0
         self.stems: dict[str, list[int]] = {}
 
-    def _ids(self, word: str) -> list[int]:
+    def _ids(self, word: bytes) -> list[int]:
         """Ids of a word."""
-        tail = re.search(r"[!-&(-/:-@\[-`{-~]*\Z", word).start()
-        stem, rest = word[:tail], word[tail:]
-        if not (stem and stem[-1].isalpha() and "<|" not in word):
-            stem, rest = word, ""
-        if stem.isascii() and "<|" not in stem:
-            stem = stem.lower()
-        out = []
-        for part in (stem, rest):
-            if part and part not in self.stems:
-                if re.fullmatch("[a-z]+", part):  # a piece of its own to the tokenizer, unchanged by its normaliser
-                    self.stems[part] = [t.id for t in self.tokenizer.model.tokenize(part)]
-                else:
-                    self.stems[part] = self.tokenizer.encode(part, add_special_tokens=False).ids
-            out += self.stems.get(part, [])
-        return out
+        if self.letters and word.isalpha() and word.islower():  # ASCII letters: as they are, one piece to the tokenizer
+            return [t.id for t in self.model.tokenize(word.decode())]
+        text = word.decode("utf-8")
+        tail = _TAIL.search(text).start()
+        stem, rest = text[:tail], text[tail:]
+        if not (rest and stem and stem.lower()[-1].isalpha()) or "<|" in text:
+            return self._part(text)
+        return self._part(stem) + self._part(rest)
+
+    def _part(self, part: str) -> list[int]:
+        if part not in self.stems:
+            ids = None
+            if self.letters and max(part) < "\u0250":  # Latin: normalised here, a word of letters is one piece
+                low = normalize("NFC", part).lower()
+                if low.isalpha() and max(low) < "\u0250":
+                    ids = [t.id for t in self.model.tokenize(_as_byte_chars(low))]
+            self.stems[part] = self.tokenizer.encode(part, add_special_tokens=False).ids if ids is None else ids
+        return self.stems[part]
 
     def _add(self, word: bytes) -> int:
-        ids, at = self._ids(word.decode("utf-8")), len(self.places)
+        ids, at = self._ids(word), len(self.places)
         if at == len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * at), np.resize(self.sizes, 2 * at)
         while self.filled + len(ids) > len(self.flat):
@@ -92,23 +140,27 @@ class WordTokens:
     def __call__(self, text: bytes) -> np.ndarray:
         if len(self.places) > self.limit:
             self._clear()
-        words = text.split()  # at the six ASCII white space bytes
-        get = self.places.get
-        places = [get(w, -1) for w in words]
-        if -1 in places:
-            places = [self._add(w) if (at := get(w, -1)) < 0 else at for w in words]
-        at = np.array(places, np.int64)
+        words = _simpler(text).split()  # at the six ASCII white space bytes
+        for w in set(words).difference(self.places):
+            self._add(w)
+        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         sizes = self.sizes[at]
         before = np.cumsum(sizes) - sizes
         total = int(sizes.sum())
         return self.flat[np.arange(total) + np.repeat(self.starts[at] - before, sizes)]
 
 
+@lru_cache(maxsize=1)
+def _word_tokens(path: str) -> WordTokens:
+    """One per Python worker: later tasks find the words of earlier ones."""
+    return WordTokens(path)
+
+
 def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, part, before (ids of this part before the document), n, ids (binary, little-endian)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordTokens(path)
+        ids_of = _word_tokens(path)
         kind = "<u4" if ids_of.wide else "<u2"
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:

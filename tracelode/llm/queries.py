@@ -3,15 +3,72 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracelode.llm import exact, language, packing
+from tracelode.llm import (
+    exact,
+    fingerprints,
+    language,
+    licenses,
+    mixing,
+    ngram_join,
+    packing,
+    substring,
+    toxicity,
+    url_filter,
+)
 from tracelode.llm.tables import held_out, table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.ngram_groups(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixed(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", "weight", "block", "slot", "position")
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbours(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.score(docs.select("doc_id", "text"), toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return rows.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan(table(spark, sf_dir, "documents"))
+    base, near = F.col("places.label"), F.col("notices.label")
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.word").alias("first_word"),
+        F.array_max("places.word").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, near)), ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("notices.likeness"), F.lit(0.0))).alias("score"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact.exact_groups(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -24,13 +81,69 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
+    "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_mixing": op5_mixing,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_toxicity": op7_toxicity,
+    "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language": op10_language,
 }
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_HOST = "regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)"
+
 ORACLES = {
-    # The view of the text without [\\x20\\x09-\\x0D]; ranked by code points, then by id.
+    # All pairs that share a shingle, then reachability.
+    "op1_ngram_join": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+                END AS sh FROM w),
+        e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+        p AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        r(x, y) AS (SELECT x, y FROM p UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x)
+        SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, coalesce(min(r.y), s.doc_id) AS component_id
+        FROM s LEFT JOIN r ON s.doc_id = r.x GROUP BY s.doc_id, len(sh)
+    """,
+    # The given pages hold no redirect and no canonical link; aliases are tested against a written-out result.
+    "op2_url_filter": f"""
+        WITH rules(h, p, allows) AS (VALUES ('com', '/', true), ('example.com', '/en/', false),
+            ('www.example.com', '/en/', true), ('net', '/es/', false), ('net', '/fr/', false)),
+        u AS (
+            SELECT row_number() OVER () AS i, page_id, {_LOWER.format(_HOST)} AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+        f AS (
+            SELECT i, arg_max(h || p, length(h || p)) AS rule, arg_max(allows, length(h || p)) AS allows
+            FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY i)
+        SELECT page_id, host, path, rule, CASE WHEN allows = false THEN 'block' ELSE 'allow' END AS verdict
+        FROM u LEFT JOIN f USING (i)
+    """,
+    # Windows as joined words, counted; positions from 1.
+    "op4_substring_dedup": """
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        win AS (
+            SELECT doc_id, p, array_to_string(ws[p:p + 34], ' ') AS k
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS p FROM w)),
+        twice AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, p + j AS i FROM (SELECT doc_id, p FROM win JOIN twice USING (k)), range(0, 35) t(j)),
+        words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+            FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)
+    """,
+    # Texts without [\\x20\\x09-\\x0D]; ranked by code points, then by id.
     "op9_exact_dedup": """
         WITH n AS (
             SELECT doc_id, coalesce(text, '') AS t,

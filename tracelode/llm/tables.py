@@ -29,9 +29,6 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equal in all keys; null equals null."""
-    out = F.lit(True)
-    for k in keys:
-        out = out & left[k].eqNullSafe(right[k])
-    return out
+def document(doc_id: str = "doc_id", key: str = "text_key") -> Column:
+    """One non-null value that names a document, to join and group by; a null id equals a null id."""
+    return F.struct(F.col(doc_id).cast("long").alias("doc_id"), F.col(key).alias("text_key"))
