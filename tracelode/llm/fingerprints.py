@@ -50,15 +50,13 @@ def with_lanes(rows: DataFrame, text: str, name: str, bins: int = BINS, shingle:
     shingles = F.when(F.size("_w") >= shingle, runs).when(F.size("_w") > 0, whole).otherwise(F.array().cast("array<bigint>"))
     rows = rows.select(*keep, F.sort_array(shingles).alias("_s"))
     # Sorted, the hashes of a bin stand together, the least first.
-    first = F.filter(
-        "_s", lambda x, i: (i == 0) | (F.shiftrightunsigned(x, shift) != F.shiftrightunsigned(F.get("_s", i - 1), shift))
-    )
+    first = F.filter("_s", lambda x, i: (i == 0) | (F.shiftright(x, shift) != F.shiftright(F.get("_s", i - 1), shift)))
     rows = rows.select(*keep, first.alias("_m"))
-    rows = rows.select(*keep, "_m", F.transform("_m", lambda x: F.shiftrightunsigned(x, shift)).alias("_b"))
+    rows = rows.select(*keep, "_m", F.transform("_m", lambda x: (F.shiftright(x, shift) + bins // 2).cast("int")).alias("_b"))
     dense = F.transform(
-        F.sequence(F.lit(0), F.lit(bins - 1)),
-        lambda b: F.when(F.array_contains("_b", b.cast("long")), F.get("_m", (F.array_position("_b", b.cast("long")) - 1).cast("int"))),
+        F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.get("_m", F.array_position("_b", b).cast("int") - 1)
     )
+    dense = F.when(F.size("_m") == bins, F.col("_m")).otherwise(dense)
     rows = rows.select(*keep, F.size("_m").alias("_n"), dense.alias("_d"))
     orders = _orders(bins)
     table = [F.array(*[F.lit(o[k]) for o in orders]) for k in range(min(TRIES, bins - 1))]
@@ -71,6 +69,7 @@ def with_lanes(rows: DataFrame, text: str, name: str, bins: int = BINS, shingle:
             F.get(F.filter(F.transform(F.get(every, b), lambda p: F.get("_d", p)), lambda v: v.isNotNull()), F.lit(0)),
         ),
     )
+    filled = F.when(F.col("_n") < bins, filled).otherwise(F.col("_d"))
     lanes = F.when(F.col("_n") == 0, F.array().cast("array<int>")).otherwise(
         F.transform(filled, lambda x: x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))
     )

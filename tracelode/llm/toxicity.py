@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelode.llm.tables import held_out
+from tracelode.llm.tables import held_out, stored
 from tracelode.llm.words import LOWER, chunks, hash_words, mix, signed, split
 
 POSITIVES, UNLABELLED = 6_000, 20_000
 #: Features the classifier may use, at most.
 FEATURES = 4096
 #: Besides the whole word, its first so many bytes are features.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 
 #: Words are runs of digits, lower-case letters and bytes of non-ASCII characters.
@@ -132,9 +132,9 @@ def fit(positive: np.ndarray, rows: np.ndarray, found: np.ndarray, n_features: i
         risk = as_negative[~positive].sum() / n_u - prior * as_negative[positive].sum() / n_p
         if risk >= 0:
             slope = np.where(positive, prior * (p - 1) / n_p - prior * p / n_p, p / n_u)
-        else:  # step back: only lift the negative risk to zero again
+        else:  # step back: lift the negative risk to zero again, by the weights alone, not by the score of all text
             slope = np.where(positive, prior * p / n_p, -p / n_u)
-        g = np.append(np.bincount(found, slope[rows], n_features), slope.sum())
+        g = np.append(np.bincount(found, slope[rows], n_features), slope.sum() if risk >= 0 else 0.0)
         g[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -160,7 +160,9 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     n_docs = max(1, docs.count())
     sample_p = texts.join(F.broadcast(some), "doc_id", "left_semi").withColumn("positive", F.lit(True))  # ids: at most ~positives
     sample_u = texts.filter(F.pmod(F.xxhash64("doc_id", F.lit("u")), F.lit(1 << 30)) < int(min(1, unlabelled / n_docs) * (1 << 30)))
-    sample = sample_p.union(sample_u.withColumn("positive", F.lit(False)))
+    # A text counts once, or the words of a text copied often would pass for signs of toxicity.
+    sample = sample_p.union(sample_u.withColumn("positive", F.lit(False))).dropDuplicates(["positive", "text"])
+    sample = stored(sample.select("text", "positive"), "sample")
     sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
@@ -168,7 +170,8 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
 
     rate_p, rate_u = F.col("p") / n_p, F.col("u") / n_u
     z = (rate_p - rate_u) / F.sqrt((rate_p + rate_u) / 2 * (1.0 / n_p + 1.0 / n_u))
-    strong = _feature_counts(sample).filter((F.col("p") >= 3) & (rate_p > 3 * rate_u)).withColumn("z", z).filter("z > 4")
+    strong = _feature_counts(sample).filter((F.col("p") >= max(3, n_p / 100)) & (rate_p > 3 * rate_u))
+    strong = strong.withColumn("z", z).filter("z > 3.5")
     chosen = strong.orderBy(F.desc("z"), "feature").limit(n_features).collect()
     vocabulary = Vocabulary(np.array([r["feature"] for r in chosen], np.int64).view(np.uint64))
     if prior is None:
@@ -178,6 +181,10 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     positive = np.array(rows.column("positive").to_pylist(), bool)
     found = rows.column("found").combine_chunks()
     counts = np.diff(found.offsets.to_numpy())
+    # Toxic text cannot be more frequent than its features are; a prior above that would make the negative risk sink
+    # below zero and lift the score of text without any feature instead.
+    any_p, any_u = (counts[positive] > 0).mean(), (counts[~positive] > 0).mean()
+    prior = min(prior, float(any_u / any_p)) if any_p > 0 and any_u > 0 else prior
     weights, bias = fit(positive, np.repeat(np.arange(len(counts)), counts), found.values.to_numpy(), len(chosen), prior)
     return Model(vocabulary, weights, bias)
 
