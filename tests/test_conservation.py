@@ -63,3 +63,22 @@ def test_transcript_rows(spark, events):
     lines = usage.transcript_lines(silver.prompts(log, dedupe=False), silver.responses(log, dedupe=False))
     assert lines.count() == 2507
     assert lines.filter("response_sequence IS NULL").count() == 1202
+
+
+@pytest.mark.parametrize("reported", [False, True])
+def test_one_cost_everywhere(spark, events, reported):
+    """Department cost, daily usage and the scorecard show the same spend, with and without reported cost."""
+    from tracelode.operators import kpi
+
+    if reported:
+        answered = F.col("event_name") == "assistant_response"
+        events = events.withColumn("cost_usd", F.when(answered & (F.col("k") % 2 == 0), F.col("k") / 100))
+    costs = silver.token_costs(events, dedupe=False)
+    units = totals(costs, "cost_units")[0]
+    assert totals(gold.department_cost_attribution(costs), "total_cost_units") == (units,)
+    assert totals(usage.daily_user_usage(events), "cost_units") == (units,)
+    assert totals(silver.sessions_by_user(events), "total_cost_units") == (units,)
+    card = kpi.scorecard(costs, kpi.last_day(events), 10_000).first()
+    assert card.total_investment_usd == round(units / 1e8 + 1e-9, 2)
+    listed = totals(costs, "list_cost_units")[0]
+    assert (listed != units) == reported

@@ -114,7 +114,7 @@ def test_serving_and_roles(spark, fixture_file, scratch):
     assert views.register(available, "security_audit") == ["v_security_leak_audit"]
     assert len(views.register(available)) == 4
     total = spark.sql("SELECT sum(total_spend_usd) AS usd, max(metric_date) AS day FROM v_executive_daily_kpis").first()
-    assert total.usd == 0.01 and str(total.day) == "2026-03-02"
+    assert total.usd == 0.02 and str(total.day) == "2026-03-02"
     for name in views.register(available, "executive"):
         assert not {"prompt_text", "response_text", "flagged_content_snippet"} & set(spark.table(name).columns)
 
@@ -192,3 +192,68 @@ def test_many_small_batches_equal_one(spark, fixture_file, scratch):
     events = normalize(bronze_stream.read_bronze(spark, f"{scratch}/bronze"))
     for name, want in silver.facts(events).items():
         same(tables[name].drop("batch_id", "event_date", "processed_at"), want)
+
+
+@pytest.mark.parametrize("max_files", [1, 3, 1000])
+def test_tool_counts_do_not_depend_on_the_batches(spark, scratch, max_files):
+    from tracelode.plans import catalog
+    from tracelode.sources import testdata as td
+    from tracelode.streaming import silver as silver_stream
+
+    events = td.canonical(spark, "/root/testdata/sf0.001")
+    root = catalog._land(spark, events, "counts")
+    bronze_stream.ingest(spark, f"{root}/logs", f"{root}/bronze", f"{root}/c1", 10, "*.gz")
+    streamed = silver_stream.bronze_events(spark, f"{root}/bronze", max_files)
+    silver_stream.count_tools(streamed, f"{root}/counts", f"{root}/c2")
+    batch = silver_stream.tool_counts(normalize(bronze_stream.read_bronze(spark, f"{root}/bronze")))
+    same(silver_stream.read_tool_counts(spark, f"{root}/counts"), batch)
+
+
+def log_lines(folder, name, records):
+    import json
+
+    target = Path(folder) / "landing" / "year=2026"
+    target.mkdir(parents=True, exist_ok=True)
+    (target / name).write_text("".join(json.dumps(r) + "\n" for r in records))
+
+
+def test_alerts_and_transcripts_cover_all_texts(spark, scratch):
+    """A secret in each of the four texts, and a personal address in a transcript."""
+    at = {"event_timestamp": "2026-03-02T10:00:00Z", "session_id": "s", "org_id": "o", "prompt_id": "p",
+          "user_account_uuid": "u1", "user_email": "ann@example.com"}
+    log_lines(scratch, "a.jsonl", [
+        at | {"event_name": "user_prompt", "event_sequence": 1, "prompt_text": "password=hunter21 mail bob@example.org"},
+        at | {"event_name": "assistant_response", "event_sequence": 2, "response_text": 'token = "24bead" by eve@example.org'},
+        at | {"event_name": "tool_result", "event_sequence": 3, "tool_name": "Bash",
+              "tool_input": '{"password": "hunter22"}', "tool_output": "AKIA" + "Z" * 16},
+    ])
+    step(spark, scratch)
+    jobs.run_gold(spark, scratch)
+    newest = jobs.read_silver(spark, scratch)["prompts"].agg(F.max("batch_id")).first()[0]
+    for since in (None, newest):
+        if since is not None:
+            jobs.run_gold(spark, scratch, since_batch=since)
+        alerts = spark.read.parquet(f"{scratch}/gold/security_leak_alerts").collect()
+        assert sorted(r.source for r in alerts) == ["prompt", "response", "tool_input", "tool_output"]
+        assert all("[REDACTED_" in r.flagged_text and "hunter2" not in r.flagged_text for r in alerts)
+        lines = spark.read.parquet(f"{scratch}/gold/compliance_transcript_lines").collect()
+        assert len(lines) == 1
+        assert "example.org" not in lines[0].prompt_text + lines[0].response_text and lines[0].user_account_uuid != "u1"
+
+
+def test_redelivery_of_records_without_a_time(spark, scratch):
+    """Delivered again in a later batch, they count once: events, sessions and spend."""
+    records = [
+        {"event_name": "assistant_response", "session_id": "s", "org_id": "o", "event_sequence": i, "message_uuid": f"m{i}",
+         "input_tokens": 10, "output_tokens": 1, "cost_usd": 0.25 if i % 2 else None}
+        for i in range(4)
+    ] + [{"event_name": "assistant_response", "session_id": "s", "org_id": "o", "message_uuid": "x", "cost_usd": 1.0}]
+    log_lines(scratch, "a.jsonl", records)
+    step(spark, scratch)
+    first = jobs.read_silver(spark, scratch)
+    spend = first["token_costs"].agg(F.sum("cost_units"), F.count("*")).first()
+    log_lines(scratch, "b.jsonl", records)
+    step(spark, scratch)
+    again = jobs.read_silver(spark, scratch)
+    assert tuple(again["token_costs"].agg(F.sum("cost_units"), F.count("*")).first()) == tuple(spend) and spend[1] == 5
+    assert again["sessions"].first().total_responses == 5

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tracelode.operators.dedupe import insert_new, keep_first
 from tracelode.operators.skew import salted_left_join
-from tracelode.operators.sliced import Running, running, time_slices
+from tracelode.operators.sliced import Running, paired, running, time_slices, unpaired
 
 
 @pytest.fixture(scope="module")
@@ -63,6 +63,56 @@ def test_next_row_by_descending_minimum(hot, width, rows_per_slice):
     assert {r.id: tuple(r.nxt) if r.nxt else None for r in got.collect()} == want
 
 
+def test_rows_without_key_or_order_are_kept(spark):
+    rows = [("a", 1), ("a", 2), (None, 3), (None, 4), ("a", None), ("b", 5)]
+    df = spark.createDataFrame(rows, "key string, t int")
+    got = running(df, ["key"], [(F.floor(F.col("t") / 2).cast("bigint"),)], ["t"], {"n": Running("sum", F.lit(1))})
+    assert as_set(got) == sorted(map(repr, got.sparkSession.createDataFrame(
+        [("a", 1, 1), ("a", 2, 2), (None, 3, None), (None, 4, None), ("a", None, None), ("b", 5, 1)], "key string, t int, n long"
+    ).collect()))
+
+
+def test_a_busy_key_has_few_totals(spark, monkeypatch):
+    """100,000 rows of one key at distinct times: no more than a hundred totals per full slice."""
+    from tracelode.operators import sliced
+
+    stored, kept = [], sliced._kept
+    monkeypatch.setattr(sliced, "_kept", lambda df, name: stored.append(kept(df, name)) or stored[-1])
+    start = F.lit("2026-03-02 10:00:00").cast("timestamp_ntz")
+    df = spark.range(100_000).select(F.lit("s").alias("key"), (start + F.expr("make_dt_interval(0, 0, 0, id / 30)")).alias("t"), "id")
+    threshold = 1000
+    got = running(df, ["key"], time_slices("t", "id"), ["t", "id"], {"n": Running("sum", F.lit(1))}, rows_per_slice=threshold)
+    assert got.filter("n <> id + 1").isEmpty()
+    assert 1 < len(stored) <= 3 and sum(t.count() for t in stored) <= 100_000 / threshold * 100
+
+
+def test_pairs_keep_the_order_of_their_parts(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([0, 1, -5, 10**17, -(10**16)]), rng.choice([0, 7, 2**63 - 1, -(2**63)])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "a long, b long").withColumn("p", paired(F.col("a"), F.col("b")))
+    major, minor = unpaired("p")
+    got = df.select("a", "b", "p", major.alias("x"), minor.alias("y")).collect()
+    assert all((r.a, r.b) == (r.x, r.y) for r in got)
+    assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.p)] == sorted(rows)
+
+
+def test_transcript_without_sessions(spark):
+    from tracelode.operators.usage import transcript_lines
+
+    prompts = spark.createDataFrame(
+        [("o", None, None, "u", i, None, f"p{i}") for i in range(3)] + [("o", "s", None, "u", 1, None, "q")],
+        "org_id string, session_id string, prompt_id string, user_account_uuid string, event_sequence long, "
+        "event_timestamp timestamp_ntz, prompt_text string",
+    )
+    responses = spark.createDataFrame(
+        [(None, None, i, None, f"r{i}", "m") for i in range(4)] + [("s", None, 2, None, "a", "m")],
+        "session_id string, prompt_id string, event_sequence long, event_timestamp timestamp_ntz, response_text string, model_name string",
+    )
+    got = transcript_lines(prompts, responses, rows_per_task=1).select("prompt_text", "response_text")
+    assert as_set(got) == sorted(map(repr, spark.createDataFrame(
+        [("p0", None), ("p1", None), ("p2", None), ("q", "a")], "prompt_text string, response_text string").collect()))
+
+
 @pytest.mark.parametrize("rows_per_task", [1, 3, 50, 10**6])
 def test_salted_join(spark, hot, rows_per_task):
     left = hot.filter("id % 5 = 0").select("key", F.col("t").alias("lt"), F.col("id").alias("lid"))

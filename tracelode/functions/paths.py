@@ -65,20 +65,20 @@ FIELDS: dict[str, Field] = {
 TEXT_OR_OBJECT = ("model", "prompt", "response")
 
 
-def _leaf_type(field: Field) -> str:
-    return "string" if field.type == "timestamp" else field.type
+def _leaf_type(field: Field, as_text: bool = False) -> str:
+    return "string" if as_text or field.type == "timestamp" else field.type
 
 
-def _object_type(fields: tuple[str, ...]) -> str:
+def _object_type(fields: tuple[str, ...], as_text: bool = False) -> str:
     """DDL of one attribute object that holds any spelling of the fields."""
     flat: dict[str, str] = {}
     nested: dict[str, dict[str, str]] = {}
     for field in (FIELDS[f] for f in fields):
         for name in field.names:
-            flat[name] = "variant" if name in TEXT_OR_OBJECT else _leaf_type(field)
+            flat[name] = "variant" if name in TEXT_OR_OBJECT else _leaf_type(field, as_text)
             if "." in name:
                 outer, inner = name.split(".")
-                nested.setdefault(outer, {})[inner] = _leaf_type(field)
+                nested.setdefault(outer, {})[inner] = _leaf_type(field, as_text)
     members = [f"`{name}`: {kind}" for name, kind in flat.items()]
     for outer, inner in nested.items():
         if outer not in TEXT_OR_OBJECT:
@@ -88,17 +88,18 @@ def _object_type(fields: tuple[str, ...]) -> str:
     return f"struct<{', '.join(members)}>"
 
 
-def record(payload: Column, fields: tuple[str, ...]) -> Column:
+def record(payload: Column, fields: tuple[str, ...], as_text: bool = False) -> Column:
     """The record as one struct with room for the fields in all shapes: a single pass.
 
-    A value of an unexpected type becomes NULL; it does not fail the job.
+    A value of an unexpected type becomes NULL; it does not fail the job. ``as_text`` keeps every
+    value as it is written.
     """
-    inner = _object_type(fields)
+    inner = _object_type(fields, as_text)
     body = f"struct<name: string, timestamp: string, attributes: {inner}>"
     return F.try_variant_get(payload, "$", f"{inner[:-1]}, attributes: {inner}, body: {body}>")
 
 
-def _spellings(holder: Column, field: Field) -> list[Column]:
+def _spellings(holder: Column, field: Field, as_text: bool) -> list[Column]:
     out = []
     for name in field.names:
         flat = holder.getField(name)
@@ -110,24 +111,25 @@ def _spellings(holder: Column, field: Field) -> list[Column]:
         if "." in name:
             outer, inner = name.split(".")
             if outer in TEXT_OR_OBJECT:
-                out.append(F.try_variant_get(holder.getField(outer), f"$.{inner}", _leaf_type(field)))
+                out.append(F.try_variant_get(holder.getField(outer), f"$.{inner}", _leaf_type(field, as_text)))
             else:
                 out.append(holder.getField(outer).getField(inner))
     return out
 
 
-def pick(rec: Column, field: str) -> Column:
-    """The first spelling of the field that has a value, as the contract type."""
+def pick(rec: Column, field: str, as_text: bool = False) -> Column:
+    """The first spelling of the field that has a value, as the contract type or as text."""
     body = rec.getField("body")
     found = [
         column
         for holder in (rec, rec.getField("attributes"), body.getField("attributes"))
-        for column in _spellings(holder, FIELDS[field])
+        for column in _spellings(holder, FIELDS[field], as_text)
     ]
     if field == "event_name":
         found.append(body.getField("name"))
     if field == "event_timestamp":
-        return as_utc(F.try_to_timestamp(F.coalesce(*found, body.getField("timestamp"))))
+        written = F.coalesce(*found, body.getField("timestamp"))
+        return written if as_text else as_utc(F.try_to_timestamp(written))
     return F.coalesce(*found)
 
 

@@ -35,7 +35,8 @@ class Rule:
         return reduce(Column.__or__, [F.contains(lowered, F.lit(h)) for h in self.hints]) & found
 
 
-# Rule order, tags and patterns (all matched without regard to case).
+# Rule order, tags and what they stand for (all matched without regard to case). A credential may be
+# quoted either way, escaped inside JSON, a JSON member, or bare if it holds a digit.
 CORE_RULES: tuple[Rule, ...] = (
     Rule("aws_key", r"AKIA[0-9A-Z]{16}", "[REDACTED_AWS_KEY]", ("akia",)),
     Rule("aws_temp_key", r"ASIA[0-9A-Z]{16}", "[REDACTED_AWS_TEMP_KEY]", ("asia",)),
@@ -47,20 +48,38 @@ CORE_RULES: tuple[Rule, ...] = (
     ),
     Rule(
         "credential",
-        r"((?:api[_-]?key|secret|password|auth_token|token)\s*[:=]\s*)['\"][^'\"]+['\"]",
+        r"((?:api[_-]?key|secret|password|auth_token|token)\\?['\"]?\s*[:=]\s*)"
+        r"(?:\\?\"[^\"]+\"|\\?'[^']+'|[^\s'\"\\,;&(){}\[\]<>]*[0-9][^\s'\"\\,;&(){}\[\]<>]*)",
         "$1[REDACTED_CREDENTIAL]",
         ("key", "secret", "password", "token"),
     ),
     Rule("url_credentials", r"https?://[^\s:/@]+:[^\s@/]+@\S+", "[REDACTED_URL_CREDS]", ("://",)),
     Rule(
         "private_key",
-        r"-----BEGIN (?:(?:RSA|EC|PGP) )?PRIVATE KEY-----[\s\S]+?"
-        r"-----END (?:(?:RSA|EC|PGP) )?PRIVATE KEY-----",
+        r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----[\s\S]+?"
+        r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----",
         "[REDACTED_PRIVATE_KEY]",
         ("-----begin",),
     ),
 )
 
+# Spellings that the list above lets pass: bare assignments without a digit, and authorization headers.
+HEADER_RULES: tuple[Rule, ...] = (
+    Rule(
+        "assigned_credential",
+        r"((?:api[_-]?key|secret|password|auth_token|token)=)[^\s'\"\\,;&(){}\[\]<>]{3,}",
+        "$1[REDACTED_CREDENTIAL]",
+        ("key=", "secret=", "password=", "token="),
+    ),
+    Rule(
+        "auth_header",
+        r"(authorization\\?['\"]?\s*[:=]\s*\\?['\"]?(?:bearer|basic|token)\s+)[A-Za-z0-9._~+/=-]+",
+        "$1[REDACTED_AUTHORIZATION]",
+        ("authorization",),
+    ),
+    Rule("bearer_token", r"(\bbearer\s+)[A-Za-z0-9._~+/-]{20,}=*", "$1[REDACTED_BEARER]", ("bearer",)),
+)
+
 # Cloud storage keys and connection strings: named in the design, absent from its rule list.
 CLOUD_RULES: tuple[Rule, ...] = (
     Rule(
@@ -77,7 +96,7 @@ CLOUD_RULES: tuple[Rule, ...] = (
     ),
 )
 
-SECRET_RULES = CORE_RULES + CLOUD_RULES
+SECRET_RULES = CORE_RULES + HEADER_RULES + CLOUD_RULES
 
 PERSONAL_RULES: tuple[Rule, ...] = (
     Rule(

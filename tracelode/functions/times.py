@@ -24,6 +24,13 @@ def since_epoch(utc: Column) -> Column:
     return elapsed.cast("interval second").cast("decimal(20,6)")
 
 
+def from_micros(micros: Column) -> Column:
+    """UTC wall clock from microseconds since 1970, exactly."""
+    seconds = micros.cast("decimal(24,6)") / F.lit(1_000_000)
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + step
+
+
 def epoch_seconds(utc: Column) -> Column:
     return F.floor(since_epoch(utc)).cast("bigint")
 

@@ -75,9 +75,9 @@ def top_cost_sessions(costs: DataFrame, limit: int) -> DataFrame:
 
 
 def spend_by_agent(requests: DataFrame) -> DataFrame:
-    """Spend by skill and subagent."""
+    """Spend by skill, subagent and plugin."""
     return (
-        requests.groupBy("skill_name", "agent_name", "query_source")
+        requests.groupBy("skill_name", "agent_name", "plugin_name", "query_source")
         .agg(F.count("*").alias("requests"), F.sum("cost_units").alias("cost_units"))
         .withColumn("cost_usd", usd("cost_units"))
     )

@@ -16,6 +16,10 @@ INTEGER_FIELDS = ("event_sequence", "prompt_length", "response_length", "input_t
                   "cache_read_tokens", "cache_creation_tokens")
 
 
+#: Every field that ``with_violations`` looks at.
+CONTRACT_FIELDS = (*REQUIRED_FIELDS, *INTEGER_FIELDS, "cost_usd")
+
+
 def with_violations(records: DataFrame) -> DataFrame:
     """Check string-typed records against the event contract.
 
@@ -165,18 +169,26 @@ def risky_commands(tools: DataFrame) -> DataFrame:
 
 
 def security_signals(events: DataFrame) -> DataFrame:
-    """Events behind the seven audit questions, by day and signal, in one pass."""
+    """Events behind the audit questions, by day and signal, in one pass: what was refused and what went through."""
     name = F.col("event_name")
     rules = {
         "tool_call_denied": (name == "tool_decision") & (F.col("decision") == "reject"),
         "permission_escalation": (name == "permission_mode_changed") & (F.col("to_mode") == "bypass"),
         "hook_blocked": (name == "hook_execution_complete") & (F.col("num_blocking") > 0),
         "auth_failure": (name == "auth") & (F.col("success") == "false"),
+        "login": (name == "auth") & (F.col("success") == "true") & (F.col("action") == "login"),
+        "logout": (name == "auth") & (F.col("success") == "true") & (F.col("action") == "logout"),
         "mcp_server_failure": (name == "mcp_server_connection") & (F.col("status") == "failed"),
+        "mcp_server_connected": (name == "mcp_server_connection") & (F.col("status") == "connected"),
         "unofficial_plugin": (name == "plugin_installed") & (F.col("is_official") == "false"),
+        "official_plugin": (name == "plugin_installed") & (F.col("is_official") == "true"),
         "command_run": (name == "tool_result") & (F.col("tool_name") == "Bash"),
+        "command_rejected": (name == "tool_decision") & (F.col("decision") == "reject") & (F.col("tool_name") == "Bash"),
+        "file_touched": (name == "tool_result") & F.get_json_object("tool_input", "$.file_path").isNotNull(),
     }
-    signals = F.array_compact(F.array(*[F.when(rule, F.lit(signal)) for signal, rule in rules.items()]))
+    allowed = (name == "tool_decision") & (F.col("decision") == "accept")
+    by_source = F.when(allowed, F.concat(F.lit("tool_call_allowed:"), F.coalesce("decision_source", F.lit("unknown"))))
+    signals = F.array_compact(F.array(by_source, *[F.when(rule, F.lit(signal)) for signal, rule in rules.items()]))
     per_user = (
         events.select("event_date", "user_email", F.explode(signals).alias("signal"))
         .groupBy("event_date", "signal", "user_email")

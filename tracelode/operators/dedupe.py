@@ -27,6 +27,6 @@ def insert_new(
     """
     known = target
     if within:
-        low, high = (source.agg(f(within)).scalar() for f in (F.min, F.max))
-        known = known.filter((F.col(within) >= low) & (F.col(within) <= high))
+        low, high = source.agg(F.min(within), F.max(within)).first()
+        known = known.filter(F.col(within).between(F.lit(low), F.lit(high)))
     return keep_first(source, [key], order_by).join(known.select(key).distinct(), key, "left_anti")

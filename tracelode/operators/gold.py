@@ -91,6 +91,14 @@ def department_cost_rollup(costs: DataFrame) -> DataFrame:
     )
 
 
+def daily_users_approx(costs: DataFrame, error: float = 0.02) -> DataFrame:
+    """Daily actives and sessions as sketches: one pass over raw rows, sketches merge, ``error`` is the relative deviation."""
+    return costs.groupBy(F.to_date("event_timestamp").alias("metric_date")).agg(
+        F.approx_count_distinct("user_email", error).alias("active_users"),
+        F.approx_count_distinct("session_id", error).alias("sessions"),
+    )
+
+
 def leak_alerts(events: DataFrame) -> DataFrame:
     """Every text that held a secret, from prompts, responses and tool traffic, in one pass.
 
@@ -111,6 +119,22 @@ def leak_alerts(events: DataFrame) -> DataFrame:
     )
 
 
+def stored_leak_alerts(tables: dict[str, DataFrame]) -> DataFrame:
+    """``leak_alerts`` from the redacted silver tables: every stored text that carries a tag."""
+    texts = (("prompts", "prompt_text"), ("responses", "response_text"), ("tool_executions", "tool_input"),
+             ("tool_executions", "tool_output"))
+    found = None
+    for table, text in texts:
+        rows = tables[table].filter(is_flagged(text))
+        department = F.col("department") if "department" in rows.columns else F.lit(None).cast("string")
+        part = rows.select(
+            F.to_date("event_timestamp").alias("alert_date"), "event_timestamp", "user_email", department.alias("department"),
+            "session_id", F.lit(text.removesuffix("_text")).alias("source"), F.col(text).alias("flagged_text"),
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def prompt_leak_audit(prompts: DataFrame) -> DataFrame:
     """The audit view over redacted prompts."""
     return prompts.filter(is_flagged("prompt_text")).select(

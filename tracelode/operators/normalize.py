@@ -27,8 +27,8 @@ def normalize(
     """Canonical events from a VARIANT column; all other columns are kept.
 
     ``event_name`` loses its namespace and defaults to ``other``, ``org_id`` to ``unknown``.
-    ``event_time`` falls back to the ingest time. A missing session stays NULL: a default
-    would gather all such rows under one hot key.
+    ``event_timestamp`` falls back to the ingest time; ``reported_timestamp`` is what the record
+    says. A missing session stays NULL: a default would gather all such rows under one hot key.
     """
     columns: dict[str, Column] = {f: paths.pick(F.col("_record"), f) for f in fields}
     if "event_name" in columns:
@@ -36,6 +36,7 @@ def normalize(
     if "org_id" in columns:
         columns["org_id"] = F.coalesce(columns["org_id"], F.lit("unknown"))
     if "event_timestamp" in columns and ingest_time in raw.columns:
+        columns["reported_timestamp"] = columns["event_timestamp"]
         columns["event_timestamp"] = F.coalesce(columns["event_timestamp"], as_utc(F.col(ingest_time)))
     kept = [c for c in raw.columns if c not in columns and c != payload]
     records = raw.withColumn("_record", paths.record(F.col(payload), fields))
@@ -43,6 +44,16 @@ def normalize(
     return out.withColumn("event_date", F.to_date("event_timestamp")) if "event_timestamp" in columns else out
 
 
+def written_fields(raw: DataFrame, fields: tuple[str, ...], payload: str = "payload") -> DataFrame:
+    """The fields as the record writes them, as text: no defaults, no types, NULL where it has none."""
+    kept = [c for c in raw.columns if c not in fields and c != payload]
+    records = raw.withColumn("_record", paths.record(F.col(payload), fields, as_text=True))
+    columns = {f: paths.pick(F.col("_record"), f, as_text=True) for f in fields}
+    if "event_name" in columns:
+        columns["event_name"] = paths.strip_namespace(columns["event_name"])
+    return records.select(*kept, *[c.alias(n) for n, c in columns.items()])
+
+
 def parse_lines(lines: DataFrame, text: str = "line") -> DataFrame:
     """JSON text to a VARIANT ``payload``, NULL where the line is no JSON object."""
     record = F.ltrim(F.col(text), F.lit("\ufeff \t"))

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelode.functions.measures import count_if, rounded_ratio
-from tracelode.functions.times import since_epoch
-from tracelode.operators.sliced import Running, running
+from tracelode.operators.sliced import Running, micros, paired, running, unpaired
 
 # Fixed value: default number of retries; a request that used them all made one attempt more.
 MAX_RETRIES = 10
@@ -54,6 +53,21 @@ def session_recovery(
     )
 
 
+def api_latency(events: DataFrame) -> DataFrame:
+    """Request durations by day and model: exact median, 95th percentile and maximum.
+
+    Counted per whole millisecond first, so the percentiles see one row per distinct duration.
+    """
+    timed = events.filter((F.col("event_name") == "assistant_response") & F.col("latency_ms").isNotNull())
+    histogram = timed.groupBy("event_date", "model", "latency_ms").agg(F.count("*").alias("n"))
+    return histogram.groupBy("event_date", "model").agg(
+        F.sum("n").alias("requests"),
+        F.round(F.percentile("latency_ms", 0.5, F.col("n")), 3).alias("p50_ms"),
+        F.round(F.percentile("latency_ms", 0.95, F.col("n")), 3).alias("p95_ms"),
+        F.max("latency_ms").alias("max_ms"),
+    )
+
+
 def tool_success(events: DataFrame) -> DataFrame:
     """Frequency, success rate and mean time of each tool."""
     return (
@@ -113,12 +127,13 @@ def tool_decision_outcome(events: DataFrame) -> DataFrame:
 
 
 def prompt_trace(events: DataFrame) -> DataFrame:
-    """Every event a prompt set off, with its step and offset.
+    """Every event a prompt set off, with its step and offset; both NULL for an event without session or sequence.
 
     Rows, not one list per prompt: a prompt of any length streams out in parallel.
     """
     is_prompt = F.col("event_name") == "user_prompt"
-    start = F.struct(F.col("event_sequence").alias("seq"), F.col("event_timestamp").alias("ts"))
+    at = micros(F.col("event_timestamp"))
+    start = paired(F.col("event_sequence"), at)
     traced = running(
         events,
         ["session_id"],
@@ -126,16 +141,14 @@ def prompt_trace(events: DataFrame) -> DataFrame:
         ["event_sequence"],
         {"_start": Running("max", F.when(is_prompt, start))},
     )
-
-    return traced.filter(F.col("_start").isNotNull()).select(
+    first, started = unpaired("_start")
+    return traced.filter(F.col("_start").isNotNull() | F.col("event_sequence").isNull() | F.col("session_id").isNull()).select(
         "session_id",
         "prompt_id",
-        (F.col("event_sequence") - F.col("_start.seq")).alias("step"),
+        (F.col("event_sequence") - first).alias("step"),
         "event_sequence",
         "event_name",
-        F.floor((since_epoch(F.col("event_timestamp")) - since_epoch(F.col("_start.ts"))) * 1000)
-        .cast("bigint")
-        .alias("offset_ms"),
+        F.floor((at - started) / 1000).cast("bigint").alias("offset_ms"),
     )
 
 

@@ -36,6 +36,15 @@ def _key(events: DataFrame, kind: str, *parts: str) -> Column:
     return surrogate_key(*parts, F.lit(kind))
 
 
+def told_apart_by(events: DataFrame) -> Column:
+    """The reported time of events without a sequence number, NULL for others.
+
+    Not the ingest time that stands in for a missing one: a re-delivery has another.
+    """
+    time = "reported_timestamp" if "reported_timestamp" in events.columns else "event_timestamp"
+    return F.when(F.col("event_sequence").isNull(), F.col(time))
+
+
 def unique_events(events: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key. Ties are broken by time and then by content, so a rerun agrees.
 
@@ -43,8 +52,9 @@ def unique_events(events: DataFrame, keys: list[str]) -> DataFrame:
     session's would share one key and only one of them would be kept.
     """
     content = F.xxhash64(*[f.name for f in events.schema if not isinstance(f.dataType, T.VariantType)])
-    timed = events.withColumn("_time", F.when(F.col("event_sequence").isNull(), F.col("event_timestamp")))
-    return keep_first(timed, [*keys, "_time"], ["event_timestamp", content]).drop("_time")
+    named = [c for c in ("message_uuid",) if c in events.columns]
+    timed = events.withColumn("_time", told_apart_by(events))
+    return keep_first(timed, [*keys, *named, "_time"], ["event_timestamp", content]).drop("_time")
 
 
 def prompts(events: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -90,14 +100,18 @@ def tool_executions(events: DataFrame, dedupe: bool = True) -> DataFrame:
 
 
 def token_costs(events: DataFrame, prices: dict[str, Price] | None = None, dedupe: bool = True) -> DataFrame:
-    """One priced row per response. De-duplicated, or a re-delivery would inflate the spend."""
+    """One priced row per response. De-duplicated, or a re-delivery would inflate the spend.
+
+    ``cost_units`` is the reported cost, else the price list's, as everywhere; ``list_cost_units`` is always the list's.
+    """
     found = events.filter(F.col("event_name") == "assistant_response")
     if dedupe:
         found = unique_events(found, ["session_id", "prompt_id", "event_sequence"])
     computed = {
         "response_sk": _key(events, "response", "session_id", "prompt_id", "event_sequence"),
         "model_name": F.col("model"),
-        "cost_units": cost_units(prices, model="model"),
+        "cost_units": reported_or_priced(events, prices),
+        "list_cost_units": cost_units(prices, model="model"),
         **{c: F.coalesce(F.col(c), F.lit(0)) for c in events.columns if c.endswith("_tokens")},
     }
     return found.select(*_fields(events, schemas.SILVER_TOKEN_COSTS, computed))
@@ -144,12 +158,16 @@ def sessions(events: DataFrame) -> DataFrame:
 
 
 def sessions_by_user(events: DataFrame) -> DataFrame:
-    """Sessions per (session, organisation, user) with token and cost totals."""
+    """Sessions per (session, organisation, user) with token and cost totals.
+
+    The user's address and the version are grouping keys first, as in ``session_parts``.
+    """
     name = F.col("event_name")
+    texts = [c for c in ("user_email", "app_version") if c in events.columns]
     priced = events.withColumn("cost_units", reported_or_priced(events))
     return (
         priced.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id", "org_id", "user_account_uuid")
+        .groupBy("session_id", "org_id", "user_account_uuid", *texts)
         .agg(
             F.min("event_timestamp").alias("started_at"),
             F.max("event_timestamp").alias("last_event_at"),
@@ -160,7 +178,15 @@ def sessions_by_user(events: DataFrame) -> DataFrame:
             sum_long("output_tokens").alias("total_output_tokens"),
             sum_long("cost_units").alias("total_cost_units"),
         )
-    )
+        .groupBy("session_id", "org_id", "user_account_uuid")
+        .agg(
+            *[F.min(c).alias(c) for c in texts],
+            F.min("started_at").alias("started_at"),
+            F.max("last_event_at").alias("last_event_at"),
+            *[F.sum(c).alias(c) for c in ("prompt_count", "response_count", "tool_call_count", "total_input_tokens",
+                                          "total_output_tokens", "total_cost_units")],
+        )
+    )
 
 
 def users(events: DataFrame) -> DataFrame:

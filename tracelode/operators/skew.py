@@ -17,14 +17,23 @@ def salted_left_join(
     left_spread: list[str],
     right_spread: list[str],
     rows_per_task: int = ROWS_PER_TASK,
+    null_safe: list[str] | None = None,
 ) -> DataFrame:
-    """Null-safe left equi-join for sides with hot keys.
+    """Left equi-join for sides with hot keys; NULL equals NULL in the ``null_safe`` keys, by default all.
 
     A key with more than ``rows_per_task`` rows on a side is cut into parts there, by a hash of
     the spread columns, and the other side's rows of that key are repeated once per part. The
-    list of hot keys is broadcast: it cannot be longer than rows / ``rows_per_task``. All other
-    rows join as they are.
+    list of hot keys cannot be longer than rows / ``rows_per_task``; whether it is broadcast is up to Spark. All other
+    rows join as they are. Rows that can match nothing, for a NULL in another key, skip the join.
     """
+    safe = set(keys if null_safe is None else null_safe)
+    strict = [k for k in keys if k not in safe]
+    if strict:
+        whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in strict])
+        joined = salted_left_join(
+            left.filter(whole), right.filter(whole), keys, left_spread, right_spread, rows_per_task
+        )
+        return joined.unionByName(left.filter(~whole), allowMissingColumns=True)
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     sides = left.select(*keys, one.alias("_l"), none.alias("_r")).unionByName(
         right.select(*keys, none.alias("_l"), one.alias("_r"))
@@ -34,10 +43,8 @@ def salted_left_join(
     def parts(count: str) -> Column:
         return F.greatest(F.ceil(F.col(count) / F.lit(rows_per_task)).cast("int"), F.lit(1))
 
-    hot = F.broadcast(
-        counts.filter((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task)).select(
-            *[F.col(k).alias(f"_hot_{k}") for k in keys], parts("_l").alias("_lefts"), parts("_r").alias("_rights")
-        )
+    hot = counts.filter((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task)).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], parts("_l").alias("_lefts"), parts("_r").alias("_rights")
     )
 
     def with_parts(side: DataFrame, own: str, other: str, spread: list[str]) -> DataFrame:

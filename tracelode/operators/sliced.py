@@ -4,19 +4,22 @@ A plain window sorts a whole key in one task, so a session (or an 'unknown' buck
 holds a third of all rows stops the job. Here a key is cut into slices of time.
 Each slice is windowed on its own, the per-slice totals are small and get their own window,
 and what a row needs from earlier slices is joined back on (key, slice). A slice that is still
-too large, for instance because a clock stood still, is cut again by a finer rule.
+too large is cut again by the next finer rule, and its totals are carried inside it: no
+window sees more totals than one coarser slice has finer ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tracelode.functions.times import epoch_seconds, since_epoch
+from tracelode.functions.times import since_epoch
+from tracelode.session import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -30,60 +33,62 @@ class Running:
     def aggregate(self) -> Callable[[Column], Column]:
         return {"sum": F.sum, "max": F.max, "min": F.min}[self.kind]
 
-    def combine(self, carried: Column, local: Column) -> Column:
+    def combine(self, carried: list[Column], local: Column) -> Column:
         if self.kind == "sum":
-            return F.coalesce(carried, F.lit(0)) + F.coalesce(local, F.lit(0))
-        return (F.greatest if self.kind == "max" else F.least)(carried, local)
+            total = F.coalesce(local, F.lit(0))
+            for c in carried:
+                total = total + F.coalesce(c, F.lit(0))
+            return total
+        if not carried:
+            return local
+        return (F.greatest if self.kind == "max" else F.least)(*carried, local)
 
 
 ROWS_PER_SLICE = 5_000_000
-_WHOLE = -(2**63)
+#: Partitions that rows without a key or an order are spread over; they get no running value.
+UNORDERED_PARTS = 4096
 
 
 def time_slices(time: str, tie: str) -> list[tuple[Column, ...]]:
-    """Ten minutes, then single instants with ranges of the number that breaks ties.
+    """Ten minutes, seconds, milliseconds, instants, and ranges of the number that breaks ties.
 
-    Ten minutes of one key seldom hold millions of rows, unless a clock stood still; then
-    there are few instants, and the ranges of the tie number spread each of them.
+    Each level has at most a thousand or so slices inside one of the level above.
     """
-    micros = (since_epoch(F.col(time)) * 1_000_000).cast("bigint")
+    seconds = since_epoch(F.col(time))
     return [
-        (F.floor(epoch_seconds(F.col(time)) / 600).cast("bigint"),),
-        (micros, F.floor(F.col(tie) / 1_000_000).cast("bigint")),
+        (F.floor(seconds / 600).cast("bigint"),),
+        (F.floor(seconds).cast("bigint"),),
+        (F.floor(seconds * 1000).cast("bigint"),),
+        (micros(F.col(time)),),
+        (F.floor(F.col(tie) / 1_000_000).cast("bigint"),),
     ]
 
 
-def _cut(
-    rows: DataFrame,
-    keys: list[str],
-    levels: list[tuple[Column, ...]],
-    totals: list[Column],
-    rows_per_slice: int,
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Rows with slice columns, the totals per slice, and the names of the slice columns.
-
-    A finer level only applies to slices above ``rows_per_slice``; the broadcast list of those
-    cannot be longer than rows / ``rows_per_slice``. Where there are none, Spark finds the list
-    empty at run time and skips the passes over the finer levels.
-    """
-    names = [[f"_slice_{depth}_{i}" for i in range(len(level))] for depth, level in enumerate(levels)]
-    whole = F.lit(_WHOLE).cast("bigint")
-    out = rows.withColumns(dict(zip(names[0], levels[0])))
-    parts = []
-    for depth in range(len(levels)):
-        path = [*keys, *(n for level in names[: depth + 1] for n in level)]
-        refined = out if depth == 0 else out.filter(F.col(names[depth][0]) != _WHOLE)
-        counted = refined.groupBy(*path).agg(F.count("*").alias("_n"), *totals)
-        if depth + 1 == len(levels):
-            parts.append(counted)
-            break
-        large = counted.filter(F.col("_n") > rows_per_slice).select(*path, F.lit(True).alias("_large"))
-        small = counted.filter(F.col("_n") <= rows_per_slice)
-        parts.append(small.withColumns({n: whole for level in names[depth + 1 :] for n in level}))
-        finer = zip(names[depth + 1], levels[depth + 1])
-        out = out.join(F.broadcast(large), path, "left")
-        out = out.withColumns({n: F.when(F.col("_large"), c).otherwise(whole) for n, c in finer}).drop("_large")
-    return out, reduce(DataFrame.unionByName, parts).drop("_n"), [n for level in names for n in level]
+def micros(time: Column) -> Column:
+    return (since_epoch(time) * 1_000_000).cast("bigint")
+
+
+# Two BIGINTs in one DECIMAL, ordered as the pair is. Spark hashes a minimum over it; over a struct it would sort all rows.
+_MINOR = Decimal(2 * 10**19)
+_OFFSET = Decimal(2**63)
+
+
+def paired(major: Column, minor: Column) -> Column:
+    """``major`` below 10**18 in size, as times in microseconds and sequence numbers are."""
+    wide = T.DecimalType(38, 0)
+    return (major.cast(wide) * F.lit(_MINOR) + minor.cast(wide) + F.lit(_OFFSET)).cast(wide)
+
+
+def unpaired(pair: str) -> tuple[Column, Column]:
+    minor = F.pmod(F.col(pair), F.lit(_MINOR).cast(T.DecimalType(38, 0)))
+    major = (F.col(pair) - minor) / F.lit(_MINOR)
+    return major.cast("bigint"), (minor - F.lit(_OFFSET)).cast("bigint")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def running(
@@ -98,33 +103,59 @@ def running(
     """Add one running column per entry of ``values``.
 
     ``order_by`` must be a total order within a key. ``slices`` are BIGINT columns, coarse to
-    fine, none of which may decrease along that order within its coarser slice. Keys and slices
-    must not be NULL. With ``descending`` the values run from the last row back, which turns
-    ``min`` over an ordered struct into "the next such row".
+    fine, none of which may decrease along that order within its coarser slice. Rows whose key or
+    order is NULL are kept; they stand in no order and get NULL. With ``descending`` the values
+    run from the last row back.
+
+    The totals are written to the shared folder, level by level, so the input is read once for
+    them and once for the rows, and a level that no slice needs is never computed.
     """
+    known = F.lit(True)
+    for c in [*keys, *order_by]:
+        known = known & F.col(c).isNotNull()
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+    apart = -1 - F.pmod(F.xxhash64(*plain), F.lit(UNORDERED_PARTS))
+    names = [[f"_slice_{depth}_{i}" for i in range(len(level))] for depth, level in enumerate(slices)]
+    rows = df.withColumns({"_known": known, **{f"_in_{n}": r.value for n, r in values.items()}})
+    totals = [r.aggregate(f"_in_{n}").alias(f"_all_{n}") for n, r in values.items()]
     direction = F.desc if descending else F.asc
-    inputs = df.withColumns({f"_in_{n}": r.value for n, r in values.items()})
-    aggregates = [r.aggregate(f"_in_{n}").alias(f"_all_{n}") for n, r in values.items()]
-    rows, totals, cuts = _cut(inputs, keys, slices, aggregates, rows_per_slice)
-    slice_keys = [*keys, *cuts]
-
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(*[direction(c) for c in cuts])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = totals.select(
-        *slice_keys, *[r.aggregate(f"_all_{n}").over(earlier).alias(f"_carry_{n}") for n, r in values.items()]
-    )
 
+    carried, path = [], list(keys)
+    for depth, level in enumerate(slices):
+        if depth:
+            large = counted.filter(F.col("_n") > rows_per_slice).select(*path)  # noqa: F821
+            if large.isEmpty():
+                break
+            rows = rows.join(large.withColumn("_large", F.lit(True)), path, "left")
+            cut = {n: F.when(F.col("_large"), c) for n, c in zip(names[depth], level)}
+            rows = rows.withColumns(cut).drop("_large")
+            refined = rows.filter(F.col(names[depth][0]).isNotNull())
+        else:
+            rows = rows.withColumns(dict(zip(names[0], level)))
+            refined = rows.filter("_known")
+        above = Window.partitionBy(*path).orderBy(*[direction(c) for c in names[depth]])
+        path = [*path, *names[depth]]
+        counted = _kept(refined.groupBy(*path).agg(F.count("*").alias("_n"), *totals), "totals")
+        earlier = above.rowsBetween(Window.unboundedPreceding, -1)
+        carried.append(
+            (path, counted.select(*path, *[r.aggregate(f"_all_{n}").over(earlier).alias(f"_carry_{depth}_{n}") for n, r in values.items()]))
+        )
+
+    used = [n for level in names[: len(carried)] for n in level]
+    spread = F.when(F.col("_known"), F.col(used[0])).otherwise(apart)
     within = (
-        Window.partitionBy(*slice_keys)
+        Window.partitionBy(*keys, *used)
         .orderBy(*[direction(c) for c in order_by])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = rows.withColumns({f"_in_{n}": r.aggregate(f"_in_{n}").over(within) for n, r in values.items()})
-    return (
-        local.join(carried, slice_keys)
-        .withColumns({n: r.combine(F.col(f"_carry_{n}"), F.col(f"_in_{n}")) for n, r in values.items()})
-        .drop(*cuts, *[f"_{p}_{n}" for n in values for p in ("in", "carry")])
+    local = rows.withColumn(used[0], spread)
+    local = local.withColumns({f"_in_{n}": r.aggregate(f"_in_{n}").over(within) for n, r in values.items()})
+    for on, totals_before in carried:
+        local = local.join(totals_before, on, "left")
+    out = {
+        n: F.when(F.col("_known"), r.combine([F.col(f"_carry_{d}_{n}") for d in range(len(carried))], F.col(f"_in_{n}")))
+        for n, r in values.items()
+    }
+    return local.withColumns(out).drop(
+        "_known", *used, *[f"_in_{n}" for n in values], *[f"_carry_{d}_{n}" for d in range(len(carried)) for n in values]
     )

@@ -15,7 +15,7 @@ from tracelode.functions.redact import PERSONAL_RULES, SECRET_RULES, is_flagged,
 from tracelode.operators import adoption, audit, corpus, dedupe, gold, kpi, reliability, silver, usage
 from tracelode.operators import normalize as norm
 from tracelode.schemas import TOOL_EVENTS
-from tracelode.session import scratch_dir
+from tracelode.session import configure, scratch_dir
 from tracelode.sources import landing, sinks
 from tracelode.sources import testdata as td
 from tracelode.streaming import bronze as bronze_stream
@@ -140,17 +140,37 @@ def dedupe_session_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dedupe_prompts_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _first_of_hour(spark, sf_dir, "user_prompt")
+
+
+@query
+def dedupe_responses_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _first_of_hour(spark, sf_dir, "assistant_response")
+
+
+def _first_of_hour(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Key (session, tick) of prompts and responses, again with a tick of an hour."""
+    events = td.canonical(spark, sf_dir, only=(kind,))
+    ticked = events.withColumn("tick", F.date_trunc("hour", "event_timestamp").cast("timestamp_ntz"))
+    return dedupe.keep_first(ticked, ["session_id", "tick"], ["event_timestamp", "event_id"]).select(
+        "session_id", "tick", "event_id", "event_timestamp"
+    )
+
+
 @query
 def merge_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts from the 10th on arrive, some twice, at a table that holds all up to the 15th."""
+    """A batch of three quarters of the prompts, some twice, arrives at a table that holds half of them."""
     events = td.ordered(td.canonical(spark, sf_dir)).filter(F.col("event_name") == "user_prompt")
     prompts = events.select(
         merge_key("session_id", "prompt_id", "event_sequence", F.lit("prompt")).alias("prompt_sk"),
         "session_id", "prompt_id", "event_sequence", "event_timestamp", "event_date", "event_id", "org_id",
     )
     prompts = _stored(spark, prompts, "merge_insert_new")
-    target = prompts.filter(F.col("event_timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"))
-    batch = _redelivered(prompts).filter(F.col("event_date") >= F.lit("2024-01-10").cast("date")).drop("delivery")
+    part = F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 1)
+    target = prompts.filter(part < "8")
+    batch = _redelivered(prompts).filter(part >= "4").drop("delivery")
     return dedupe.insert_new(target, batch, "prompt_sk", ["event_timestamp"], within="event_date").drop("event_date")
 
 
@@ -182,7 +202,8 @@ def enrich_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def truncate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = norm.truncate_text(td.table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    """With a limit that cuts a good part of the texts; the default of the jobs is ``CONTENT_LIMIT``."""
+    cut = norm.truncate_text(td.table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 2000)
     return cut.select("doc_id", F.md5("text").alias("text_md5"), "text_length", "text_truncated")
 
 
@@ -286,7 +307,7 @@ def v_daily_org_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpi.scorecard(_costs(spark, sf_dir), _last_day(spark, sf_dir), 14)
+    return kpi.scorecard(_costs(spark, sf_dir), _last_day(spark, sf_dir))
 
 
 @query
@@ -347,9 +368,14 @@ def daily_user_usage_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.daily_user_usage_literal(events, silver.sessions_by_user(events))
 
 
-def _stored_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _without_some_sessions(events: DataFrame) -> DataFrame:
+    return events.withColumn("session_id", F.when(F.col("k") % 19 != 0, F.col("session_id")))
+
+
+def _stored_log(spark: SparkSession, sf_dir: str, name: str, lose: bool = False) -> DataFrame:
     """Prompts and responses of the full log, stored: the transcript reads them three times."""
     events = td.ordered(td.canonical(spark, sf_dir))
+    events = _without_some_sessions(events) if lose else events
     talk = events.filter(F.col("event_name").isin("user_prompt", "assistant_response")).select(
         "event_id", "event_name", "event_timestamp", "event_sequence", "session_id", "prompt_id", "org_id",
         "user_account_uuid", "model",
@@ -371,6 +397,19 @@ def compliance_transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumns({c: F.md5(c) for c in ("prompt_text", "response_text")})
 
 
+@query
+def transcript_lost_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prompt that lost its session keeps one line and meets no response."""
+    events = _stored_log(spark, sf_dir, "transcript_lost_sessions", lose=True)
+    return _transcript(events).withColumns({c: F.md5(c) for c in ("prompt_text", "response_text")})
+
+
+@query
+def nearest_lost_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = td.canonical(spark, sf_dir, only=("user_prompt", "assistant_response"))
+    return usage.nearest_response(_without_some_sessions(events))
+
+
 @query
 def conversation_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = td.transcript_events(spark, sf_dir).withColumns(
@@ -420,17 +459,23 @@ def validate_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations per kind in the log as it is landed, with seeded unknown names and lost sessions."""
-    k = F.col("k")
+    """Violations per kind in the log as it is landed, before defaults and types, with faults of every kind."""
+    number = F.col("event_id")
+    name = F.when(number % 13 == 0, F.concat("event_name", F.lit("_v2"))).otherwise(F.col("event_name"))
+    tokens = F.when(number % 29 == 0, F.lit("12x")).otherwise(F.col("input_tokens").cast("string"))
     events = td.canonical(spark, sf_dir).withColumns(
         {
-            "session_id": F.when(k % 19 != 0, F.col("session_id")),
-            "event_name": F.when(k % 13 == 0, F.concat("event_name", F.lit("_v2"))).otherwise(F.col("event_name")),
+            "event_name": F.when(number % 41 != 0, name),
+            "event_timestamp": F.when(number % 37 != 0, F.col("event_timestamp")),
+            "session_id": F.when(number % 19 != 0, F.col("session_id")),
+            "org_id": F.when(number % 23 != 0, F.col("org_id")),
+            "input_tokens": tokens,
+            "cost_usd": F.when(number % 31 == 0, F.lit("free")).otherwise(F.lit("0.5")),
         }
     )
-    landed = norm.parse_lines(td.raw_lines(events))
-    read = norm.normalize(landed, fields=("event_name", "event_timestamp", "session_id", "org_id"))
-    return audit.violation_counts(read.withColumn("event_timestamp", F.col("event_timestamp").cast("string")))
+    late = F.regexp_replace("line", r'(timestamp":")[^"]*', "$1yesterday")
+    lines = td.raw_lines(events).withColumn("line", F.when(number % 17 == 0, late).otherwise(F.col("line")))
+    return audit.violation_counts(norm.written_fields(norm.parse_lines(lines), audit.CONTRACT_FIELDS))
 
 
 @query
@@ -441,7 +486,14 @@ def length_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def role_executive_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.view_for_role("executive", "department_cost_view", v_department_cost(spark, sf_dir))
+    """Department cost with the day's first flagged prompt beside it, which an executive does not see."""
+    flagged = v_security_leak_audit(spark, sf_dir)
+    department = F.coalesce("department", F.lit("Unassigned")).alias("department")
+    snippets = flagged.groupBy(F.col("audit_date").alias("metric_date"), department).agg(
+        F.count("*").alias("flagged_prompts"), F.min("flagged_content_snippet").alias("flagged_content_snippet")
+    )
+    wide = v_department_cost(spark, sf_dir).join(snippets, ["metric_date", "department"], "left")
+    return audit.view_for_role("executive", "department_cost_view", wide)
 
 
 @query
@@ -498,6 +550,11 @@ def session_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability.session_recovery(td.canonical(spark, sf_dir, only=("api_error", "assistant_response")))
 
 
+@query
+def api_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reliability.api_latency(td.canonical(spark, sf_dir, only=("assistant_response",)))
+
+
 @query
 def tool_success(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability.tool_success(td.canonical(spark, sf_dir, only=("tool_result",)))
@@ -521,6 +578,16 @@ def prompt_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability.prompt_trace(_stored(spark, events, "prompt_trace"))
 
 
+@query
+def trace_lost_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a session or a sequence number belong to no prompt, and are still there."""
+    events = _without_some_sessions(td.ordered(td.canonical(spark, sf_dir))).select(
+        "session_id", "prompt_id", F.when(F.col("k") % 23 != 0, F.col("event_sequence")).alias("event_sequence"),
+        "event_timestamp", "event_name",
+    )
+    return reliability.prompt_trace(_stored(spark, events, "trace_lost_events"))
+
+
 @query
 def compaction_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability.compaction_ratio(td.compactions(spark, sf_dir))
@@ -536,6 +603,17 @@ def token_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adoption.token_breakdown(_costs(spark, sf_dir), ["department", "model_name", "user_email"])
 
 
+@query
+def token_breakdown_by_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = td.canonical(spark, sf_dir, only=("assistant_response",))
+    return adoption.token_breakdown(requests, ["skill_name", "agent_name", "plugin_name"])
+
+
+@query
+def daily_users_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.daily_users_approx(_costs(spark, sf_dir))
+
+
 @query
 def session_adoption(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adoption.session_adoption(td.metric_points(spark, sf_dir))
@@ -585,9 +663,7 @@ def user_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dau_wau_mau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over responses, so that users have days without activity."""
-    events = td.canonical(spark, sf_dir, only=("assistant_response",))
-    return adoption.active_users(events, {"dau": 1, "wau": 7, "mau": 30})
+    return adoption.active_users(td.canonical(spark, sf_dir), {"dau": 1, "wau": 7, "mau": 30})
 
 
 @query
@@ -643,7 +719,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections by folder for pages numbered below 500, and a second section for round numbers.
+    """Sections by folder for every third page number, and a second section for round numbers.
 
     A slug may be in two sections; the other pages are in none.
     """
@@ -652,7 +728,7 @@ def _taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.when(F.col("slug").contains("/"), F.split("slug", "/")[0]).otherwise(corpus.HOME_SECTION)
     sections = F.array_compact(
         F.array(
-            F.when(number < 500, F.concat(F.lit("Pages "), folder)),
+            F.when(number % 3 == 0, F.concat(F.lit("Pages "), folder)),
             F.when(number % 10 == 0, F.lit("Round numbers")),
         )
     )
@@ -751,22 +827,33 @@ def kb_ok_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files and streams --------------------------------------------------------------------
 
 
-def _land(spark: SparkSession, events: DataFrame, name: str) -> str:
+#: Small, so that the given tables cross several micro-batches; the jobs take 1,000 files.
+STREAM_FILES = 12
+
+
+def _land(spark: SparkSession, events: DataFrame, name: str, root: str | None = None) -> str:
     """Events as gzip JSON lines below year=/month=/day=; every 97th line loses its last brace."""
-    root = scratch_dir(spark, name)
+    root = root or scratch_dir(spark, name)
     whole = F.col("line")
     damaged = F.when(F.col("event_id") % 97 == 0, F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
-    at = F.col("event_timestamp")
+    at = F.col("landed_at")
+    if "landed_at" not in events.columns:
+        events = events.withColumn("landed_at", F.col("event_timestamp"))
     lines = td.raw_lines(events).select(
         damaged.alias("value"), F.year(at).alias("year"), F.month(at).alias("month"), F.dayofmonth(at).alias("day")
     )
-    lines.write.partitionBy("year", "month", "day").option("compression", "gzip").text(f"{root}/logs")
+    lines.write.mode("append").partitionBy("year", "month", "day").option("compression", "gzip").text(f"{root}/logs")
     return root
 
 
+def _ingest(spark: SparkSession, root: str) -> None:
+    configure(spark)
+    bronze_stream.ingest(spark, f"{root}/logs", f"{root}/bronze", f"{root}/checkpoint", STREAM_FILES, "*.gz")
+
+
 def _bronze(spark: SparkSession, sf_dir: str, name: str) -> str:
     root = _land(spark, td.canonical(spark, sf_dir), name)
-    bronze_stream.ingest(spark, f"{root}/logs", f"{root}/bronze", f"{root}/checkpoint", glob="*.gz")
+    _ingest(spark, root)
     return f"{root}/bronze"
 
 
@@ -874,13 +961,18 @@ def stage_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth event arrives again, in another file of the same log."""
-    events = td.ordered(td.canonical(spark, sf_dir))
-    root = _land(spark, _redelivered(events).drop("delivery"), "stream_dedupe")
-    bronze_stream.ingest(spark, f"{root}/logs", f"{root}/bronze", f"{root}/checkpoint", glob="*.gz")
-    once = silver_stream.once(silver_stream.bronze_events(spark, f"{root}/bronze"), "1 day")
+    """Every tenth event arrives again in a later batch; every seventh record does not say when it happened."""
+    at = F.col("event_timestamp")
+    events = _redelivered(td.ordered(td.canonical(spark, sf_dir))).withColumn("landed_at", at)
+    events = events.withColumn("event_timestamp", F.when(F.col("event_id") % 7 != 0, at))
+    events = _stored(spark, events.drop("value", "k"), "stream_dedupe")
+    root = _land(spark, events.filter("delivery = 1"), "stream_dedupe")
+    _ingest(spark, root)
+    _land(spark, events.filter("delivery = 2"), "stream_dedupe", root)
+    _ingest(spark, root)
+    once = silver_stream.once(silver_stream.bronze_events(spark, f"{root}/bronze", STREAM_FILES), "1 day")
     (
-        once.select("session_id", "event_name", "event_sequence", "event_timestamp")
+        once.select("session_id", "event_name", "event_sequence", F.col("reported_timestamp").alias("event_timestamp"))
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{root}/checkpoint_once")
         .trigger(availableNow=True)
@@ -894,7 +986,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_silver_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per silver table after the streamed fan-out; sessions from their merged parts."""
     root = _bronze(spark, sf_dir, "stream_silver_fanout")
-    events = silver_stream.bronze_events(spark, root)
+    events = silver_stream.bronze_events(spark, root, STREAM_FILES)
     silver_stream.fan_out(events, lambda name: f"{root}_{name}", f"{root}_checkpoint")
 
     def counted(name: str, df: DataFrame) -> DataFrame:
@@ -910,22 +1002,15 @@ def stream_silver_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions merged from the parts of all micro-batches."""
     root = _bronze(spark, sf_dir, "stream_sessions")
-    events = silver_stream.bronze_events(spark, root)
+    events = silver_stream.bronze_events(spark, root, STREAM_FILES)
     silver_stream.fan_out(events, lambda name: f"{root}_{name}", f"{root}_checkpoint")
     return silver_stream.read_sessions(spark, f"{root}_session_parts")
 
 
 @query
 def stream_tool_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows closed by the watermark; the last ones stay open."""
+    """Daily counts, added up over the parts of all micro-batches."""
     root = _bronze(spark, sf_dir, "stream_tool_counts")
-    counts = silver_stream.tool_counts(silver_stream.bronze_events(spark, root))
-    (
-        counts.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{root}_checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{root}_counts")
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{root}_counts")
+    events = silver_stream.bronze_events(spark, root, STREAM_FILES)
+    silver_stream.count_tools(events, f"{root}_counts", f"{root}_checkpoint")
+    return silver_stream.read_tool_counts(spark, f"{root}_counts")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelode import schemas
-from tracelode.operators import gold, silver, usage
+from tracelode.operators import audit, gold, silver, usage
 from tracelode.operators.normalize import normalize
 from tracelode.session import configure
 from tracelode.sources import sinks
@@ -49,23 +49,27 @@ def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def gold_tables(tables: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
-    """Gold tables with the date each is partitioned by."""
-    alerts = gold.prompt_leak_audit(tables["prompts"])
-    lines = usage.transcript_lines(tables["prompts"], tables["responses"])
+    """Gold tables with the date each is partitioned by. Transcripts are stored masked."""
+    lines = _masked_lines(tables["prompts"], tables["responses"])
     return {
         "daily_user_metrics": (gold.daily_user_metrics(tables["sessions"]), "usage_date"),
         "tool_adoption_summary": (gold.tool_adoption_summary(tables["tool_executions"]), "execution_date"),
         "department_cost_attribution": (gold.department_cost_attribution(tables["token_costs"]), "cost_date"),
-        "security_leak_alerts": (alerts.withColumnRenamed("audit_date", "alert_date"), "alert_date"),
+        "security_leak_alerts": (gold.stored_leak_alerts(tables), "alert_date"),
         "daily_user_usage": (usage.daily_usage(tables["session_days"]), "usage_date"),
-        "compliance_transcript_lines": (lines.withColumn("prompt_date", F.to_date("prompt_ts")), "prompt_date"),
+        "compliance_transcript_lines": (lines, "prompt_date"),
     }
 
 
+def _masked_lines(prompts: DataFrame, responses: DataFrame) -> DataFrame:
+    lines = audit.masked_transcript(usage.transcript_lines(prompts, responses))
+    return lines.withColumn("prompt_date", F.to_date("prompt_ts"))
+
+
 def _only_days(rows: DataFrame, days: DataFrame, day: str) -> DataFrame:
-    """Rows of the given days. ``days`` has one row per calendar day, so it is broadcast, and
-    on a partition column the scan skips all other partitions."""
-    return rows.join(F.broadcast(days.select(F.col("day").alias(day)).distinct()), day, "left_semi")
+    """Rows of the given days. Reduced to one row per day, the days are small enough for Spark to
+    broadcast by itself; on a partition column the scan then skips all other partitions."""
+    return rows.join(days.select(F.col("day").alias(day)).distinct(), day, "left_semi")
 
 
 def _of_sessions(rows: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -120,8 +124,16 @@ def touched_gold(
 
     out = gold_tables(cut)
     out["daily_user_usage"] = (_only_days(out["daily_user_usage"][0], usage_days, "usage_date"), "usage_date")
-    lines = usage.transcript_lines(asked, _of_sessions(answers, asked))
-    out["compliance_transcript_lines"] = (lines.withColumn("prompt_date", F.to_date("prompt_ts")), "prompt_date")
+    out["compliance_transcript_lines"] = (_masked_lines(asked, _of_sessions(answers, asked)), "prompt_date")
+
+    # A day of alerts is made of three tables; all three are read for a day that any of them has changed.
+    texts = ("prompts", "responses", "tool_executions")
+    alert_days = None
+    for name in texts:
+        touched = new(tables[name]).select(F.col("event_date").alias("day")).distinct()
+        alert_days = touched if alert_days is None else alert_days.union(touched)
+    complete = {name: _only_days(tables[name], alert_days, "event_date") for name in texts}
+    out["security_leak_alerts"] = (gold.stored_leak_alerts(complete), "alert_date")
     return out
 
 

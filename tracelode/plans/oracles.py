@@ -2,7 +2,40 @@
 
 from __future__ import annotations
 
-from tracelode.functions.redact import PERSONAL_RULES, SECRET_RULES, Rule
+from typing import NamedTuple
+
+
+class Rule(NamedTuple):
+    name: str
+    pattern: str
+    replacement: str
+
+
+# Written out here, not taken from the code: what counts as a secret, and what takes its place.
+_BARE = "[^\\s'\"\\\\,;&(){}\\[\\]<>]"
+_CREDENTIAL_KEY = "(?:api[_-]?key|secret|password|auth_token|token)"
+SECRET_RULES = (
+    Rule("aws_key", "AKIA[0-9A-Z]{16}", "[REDACTED_AWS_KEY]"),
+    Rule("aws_temp_key", "ASIA[0-9A-Z]{16}", "[REDACTED_AWS_TEMP_KEY]"),
+    Rule("jwt", "eyJ[a-zA-Z0-9_-]+\\.eyJ[a-zA-Z0-9_-]+\\.[a-zA-Z0-9_-]+", "[REDACTED_JWT_TOKEN]"),
+    Rule("credential", f"({_CREDENTIAL_KEY}\\\\?['\"]?\\s*[:=]\\s*)"
+         f"(?:\\\\?\"[^\"]+\"|\\\\?'[^']+'|{_BARE}*[0-9]{_BARE}*)", "$1[REDACTED_CREDENTIAL]"),
+    Rule("url_credentials", "https?://[^\\s:/@]+:[^\\s@/]+@\\S+", "[REDACTED_URL_CREDS]"),
+    Rule("private_key", "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----[\\s\\S]+?"
+         "-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----", "[REDACTED_PRIVATE_KEY]"),
+    Rule("assigned_credential", f"({_CREDENTIAL_KEY}=){_BARE}{{3,}}", "$1[REDACTED_CREDENTIAL]"),
+    Rule("auth_header", "(authorization\\\\?['\"]?\\s*[:=]\\s*\\\\?['\"]?(?:bearer|basic|token)\\s+)[A-Za-z0-9._~+/=-]+",
+         "$1[REDACTED_AUTHORIZATION]"),
+    Rule("bearer_token", "(\\bbearer\\s+)[A-Za-z0-9._~+/-]{20,}=*", "$1[REDACTED_BEARER]"),
+    Rule("storage_account_key", "(AccountKey\\s*=\\s*)[A-Za-z0-9+/]{20,}={0,2}", "$1[REDACTED_STORAGE_KEY]"),
+    Rule("connection_string",
+         "((?:jdbc|postgres(?:ql)?|mysql|mongodb(?:\\+srv)?|redis|amqp)://)[^\\s:/@]+:[^\\s@/]+@", "$1[REDACTED_CONNECTION]@"),
+)
+PERSONAL_RULES = (
+    Rule("email", "[a-zA-Z0-9._%+-]+@[a-zA-Z0-9-]+(?:\\.[a-zA-Z0-9-]+)*\\.[a-zA-Z]{2,}", "[REDACTED_EMAIL]"),
+    Rule("ipv4", "\\b[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\b", "[REDACTED_IP]"),
+    Rule("card_number", "\\b(?:[0-9]{4}[ -]?){3}[0-9]{4}\\b", "[REDACTED_CARD]"),
+)
 
 
 def _case(number: str, *values: str | None) -> str:
@@ -54,6 +87,8 @@ canon AS (
       THEN {_case("k", "main", "main", "main", "subagent", "auxiliary")} END AS query_source,
     CASE WHEN event_name = 'assistant_response' THEN {_case("k", "review", "refactor", None)} END AS skill_name,
     CASE WHEN event_name = 'assistant_response' THEN {_case("k", "planner", "explorer", None, None)} END AS agent_name,
+    CASE WHEN event_name = 'assistant_response' THEN {_case("k", "docs", None, "lint", None, None)} END AS plugin_name,
+    '2.' || (k % 4) AS app_version,
     CASE WHEN event_name = 'api_error' THEN CAST(k % 11 + 1 AS INTEGER) END AS attempt,
     CASE WHEN event_name = 'api_error' THEN CASE WHEN k % 2 = 0 THEN 429 ELSE 500 END END AS status_code
   FROM named)"""
@@ -100,7 +135,8 @@ sessions AS (
 
 USER_SESSIONS = """
 user_sessions AS (
-  SELECT session_id, org_id, user_account_uuid, min(event_timestamp) AS started_at, max(event_timestamp) AS last_event_at,
+  SELECT session_id, org_id, user_account_uuid, min(user_email) AS user_email, min(app_version) AS app_version,
+    min(event_timestamp) AS started_at, max(event_timestamp) AS last_event_at,
     count(*) FILTER (WHERE event_name = 'user_prompt') AS prompt_count,
     count(*) FILTER (WHERE event_name = 'assistant_response') AS response_count,
     count(*) FILTER (WHERE event_name LIKE 'tool%') AS tool_call_count,
@@ -108,7 +144,7 @@ user_sessions AS (
     CAST(coalesce(sum(output_tokens), 0) AS BIGINT) AS total_output_tokens,
     CAST(sum(coalesce(input_tokens, 0) * 300 + coalesce(output_tokens, 0) * 1500
       + coalesce(cache_creation_tokens, 0) * 375 + coalesce(cache_read_tokens, 0) * 30) AS BIGINT) AS total_cost_units
-  FROM canon GROUP BY ALL),
+  FROM canon GROUP BY session_id, org_id, user_account_uuid),
 owners AS (
   SELECT session_id, org_id, max(user_account_uuid) AS user_account_uuid FROM user_sessions GROUP BY ALL)"""
 
@@ -151,7 +187,7 @@ listed AS (
     CASE WHEN contains(slug, '/') THEN split_part(slug, '/', 1) ELSE 'en' END AS folder
   FROM slugged),
 taxonomy AS (
-  SELECT slug, 'Pages ' || folder AS section FROM listed WHERE number < 500
+  SELECT slug, 'Pages ' || folder AS section FROM listed WHERE number % 3 = 0
   UNION ALL SELECT slug, 'Round numbers' FROM listed WHERE number % 10 = 0)"""
 
 ENTRIES = r"""
@@ -276,6 +312,12 @@ signals AS (
     CASE WHEN event_name = 'permission_mode_changed' AND (k // 6) % 3 = 2 THEN 'permission_escalation' END,
     CASE WHEN event_name = 'hook_execution_complete' AND k % 4 > 0 THEN 'hook_blocked' END,
     CASE WHEN event_name = 'auth' AND k % 5 = 0 THEN 'auth_failure' END,
+    CASE WHEN event_name = 'auth' AND k % 5 > 0 THEN CASE (k // 6) % 2 WHEN 0 THEN 'login' ELSE 'logout' END END,
+    CASE WHEN event_name = 'mcp_server_connection' AND k % 8 <> 4 THEN 'mcp_server_connected' END,
+    CASE WHEN event_name = 'plugin_installed' AND k % 12 = 5 THEN 'official_plugin' END,
+    CASE WHEN event_name = 'tool_decision' AND decision = 'reject' AND tool_name = 'Bash' THEN 'command_rejected' END,
+    CASE WHEN event_name = 'tool_decision' AND decision = 'accept' THEN 'tool_call_allowed:' || decision_source END,
+    CASE WHEN event_name = 'tool_result' AND contains(tool_input, '"file_path"') THEN 'file_touched' END,
     CASE WHEN event_name = 'mcp_server_connection' AND k % 8 = 4 THEN 'mcp_server_failure' END,
     CASE WHEN event_name = 'plugin_installed' AND k % 12 <> 5 THEN 'unofficial_plugin' END,
     CASE WHEN event_name = 'tool_result' AND tool_name = 'Bash' THEN 'command_run' END]) AS signal
@@ -312,7 +354,7 @@ FROM texted WHERE event_name LIKE 'tool%'""")
     q["silver_token_costs"] = _with(CANON, ORDERED, COSTS.replace("FROM canon", "FROM ordered"), select=f"""
 SELECT {response_sk} AS response_sk, session_id, user_email, department, event_timestamp, model AS model_name,
   i AS input_tokens, o AS output_tokens, cc AS cache_creation_tokens, cr AS cache_read_tokens, cost_units,
-  CAST(cost_units AS DOUBLE) / 100000000 AS estimated_cost_usd FROM costs""")
+  cost_units AS list_cost_units, CAST(cost_units AS DOUBLE) / 100000000 AS estimated_cost_usd FROM costs""")
     q["silver_sessions"] = _with(CANON, SESSIONS, select="SELECT * FROM sessions")
     q["silver_sessions_by_user"] = _with(CANON, USER_SESSIONS, select="SELECT * FROM user_sessions")
     q["silver_users"] = _with(CANON, select="""
@@ -334,10 +376,16 @@ SELECT session_id, date_trunc('hour', event_timestamp) AS tick, tool_name, event
 FROM canon WHERE event_name LIKE 'tool%'
 QUALIFY row_number() OVER (PARTITION BY session_id, date_trunc('hour', event_timestamp), tool_name
                            ORDER BY event_timestamp, event_id) = 1""")
+    for name, kind in (("dedupe_prompts_ts", "user_prompt"), ("dedupe_responses_ts", "assistant_response")):
+        q[name] = _with(CANON, select=f"""
+SELECT session_id, date_trunc('hour', event_timestamp) AS tick, event_id, event_timestamp
+FROM canon WHERE event_name = '{kind}'
+QUALIFY row_number() OVER (PARTITION BY session_id, date_trunc('hour', event_timestamp)
+                           ORDER BY event_timestamp, event_id) = 1""")
     q["merge_insert_new"] = _with(CANON, ORDERED, select="""
 SELECT md5(session_id || '|' || coalesce(prompt_id, '') || '|' || event_sequence || '|prompt') AS prompt_sk,
   session_id, prompt_id, event_sequence, event_timestamp, event_id, org_id
-FROM ordered WHERE event_name = 'user_prompt' AND event_timestamp >= TIMESTAMP '2024-01-16'""")
+FROM ordered WHERE event_name = 'user_prompt' AND md5(CAST(event_id AS VARCHAR)) >= '8'""")
     q["filter_empty_events"] = _with(CANON, select="""
 SELECT event_id, CASE WHEN k % 4 <> 0 THEN event_name END AS event_name,
   CASE WHEN k % 6 <> 0 THEN session_id END AS body FROM canon WHERE NOT (k % 4 = 0 AND k % 6 = 0)""")
@@ -345,8 +393,8 @@ SELECT event_id, CASE WHEN k % 4 <> 0 THEN event_name END AS event_name,
 SELECT event_id, 'event.name=' || event_name || ';org.id=acme;pipeline.environment=prod;pipeline.source=agent;session.id='
   || session_id AS attributes FROM canon""")
     q["truncate_content"] = """
-SELECT doc_id, md5(substring(text, 1, 61440)) AS text_md5, CAST(length(text) AS INTEGER) AS text_length,
-  length(text) > 61440 AS text_truncated FROM documents"""
+SELECT doc_id, md5(substring(text, 1, 2000)) AS text_md5, CAST(length(text) AS INTEGER) AS text_length,
+  length(text) > 2000 AS text_truncated FROM documents"""
     q["content_gate"] = _with(CANON, _texted("canon"), select="""
 SELECT event_id, md5(CASE WHEN prompt_text IS NOT NULL THEN CASE WHEN org_id = 'org1' THEN prompt_text ELSE '<REDACTED>' END END)
   AS prompt_md5, md5(response_text) AS response_md5,
@@ -404,7 +452,10 @@ leaks AS (
     q["v_executive_daily_kpis"] = _with(CANON, COSTS, EXECUTIVE_DAYS, select="SELECT * FROM executive_days")
     q["v_tool_adoption_matrix"] = _with(CANON, TOOL_DAYS, MATRIX, select="SELECT * FROM matrix")
     q["v_department_cost"] = _with(CANON, COSTS, DEPARTMENT_DAYS, select="SELECT * FROM department_days")
-    q["role_executive_view"] = q["v_department_cost"]
+    q["role_executive_view"] = _with(CANON, COSTS, DEPARTMENT_DAYS, _texted("canon"), leak_rows, select=f"""
+SELECT d.*, flagged_prompts FROM department_days d LEFT JOIN (
+  SELECT audit_date AS metric_date, coalesce(department, 'Unassigned') AS department, count(*) AS flagged_prompts
+  FROM leaks WHERE {flagged} GROUP BY 1, 2) USING (metric_date, department)""")
     q["v_daily_org_usage"] = _with(CANON, USER_SESSIONS, USAGE, select="""
 SELECT usage_date, org_id, CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(prompts) AS BIGINT) AS prompts,
   CAST(sum(responses) AS BIGINT) AS responses, CAST(sum(tool_events) AS BIGINT) AS tool_events,
@@ -414,7 +465,7 @@ SELECT usage_date, org_id, CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(p
 SELECT count(DISTINCT user_email) AS active_developers_30d, count(DISTINCT session_id) AS total_coding_sessions,
   CAST(sum(i + o + cc + cr) AS BIGINT) AS total_tokens_used, {_cents("sum(cost_units)")} AS total_investment_usd,
   {_ratio("sum(cost_units)", "count(DISTINCT user_email) * 1000000", 0)} / 100 AS avg_cost_per_dev_usd
-FROM costs WHERE event_timestamp >= {LAST_DAY} - 14""")
+FROM costs WHERE event_timestamp >= {LAST_DAY} - 30""")
     q["kpi_tool_matrix"] = _with(CANON, select=f"""
 SELECT tool_name, count(*) AS total_executions_30d, count(DISTINCT user_email) AS active_developers_using_tool,
   {_ratio("count(*) FILTER (WHERE exit_code <> 0)", "count(*)", 2, 100)} AS failure_rate_pct,
@@ -481,15 +532,45 @@ FROM (SELECT *, first(CASE WHEN event_name = 'assistant_response' THEN {'ts': ev
         ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM canon)
 WHERE event_name = 'user_prompt'""".replace("first(", "first_value("))
 
+    lost_session = "CASE WHEN k % 19 <> 0 THEN session_id END AS session_id"
+    q["transcript_lost_sessions"] = _with(
+        CANON, ORDERED, _texted(f"(SELECT * REPLACE ({lost_session}) FROM ordered)"),
+        select=_transcript("texted", "md5(p.prompt_text)", "md5(r.response_text)"))
+    nearest = q["transcript_nearest"].replace("FROM canon)", f"FROM (SELECT * REPLACE ({lost_session}) FROM canon))")
+    for part in ("id", "ts"):
+        nearest = nearest.replace(f"next.{part} AS", f"CASE WHEN session_id IS NOT NULL THEN next.{part} END AS")
+    q["nearest_lost_sessions"] = nearest
+    q["trace_lost_events"] = _with(CANON, ORDERED, f"""
+lost AS (SELECT * REPLACE ({lost_session}, CASE WHEN k % 23 <> 0 THEN event_sequence END AS event_sequence) FROM ordered),
+known AS (SELECT *, max(CASE WHEN event_name = 'user_prompt' THEN event_sequence END)
+    OVER (PARTITION BY session_id ORDER BY event_sequence) AS s
+  FROM lost WHERE session_id IS NOT NULL AND event_sequence IS NOT NULL)""", select="""
+SELECT k.session_id, k.prompt_id, k.event_sequence - k.s AS step, k.event_sequence, k.event_name,
+  (epoch_us(k.event_timestamp) - epoch_us(p.event_timestamp)) // 1000 AS offset_ms
+FROM known k JOIN known p ON p.session_id = k.session_id AND p.event_sequence = k.s
+UNION ALL SELECT session_id, prompt_id, NULL, event_sequence, event_name, NULL FROM lost
+WHERE session_id IS NULL OR event_sequence IS NULL""")
+
     # governance
     q["validate_contract"] = _with(CANON, select="""
 SELECT event_id, concat_ws(',', CASE WHEN k % 19 = 0 THEN 'missing:session_id' END,
   CASE WHEN k % 23 = 0 THEN 'missing:org_id' END, CASE WHEN k % 13 = 0 THEN 'enum:event_name' END,
   CASE WHEN k % 17 = 0 THEN 'format:event_timestamp' END, CASE WHEN k % 29 = 0 THEN 'type:input_tokens' END,
   CASE WHEN k % 31 = 0 THEN 'type:cost_usd' END) AS violations FROM canon""")
-    q["contract_violations"] = _with(CANON, select="""
-SELECT * FROM (SELECT 'missing:session_id' AS violation, count(*) FILTER (WHERE k % 19 = 0) AS records FROM canon
-UNION ALL SELECT 'enum:event_name', count(*) FILTER (WHERE k % 13 = 0) FROM canon) WHERE records > 0""")
+    faults = {
+        "missing:event_name": "event_id % 41 = 0",
+        "missing:event_timestamp": "event_id % 37 = 0",
+        "missing:session_id": "event_id % 19 = 0",
+        "missing:org_id": "event_id % 23 = 0",
+        "enum:event_name": "event_id % 13 = 0 AND event_id % 41 <> 0",
+        "format:event_timestamp": "event_id % 17 = 0 AND event_id % 37 <> 0",
+        "type:input_tokens": "event_id % 29 = 0",
+        "type:cost_usd": "event_id % 31 = 0",
+    }
+    q["contract_violations"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS violation, count(*) AS records FROM events WHERE {fault} HAVING count(*) > 0"
+        for name, fault in faults.items()
+    )
     q["length_mismatch"] = """
 SELECT doc_id, n_chars - doc_id % 2 AS declared, CAST(length(text) AS INTEGER) AS actual_length
 FROM documents WHERE length(text) <> n_chars - doc_id % 2"""
@@ -533,6 +614,10 @@ SELECT session_id, exhausted, event_timestamp AS last_exhausted_at,
   CASE WHEN EXISTS (SELECT 1 FROM canon c WHERE c.session_id = f.session_id AND c.event_name = 'assistant_response'
     AND (c.event_timestamp > f.event_timestamp OR (c.event_timestamp = f.event_timestamp AND c.event_id > f.event_id)))
     THEN 'recovered' ELSE 'stalled' END AS outcome FROM failed f""")
+    q["api_latency"] = _with(CANON, select="""
+SELECT event_date, model, count(*) AS requests, round(quantile_cont(latency_ms, 0.5), 3) AS p50_ms,
+  round(quantile_cont(latency_ms, 0.95), 3) AS p95_ms, max(latency_ms) AS max_ms
+FROM canon WHERE latency_ms IS NOT NULL GROUP BY 1, 2""")
     q["tool_success"] = _with(CANON, """
 t AS (SELECT tool_name, count(*) AS results, count(*) FILTER (WHERE exit_code = 0) AS succeeded,
   count(*) FILTER (WHERE exit_code <> 0) AS failed, sum(duration_ms) AS ms, count(duration_ms) AS timed
@@ -568,6 +653,10 @@ SELECT *, {_ratio("wait_ms", "wait_ms + execute_ms", 2, 100)} AS wait_share_pct
         f"SELECT department, model AS model_name, user_email, '{n}' AS token_type, CAST(sum({c}) AS BIGINT) AS tokens "
         "FROM costs GROUP BY 1, 2, 3"
         for n, c in (("input", "i"), ("output", "o"), ("cache_read", "cr"), ("cache_creation", "cc"))))
+    q["token_breakdown_by_agent"] = _with(CANON, COSTS, select=" UNION ALL ".join(
+        f"SELECT skill_name, agent_name, plugin_name, '{n}' AS token_type, CAST(sum({c}) AS BIGINT) AS tokens "
+        "FROM costs GROUP BY 1, 2, 3"
+        for n, c in (("input", "i"), ("output", "o"), ("cache_read", "cr"), ("cache_creation", "cc"))))
     q["session_adoption"] = _with(CANON, METRICS, select="""
 SELECT event_date, count(*) AS sessions, count(*) FILTER (WHERE start_type = 'fresh') AS fresh_sessions,
   count(DISTINCT user_email) AS users
@@ -588,8 +677,9 @@ SELECT model, CAST(sum(commits) AS BIGINT) AS commits, count(*) AS sessions FROM
 SELECT session_id, min(user_email) AS user_email, CAST(sum(cost_units) AS BIGINT) AS cost_units FROM costs GROUP BY 1
 ORDER BY cost_units DESC, session_id LIMIT 100""")
     q["spend_by_agent"] = _with(CANON, COSTS, select="""
-SELECT skill_name, agent_name, query_source, count(*) AS requests, CAST(sum(cost_units) AS BIGINT) AS cost_units,
-  CAST(sum(cost_units) AS DOUBLE) / 100000000 AS cost_usd FROM costs GROUP BY 1, 2, 3""")
+SELECT skill_name, agent_name, plugin_name, query_source, count(*) AS requests,
+  CAST(sum(cost_units) AS BIGINT) AS cost_units, CAST(sum(cost_units) AS DOUBLE) / 100000000 AS cost_usd
+FROM costs GROUP BY 1, 2, 3, 4""")
     q["usage_spikes"] = _with(CANON, COSTS, """
 d AS (SELECT event_date AS usage_date, department, CAST(sum(cost_units) AS BIGINT) AS cost,
   CAST(sum(i + o) AS BIGINT) AS tokens, count(DISTINCT session_id) AS sessions FROM costs GROUP BY 1, 2)""", select="""
@@ -600,7 +690,7 @@ FROM d WINDOW w AS (PARTITION BY department ORDER BY usage_date ROWS BETWEEN 7 P
     q["user_spikes"] = q["usage_spikes"].replace(", department,", ", user_email,").replace("BY department", "BY user_email")
     active = "(SELECT count(DISTINCT user_email) FROM a WHERE day BETWEEN c.d - {} AND c.d)"
     q["dau_wau_mau"] = _with(CANON, """
-a AS (SELECT DISTINCT user_email, event_date AS day FROM canon WHERE event_name = 'assistant_response'),
+a AS (SELECT DISTINCT user_email, event_date AS day FROM canon),
 c AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM a), (SELECT max(day) FROM a), INTERVAL 1 DAY)) AS DATE)
       AS d)""", select=f"""
 SELECT d AS usage_date, {active.format(0)} AS dau, {active.format(6)} AS wau, {active.format(29)} AS mau FROM c""")
@@ -714,12 +804,13 @@ SELECT event_date AS execution_date, tool_name, count(*) AS total_executions, CA
   CAST(month(event_date) AS INTEGER) AS month, CAST(day(event_date) AS INTEGER) AS day
 FROM canon WHERE event_name LIKE 'tool%' GROUP BY 1, 2""")
     q["stream_dedupe"] = _with(CANON, ORDERED, select=f"""
-SELECT session_id, event_name, event_sequence, event_timestamp FROM ordered{good}""")
+SELECT session_id, event_name, event_sequence, CASE WHEN event_id % 7 <> 0 THEN event_timestamp END AS event_timestamp
+FROM ordered{good}""")
     landed = f"landed AS (SELECT * FROM canon{good})"
     q["stream_silver_fanout"] = _with(CANON, landed, select=fan_out.format("landed"))
     q["stream_sessions"] = _with(CANON, landed, SESSIONS.replace("FROM canon", "FROM landed"), select="SELECT * FROM sessions")
     q["stream_tool_counts"] = _with(CANON, f"r AS (SELECT * FROM canon{good} AND event_name = 'tool_result')", select="""
 SELECT CAST(event_date AS TIMESTAMP) AS window_start, CAST(event_date + 1 AS TIMESTAMP) AS window_end, tool_name,
   count(*) AS results, CAST(sum(duration_ms) AS BIGINT) AS duration_ms
-FROM r WHERE event_date + 1 <= (SELECT max(event_timestamp) FROM r) - INTERVAL 1 HOUR GROUP BY event_date, tool_name""")
+FROM r GROUP BY event_date, tool_name""")
     return q

@@ -107,6 +107,7 @@ SILVER_TOKEN_COSTS = _table(
     cache_creation_tokens="long",
     cache_read_tokens="long",
     cost_units="long",
+    list_cost_units="long",
 )
 
 SILVER_SESSIONS = _table(
@@ -154,3 +155,7 @@ SESSION_DAYS = _table(
     cost_units="long",
     batch_id="long",
 )
+
+TOOL_COUNTS = _table(
+    window_start="ts", window_end="ts", tool_name="string", results="long", duration_ms="long", batch_id="long"
+)

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from tracelode.functions import paths
 from tracelode.operators.normalize import parse_lines
 
-# year=/month=/day=/hour= below the landing root.
-HOURLY_GLOB = "*/*/*/*"
-
 
 def _with_audit(lines: DataFrame) -> DataFrame:
     now = F.current_timestamp()
@@ -42,11 +39,23 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return _with_audit(reader.text(path))
 
 
-def stream_lines(spark: SparkSession, path: str, max_files: int = 1000, glob: str | None = None) -> DataFrame:
-    """The same as a stream that takes up to ``max_files`` new files per micro-batch."""
-    reader = (
-        spark.readStream.option("maxFilesPerTrigger", str(max_files)).option("recursiveFileLookup", "true")
-    )
+def stream_lines(
+    spark: SparkSession,
+    path: str,
+    max_files: int = 1000,
+    glob: str | None = None,
+    max_bytes: str | None = None,
+    archive: str | None = None,
+) -> DataFrame:
+    """The same as a stream that takes up to ``max_files`` new files, or ``max_bytes``, per micro-batch.
+
+    With ``archive`` finished files are moved there, so that the driver's listing of the landing
+    stays as short as what is new.
+    """
+    limit = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", str(max_files))
+    reader = spark.readStream.option(*limit).option("recursiveFileLookup", "true")
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return _with_audit(reader.text(path))

@@ -36,6 +36,7 @@ COMMANDS = (
 )
 SKILLS = ("review", "refactor", None)
 AGENTS = ("planner", "explorer", None, None)
+PLUGINS = ("docs", None, "lint", None, None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
@@ -134,6 +135,8 @@ def canonical(
         when("assistant_response", _pick(("main", "main", "main", "subagent", "auxiliary"), "k")).alias("query_source"),
         when("assistant_response", _pick(SKILLS, "k")).alias("skill_name"),
         when("assistant_response", _pick(AGENTS, "k")).alias("agent_name"),
+        when("assistant_response", _pick(PLUGINS, "k")).alias("plugin_name"),
+        F.concat(F.lit("2."), (k % 4).cast("string")).alias("app_version"),
         when("api_error", k % 11 + 1).cast("int").alias("attempt"),
         when("api_error", F.when(k % 2 == 0, 429).otherwise(500)).alias("status_code"),
         F.concat(
@@ -204,11 +207,6 @@ def with_text(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_doc", "text")
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full canonical event log: ordered and with texts."""
-    return with_text(ordered(canonical(spark, sf_dir)), spark, sf_dir)
-
-
 def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Security-relevant events: tool events as they are, api errors spread over the audit event names."""
     names = ("api_error", "permission_mode_changed", "hook_execution_complete", "auth", "mcp_server_connection",
@@ -226,6 +224,7 @@ def audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "to_mode": only("permission_mode_changed", _pick(("default", "plan", "bypass"), "k div 6")),
             "num_blocking": only("hook_execution_complete", k % 4),
+            "action": only("auth", _pick(("login", "logout"), "k div 6")),
             "success": only("auth", F.when(k % 5 == 0, "false").otherwise("true")),
             "status": only("mcp_server_connection", F.when(k % 8 == 4, "failed").otherwise("connected")),
             "is_official": only("plugin_installed", F.when(k % 12 == 5, "true").otherwise("false")),
@@ -370,6 +369,7 @@ def raw_lines(events: DataFrame) -> DataFrame:
         "cache_creation_tokens": "cache_creation_tokens",
         "prompt_tokens": "prompt_tokens",
         "attempt": "attempt",
+        "cost_usd": "cost_usd",
     }
     present = {c: n for c, n in names.items() if c in events.columns}
     when = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -415,6 +415,7 @@ def raw_lines(events: DataFrame) -> DataFrame:
                     cache_read="cache_read_tokens",
                 ).alias("tokens"),
                 F.col("attempt"),
+                *[F.col(c) for c in ("cost_usd",) if c in events.columns],
             ).alias("attributes"),
         ).alias("body"),
         F.col("event_id"),
@@ -426,4 +427,5 @@ def raw_lines(events: DataFrame) -> DataFrame:
         .when(shape == 2, F.to_json(attributes))
         .otherwise(F.to_json(nested))
     )
-    return events.select("event_id", "event_timestamp", line.alias("line"))
+    kept = [c for c in ("landed_at",) if c in events.columns]
+    return events.select("event_id", "event_timestamp", *kept, line.alias("line"))

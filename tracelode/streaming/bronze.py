@@ -17,6 +17,8 @@ def ingest(
     checkpoint: str,
     max_files: int = 1000,
     glob: str | None = None,
+    max_bytes: str | None = None,
+    archive: str | None = None,
 ) -> None:
     """Take in all files not seen yet, then stop.
 
@@ -32,7 +34,7 @@ def ingest(
         out.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{bronze}/batch_id={batch_id}")
 
     query = (
-        landing.stream_lines(spark, source, max_files, glob)
+        landing.stream_lines(spark, source, max_files, glob, max_bytes, archive)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

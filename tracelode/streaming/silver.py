@@ -14,8 +14,8 @@ from tracelode.operators import silver, usage
 from tracelode.operators.normalize import normalize
 from tracelode.sources.sinks import write_table
 
-# The time tells events without a sequence number apart; a re-delivery repeats it.
-EVENT_KEY = ["session_id", "event_name", "prompt_id", "event_sequence", "event_timestamp"]
+# What a re-delivery repeats; ``told_apart`` is the reported time of events without a sequence number.
+EVENT_KEY = ["session_id", "event_name", "prompt_id", "message_uuid", "event_sequence", "told_apart"]
 
 
 def bronze_events(spark: SparkSession, bronze: str, max_files: int = 1000) -> DataFrame:
@@ -34,7 +34,8 @@ def bronze_events(spark: SparkSession, bronze: str, max_files: int = 1000) -> Da
 
 def once(events: DataFrame, watermark: str, keys: list[str] = EVENT_KEY) -> DataFrame:
     """Drop re-deliveries that come within ``watermark`` of the first delivery."""
-    return events.withWatermark("ingested_at", watermark).dropDuplicatesWithinWatermark(keys)
+    keyed = events.withColumn("told_apart", silver.told_apart_by(events)).withWatermark("ingested_at", watermark)
+    return keyed.dropDuplicatesWithinWatermark(keys).drop("told_apart")
 
 
 def fan_out(
@@ -45,7 +46,8 @@ def fan_out(
 ) -> None:
     """Write the silver tables from each micro-batch, then stop when all input is done.
 
-    The batch is normalised once and kept while its writes run. Every write replaces the
+    The batch is normalised once and kept while its writes run, on disk where memory does not
+    hold it; the source bounds a batch by files or bytes. Every write replaces the
     batch's own folder, so a repeated batch changes nothing. ``session_parts`` and
     ``session_days`` hold mergeable measures per batch: a late event adds a part, and no
     session is recomputed.
@@ -83,19 +85,15 @@ def read_session_days(spark: SparkSession, parts: str) -> DataFrame:
     return usage.merge_session_days(spark.read.schema(schemas.SESSION_DAYS).parquet(parts))
 
 
-def compact_sessions(spark: SparkSession, parts: str, out: str) -> None:
-    """Rewrite the parts as one part per session, in a new place."""
-    merged = read_sessions(spark, parts).drop("session_duration_sec")
-    merged.write.mode("overwrite").parquet(f"{out}/batch_id=-1")
+TOOL_DAY_KEYS = ["window_start", "window_end", "tool_name"]
 
 
-def tool_counts(events: DataFrame, watermark: str = "1 hour", width: str = "1 day") -> DataFrame:
-    """Tool results per tool and tumbling window; a window closes when the watermark passes it."""
+def tool_counts(events: DataFrame, width: str = "1 day") -> DataFrame:
+    """Tool results per tool and tumbling window. Counts of several batches add up."""
     results = events.filter(F.col("event_name") == "tool_result")
+    window = F.window(as_instant(F.col("event_timestamp")), width)
     return (
-        results.withColumn("at", as_instant(F.col("event_timestamp")))
-        .withWatermark("at", watermark)
-        .groupBy(F.window("at", width).alias("w"), "tool_name")
+        results.groupBy(window.alias("w"), "tool_name")
         .agg(F.count("*").alias("results"), F.sum("duration_ms").alias("duration_ms"))
         .select(
             as_utc(F.col("w.start")).alias("window_start"),
@@ -105,3 +103,28 @@ def tool_counts(events: DataFrame, watermark: str = "1 hour", width: str = "1 da
             "duration_ms",
         )
     )
+
+
+def count_tools(events: DataFrame, target: str, checkpoint: str, width: str = "1 day") -> None:
+    """Write the tool counts of each micro-batch, then stop when all input is done.
+
+    Files do not arrive in the order of their events, so a window is never closed: a late event
+    adds to its window's counts through a part of its own batch, and the result does not depend on how
+    files fall into batches.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_table(tool_counts(batch, width), f"{target}/batch_id={batch_id}")
+
+    query = (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_tool_counts(spark: SparkSession, parts: str) -> DataFrame:
+    found = spark.read.schema(schemas.TOOL_COUNTS).parquet(parts)
+    return found.groupBy(*TOOL_DAY_KEYS).agg(F.sum("results").alias("results"), F.sum("duration_ms").alias("duration_ms"))
