@@ -17,7 +17,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelode.llm.tables import document, stored, text_key
+from tracelode.llm.tables import text_key
 
 BINS = 128
 BITS = 8
@@ -36,8 +36,12 @@ def _orders(bins: int) -> list[list[int]]:
     return out
 
 
+def _numbers(text: Column) -> Column:
+    return F.split(text, ",").cast("array<int>")
+
+
 def with_lanes(rows: DataFrame, text: str, name: str, bins: int = BINS, shingle: int = SHINGLE) -> DataFrame:
-    """``rows`` with ``name``: the low bits of the bins, an empty array for a text without words."""
+    """``rows`` with ``name``: the low eight bits of each bin, less 128, an empty array for a text without words."""
     shift = 64 - (bins - 1).bit_length()
     keep = [c for c in rows.columns]
     words = F.filter(F.split(F.coalesce(text, F.lit("")), "[ \\x09-\\x0D]+"), lambda w: w != "")
@@ -59,26 +63,27 @@ def with_lanes(rows: DataFrame, text: str, name: str, bins: int = BINS, shingle:
     dense = F.when(F.size("_m") == bins, F.col("_m")).otherwise(dense)
     rows = rows.select(*keep, F.size("_m").alias("_n"), dense.alias("_d"))
     orders = _orders(bins)
-    table = [F.array(*[F.lit(o[k]) for o in orders]) for k in range(min(TRIES, bins - 1))]
-    every = F.array(*[F.array(*[F.lit(x) for x in o]) for o in orders])
+    # As text, which the optimizer turns into constant arrays: thousands of literals would be planned one by one.
+    table = [_numbers(F.lit(",".join(str(o[k]) for o in orders))) for k in range(min(TRIES, bins - 1))]
+    every = F.split(F.lit(";".join(",".join(map(str, o)) for o in orders)), ";")
     filled = F.transform(
         "_d",
         lambda x, b: F.coalesce(
             x,
             *[F.get("_d", F.get(t, b)) for t in table],
-            F.get(F.filter(F.transform(F.get(every, b), lambda p: F.get("_d", p)), lambda v: v.isNotNull()), F.lit(0)),
+            F.get(F.filter(F.transform(_numbers(F.get(every, b)), lambda p: F.get("_d", p)), lambda v: v.isNotNull()), F.lit(0)),
         ),
     )
     filled = F.when(F.col("_n") < bins, filled).otherwise(F.col("_d"))
-    lanes = F.when(F.col("_n") == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(filled, lambda x: x.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))
+    lanes = F.when(F.col("_n") == 0, F.array().cast("array<tinyint>")).otherwise(
+        F.transform(filled, lambda x: (x.bitwiseAND(F.lit((1 << BITS) - 1)) - 128).cast("tinyint"))
     )
     return rows.select(*keep, lanes.alias(name))
 
 
 def packed(lanes: str | Column) -> Column:
     """Two hexadecimal digits per bin."""
-    return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), 2, "0")), "")
+    return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x.cast("int") + 128)), 2, "0")), "")
 
 
 def likeness(left: str, right: str, bins: int = BINS) -> Column:
@@ -93,60 +98,49 @@ def likeness(left: str, right: str, bins: int = BINS) -> Column:
     )
 
 
-def _followers(docs: DataFrame) -> DataFrame:
-    """document, next, times: how often the document is followed by that one, in descending order of doc_id, in a ring.
+def _ranges(docs: DataFrame) -> list[tuple[int | None, int | None]]:
+    """Largest and smallest doc_id of each range of ids, descending; at the end (None, None) if there are null ids.
 
-    Ids are dealt into ranges. Each range is ordered on its own, and its last id is followed by the next range's first.
+    As many ranges as a shuffle has partitions: what the driver gathers does not grow with the rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), text_key()).groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("text_key")]
-    rows = stored(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranges")
-    inside = Window.partitionBy("part").orderBy(*order)
-    one = F.struct("doc_id", "text_key")
-    rows = rows.select("part", "n", one.alias("document"), F.lead(one).over(inside).alias("next"), F.row_number().over(inside).alias("i"))
-    firsts = stored(rows.filter("i = 1").select("part", "document"), "firsts")  # one row per range
-    ring = Window.orderBy("part")
-    everything = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = firsts.select("part", F.coalesce(F.lead("document").over(ring), F.first("document").over(everything)).alias("after"))
-    rows = rows.join(after, "part").select("document", "n", F.coalesce("next", "after").alias("next"))
-    steps = F.array(
-        F.struct("next", F.lit(1).cast("long").alias("times")),
-        F.struct(F.col("document").alias("next"), (F.col("n") - 1).alias("times")),
-    )
-    rows = rows.select("document", F.explode(F.filter(steps, lambda s: s["times"] > 0)).alias("step"))
-    return rows.select("document", "step.next", "step.times")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    dealt = ids.filter("doc_id is not null").repartitionByRange(F.desc("doc_id")).withColumn("part", F.spark_partition_id())
+    spans = dealt.groupBy("part").agg(F.max("doc_id").alias("high"), F.min("doc_id").alias("low")).collect()
+    out = sorted(((r["high"], r["low"]) for r in spans), reverse=True)
+    return out + [(None, None)] * (not ids.filter("doc_id is null").isEmpty())
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """Each document's fingerprint, that of its edited text, and both likenesses; columns as the contract names them."""
-    texts = docs.select("doc_id", text_key(), F.coalesce("text", F.lit("")).alias("text")).select(document().alias("document"), "text")
-    own = with_lanes(texts, "text", "lanes").select("document", F.length("text").cast("long").alias("n_chars"), "lanes")
-    # Rows equal in id and text are one document here; the ring knows how many there are.
-    own = stored(own.groupBy("document").agg(F.any_value("n_chars").alias("n_chars"), F.any_value("lanes").alias("lanes")), "lanes")
+    """Each document's fingerprint, that of its edited text, and both likenesses; columns as the contract names them.
 
-    ring = stored(_followers(docs), "ring")
+    Ids are dealt into ranges and each range is ordered on its own, so the texts are shuffled once. A
+    range is followed by a copy of the documents with the first id of the next range, the last range by those of the first.
+    """
+    spark = docs.sparkSession
+    ring = _ranges(docs)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), F.coalesce("text", F.lit("")).alias("text"))
+    lows = F.split(F.lit(",".join(str(low) for _, low in ring if low is not None)), ",")
+    lows = F.filter(lows, lambda x: x != "").cast("array<bigint>")
+    part = F.when(F.col("doc_id").isNull(), len(ring) - 1).otherwise(F.size(F.filter(lows, lambda low: low > F.col("doc_id"))))
+    first_ids = [(high, (i - 1) % len(ring)) for i, (high, _) in enumerate(ring)]
+    after = F.broadcast(spark.createDataFrame(first_ids, "first long, part int"))  # one row per range
+    copies = rows.join(after, F.col("doc_id").eqNullSafe(F.col("first"))).drop("first").withColumn("copy", F.lit(True))
+    rows = rows.withColumn("part", part).withColumn("copy", F.lit(False)).unionByName(copies)
+    rows = with_lanes(rows, "text", "lanes")
+
+    order = Window.partitionBy("part").orderBy("copy", F.desc_nulls_last("doc_id"), "text_key")
+    rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_lanes", F.lead("lanes").over(order))
+    rows = rows.filter(~F.col("copy"))
     half = F.floor(F.length("text") / 2).cast("int")
-    once = Window.partitionBy("document").orderBy("document")
-    single = texts.withColumn("_copy", F.row_number().over(once)).filter("_copy = 1").drop("_copy")
-    heads = ring.join(single, "document").select(
-        "document", "next", "times", F.substring("text", F.lit(1), F.length("text") - half).alias("head"), half.alias("half")
-    )
-    follow = single.select(F.col("document").alias("next"), F.col("text").alias("tail"))
-    pairs = heads.join(follow, "next").select(
-        "document", "next", "times", F.concat("head", F.substring("tail", F.lit(1), F.col("half"))).alias("edited")
-    )
-    pairs = with_lanes(pairs, "edited", "edited_lanes")
-    pairs = pairs.select("document", "next", "times", "edited_lanes", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    after = own.select(F.col("document").alias("next"), F.col("lanes").alias("next_lanes"))
-    rows = pairs.join(own, "document").join(after, "next")
-    rows = rows.select(
-        F.col("document.doc_id").alias("doc_id"),
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
+    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "lanes", "next_lanes", edited.alias("edited"))
+    rows = with_lanes(rows, "edited", "edited_lanes")
+    return rows.select(
+        "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         packed("lanes").alias("fingerprint"),
         packed("edited_lanes").alias("edited_fingerprint"),
         likeness("lanes", "edited_lanes").alias("near_edited"),
         likeness("lanes", "next_lanes").alias("near_next"),
-        F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("_copy"),
     )
-    return rows.drop("_copy")
