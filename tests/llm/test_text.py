@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tracelode.llm import fingerprints, language, licenses, packing, toxicity, words
 from tracelode.llm.queries import QUERIES
+from tracelode.llm.tables import stored
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -162,14 +163,16 @@ def test_non_negative_risk_ignores_labels_of_the_unlabelled():
 
 
 def test_held_out_toxicity(spark):
-    got = QUERIES["op7_toxicity"](spark, SF_DIR)
-    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", "toxic")
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    """On the larger table: the smaller one has 38 toxic documents in four languages to learn from."""
+    folder = "/root/testdata/sf0.1"
+    got = stored(QUERIES["op7_toxicity"](spark, folder), "scores")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
     assert got.count() == docs.count()
     r = got.join(labels, "doc_id").filter("held_out").agg(
         F.sum(F.expr("int(toxic = 1 and predicted = 1)")).alias("hit"), F.sum("toxic").alias("toxic"), F.sum("predicted").alias("said")
     ).first()
-    assert r["hit"] >= 0.7 * r["toxic"] and r["hit"] >= 0.9 * r["said"]
+    assert r["hit"] >= 0.85 * r["toxic"] and r["hit"] >= 0.75 * r["said"]
     assert got.filter("score < 0 or score > 1 or predicted != int(score >= 0.3)").isEmpty()
 
 
@@ -219,7 +222,8 @@ def test_notices_with_edits():
             line = "one two " + "".join(text) + " three"
             _, _, found = licenses.scan_text(line.encode())
             assert label in {f[2] for f in found}, line
-            whole = regex.search(f"(?b)(?:{regex.escape(notice)}){{e<={most}}}", line)
+            spaced = " ".join(line.split())  # a space more or less is no word
+            whole = regex.search(f"(?b)(?:{regex.escape(notice)}){{e<={most}}}", spaced)
             assert min(f[3] for f in found if f[2] == label) <= sum(whole.fuzzy_counts)
     assert licenses.scan_text(b"nothing of the kind is said in these words at all")[2] == []
 

@@ -213,7 +213,10 @@ def predict(docs: DataFrame, model: Model, und: str = "und") -> DataFrame:
     return rest.mapInArrow(run, schema)
 
 
-def keep_recognised(docs: DataFrame, max_bits: float = 8.0) -> DataFrame:
-    """The rows in a learnt language: with a letter, and coded in fewer bits than plain bytes need."""
+def keep_recognised(docs: DataFrame, max_bits: float = 12.0) -> DataFrame:
+    """The rows in a learnt language: with a letter, and not far beyond the 8 bits a byte that noise needs.
+
+    Text like the sample takes two or three bits a byte, text full of unknown words up to eight or ten.
+    """
     judged = predict(docs, learn(docs))
     return judged.filter((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < max_bits)).select(*docs.columns)
