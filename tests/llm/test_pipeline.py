@@ -1,7 +1,9 @@
 """Operators 2 and 5, the pipeline, and the queries that have SQL."""
 
+import random
 import sys
 from collections import Counter
+from fractions import Fraction
 from pathlib import Path
 
 import brute
@@ -135,6 +137,55 @@ def test_mixing_of_repeated_rows_and_nothing(spark):
     assert mixing.mixed(corpus.frame(spark, [])).count() == mixing.in_order(corpus.frame(spark, [])).count() == 0
 
 
+def test_blocks_stay_within_one_of_the_requested_weights():
+    rng = random.Random(3)
+    cases = [{"a": 1, "b": 0.001}, {"a": 5, "b": 1}, {str(i): rng.random() ** 4 for i in range(60)}, {"a": 0.1, "b": 1e-9, "c": 0.3}]
+    for weights in cases:
+        total = sum(map(Fraction, weights.values()))
+        shares = [Fraction(w) / total for w in weights.values()]
+        jobs = [range(int(30_000 * w) + 1) for w in shares]
+        who, slots = mixing.turns([Fraction(w) for w in weights.values()], jobs)
+        assert Counter(who.tolist()) == {i: len(j) for i, j in enumerate(jobs)} and (slots[1:] > slots[:-1]).all()
+        done = [0] * len(shares)
+        for i, t in zip(who.tolist(), slots.tolist()):
+            k, w = done[i], shares[i]
+            assert k / w // 1 <= t < -(-(k + 1) / w // 1)
+            done[i] += 1
+
+
+def test_mixture_of_requested_weights(spark, monkeypatch):
+    """Sources a and b in 1 : 0.001, then c, which has no weight; also in groups."""
+    n = {"a": 2100, "b": 3, "c": 5}
+    rows = [(i, s) for i, s in enumerate(x for x, k in n.items() for _ in range(k))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string").withColumn("text", F.lit("x"))
+    for sources in (mixing.SOURCES, 2):
+        monkeypatch.setattr(mixing, "SOURCES", sources)
+        got = mixing.mixed(docs, {"a": 1, "b": 0.001}, block=1).orderBy("position").collect()
+        assert [r["position"] for r in got] == list(range(len(rows))) and {r["source"] for r in got[-5:]} == {"c"}
+        assert Counter(r["source"] for r in got) == n
+        assert len({r["slot"] for r in got}) == len(rows)
+        assert {r["source"]: round(r["weight"], 9) for r in got} == {"a": 0.999000999, "b": 0.000999001, "c": 0.0}
+        seen = 0
+        for t, r in enumerate(got[:2000], 1):
+            seen += r["source"] == "b"
+            assert abs(seen - t / 1001) < 2
+
+
+def test_many_sources_in_groups(spark, monkeypatch):
+    rng = random.Random(4)
+    names = [f"s{i}" for i in range(40) for _ in range(rng.randint(1, 12) + 200 * (i == 7))]
+    docs = spark.createDataFrame(list(enumerate(names)), "doc_id long, source string").withColumn("text", F.lit("x"))
+    monkeypatch.setattr(mixing, "SOURCES", 10)
+    monkeypatch.setattr(mixing, "GROUPS", 6)
+    got = mixing.mixed(docs, block=2).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(len(names)))
+    assert Counter(r["source"] for r in got) == Counter(names)
+    root = {s: n**0.5 for s, n in Counter(names).items()}
+    for r in got:
+        w = root[r["source"]] / sum(root.values())
+        assert abs(r["weight"] - w) < 1e-12 and abs(r["block"] - r["slot"] * w) < 2
+
+
 # Pipeline
 
 
