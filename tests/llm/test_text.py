@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tracelode.llm import fingerprints, language, licenses, packing, toxicity, words
 from tracelode.llm.queries import QUERIES
-from tracelode.llm.tables import stored
+from tracelode.llm.tables import held_out, stored
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -176,6 +176,34 @@ def test_held_out_toxicity(spark):
     assert got.filter("score < 0 or score > 1 or predicted != int(score >= 0.3)").isEmpty()
 
 
+@pytest.mark.parametrize("n", [2400, 6000])
+def test_rare_cues_and_languages_are_learnt_from_any_number_of_labels(spark, n):
+    """0.8 % of the toxic texts hold only a rare cue, 0.8 % are in a language of their own."""
+    rng = random.Random(6)
+    docs, labels, kinds = [], [], {}
+    for i in range(8 * n):
+        text = [f"w{rng.randrange(300)}" for _ in range(12)]
+        if i < n:
+            kind = "rare" if i % 125 == 0 else "minority" if i % 125 == 1 else "common"
+            if kind == "minority":
+                text = [f"жш{rng.randrange(100)}" for _ in range(12)]
+            text[rng.randrange(12)] = {"rare": "qrare", "minority": "грубо", "common": f"vile{rng.randrange(3)}"}[kind]
+            labels.append((i, 0, 1))
+            kinds[i] = kind
+        elif i % 125 == 1:
+            text = [f"жш{rng.randrange(100)}" for _ in range(12)]
+        docs.append((i, " ".join(text)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.score(docs, toxicity.learn(docs, labels, prior=0.125))
+    scores = {r["doc_id"]: r["score"] for r in got.filter(held_out()).collect()}
+    for kind in ("rare", "minority", "common"):
+        own = [s >= toxicity.THRESHOLD for i, s in scores.items() if kinds.get(i) == kind]
+        assert own and sum(own) >= 0.8 * len(own), kind
+    clean = [s >= toxicity.THRESHOLD for i, s in scores.items() if i not in kinds]
+    assert sum(clean) <= 0.02 * len(clean)
+
+
 def test_toxicity_without_labels_or_texts(spark):
     docs = corpus.frame(spark, corpus.documents(1))
     for rows in ([], [(None, 1, 1), (1000, None, None)], [(1000, 0, 0)]):

@@ -6,6 +6,7 @@ not. A linear numpy classifier on the presence of word and word-stem features mi
 add to the negative risk is taken out again, and the rest is kept from falling below zero, where it would only fit noise.
 
 The classifier is fitted on at most about ``positives`` and ``unlabelled`` documents, chosen by a hash of doc_id, whole texts.
+A feature must occur in LEAST positives, three times as often in them as among the unlabelled, and pass a test of z > 3.5.
 Held-out rows take no part. Every whole text is scored. Null and empty texts have no features and get the score of
 the bias. Without a confirmed positive every score is 0. Repeated labels of a document count once; one toxic label confirms it.
 """
@@ -29,6 +30,8 @@ FEATURES = 4096
 #: Besides the whole word, its first so many bytes are features.
 STEMS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
+#: Positives of the sample that a feature must occur in, whatever their number.
+LEAST = 3
 
 #: Words are runs of digits, lower-case letters and bytes of non-ASCII characters.
 SEPARATOR = np.ones(256, bool)
@@ -170,7 +173,7 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
 
     rate_p, rate_u = F.col("p") / n_p, F.col("u") / n_u
     z = (rate_p - rate_u) / F.sqrt((rate_p + rate_u) / 2 * (1.0 / n_p + 1.0 / n_u))
-    strong = _feature_counts(sample).filter((F.col("p") >= max(3, n_p / 100)) & (rate_p > 3 * rate_u))
+    strong = _feature_counts(sample).filter((F.col("p") >= LEAST) & (rate_p > 3 * rate_u))
     strong = strong.withColumn("z", z).filter("z > 3.5")
     chosen = strong.orderBy(F.desc("z"), "feature").limit(n_features).collect()
     vocabulary = Vocabulary(np.array([r["feature"] for r in chosen], np.int64).view(np.uint64))
