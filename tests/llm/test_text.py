@@ -1,7 +1,10 @@
 """Operators 3, 6, 7, 8 and 10: round trips, brute force, held-out accuracy."""
 
+import functools
 import random
+import string
 import zlib
+from collections import Counter
 
 import brute
 import corpus
@@ -283,6 +286,65 @@ def test_code_lengths_are_exact():
             assert np.allclose(np.exp2(before - bits).sum(0), 1, atol=1e-4)
 
 
+def _grams(text):
+    wide = np.frombuffer(b"\n\n\n" + text, np.uint8).astype(np.int64)
+    return np.unique((wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:], return_counts=True)
+
+
+def test_all_contexts_of_three_bytes_are_kept_for_many_languages_and_scripts():
+    """Twelve languages over the same pairs of letters, told apart by what follows three of them; one is Cyrillic, one Chinese.
+
+    With the printable characters the bytes are as many kinds as in ordinary corpora.
+    """
+    rng = random.Random(8)
+    texts = {}
+    for i in range(9):
+        own = random.Random(i)
+        shift = {b + c: own.randrange(8) for b in "abcdefgh" for c in "abcdefgh"}  # any two letters are followed by all alike
+        follows = {(a, b, c): "abcdefgh"[(ord(a) + shift[b + c]) % 8] for a in "abcdefgh" for b in "abcdefgh" for c in "abcdefgh"}
+
+        def line(size, follows=follows):
+            out = [rng.choice("abcdefgh") for _ in range(3)]
+            while len(out) < size:
+                out.append(follows[tuple(out[-3:])] if rng.random() < 0.6 else rng.choice("abcdefgh"))
+            return "".join(out)
+
+        texts[f"l{i:02}"] = (line(30_000), [line(200) for _ in range(20)])
+    for lang, letters in (("ascii", string.printable), ("ru", "абвгдежзийклмнопрстуфхцчшщъыьэюя"), ("zh", "".join(map(chr, range(0x4E00, 0x4F40))))):
+        texts[lang] = ("".join(rng.choice(letters) for _ in range(8000)), ["".join(rng.choice(letters) for _ in range(40))])
+    langs = sorted(texts)
+    model = language.Model(langs, {lang: _grams(texts[lang][0].encode()) for lang in langs})
+    right = []
+    for lang, (_, lines) in texts.items():
+        data = [x.encode() for x in lines]
+        bits = model.bits(np.cumsum([0, *map(len, data)]), np.frombuffer(b"".join(data), np.uint8))
+        right += [langs[k] == lang for k in bits.argmin(1)]
+    assert np.mean(right) > 0.98
+
+
+def test_code_lengths_follow_method_c():
+    """Against a plain recursion over the contexts."""
+    text = "the cat sat on the mat, дом и кот ".encode() * 2
+    padded = b"\n\n\n" + text
+
+    def p(context, byte):
+        longer = p(context[1:], byte) if context else 1 / 256
+        after = Counter(padded[i] for i in range(3, len(padded)) if padded[i - len(context) : i] == context)
+        if not after:
+            return longer
+        if byte in after:
+            return after[byte] / (sum(after.values()) + len(after))
+        rest = sum(p(context[1:], b) if context else 1 / 256 for b in range(256) if b not in after)
+        return len(after) / (sum(after.values()) + len(after)) * longer / rest
+
+    p = functools.cache(p)
+    model = language.Model(["x"], {"x": _grams(text)})
+    for sample in (b"the dog", "кит z".encode(), b"\xff\x00a"):
+        whole = b"\n\n\n" + sample
+        want = -sum(np.log2(p(whole[i - 3 : i], whole[i])) for i in range(3, len(whole)))
+        assert np.isclose(model.bits(np.array([0, len(sample)]), np.frombuffer(sample, np.uint8))[0, 0], want)
+
+
 def test_blocks_do_not_change_code_lengths(monkeypatch):
     wide = np.frombuffer(b"\n\n\n" + b"abracadabra " * 40, np.uint8).astype(np.int64)
     grams = {"x": np.unique((wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:], return_counts=True)}

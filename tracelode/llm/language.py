@@ -6,6 +6,9 @@ goes to the bytes unseen here, in the proportions of the next shorter context, d
 Every context's probabilities sum to one, so the summed ``-log2`` is an exact code length. The
 language with the shortest code wins.
 
+Each language stores the bytes seen in each of its contexts and one escape per context, nothing else, so every learnt
+context is used, whatever the number of languages and scripts.
+
 Learnt from at most about ``docs_per_language`` documents of each language, chosen by a hash of
 doc_id. Texts are read whole, for learning and for scoring. A null text or one without a letter gives
 ``und`` and score 0; so does everything if no language could be learnt.
@@ -26,8 +29,6 @@ from tracelode.llm.words import chunks, text_buffers
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 1500
-#: Bound on the broadcast table of code lengths; the most frequent contexts of three bytes fill it.
-TABLE_BYTES = 48 << 20
 #: What stands before the first byte of a text.
 START = 0x0A
 _BLOCK = 1 << 18
@@ -67,94 +68,82 @@ def gram_counts(sample: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class Tree:
+    """Frozen code lengths of one language: seen strings of context and byte, and the escape of each context, both by order."""
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray):
+        shorter, sums = np.zeros(0), np.zeros(0, np.int64)
+        self.grams: list[np.ndarray] = []
+        self.seen: list[np.ndarray] = []
+        self.contexts: list[np.ndarray] = []
+        self.escapes: list[np.ndarray] = []
+        for order in range(ORDER + 1):
+            key, at = np.unique(gram & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            sums = np.bincount(at, n, len(key))
+            context, of = np.unique(key >> 8, return_inverse=True)
+            total, kinds = np.bincount(of, sums, len(context)), np.bincount(of, minlength=len(context))
+            # A string seen in a context is also seen in the next shorter one.
+            below = shorter[np.searchsorted(self.grams[-1], key & ((1 << 8 * order) - 1))] if order else np.full(len(key), 1 / 256)
+            rest = 1 - np.bincount(of, below, len(context))
+            escape = np.where(kinds < 256, kinds, 0)
+            shorter = sums / (total + escape)[of]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cost = np.where(escape > 0, np.log2((total + escape) / escape) + np.log2(np.maximum(rest, 1e-300)), 0)
+            self.grams.append(key)
+            self.seen.append(-np.log2(shorter))
+            self.contexts.append(context)
+            self.escapes.append(cost)
+
+    def bits(self, gram: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each gram after the bytes before it."""
+        out = np.full(len(gram), 8.0)
+        for order in range(ORDER + 1):
+            key = gram & ((1 << 8 * (order + 1)) - 1)
+            at, known = _find(self.contexts[order], key >> 8)
+            out += np.where(known, self.escapes[order][at], 0)
+            at, known = _find(self.grams[order], key)
+            out = np.where(known, self.seen[order][at], out)
+        return out
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place among the sorted keys, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 class Model:
-    """Frozen code lengths: for each context and byte, one of each language."""
-
-    def __init__(self, langs: list[str], grams: dict[str, tuple[np.ndarray, np.ndarray]], table_bytes: int = TABLE_BYTES):
-        self.langs = langs
-        if not langs:
-            return
-        seen = np.zeros(256, bool)
-        for gram, _ in grams.values():
-            seen[gram & 255] = True
-        seen[START] = True
-        known = np.flatnonzero(seen)
-        self.size = size = len(known) + 1  # the last code stands for all other bytes
-        self.code = np.full(256, size - 1, np.int64)
-        self.code[known] = np.arange(len(known))
-        others = 256 - len(known)
-
-        coded = {}
-        for lang in langs:
-            gram, n = grams[lang]
-            digits = [self.code[(gram >> s) & 255] for s in (24, 16, 8, 0)]
-            coded[lang] = (digits, n)
-
-        total = np.zeros(size**ORDER, np.int64)
-        for (a, b, c, _), n in coded.values():
-            np.add.at(total, (a * size + b) * size + c, n)
-        pairs = size**2
-        room = max(0, table_bytes // (4 * size * len(langs)) - pairs)
-        order = np.argsort(-total, kind="stable")[:room]
-        kept = np.sort(order[total[order] > 1])
-        self.row = np.tile(np.arange(pairs, dtype=np.int32), size)  # by three codes: the context of two, or
-        self.row[kept] = pairs + np.arange(len(kept), dtype=np.int32)  # the context of three
-        lengths = np.empty((pairs + len(kept), size, len(langs)), np.float32)
-        base = np.full(size, 1 / 256)
-        base[-1] = others / 256
-        for i, lang in enumerate(langs):
-            (a, b, c, d), n = coded[lang]
-
-            def matrix(context, rows):
-                out = np.zeros((rows, size))
-                inside = context >= 0
-                np.add.at(out, (context[inside], d[inside]), n[inside])
-                return out
-
-            p = _mixed(matrix(np.zeros_like(c), 1), base[None, :])
-            p = _mixed(matrix(c, size), np.repeat(p, size, 0))
-            p = _mixed(matrix(b * size + c, pairs), np.tile(p, (size, 1)))
-            lengths[:pairs, :, i] = -np.log2(p)
-            at = np.full(size**ORDER, -1, np.int64)
-            at[kept] = np.arange(len(kept))
-            p = _mixed(matrix(at[(a * size + b) * size + c], len(kept)), p[kept % pairs])
-            lengths[pairs:, :, i] = -np.log2(p)
-        if others:
-            lengths[:, -1, :] += np.log2(others)  # one of the other bytes
-        self.lengths = lengths.reshape(-1, len(langs))
+    """One tree per language. ``block``: bytes of text looked up at once; it steers the cost, never the result."""
+
+    def __init__(self, langs: list[str], grams: dict[str, tuple[np.ndarray, np.ndarray]], block: int | None = None):
+        self.langs, self.block = langs, block
+        self.trees = [Tree(*grams[lang]) for lang in langs]
 
     def bits(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
         """Code length of each text under each language."""
         n, text_sizes = len(offsets) - 1, np.diff(offsets)
         out = np.zeros((n, len(self.langs)))
         text, begins = _padded(offsets, data)
-        code = self.code[text]
-        for at in range(ORDER, len(code), _BLOCK):
-            part = slice(at, min(at + _BLOCK, len(code)))
-            a, b, c = (code[part.start - k : part.stop - k] for k in (3, 2, 1))
-            rows = self.row[(a * self.size + b) * self.size + c]
-            lengths = self.lengths[rows * np.int64(self.size) + code[part]]
-            first = np.maximum(begins, part.start) - part.start
-            last = np.minimum(begins + text_sizes, part.stop) - part.start
+        block = self.block or _BLOCK
+        for at in range(ORDER, len(text), block):
+            stop = min(at + block, len(text))
+            first = np.maximum(begins, at) - at
+            last = np.minimum(begins + text_sizes, stop) - at
             inside = np.flatnonzero(first < last)
-            if len(inside):
-                cuts = np.stack([first[inside], last[inside]], 1).ravel()
-                padded = np.vstack([lengths, np.zeros((1, lengths.shape[1]), np.float32)])
-                out[inside] += np.add.reduceat(padded, cuts, axis=0, dtype=np.float64)[::2]
+            if not len(inside):
+                continue
+            cuts = np.stack([first[inside], last[inside]], 1).ravel()
+            gram = np.zeros(stop - at, np.uint32)
+            for k in range(ORDER, -1, -1):
+                gram = (gram << np.uint32(8)) | text[at - k : stop - k]
+            gram, place = np.unique(gram, return_inverse=True)
+            gram = gram.astype(np.int64)
+            for i, tree in enumerate(self.trees):
+                lengths = np.append(tree.bits(gram)[place], 0.0)
+                out[inside, i] += np.add.reduceat(lengths, cuts)[::2]
         return out
 
 
-def _mixed(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Probabilities in contexts with these counts; ``shorter`` are those one byte shorter."""
-    total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-    unseen = np.where(counts > 0, 0, shorter)
-    rest = unseen.sum(1, keepdims=True)
-    escape = np.where(rest > 0, kinds, 0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        p = counts / (total + escape) + np.where(rest > 0, unseen / rest, 0) * escape / (total + escape)
-    return np.where(total > 0, p, shorter)
-
-
 def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, min_count: int = 2) -> Model:
     """The frozen model. Held-out documents and rows without a language or text are left out.
 
