@@ -46,6 +46,32 @@ def test_ngram_groups_of_repeated_rows_and_null_ids(spark):
     assert rows(kept, "doc_id", "text") == sorted([(7, "a b c d"), (None, "x y z"), (None, ""), (3, None)], key=repr)
 
 
+def test_every_link_is_delivered(spark, monkeypatch):
+    """Near copies of one text: links between all different sets, their overlaps, and the links of each row; in blocks, too."""
+    rng = random.Random(7)
+    base, docs = corpus.words(rng, 150, 10**6), []
+    for i in range(40):
+        own = list(base)
+        own[rng.randrange(150)] = f"n{i // 2}x{rng.random()}"
+        docs += [(100 + i, " ".join(own))] * (1 + i % 2)
+    docs = [(1000 + i, t) for i, (_, t) in enumerate(docs + corpus.documents(1))]
+    sets = [brute.shingles(t, 3) for _, t in docs]
+    near = [[j for j, b in enumerate(sets) if j != i and a & b and 100 * len(a & b) >= 90 * len(a | b)] for i, a in enumerate(sets)]
+    for block, spot in ((ngram_join.BLOCK, ngram_join.NEAR), (7, 5)):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "NEAR", spot)
+        members, links = ngram_join.join(corpus.frame(spark, docs), 3, 90, 100)
+        members = {r["doc_id"]: r for r in members.collect()}
+        assert [members[d]["n_links"] for d, _ in docs] == [len(x) for x in near]
+        of = {}
+        for (d, _), own in zip(docs, sets):
+            assert of.setdefault(members[d]["class"], own) == own
+        want = {tuple(sorted((members[docs[i][0]]["class"], members[docs[j][0]]["class"]))) for i, x in enumerate(near) for j in x if sets[i] != sets[j]}
+        got = links.collect()
+        assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want) > 700
+        assert all(r["overlap"] == len(of[r["a"]] & of[r["b"]]) for r in got)
+
+
 def test_bitmaps_never_discard_too_much():
     import numpy as np
 

@@ -9,11 +9,14 @@ one class, and only one of them is multiplied. Two rows of sizes a and b can onl
 * *Place.* What can still follow a shared n-gram, and the ratio of the sizes, must reach the bound.
 * *Bitmap.* Each row is folded to four bits per n-gram; the bits in which two rows differ bound their overlap.
 
-What is left is multiplied in full: blocks of pairs are joined to both rows, and overlaps counted exactly.
+What is left are candidates. This is a prefix filter with exact verification, not a product that adds up one n-gram after
+another: those sums would need a row for every shared n-gram of every pair. Candidates are dealt to blocks of rows that lie
+near each other, the sets of a block meet those of another once, and overlaps are counted exactly.
 
-Groups of near copies would make all pairs, so the product runs twice. First every row meets one row of
-about its size in each of its columns. Then only pairs that these links do not yet connect are made.
-Only pairs of linked classes decide the result: links inside a connected group cannot change it.
+``join`` gives every link between different sets with its overlap, and for each row its class, component and number of links.
+A group of m different near copies has up to m * m / 2 links, and all are made. ``keep_one_of_each`` needs only the groups:
+there every row first meets one row of about its size in each of its columns, and then only pairs that these links
+do not yet connect are made, which cannot change the components.
 
 Null texts and texts without words have no n-grams and are linked with nothing. Texts with fewer words have
 their whole word sequence as one n-gram. A null doc_id is never the smallest; a group of such rows only has a null component. Repeated
@@ -38,6 +41,8 @@ from tracelode.llm.words import LOWER, chunks, hash_words, mix, signed, split, w
 FREQUENT = 1 << 18
 #: What a task reports of its own most frequent n-grams, at most.
 FREQUENT_PER_TASK = 1 << 16
+#: Rows of a block: of a column of the product, and of sets that are compared.
+BLOCK, NEAR = 512, 64
 #: n-grams a task gathers before it counts them.
 _GATHER = 1 << 21
 
@@ -173,6 +178,15 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(run, "row long, grams array<long>")
 
 
+def _near(pairs: DataFrame) -> DataFrame:
+    """row, spot: rows that share the least row among their partners share a spot, or several if there are many of them."""
+    both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    homes = both.groupBy(F.col("a").alias("row")).agg(F.least("a", F.min("b")).alias("home"))
+    many = homes.groupBy("home").agg(F.ceil(F.count("*") / NEAR).alias("cuts"))
+    cut = F.pmod(F.xxhash64("row"), F.col("cuts"))
+    return homes.join(many, "home").select("row", F.xxhash64("home", cut).alias("spot"))
+
+
 def _linked(pairs: DataFrame, rows: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """a, b, overlap of the pairs that link."""
     light = rows.select("row", "n_shingles", "bits")
@@ -180,93 +194,131 @@ def _linked(pairs: DataFrame, rows: DataFrame, texts: DataFrame, n: int, num: in
     for side in ("a", "b"):
         sides.append(light.select(F.col("row").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")))
     left = stored(_possible(pairs.join(sides[0], "a").join(sides[1], "b"), num, den), "possible")
-    needed = left.select(F.col("a").alias("row")).union(left.select(F.col("b").alias("row"))).distinct()
-    sets = stored(_sets(texts.join(needed, "row", "left_semi"), n), "sets")
-    full = left.join(sets.select(F.col("row").alias("a"), F.col("grams").alias("x")), "a")
-    full = full.join(sets.select(F.col("row").alias("b"), F.col("grams").alias("y")), "b")
+    near = stored(_near(left), "near")
+    sets = stored(_sets(texts.join(near, "row", "left_semi"), n), "sets")
+    left = left.join(near.select(F.col("row").alias("a"), F.col("spot").alias("x")), "a")
+    left = left.join(near.select(F.col("row").alias("b"), F.col("spot").alias("y")), "b").select("x", "y", "a", "b")
+    left = stored(left, "dealt")
+    met = left.select("x", "y", F.col("a").alias("row")).union(left.select("x", "y", F.col("b").alias("row"))).distinct()
+    met = met.join(sets, "row").select("x", "y", F.col("row").alias("a"), F.lit(None).cast("long").alias("b"), "grams")
+    full = met.union(left.withColumn("grams", F.lit(None).cast("array<long>")))
+    full = full.repartition("x", "y").sortWithinPartitions("x", "y", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
         for batch in batches:
-            mask, shared = [], []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                overlap = len(np.intersect1d(x, y, assume_unique=True))
-                shared.append(overlap)
-                mask.append(den * overlap >= num * (len(x) + len(y) - overlap))
-            out = [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64())]
-            yield pa.RecordBatch.from_arrays(out, names=["a", "b", "overlap"]).filter(pa.array(mask, pa.bool_()))
+            out: list[tuple[int, int, int]] = []
+            grams = batch.column("grams")
+            columns = (batch.column(c).to_pylist() for c in ("x", "y", "a", "b"))
+            for i, (x, y, a, b) in enumerate(zip(*columns)):
+                if at != (x, y):
+                    at, held = (x, y), {}
+                if b is None:
+                    held[a] = grams[i].values.to_numpy().copy()
+                    continue
+                overlap = len(np.intersect1d(held[a], held[b], assume_unique=True))
+                if den * overlap >= num * (len(held[a]) + len(held[b]) - overlap):
+                    out.append((a, b, overlap))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], names=["a", "b", "overlap"])
 
     return full.mapInArrow(run, "a long, b long, overlap long")
 
 
-def ngram_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id, first (the one row of its group that stays): one row per row.
+def _met(cells: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b: pairs of different parts that share a column, within the bounds of place and size. Large columns are cut into blocks."""
+    cuts = cells.groupBy("gram").agg(F.ceil(F.count("*") / BLOCK).alias("cuts"))
+    cells = cells.join(cuts, "gram").withColumn("cut", F.pmod(F.xxhash64("row"), F.col("cuts")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
+    x, y = cells.withColumn("i", F.col("cut")).withColumn("j", other).alias("x"), cells.withColumn("j", F.col("cut")).withColumn("i", other).alias("y")
+    low, high = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
+    total = F.col("x.n_shingles") + F.col("y.n_shingles")
+    pairs = x.join(
+        y,
+        (F.col("x.gram") == F.col("y.gram"))
+        & (F.col("x.i") == F.col("y.i"))
+        & (F.col("x.j") == F.col("y.j"))
+        & (F.col("x.row") < F.col("y.row"))
+        & (F.col("x.part") != F.col("y.part"))
+        & (low * den >= high * num)
+        & (F.least("x.rest", "y.rest") * (den + num) >= total * num),
+    )
+    return pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
+
 
-    Rows link when ``den * overlap >= num * union``. component_id is the smallest doc_id reachable by links.
+def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, every: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Members and links. Rows link when ``den * overlap >= num * union``.
+
+    Members, one row per row: doc_id, text_key, n_shingles, class (the same for equal sets), n_links (other rows it links with),
+    component_id (the smallest doc_id reachable by links), first (the one row of its group that stays).
+    Links: a, b, overlap of each two classes that link, once; rows of one class link with each other besides.
+    Without ``every`` the links are only enough of them to connect the groups, and n_links is null.
     """
     rows = _rows(docs, n, num, den, frequent_grams(docs, n)).withColumn("row", F.monotonically_increasing_id())
     rows = stored(rows, "rows")
     lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("lowest")
-    classes = rows.filter("n_shingles > 0").groupBy("same").agg(lowest)
-    classes = stored(classes.select("same", F.col("lowest.row").alias("row"), "lowest"), "classes")
+    classes = rows.filter("n_shingles > 0").groupBy("same").agg(lowest, F.count("*").alias("n"))
+    classes = stored(classes.select("same", F.col("lowest.row").alias("row"), "lowest", "n"), "classes")
     leaders = rows.join(classes.select("same", "row"), ["same", "row"], "left_semi")
 
     # The product's columns: n-grams that stand in the prefix of two classes. ``i`` is the place in the prefix.
     cells = leaders.select("row", "n_shingles", F.posexplode("prefix").alias("i", "gram"))
     twice = cells.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    step = float(np.log(den / num)) if den > num else 1.0
-    size = F.floor(F.log(F.col("n_shingles").cast("double")) / step)
-    cells = stored(cells.join(twice, "gram", "left_semi").withColumn("size", size), "cells")
+    cells = stored(cells.join(twice, "gram", "left_semi").withColumn("rest", F.col("n_shingles") - F.col("i")).drop("i"), "cells")
     held = cells.select("row").distinct()
     ids = leaders.join(held, "row", "left_semi").select("row", document().alias("document"))
     texts = docs.select("doc_id", text_key(), "text").select(document().alias("document"), "text")
-    texts = stored(texts.join(ids, "document").select("row", "text"), "texts")
-
-    # First product: in each column, every row against the first of its size; firsts of neighbouring sizes.
-    heads = cells.groupBy("gram", "size").agg(F.min("row").alias("head"))
-    below = heads.select("gram", (F.col("size") + 1).alias("size"), F.col("head").alias("row"))
-    pairs = cells.join(heads, ["gram", "size"]).select("row", "head").union(heads.join(below, ["gram", "size"]).select("row", "head"))
-    pairs = pairs.select(F.least("row", "head").alias("a"), F.greatest("row", "head").alias("b")).filter("a < b").distinct()
-    pairs = stored(pairs, "pairs")
-    links = stored(_linked(pairs, rows, texts, n, num, den).select("a", "b"), "links")
-
-    # Second product: pairs of rows that are not connected yet, within the bounds of place and size.
-    label = components(links)
-    cells = cells.join(label.withColumnRenamed("node", "row"), "row", "left").withColumn("part", F.coalesce("component", "row"))
-    open_ = cells.groupBy("gram").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("gram")
-    cells = cells.join(open_, "gram", "left_semi").withColumn("rest", F.col("n_shingles") - F.col("i"))
-    cells = stored(cells.select("gram", "row", "part", "rest", "n_shingles"), "open")
-    x, y = cells.alias("x"), cells.alias("y")
-    low, high = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-    total = F.col("x.n_shingles") + F.col("y.n_shingles")
-    more = x.join(
-        y,
-        (F.col("x.gram") == F.col("y.gram"))
-        & (F.col("x.row") < F.col("y.row"))
-        & (F.col("x.part") != F.col("y.part"))
-        & (low * den >= high * num)
-        & (F.least("x.rest", "y.rest") * (den + num) >= total * num),
-    ).select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-    more = more.distinct().join(pairs, ["a", "b"], "left_anti")
-    more = _linked(stored(more, "pairs"), rows, texts, n, num, den).select("a", "b")
-
-    label = components(stored(links.union(more), "links")).withColumnRenamed("node", "row")
+    texts = stored(texts.join(ids, "document").dropDuplicates(["row"]).select("row", "text"), "texts")
+
+    if every:
+        pairs = stored(_met(cells.withColumn("part", F.col("row")), num, den), "pairs")
+        links = stored(_linked(pairs, rows, texts, n, num, den), "links")
+    else:
+        # First product: in each column, every row against the first of its size; firsts of neighbouring sizes.
+        step = float(np.log(den / num)) if den > num else 1.0
+        sized = cells.withColumn("size", F.floor(F.log(F.col("n_shingles").cast("double")) / step))
+        heads = sized.groupBy("gram", "size").agg(F.min("row").alias("head"))
+        below = heads.select("gram", (F.col("size") + 1).alias("size"), F.col("head").alias("row"))
+        pairs = sized.join(heads, ["gram", "size"]).select("row", "head").union(heads.join(below, ["gram", "size"]).select("row", "head"))
+        pairs = pairs.select(F.least("row", "head").alias("a"), F.greatest("row", "head").alias("b")).filter("a < b").distinct()
+        pairs = stored(pairs, "pairs")
+        links = stored(_linked(pairs, rows, texts, n, num, den), "links")
+
+        # Second product: pairs of rows that are not connected yet.
+        label = components(links.select("a", "b"))
+        cells = cells.join(label.withColumnRenamed("node", "row"), "row", "left").withColumn("part", F.coalesce("component", "row"))
+        open_ = cells.groupBy("gram").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("gram")
+        cells = stored(cells.join(open_, "gram", "left_semi").select("gram", "row", "part", "rest", "n_shingles"), "open")
+        more = stored(_met(cells, num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        links = stored(links.union(_linked(more, rows, texts, n, num, den)), "links")
+
+    label = components(links.select("a", "b")).withColumnRenamed("node", "row")
     grouped = classes.join(label, "row", "left").withColumn("group", F.coalesce("component", "row"))
     first = grouped.groupBy("group").agg(F.min("lowest").alias("best"))
-    grouped = grouped.join(first, "group").select("same", "best")
+    ends = links.select(F.col("a").alias("row"), F.col("b").alias("other")).union(links.select(F.col("b").alias("row"), F.col("a").alias("other")))
+    others = ends.join(classes.select(F.col("row").alias("other"), "n"), "other").groupBy("row").agg(F.sum("n").alias("others"))
+    n_links = (F.col("n") - 1 + F.coalesce("others", F.lit(0))) if every else F.lit(None).cast("long")
+    grouped = grouped.join(first, "group").join(others, "row", "left").select("same", F.col("row").alias("class"), "best", n_links.alias("n_links"))
     out = rows.select("doc_id", "text_key", "n_shingles", "same", "row").join(grouped, "same", "left")
-    return out.select(
+    members = out.select(
         "doc_id",
         "text_key",
         "n_shingles",
+        F.coalesce("class", "row").alias("class"),
+        F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(0 if every else None).cast("long").alias("n_links"),
         F.when(F.col("n_shingles") > 0, F.col("best.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n_shingles") > 0, F.col("best.row") == F.col("row")).otherwise(True).alias("first"),
     )
+    return members, links
+
+
+def ngram_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The members of ``join``, whose links are all made."""
+    return join(docs, n, num, den)[0]
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row of each group, the one with the smallest doc_id, all columns. Rows without words all stay."""
-    groups = ngram_groups(docs, n, num, den)
+    groups = join(docs, n, num, den, every=False)[0]
     stay = groups.filter("first").select(document().alias("_stays"))
     rows = docs.withColumn("_text_key", F.xxhash64("text")).withColumn("_document", document(key="_text_key"))
     rows = rows.join(stay.distinct(), F.col("_document") == F.col("_stays"))
