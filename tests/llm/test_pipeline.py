@@ -96,6 +96,47 @@ def test_url_verdicts(spark):
     assert url_filter.judged(pages.limit(0)).count() == 0
 
 
+RELATIVE = [
+    ("http://h1.org/d/a", '<link rel="canonical" href="blocked.html">', "h1.org/d/blocked.html"),
+    ("http://h2.org/d/a?x=1", '<link href="?p=2" rel="canonical">', "h2.org/d/a?p=2"),
+    ("http://h3.org/d/a", "<link href=./x rel=canonical>", "h3.org/d/x"),
+    ("http://h4.org/d/e/a", '<link href="../x" rel="nofollow canonical">', "h4.org/d/x"),
+    ("http://h5.org", '<link href="x" rel="canonical">', "h5.org/x"),
+    ("http://h6.org/a", "<meta content='0;url=to' http-equiv=refresh>", "h6.org/to"),
+    ("http://h7.org/a", """<META name=x content="5; URL='/to'" HTTP-EQUIV="Refresh"/>""", "h7.org/to"),
+    ("http://h8.org/a", '<link rel="canonical" href="/p?a=1&amp;b=2">', "h8.org/p?a=1&b=2"),
+    ("http://h9.org/a", '<link title="a > b" rel="canonical" href="https&#58;//x9.org/?u=http://y.org">', "x9.org/?u=http://y.org"),
+    ("http://h10.org/d/a", '<base href="/e/f"><link rel="canonical" href="../../x">', "h10.org/x"),
+    ("http://h11.org/d/a", '<link rel="canonical" href="?u=http://y.org/">', "h11.org/d/a?u=http://y.org/"),
+]
+
+
+def test_relative_links_lead_to_aliases(spark):
+    """Each page names another, which a rule blocks."""
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(RELATIVE)], "page_id long, url string, html string")
+    want = {(url_filter_address(u), to) for u, _, to in RELATIVE}
+    assert {tuple(r) for r in url_filter.links(pages).collect()} == want
+    rules = [(to.split("/")[0], "/" + to.split("/", 1)[1].split("?")[0], False) for _, _, to in RELATIVE]
+    rules = spark.createDataFrame(rules, "rule_host string, rule_path string, allows boolean")
+    got = url_filter.judged(pages, rules)
+    assert {r["verdict"] for r in got.collect()} == {"block"} and got.count() == len(RELATIVE)
+
+
+def url_filter_address(url):
+    return url.partition("://")[2]
+
+
+@pytest.mark.parametrize(("to", "want"), [
+    ("g:h", None), ("g", "http://a/b/c/g"), ("./g", "http://a/b/c/g"), ("g/", "http://a/b/c/g/"), ("/g", "http://a/g"), ("//g", "http://g"),
+    ("?y", "http://a/b/c/d;p?y"), ("g?y", "http://a/b/c/g?y"), ("#s", "http://a/b/c/d;p?q"), (";x", "http://a/b/c/;x"), ("", "http://a/b/c/d;p?q"),
+    (".", "http://a/b/c/"), ("./", "http://a/b/c/"), ("..", "http://a/b/"), ("../g", "http://a/b/g"), ("../..", "http://a/"), ("../../g", "http://a/g"),
+    ("../../../g", "http://a/g"), ("/./g", "http://a/g"), ("/../g", "http://a/g"), ("g.", "http://a/b/c/g."), ("..g", "http://a/b/c/..g"),
+    ("./../g", "http://a/b/g"), ("./g/.", "http://a/b/c/g/"), ("g/../h", "http://a/b/c/h"), ("g;x=1/../y", "http://a/b/c/y"),
+])
+def test_examples_of_rfc_3986(to, want):
+    assert url_filter.resolved("http://a/b/c/d;p?q", to) == want
+
+
 def test_null_urls_of_the_given_pages(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     some = pages.withColumn("url", F.when(F.col("page_id") % 5 > 0, F.col("url")))

@@ -5,14 +5,21 @@ decides. Pages that redirect to each other or name a canonical address are alias
 carry decisions to aliases without a rule of their own. If a rule allows any member, they are allowed, also if
 another member is blocked; if a rule blocks one and none allows, they are blocked; else the default holds.
 
+Links are read from the attributes of tags in any order, with entities decoded, and resolved as RFC 3986 says against the
+page's address or its base element.
+
 A null url has an empty host and path, fits no rule and has no aliases. Null html has no links. Repeated rows are judged each.
 Of two fitting rules of the same length the one that allows wins, then the one that sorts first.
 """
 
 from __future__ import annotations
 
+import re
 import string
+from collections.abc import Iterator
+from html import unescape
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,31 +55,90 @@ def address(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(host_of(url), rest))
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    return F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']?([^\"'>\s]+)", 1)
+#: A tag up to the first ``>`` outside quotes, and one attribute of it.
+_TAG = re.compile(r"""<(link|meta|base)(?=[\s/>])((?:"[^"]*"|'[^']*'|[^>])*+)>""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_REFRESH = re.compile(r"\s*(?:[\d.]+\s*(?:[;,]\s*)?url\s*=|[\d.]+\s*[;,]|[;,]?\s*url\s*=)\s*(.*)", re.I | re.S)
+#: Scheme, authority, path, query of a reference; the fragment is not told apart.
+_PARTS = re.compile(r"(?:([a-z][a-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?", re.I | re.S)
+
+
+def _attributes(tag: str) -> dict[str, str]:
+    """Names in lower case, values with entities decoded; of equal names the first counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(tag):
+        out.setdefault(name.lower(), unescape("".join(values)))
+    return out
+
+
+def _reference(value: str) -> str:
+    """As browsers read it: no space around, no tab or line break inside."""
+    return re.sub(r"[\t\r\n]", "", value.strip(" \t\r\n\f")).replace(" ", "%20")
+
+
+def _without_dots(path: str) -> str:
+    """RFC 3986, 5.2.4, for a path that starts with a slash or is empty."""
+    out: list[str] = []
+    parts = path.split("/")
+    for i, part in enumerate(parts):
+        if part in (".", ".."):
+            if part == ".." and len(out) > 1:
+                out.pop()
+            if i == len(parts) - 1:
+                out.append("")
+        else:
+            out.append(part)
+    return "/".join(out)
+
+
+def resolved(base: str, to: str) -> str | None:
+    """The address ``to`` names on a page (RFC 3986, 5.2), None without a host. The page's host is after its first ``://``."""
+    scheme, mark, rest = base.partition("://")
+    if not mark:
+        scheme, rest = "", ""
+    host, path, query = re.match(r"([^/?#]*)([^?#]*)(\?[^#]*)?", rest).groups()
+    own, authority, p, q = _PARTS.match(to).groups()
+    if own is not None or authority is not None:
+        return f"{own or scheme}://{authority}{_without_dots(p)}{q or ''}" if authority else None
+    if not host:
+        return None
+    if not p:
+        return f"{scheme}://{host}{path}{(query if q is None else q) or ''}"
+    if not p.startswith("/"):
+        p = path[: path.rfind("/") + 1] + p if path else "/" + p
+    return f"{scheme}://{host}{_without_dots(p)}{q or ''}"
+
+
+def named(url: str, html: str) -> list[str]:
+    """Absolute addresses of the first canonical link and the first refresh of a page."""
+    base, canonical, refresh = None, None, None
+    for tag, inside in _TAG.findall(html):
+        kind, at = tag.lower(), _attributes(inside)
+        if kind == "base" and base is None and "href" in at:
+            base = _reference(at["href"])
+        elif kind == "link" and canonical is None and "canonical" in at.get("rel", "").lower().split():
+            canonical = _reference(at.get("href", "")) or None
+        elif kind == "meta" and refresh is None and at.get("http-equiv", "").strip().lower() == "refresh":
+            found = _REFRESH.match(at.get("content", ""))
+            to = found[1] if found else ""
+            refresh = _reference(to[1:].split(to[0])[0] if to[:1] in ("'", '"') else to) or None
+    page = (resolved(url, base) if base else None) or url
+    return [x for x in (resolved(page, to) for to in (canonical, refresh) if to) if x]
 
 
 def links(pages: DataFrame) -> DataFrame:
     """a, b: addresses of pages and of what they name as canonical or refresh to."""
-    html = F.coalesce(F.col("html"), F.lit(""))
-    low = F.lower(html)
-    canonical = F.when(
-        low.contains("canonical"),
-        _attribute(F.regexp_extract(html, r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1), "href"),
-    )
-    refresh = F.when(
-        low.contains("refresh"),
-        F.regexp_extract(html, r"(?is)<meta\b[^>]*http-equiv\s*=\s*[\"']?refresh\b[^>]*?\burl\s*=\s*'?([^\"'>\s]+)", 1),
-    )
-    found = pages.select("url", F.explode(F.array(canonical, refresh)).alias("to")).filter("to != ''")
-    scheme = F.regexp_extract("url", r"(?s)\A(.*?)://", 1)
-    absolute = (
-        F.when(F.col("to").startswith("//"), F.concat(scheme, F.lit(":"), "to"))
-        .when(F.col("to").startswith("/"), F.concat(scheme, F.lit("://"), host_of(F.col("url")), "to"))
-        .otherwise(F.col("to"))
-    )
-    named = found.select(address(F.col("url")).alias("a"), address(absolute).alias("b"))
-    return named.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    low = F.lower(F.col("html"))
+    some = pages.select("url", "html").filter((low.contains("canonical") | low.contains("refresh")) & F.col("url").contains("://"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(u, to) for u, h in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()) for to in named(u, h)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], names=["url", "to"])
+
+    found = some.mapInArrow(run, "url string, to string")
+    edges = found.select(address(F.col("url")).alias("a"), address(F.col("to")).alias("b"))
+    return edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
 
 
 def ruled(rows: DataFrame, rules: DataFrame) -> DataFrame:
