@@ -86,21 +86,37 @@ def split(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE)
 
 
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64-bit hash of each word's bytes."""
-    power, inverse = _POWERS[seed](len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+    """64-bit hash of each word's bytes; starts and ends must rise. Sums are taken over a stretch of CHUNK bytes at a time."""
+    out = np.zeros(len(starts), np.uint64)
+    first, last = (int(starts[0]), int(ends[-1])) if len(starts) else (0, 0)
+    for a in range(first, last, CHUNK):
+        b = min(a + CHUNK, last)
+        i, j = int(np.searchsorted(ends, a, side="right")), int(np.searchsorted(starts, b))
+        if i == j:
+            continue
+        power, inverse = _POWERS[seed](b - a + 1)
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
+        low, high = np.maximum(starts[i:j], a) - a, np.minimum(ends[i:j], b) - a
+        own = (sums[high] - sums[low]) * inverse[low]
+        for k in np.flatnonzero(starts[i:j] < a):  # begun in an earlier stretch
+            own[k] = int(own[k]) * pow(_POWERS[seed].bases[0], a - int(starts[i + k]), 1 << 64) & _MASK
+        out[i:j] += own
+    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
 
 
 def windows(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """64-bit hash of every run of n neighbouring values; empty if there are fewer."""
     if len(hashes) < n:
         return np.zeros(0, np.uint64)
-    power, inverse = _POWERS[seed](len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * power[:-1], out=sums[1:])
-    return mix((sums[n:] - sums[:-n]) * inverse[: len(hashes) - n + 1])
+    out = np.zeros(len(hashes) - n + 1, np.uint64)
+    for a in range(0, len(out), CHUNK):
+        own = hashes[a : a + CHUNK + n - 1]
+        power, inverse = _POWERS[seed](len(own) + 1)
+        sums = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(own * power[:-1], out=sums[1:])
+        out[a : a + CHUNK] = (sums[n:] - sums[:-n]) * inverse[: len(own) - n + 1]
+    return mix(out)
 
 
 def signed(values: np.ndarray) -> np.ndarray:
