@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from tracelode.llm import (
     exact,
     fingerprints,
+    importance,
     language,
     licenses,
     mixing,
     ngram_join,
     packing,
+    secret_scan,
     substring,
     toxicity,
     url_filter,
+    whitening,
 )
 from tracelode.llm.tables import held_out, table
 
@@ -80,6 +83,40 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = secret_scan.listed(secret_scan.known_forms())
+    return rows.select(
+        "doc_id",
+        *[secret_scan.count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(rows)
+    if model is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    explained = F.array(*[F.lit(float(x)) for x in model.explained])
+    out = whitening.whitened(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return out.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_url_filter": op2_url_filter,
@@ -91,9 +128,13 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language": op10_language,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_whitening": op12_whitening,
+    "op13_importance": op13_importance,
 }
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _HOST = "regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)"
 
 ORACLES = {
@@ -153,4 +194,35 @@ ORACLES = {
                doc_id = first_value(doc_id) OVER w AS kept, sha256(bare) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY bare ORDER BY length(t) DESC, doc_id)
     """,
+    # CRC-32 by its table, a byte of the word's hexadecimal form after another.
+    "op13_importance": f"""
+        WITH RECURSIVE bytes(b, step, c) AS (
+            SELECT b, 0, b FROM range(256) r(b)
+            UNION ALL SELECT b, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bytes WHERE step < 8),
+        crc AS (SELECT list(c ORDER BY b) AS t FROM bytes WHERE step = 8),
+        d AS (SELECT row_number() OVER () AS i, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_WORD}') AS ws FROM documents),
+        dw AS (SELECT i, unnest(ws) AS word FROM d),
+        bw AS (SELECT unnest(regexp_extract_all({_LOWER.format("text")}, '{_WORD}')) AS word FROM benchmark),
+        h AS (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+        k AS (
+            SELECT word, xor(4294967295, list_reduce(
+                list_transform(range(1, len(x), 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 10000 AS bucket
+            FROM h, crc),
+        s AS (SELECT bucket, count(*) AS n FROM dw JOIN k USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM bw JOIN k USING (word) GROUP BY bucket),
+        g AS (
+            SELECT bucket, CAST(floor(1000 * ln(((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM dw) + 10000)::DOUBLE)
+                / ((s.n + 1.0::DOUBLE) * ((SELECT count(*) FROM bw) + 10000)::DOUBLE))) AS BIGINT) AS gain
+            FROM s LEFT JOIN t USING (bucket)),
+        m AS (SELECT i, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM dw JOIN k USING (word) JOIN g USING (bucket) GROUP BY i),
+        e AS (
+            SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                   CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) AS h FROM d LEFT JOIN m USING (i)),
+        r AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM e),
+        o AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 10 * count(*) OVER () // 100 AS drawn
+            FROM r WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM r LEFT JOIN o USING (doc_id)
+    """,
 }
