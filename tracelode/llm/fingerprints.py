@@ -6,24 +6,28 @@ each bin's value the low eight bits are stored. Of two documents' bins, chance m
 out, the share of equal bins estimates the Jaccard likeness of their shingle sets.
 
 Words are runs without ``[\\x20\\x09-\\x0D]``; a text of fewer words than a shingle has all its words as one. Null counts as
-an empty text; texts without words have an empty fingerprint, are wholly like each other and not at all like others. Documents equal in doc_id and text
-follow each other as neighbours. A null doc_id sorts after all others in descending order. A single document is its own next.
+an empty text; texts without words have an empty fingerprint, are wholly like each other and not at all like others. Documents of one doc_id
+follow each other by a hash of their text, so copies are neighbours. A null doc_id sorts after all others in descending order. A single
+document is its own next; no rows give no rows. Extra columns are not read. Whole texts are hashed; a text has to fit in memory some thirty times.
 """
 
 from __future__ import annotations
 
 import random
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelode.llm.tables import text_key
+from tracelode.llm.tables import stored
 
 BINS = 128
 BITS = 8
 SHINGLE = 5
 #: Fillers of an empty bin that are tried one by one, before all others are looked at together.
 TRIES = 24
+#: Bytes of text that are put in order at once; a longer document is alone in its range.
+RANGE_BYTES = 1 << 27
 
 
 def _orders(bins: int) -> list[list[int]]:
@@ -98,45 +102,57 @@ def likeness(left: str, right: str, bins: int = BINS) -> Column:
     )
 
 
-def _ranges(docs: DataFrame) -> list[tuple[int | None, int | None]]:
-    """Largest and smallest doc_id of each range of ids, descending; at the end (None, None) if there are null ids.
+class Ranges(NamedTuple):
+    """The least key of each range of documents, in order. Keys are (no id, ~doc_id, text_key), so that ids fall."""
 
-    As many ranges as a shuffle has partitions: what the driver gathers does not grow with the rows.
-    """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    dealt = ids.filter("doc_id is not null").repartitionByRange(F.desc("doc_id")).withColumn("part", F.spark_partition_id())
-    spans = dealt.groupBy("part").agg(F.max("doc_id").alias("high"), F.min("doc_id").alias("low")).collect()
-    out = sorted(((r["high"], r["low"]) for r in spans), reverse=True)
-    return out + [(None, None)] * (not ids.filter("doc_id is null").isEmpty())
+    bounds: list[tuple[int, int, int]]
 
+    def _bound(self, at: Column) -> Column:
+        columns = (F.split(F.lit(",".join(str(b[k]) for b in self.bounds)), ",").cast("array<bigint>") for k in range(3))
+        return F.struct(*[F.get(c, at).alias(n) for c, n in zip(columns, KEY)])
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """Each document's fingerprint, that of its edited text, and both likenesses; columns as the contract names them.
+    def of(self, key: Column) -> Column:
+        """Number of the range that holds a key, by halving."""
+        steps = [1 << j for j in range((len(self.bounds) - 1).bit_length() - 1, -1, -1)]
+        if not steps:
+            return F.lit(0)
 
-    Ids are dealt into ranges and each range is ordered on its own, so the texts are shuffled once. A
-    range is followed by a copy of the documents with the first id of the next range, the last range by those of the first.
-    """
-    spark = docs.sparkSession
-    ring = _ranges(docs)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), F.coalesce("text", F.lit("")).alias("text"))
-    lows = F.split(F.lit(",".join(str(low) for _, low in ring if low is not None)), ",")
-    lows = F.filter(lows, lambda x: x != "").cast("array<bigint>")
-    part = F.when(F.col("doc_id").isNull(), len(ring) - 1).otherwise(F.size(F.filter(lows, lambda low: low > F.col("doc_id"))))
-    first_ids = [(high, (i - 1) % len(ring)) for i, (high, _) in enumerate(ring)]
-    after = F.broadcast(spark.createDataFrame(first_ids, "first long, part int"))  # one row per range
-    copies = rows.join(after, F.col("doc_id").eqNullSafe(F.col("first"))).drop("first").withColumn("copy", F.lit(True))
-    rows = rows.withColumn("part", part).withColumn("copy", F.lit(False)).unionByName(copies)
-    rows = with_lanes(rows, "text", "lanes")
-
-    order = Window.partitionBy("part").orderBy("copy", F.desc_nulls_last("doc_id"), "text_key")
-    rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_lanes", F.lead("lanes").over(order))
-    rows = rows.filter(~F.col("copy"))
+        def step(at: Column, size: Column) -> Column:
+            return F.when((at + size < len(self.bounds)) & (self._bound(at + size) <= key), at + size).otherwise(at)
+
+        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+
+    def begins(self, part: Column, key: Column) -> Column:
+        return self._bound(part) == key
+
+
+KEY = ("none", "down", "text_key")
+
+
+def _key() -> list[Column]:
+    none = F.col("doc_id").isNull()
+    return [none.cast("long").alias("none"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("down"), F.xxhash64("text").alias("text_key")]
+
+
+def _ranges(keys: DataFrame, range_bytes: int) -> Ranges:
+    """Ranges of about ``range_bytes``, and no fewer than a shuffle has partitions. The driver gets one key a range."""
+    spark = keys.sparkSession
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // range_bytes))
+    dealt = keys.select(*KEY).repartitionByRange(count, *KEY)  # a count that is asked for is not merged at run time
+    least = dealt.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.min(F.struct(*KEY)).alias("least"))
+    return Ranges(sorted(tuple(r["least"]) for r in least.collect()) or [(0, 0, 0)])
+
+
+def _described(rows: DataFrame) -> DataFrame:
+    """The result columns of rows of doc_id, text, lanes, next_text and next_lanes."""
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
-    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "lanes", "next_lanes", edited.alias("edited"))
+    keep = [c for c in ("doc_id", "text_key") if c in rows.columns]
+    rows = rows.select(*keep, F.length("text").cast("long").alias("n_chars"), "lanes", "next_lanes", edited.alias("edited"))
     rows = with_lanes(rows, "edited", "edited_lanes")
     return rows.select(
-        "doc_id",
+        *keep,
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         packed("lanes").alias("fingerprint"),
@@ -144,3 +160,49 @@ def neighbours(docs: DataFrame) -> DataFrame:
         likeness("lanes", "edited_lanes").alias("near_edited"),
         likeness("lanes", "next_lanes").alias("near_next"),
     )
+
+
+def _repeated(keys: DataFrame) -> DataFrame:
+    """id, text_key, first (one of the rows) of the documents that come more than once."""
+    seen = keys.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.min("row").alias("first")).filter("n > 1")
+    return stored(seen.select(F.col("doc_id").alias("id"), F.col("text_key").alias("again"), "first"), "repeated")
+
+
+def neighbours(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Each document's fingerprint, that of its edited text, and both likenesses; columns as the contract names them.
+
+    Keys alone are read first. They are cut into ranges of about ``range_bytes`` of text in the order of the documents; each
+    range is ordered on its own, so the texts are shuffled once. The document that begins a range goes to the range
+    before as well, the first of all to the last range.
+
+    Of documents that come more than once only one takes part. Its copies follow each other, so each of the others is its own
+    next; their rows are made from the keys.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    keys = rows.select("doc_id", *_key(), F.octet_length("text").cast("long").alias("bytes"), F.monotonically_increasing_id().alias("row"))
+    keys = stored(keys, "keys")
+    rows = rows.select("doc_id", "text", *_key())
+    again = _repeated(keys)
+    repeats = not again.isEmpty()
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("again"))
+    if repeats:
+        once = rows.join(again, same, "left_semi").groupBy("doc_id", *KEY).agg(F.any_value("text").alias("text"))
+        rows = rows.join(again, same, "left_anti").unionByName(once)
+    ranges = _ranges(keys.dropDuplicates(KEY) if repeats else keys, range_bytes)
+    rows = with_lanes(rows, "text", "lanes").withColumn("part", ranges.of(F.struct(*KEY)))
+    last = len(ranges.bounds) - 1
+    before = F.when(F.col("part") == 0, last).otherwise(F.col("part") - 1)
+    own = F.struct(F.col("part"), F.lit(False).alias("copy"))
+    places = F.when(ranges.begins(F.col("part"), F.struct(*KEY)), F.array(own, F.struct(before.alias("part"), F.lit(True).alias("copy"))))
+    rows = rows.withColumn("place", F.explode(places.otherwise(F.array(own)))).select("doc_id", "text", *KEY, "lanes", "place.*")
+
+    order = Window.partitionBy("part").orderBy("copy", *KEY)
+    rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_lanes", F.lead("lanes").over(order))
+    out = _described(rows.filter(~F.col("copy")).drop("text_key"))
+    if not repeats:
+        return out
+    alone = with_lanes(once.select("doc_id", "text_key", "text"), "text", "lanes")
+    alone = _described(alone.withColumn("next_text", F.col("text")).withColumn("next_lanes", F.col("lanes")))
+    alone = alone.withColumnsRenamed({"doc_id": "id", "text_key": "again"})
+    copies = keys.select("doc_id", "text_key", "row").join(again, same & (F.col("row") != F.col("first")), "left_semi")
+    return out.unionByName(copies.join(alone, same).select(*out.columns))
