@@ -84,7 +84,7 @@ class WordTokens:
 
     For tokenizers that drop white space and never join across it: each word between ASCII white
     space is tokenised once by the library and remembered. Punctuation at a word's end is its own token there, so
-    it is cut off first if the word ends in a letter.
+    it is cut off first if the composed word ends in a Latin letter.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
@@ -111,10 +111,16 @@ class WordTokens:
         text = word.decode("utf-8")
         tail = _TAIL.search(text).start()
         stem, rest = text[:tail], text[tail:]
-        if not (rest and stem and stem.lower()[-1].isalpha()) or "<|" in text:
+        if not (rest and stem and self._ends_in_latin(stem)) or "<|" in text:
             return self._part(text)
         return self._part(stem) + self._part(rest)
 
+    @staticmethod
+    def _ends_in_latin(stem: str) -> bool:
+        """Whether the tokenizer sees a Latin letter at the end. Other letters may be taken apart by composition, and a mark that is left joins the tail."""
+        last = normalize("NFC", stem).lower()[-1]
+        return last < "\u0250" and last.isalpha()
+
     def _part(self, part: str) -> list[int]:
         if part not in self.stems:
             ids = None
