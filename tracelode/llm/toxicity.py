@@ -5,10 +5,12 @@ not. A linear numpy classifier on the presence of word and word-stem features mi
 ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``: what the positives among the unlabelled
 add to the negative risk is taken out again, and the rest is kept from falling below zero, where it would only fit noise.
 
-The classifier is fitted on at most about ``positives`` and ``unlabelled`` documents, chosen by a hash of doc_id, whole texts.
+The classifier is fitted on at most about ``positives`` and ``unlabelled`` documents, chosen by a hash of doc_id and text, whole texts.
 A feature must occur in LEAST positives, three times as often in them as among the unlabelled, and pass a test of z > 3.5.
-Held-out rows take no part. Every whole text is scored. Null and empty texts have no features and get the score of
-the bias. Without a confirmed positive every score is 0. Repeated labels of a document count once; one toxic label confirms it.
+Held-out rows take no part. Every whole text is scored, a text beyond a megabyte alone, in some hundred times its bytes. Null and empty
+texts have no features and get the score of the bias. Without a confirmed positive every score is 0. Repeated labels of a document count
+once; one toxic label confirms it. Equal texts of the sample count once, repeated rows are scored alike; no rows give no rows. Of equally
+strong features the smaller hash is taken. A column named score is replaced, other extra columns stay.
 """
 
 from __future__ import annotations
@@ -162,7 +164,7 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     texts = docs.select(F.col("doc_id").cast("long"), "text").filter(~held_out() & F.col("text").isNotNull())
     n_docs = max(1, docs.count())
     sample_p = texts.join(F.broadcast(some), "doc_id", "left_semi").withColumn("positive", F.lit(True))  # ids: at most ~positives
-    sample_u = texts.filter(F.pmod(F.xxhash64("doc_id", F.lit("u")), F.lit(1 << 30)) < int(min(1, unlabelled / n_docs) * (1 << 30)))
+    sample_u = texts.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit("u")), F.lit(1 << 30)) < int(min(1, unlabelled / n_docs) * (1 << 30)))
     # A text counts once, or the words of a text copied often would pass for signs of toxicity.
     sample = sample_p.union(sample_u.withColumn("positive", F.lit(False))).dropDuplicates(["positive", "text"])
     sample = stored(sample.select("text", "positive"), "sample")
@@ -197,7 +199,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     from pyspark.sql.types import StructType
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = docs.select(*[c for c in docs.columns if c != "score"])
+    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
