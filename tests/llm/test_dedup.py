@@ -14,7 +14,7 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-@pytest.mark.parametrize(("seed", "n", "num"), [(1, 3, 90), (2, 5, 80), (1, 2, 40)])
+@pytest.mark.parametrize(("seed", "n", "num"), [(1, 3, 90), (2, 5, 80), (3, 3, 90), (4, 5, 80), (1, 2, 40), (5, 4, 100)])
 def test_ngram_groups(spark, seed, n, num):
     docs = corpus.documents(seed)
     got = ngram_join.ngram_groups(corpus.frame(spark, docs), n, num, 100)
@@ -57,33 +57,89 @@ def test_every_link_is_delivered(spark, monkeypatch):
     docs = [(1000 + i, t) for i, (_, t) in enumerate(docs + corpus.documents(1))]
     sets = [brute.shingles(t, 3) for _, t in docs]
     near = [[j for j, b in enumerate(sets) if j != i and a & b and 100 * len(a & b) >= 90 * len(a | b)] for i, a in enumerate(sets)]
-    for block, spot in ((ngram_join.BLOCK, ngram_join.NEAR), (7, 5)):
-        monkeypatch.setattr(ngram_join, "BLOCK", block)
-        monkeypatch.setattr(ngram_join, "NEAR", spot)
-        members, links = ngram_join.join(corpus.frame(spark, docs), 3, 90, 100)
-        members = {r["doc_id"]: r for r in members.collect()}
-        assert [members[d]["n_links"] for d, _ in docs] == [len(x) for x in near]
-        of = {}
-        for (d, _), own in zip(docs, sets):
-            assert of.setdefault(members[d]["class"], own) == own
-        want = {tuple(sorted((members[docs[i][0]]["class"], members[docs[j][0]]["class"]))) for i, x in enumerate(near) for j in x if sets[i] != sets[j]}
-        got = links.collect()
-        assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want) > 700
-        assert all(r["overlap"] == len(of[r["a"]] & of[r["b"]]) for r in got)
-
-
-def test_bitmaps_never_discard_too_much():
+    counted = {r["doc_id"]: r for r in ngram_join.ngram_groups(corpus.frame(spark, docs), 3, 90, 100).collect()}
+    assert [counted[d]["n_links"] for d, _ in docs] == [len(x) for x in near]
+    for name, size in (("BLOCK", 7), ("NEAR", 5), ("PART", 6)):
+        monkeypatch.setattr(ngram_join, name, size)
+    members, links = ngram_join.join(corpus.frame(spark, docs), 3, 90, 100)
+    members = {r["doc_id"]: r for r in members.collect()}
+    assert [members[d]["n_links"] for d, _ in docs] == [len(x) for x in near]
+    of = {}
+    for (d, _), own in zip(docs, sets):
+        assert of.setdefault(members[d]["class"], own) == own
+    want = {tuple(sorted((members[docs[i][0]]["class"], members[docs[j][0]]["class"]))) for i, x in enumerate(near) for j in x if sets[i] != sets[j]}
+    got = links.collect()
+    assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want) > 700
+    assert all(r["overlap"] == len(of[r["a"]] & of[r["b"]]) for r in got)
+
+
+def test_groups_without_a_common_head(spark, monkeypatch):
+    """Copies of one text with many edits each: most are too far from each other and from any head, some link by chance."""
+    rng = random.Random(9)
+    base, docs = corpus.words(rng, 60, 10**6), []
+    for i in range(120):
+        own = list(base)
+        for _ in range(rng.randint(0, 6)):
+            own[rng.randrange(60)] = f"e{rng.randrange(40)}"
+        docs.append((i, " ".join(own)))
+    want = sorted(brute.ngram_groups(docs, 3, 80, 100), key=repr)
+    sets = [brute.shingles(t, 3) for _, t in docs]
+    near = [sum(j != i and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    assert len({w[2] for w in want}) > 5
+    got = ngram_join.ngram_groups(corpus.frame(spark, docs), 3, 80, 100)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == want
+    assert [n for _, n in sorted((r["doc_id"], r["n_links"]) for r in got.collect())] == near
+    monkeypatch.setattr(ngram_join, "ROUNDS", 1)
+    kept = ngram_join.keep_one_of_each(corpus.frame(spark, docs), 3, 80, 100)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({w[2] for w in want})
+
+
+def test_overlaps_are_exact(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for cells in (1 << 21, 300):
+        monkeypatch.setattr(ngram_join, "_CELLS", cells)
+        for _ in range(60):
+            base = np.unique(rng.integers(0, 1 << 62, 200))
+            sets = [np.unique(np.concatenate([base[rng.random(len(base)) < rng.uniform(0.5, 1)], rng.integers(0, 1 << 62, rng.integers(0, 40))])) for _ in range(9)]
+            wanted = rng.random((9, 9)) < 0.7
+            linked, counts = ngram_join.overlaps(sets, 80, 100, wanted)
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets[:i]):
+                    both = len(np.intersect1d(a, b))
+                    assert linked[i, j] == (wanted[i, j] and 100 * both >= 80 * (len(a) + len(b) - both))
+                    assert not linked[i, j] or counts[i, j] == both
+
+
+def test_runs_across_batches():
+    import pyarrow as pa
+
+    keys = [1, 1, 1, 2, 2, 3, 4, 4, 4, 4, 5]
+    for size in (1, 2, 3, 100):
+        batches = pa.table({"k": keys, "v": range(len(keys))}).to_batches(max_chunksize=size)
+        got = []
+        for batch, cuts in ngram_join.runs(iter(batches), ["k"]):
+            got += [batch.slice(a, b - a).to_pydict() for a, b in zip(cuts[:-1], cuts[1:])]
+        assert [(g["k"], g["v"]) for g in got] == [([k] * keys.count(k), [i for i, x in enumerate(keys) if x == k]) for k in sorted(set(keys))]
+    assert list(ngram_join.runs(iter([]), ["k"])) == []
+
+
+def test_parities_never_discard_too_much():
     import numpy as np
 
     rng = np.random.default_rng(0)
     for _ in range(200):
         a = np.unique(rng.integers(0, 1 << 62, rng.integers(1, 300)).astype(np.uint64))
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.7], rng.integers(0, 1 << 62, rng.integers(1, 200)).astype(np.uint64)]))
-        most = ngram_join.most_shared(ngram_join.bitmap(a), ngram_join.bitmap(b), len(a), len(b))
-        assert most >= len(np.intersect1d(a, b))
+        x, y = ngram_join.parity(a), ngram_join.parity(b)
+        while len(x) != len(y):
+            x, y = (z if len(z) == min(len(x), len(y)) else z[: len(z) // 2] ^ z[len(z) // 2 :] for z in (x, y))
+        for p, q in ((x, y), (ngram_join.folded(x), ngram_join.folded(y))):
+            assert int(np.bitwise_count((p ^ q).view(np.uint64)).sum()) <= len(a) + len(b) - 2 * len(np.intersect1d(a, b))
 
 
-@pytest.mark.parametrize(("seed", "window"), [(1, 35), (2, 12), (3, 3)])
+@pytest.mark.parametrize(("seed", "window"), [(1, 35), (2, 12), (3, 3), (4, 1), (5, 64)])
 def test_without_repeats(spark, seed, window):
     docs = corpus.documents(seed)
     got = substring.without_repeats(corpus.frame(spark, docs), window, with_text=True)

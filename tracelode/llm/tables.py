@@ -32,3 +32,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def document(doc_id: str = "doc_id", key: str = "text_key") -> Column:
     """One non-null value that names a document, to join and group by; a null id equals a null id."""
     return F.struct(F.col(doc_id).cast("long").alias("doc_id"), F.col(key).alias("text_key"))
+
+
+def whole(docs: DataFrame) -> DataFrame:
+    """One column, ``row``, that holds all columns of a row: nothing that is added to it can clash with them."""
+    names = [c.replace("`", "``") for c in docs.columns]
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+
+
+def whole_document() -> Column:
+    """``document`` of a row of ``whole``."""
+    return F.struct(F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64("row.text").alias("text_key"))
