@@ -6,7 +6,8 @@ huge text is never held as one array of wide numbers. Texts of equal length and
 chunk; a fingerprint that stands for several texts is told apart by sha256.
 
 Null texts count as empty, and all empty texts are equal. A null doc_id never stays before another
-of the same length. Rows equal in doc_id and text are one document stored twice: they form a group, and one of them stays.
+of the same length. Rows equal in doc_id and text are one document stored twice: they form a group, and one of them stays. No rows give
+no rows; a text of any length is read in chunks; extra columns are not read, or kept as they are.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelode.llm.tables import document, stored, text_key
+from tracelode.llm.tables import document, stored, text_key, whole, whole_document
 from tracelode.llm.words import SPACE, text_buffers
 
 #: Primes below 2**31: a product of a byte and a power, summed over a chunk, stays below 2**64.
@@ -150,9 +151,8 @@ def exact_groups(docs: DataFrame, primes: tuple[int, ...] = PRIMES, chunk: int =
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
-    stay = exact_groups(docs).filter("kept").select(document().alias("_stays"))
-    rows = docs.withColumn("_text_key", F.xxhash64("text")).withColumn("_document", document(key="_text_key"))
-    rows = rows.join(stay, F.col("_document") == F.col("_stays"))
+    stay = exact_groups(docs).filter("kept").select(document().alias("stays"))
+    rows = whole(docs).withColumn("document", whole_document()).join(stay, F.col("document") == F.col("stays"))
     # A document stored twice comes twice. The join has brought its rows together, so this needs no shuffle.
-    numbered = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_document").orderBy("_document")))
-    return numbered.filter("_copy = 1").select(*docs.columns)
+    numbered = rows.withColumn("copy", F.row_number().over(Window.partitionBy("document").orderBy("document")))
+    return numbered.filter("copy = 1").select("row.*")

@@ -10,21 +10,24 @@ Each language stores the bytes seen in each of its contexts and one escape per c
 context is used, whatever the number of languages and scripts.
 
 Learnt from at most about ``docs_per_language`` documents of each language, chosen by a hash of
-doc_id. Texts are read whole, for learning and for scoring. A null text or one without a letter gives
-``und`` and score 0; so does everything if no language could be learnt.
+doc_id and text, of equal texts one; a language of one document is learnt from that. Texts are read whole, for learning and for
+scoring, a text beyond a megabyte alone, in blocks. A null text or one without a letter gives ``und`` and score 0; so does everything if
+no language could be learnt. Of languages with equal code lengths the first by name wins. Repeated rows are judged as
+often as they come, alike; no rows give no rows. Columns named as the results are left out, whatever their case.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tracelode.llm.tables import held_out
+from tracelode.llm.tables import held_out, whole
 from tracelode.llm.words import chunks, text_buffers
 
 ORDER = 3
@@ -32,6 +35,7 @@ DOCS_PER_LANGUAGE = 1500
 #: What stands before the first byte of a text.
 START = 0x0A
 _BLOCK = 1 << 18
+RESULTS = ("lang_pred", "score", "bits_per_byte")
 
 
 def _padded(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,10 +148,10 @@ class Model:
         return out
 
 
-def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, min_count: int = 2) -> Model:
+def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """The frozen model. Held-out documents and rows without a language or text are left out.
 
-    What the driver gathers is bounded by the sample: grams that occur ``min_count`` times in it.
+    What the driver gathers is bounded by the sample: the distinct strings of four bytes in it.
     """
     train = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text")
     train = train.filter(~held_out() & F.col("lang").isNotNull())
@@ -156,8 +160,9 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, min_count
     if not share:
         return Model([], {})
     limit = F.create_map(*[F.lit(x) for lang, s in sorted(share.items()) for x in (lang, int(s * (1 << 30)))])
-    sample = train.filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= limit[F.col("lang")]))
-    grams = gram_counts(sample).filter(F.col("n") >= min_count).toArrow()
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    sample = train.filter(F.col("text").isNotNull() & (place <= limit[F.col("lang")])).select("lang", "text").distinct()
+    grams = gram_counts(sample).toArrow()
     names = np.array(grams.column("lang").to_pylist(), object)
     gram, n = grams.column("gram").to_numpy(), grams.column("n").to_numpy()
     langs = sorted(set(names))
@@ -172,21 +177,16 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
 
 
-def predict(docs: DataFrame, model: Model, und: str = "und") -> DataFrame:
-    """All columns of ``docs`` but those of the same names, with lang_pred, score and bits_per_byte.
-
-    ``score`` is the winner's share when the languages are weighed by 2 to minus their code length.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    mine = ("lang_pred", "score", "bits_per_byte")
-    rest = docs.select(*[c for c in docs.columns if c not in mine])
+def _judged(rows: DataFrame, model: Model, und: str, text: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """``rows`` with the three results; ``text`` takes the texts out of a batch."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             n = batch.num_rows
             pred, score, rate = np.full(n, und, object), np.zeros(n), np.full(n, 8.0)
-            for i, j, offsets, data in chunks(batch.column("text")) if model.langs else ():
+            for i, j, offsets, data in chunks(text(batch)) if model.langs else ():
                 bits = model.bits(offsets, data)
                 best = bits.argmin(1)
                 least = bits[np.arange(j - i), best]
@@ -196,16 +196,25 @@ def predict(docs: DataFrame, model: Model, und: str = "und") -> DataFrame:
                     if a < b and (_LETTER[data[a : min(b, a + 64)]].any() or _has_letter(data[a:b].tobytes())):
                         pred[k], score[k], rate[k] = model.langs[best[k - i]], share[k - i], least[k - i] / (b - a)
             added = [pa.array(pred, pa.string()), pa.array(score), pa.array(rate)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *mine])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *RESULTS])
+
+    schema = StructType([*rows.schema.fields]).add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
+    return rows.mapInArrow(run, schema)
 
-    schema = StructType([*rest.schema.fields]).add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
-    return rest.mapInArrow(run, schema)
+
+def predict(docs: DataFrame, model: Model, und: str = "und") -> DataFrame:
+    """All columns of ``docs`` but those of the same names, with lang_pred, score and bits_per_byte.
+
+    ``score`` is the winner's share when the languages are weighed by 2 to minus their code length.
+    """
+    rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULTS])
+    return _judged(rest, model, und, lambda batch: batch.column("text"))
 
 
 def keep_recognised(docs: DataFrame, max_bits: float = 12.0) -> DataFrame:
-    """The rows in a learnt language: with a letter, and not far beyond the 8 bits a byte that noise needs.
+    """The rows in a learnt language, all columns: with a letter, and not far beyond the 8 bits a byte that noise needs.
 
     Text like the sample takes two or three bits a byte, text full of unknown words up to eight or ten.
     """
-    judged = predict(docs, learn(docs))
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < max_bits)).select(*docs.columns)
+    judged = _judged(whole(docs), learn(docs), "und", lambda batch: pc.struct_field(batch.column("row"), "text"))
+    return judged.filter((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < max_bits)).select("row.*")
