@@ -17,7 +17,8 @@ Documents that are the same words throughout are told apart first, and one of th
 a group of copies costs as much as two. Counts are sums with map-side combining and lookups are equi joins.
 
 Null and empty texts have no words and keep the sha256 of the empty string. Repeated rows repeat each other's windows. Texts shorter than a
-window keep all words.
+window keep all words; no rows give no rows. Extra columns are not read. Whole texts are worked on, a text beyond a megabyte alone, in some
+thirty times its bytes. Stretches that prove windows are told apart by 128 bits, single windows by 96.
 """
 
 from __future__ import annotations
@@ -71,15 +72,15 @@ def _fixed(hashes: np.ndarray, at: np.ndarray, length: int, seed: int = 0) -> np
     return windows(hashes, length, seed)[at]
 
 
-def _ladder(hashes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+def _ladder(hashes: np.ndarray, at: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hash of ``length`` words from each place; where the text ends before, of those up to the end and their number."""
     out = np.zeros(len(at), np.uint64)
     whole = at + length <= len(hashes)
     if whole.any():
-        out[whole] = _fixed(hashes, at[whole], length)
+        out[whole] = _fixed(hashes, at[whole], length, seed)
     for i in np.flatnonzero(~whole):
         rest = hashes[at[i] :]
-        out[i] = windows(rest, len(rest))[0] ^ np.uint64(0x5851F42D4C957F2D * (len(rest) + 1) & ((1 << 64) - 1))
+        out[i] = windows(rest, len(rest), seed)[0] ^ np.uint64(0x5851F42D4C957F2D * (len(rest) + 1) & ((1 << 64) - 1))
     return out
 
 
@@ -100,6 +101,12 @@ def _word_rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray,
             yield i + k, hashes[a:b], data, starts[a:b], ends[a:b]
 
 
+def _second(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Another hash of each word."""
+    lo = starts[0]
+    return hash_words(data[lo : ends[-1]], starts - lo, ends - lo, seed=1)
+
+
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
     """The words with one space between."""
     if not len(starts):
@@ -139,17 +146,21 @@ def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _extended(texts: DataFrame, lengths: list[int]) -> DataFrame:
-    """row, at, weight and the hash of each length, for the repeated anchors of each text."""
-    names = [f"h{n}" for n in lengths]
+    """row, at, weight and the hash of each length, for the repeated anchors of each text; of the last length a second one, ``g``.
+
+    The last length is what proves windows, so it is told apart by 128 bits.
+    """
+    names = [f"h{n}" for n in lengths] + ["g"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, weights, hits = (batch.column(c) for c in ("row", "weight", "hit"))
-            out: list[list[np.ndarray]] = [[] for _ in range(3 + len(lengths))]
-            for i, hashes, *_ in _word_rows(batch.column("text")):
+            out: list[list[np.ndarray]] = [[] for _ in range(3 + len(names))]
+            for i, hashes, *words in _word_rows(batch.column("text")):
                 at = np.sort(hits[i].values.to_numpy()).astype(np.int64)
                 made = [np.full(len(at), rows[i].as_py()), at, np.full(len(at), weights[i].as_py())]
-                for store, x in zip(out, [*made, *(signed(_ladder(hashes, at, n)) for n in lengths)]):
+                ladders = [*(_ladder(hashes, at, n) for n in lengths), _ladder(_second(*words), at, lengths[-1], 1)]
+                for store, x in zip(out, [*made, *map(signed, ladders)]):
                     store.append(x)
             columns = [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "at", "weight", *names])
@@ -188,8 +199,7 @@ def _edges(texts: DataFrame, window: int, seed: int, top: int) -> DataFrame:
                 asks = ~proven & ~ruled_out(least, at, level, window)
                 places = np.flatnonzero(asks | shown)
                 if len(places):
-                    lo = starts[0]
-                    second = hash_words(data[lo : ends[-1]], starts - lo, ends - lo, seed=1)
+                    second = _second(data, starts, ends)
                     made = (np.full(len(places), rows[i].as_py()), places,
                             np.where(shown[places], 2, weights[i].as_py()), asks[places].astype(np.int64),
                             signed(_fixed(hashes, places, window)), signed(_fixed(second, places, window, 1)) >> 32)
@@ -255,7 +265,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     # Level of the seed: which anchors occur twice.
     each = taking_part.select("row", "weight", F.explode(F.arrays_zip("at", "gram")).alias("x"))
     each = each.select("row", "weight", F.col("x.at").alias("at"), F.col("x.gram").alias("gram"))
-    hits = each.join(_repeated(each, "gram"), "gram", "left_semi").groupBy("row").agg(F.collect_list("at").alias("hit"))
+    # Stored, what is repeated is a table of its own: a join with it can be split where one key has very many rows.
+    hits = each.join(stored(_repeated(each, "gram"), "repeated"), "gram", "left_semi").groupBy("row").agg(F.collect_list("at").alias("hit"))
     hopeful = stored(taking_part.select("row", "doc_id", "text_key", "weight").join(hits, "row"), "hopeful")
     texts = docs.select("doc_id", text_key(), "text").select(document().alias("document"), "text")
     hopeful = hopeful.select(document().alias("document"), "row", "weight", "hit")
@@ -265,8 +276,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     alive = stored(_extended(texts, lengths), "level")
     marks = None
     for n in lengths:
-        counted = alive.groupBy(f"h{n}").agg(F.sum("weight").alias("total"), F.min(F.struct("row", "at")).alias("first"))
-        kept = alive.join(counted.filter("total >= 2").select(f"h{n}", "first"), f"h{n}")
+        key = [f"h{n}"] if n != top else [f"h{n}", "g"]
+        counted = alive.groupBy(*key).agg(F.sum("weight").alias("total"), F.min(F.struct("row", "at")).alias("first"))
+        kept = alive.join(stored(counted.filter("total >= 2").select(*key, "first"), "repeated"), key)
         kept = stored(kept.withColumn("first", F.col("first") == F.struct("row", "at")), "level")
         mark = kept.select("row", F.struct("at", F.lit(n).alias("level"), "first").alias("mark"))
         marks = mark if marks is None else marks.union(mark)
@@ -276,7 +288,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
 
     # Windows that are neither proven nor ruled out.
     edges = stored(_edges(marked, window, seed, top), "edges")
-    found = edges.filter("asks = 1").join(_repeated(edges, "h", "g"), ["h", "g"], "left_semi")
+    found = edges.filter("asks = 1").join(stored(_repeated(edges, "h", "g"), "repeated"), ["h", "g"], "left_semi")
     found = found.groupBy("row").agg(F.collect_set("at").alias("found"))
     # A text of double weight goes as a whole, and may have come twice.
     cut = marked.filter("weight = 1").join(found, "row", "left")
