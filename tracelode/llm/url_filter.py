@@ -50,13 +50,23 @@ def path_of(url: Column) -> Column:
 
 
 def address(url: Column) -> Column:
-    """What aliases are told apart by: no scheme, no fragment, host in lower case. Null without a host."""
+    """What aliases are told apart by: no scheme, no fragment, host in lower case, no default port, an empty path as ``/``. Null without a host."""
+    scheme = ascii_lower(F.regexp_extract(url, r"(?s)\A(.*?)://", 1))
+    port = F.when(scheme == "http", r":(?:80)?\z").when(scheme == "https", r":(?:443)?\z").otherwise(r":\z")
+    host = F.regexp_replace(host_of(url), port, F.lit(""))
     rest = F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^#]*)", 1)
-    return F.when(host_of(url) != "", F.concat(host_of(url), rest))
+    slash = F.when(rest.startswith("/"), "").otherwise("/")
+    return F.when(host != "", F.concat(host, slash, rest))
 
 
-#: A tag up to the first ``>`` outside quotes, and one attribute of it.
-_TAG = re.compile(r"""<(link|meta|base)(?=[\s/>])((?:"[^"]*"|'[^']*'|[^>])*+)>""", re.I)
+#: A tag up to the first ``>`` outside quotes, and one attribute of it. Comments and elements that hold text alone are passed over whole; one
+#: that is not closed goes up to the end.
+_TAG = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))"""
+    r"""|<(script|style|textarea|title|xmp|iframe|noembed|noframes)(?=[\s/>])(?:"[^"]*"|'[^']*'|[^>])*+>.*?(?:</\1(?=[\s/>])|\Z)"""
+    r"""|<(link|meta|base)(?=[\s/>])((?:"[^"]*"|'[^']*'|[^>])*+)>""",
+    re.I | re.S,
+)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _REFRESH = re.compile(r"\s*(?:[\d.]+\s*(?:[;,]\s*)?url\s*=|[\d.]+\s*[;,]|[;,]?\s*url\s*=)\s*(.*)", re.I | re.S)
 #: Scheme, authority, path, query of a reference; the fragment is not told apart.
@@ -112,7 +122,7 @@ def resolved(base: str, to: str) -> str | None:
 def named(url: str, html: str) -> list[str]:
     """Absolute addresses of the first canonical link and the first refresh of a page."""
     base, canonical, refresh = None, None, None
-    for tag, inside in _TAG.findall(html):
+    for _, tag, inside in _TAG.findall(html):
         kind, at = tag.lower(), _attributes(inside)
         if kind == "base" and base is None and "href" in at:
             base = _reference(at["href"])
