@@ -108,3 +108,16 @@ def mixture(docs, quota, block):
             done[s] += 1
         t += 1
     return out
+
+
+def earliest_deadline_first(parts, blocks):
+    """(source, block, slot) of every block, ties by source; every slot looks at all sources."""
+    total, done, out, t = sum(parts), [0] * len(parts), [], 0
+    while sum(done) < sum(blocks):
+        ready = [i for i, n in enumerate(blocks) if done[i] < n and done[i] * total // parts[i] <= t]
+        if ready:
+            i = min(ready, key=lambda i: (-(-(done[i] + 1) * total // parts[i]), i))
+            out.append((i, done[i], t))
+            done[i] += 1
+        t += 1
+    return out

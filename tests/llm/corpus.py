@@ -7,7 +7,8 @@ import random
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators use inside, as extra columns of their input.
 CLASHING = {"row": "'x'", "text_key": "1L", "same": "'s'", "length": "2", "score": "0.5D", "kept": "true", "part": "3",
-            "position": "7L", "lang_pred": "'q'", "k": "1", "_key": "'y'", "_copy": "9", "document": "'z'"}
+            "position": "7L", "Lang_Pred": "'q'", "k": "1", "_key": "'y'", "_copy": "9", "document": "'z'", "key": "8", "at": "'w'", "copy": "2",
+            "stays": "false", "_stays": "1", "_position": "3", "_at": "4", "bits_per_byte": "99D", "text key": "'odd'", "range": "5"}
 ODD = [None, "", "   \t\n", "one", "Two words", "a a a a a a a a a a", "... !!! ???", "été ÉTÉ straße", "x" * 3000,
        "tab\tand\x0bvertical\x0cfeed no break", "日本語 テキスト"]
 

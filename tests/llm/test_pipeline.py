@@ -29,10 +29,10 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n != "op12_whitening"])
 def test_one_row_per_document(spark, name):
     got = QUERIES[name](spark, SF_DIR)
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
@@ -123,7 +123,40 @@ def test_relative_links_lead_to_aliases(spark):
 
 
 def url_filter_address(url):
-    return url.partition("://")[2]
+    rest = url.partition("://")[2]
+    return rest if "/" in rest else rest + "/"
+
+
+HIDDEN = [
+    '<!-- <link rel="canonical" href="http://bad.net/es/"> --><p>',
+    "<script>var x = '<link rel=\"canonical\" href=\"http://bad.net/es/\">';</script>",
+    "<SCRIPT src=x>'<meta http-equiv=refresh content=\"0;url=http://bad.net/es/\">'</Script >",
+    "<style><link rel=canonical href=http://bad.net/es/></style>",
+    "<title><link rel=canonical href=http://bad.net/es/></title>",
+    "<textarea>\n<link rel=canonical href=http://bad.net/es/>\n</textarea>",
+    "<p>open <!-- <link rel=canonical href=http://bad.net/es/>",
+    "<script><link rel=canonical href=http://bad.net/es/>",
+]
+
+
+def test_links_in_comments_and_raw_text_are_none():
+    for html in HIDDEN:
+        assert url_filter.named("http://a.org/", html) == [], html
+    shown = '<!--> <link rel="canonical" href="/1"> <!-- a --> <scripty><meta http-equiv=refresh content="0;url=/2"><!-- <base href=/x> -->'
+    assert url_filter.named("http://a.org/", shown) == ["http://a.org/1", "http://a.org/2"]
+
+
+def test_spellings_of_one_address_are_one_node(spark):
+    """Each page names another spelling of a page that a rule blocks."""
+    same = ["http://d.org", "http://D.org/", "https://d.org:443", "http://d.org:80/#x", "http://d.org:/", "HTTP://d.org:80"]
+    other = ["http://d.org:8080/", "https://d.org:80/", "http://d.org:443", "http://d.org/?", "ftp://d.org:80/"]
+    urls = spark.createDataFrame([(u,) for u in same + other], "url string")
+    found = [r[0] for r in urls.select(url_filter.address(F.col("url"))).collect()]
+    assert set(found[: len(same)]) == {"d.org/"} and "d.org/" not in found[len(same) :]
+    pages = [(i, f"http://p{i}.org", f'<link rel="canonical" href="{u}">') for i, u in enumerate(same)]
+    pages = spark.createDataFrame([*pages, (99, "http://d.org/", "")], "page_id long, url string, html string")
+    rules = spark.createDataFrame([("d.org", "/", False)], "rule_host string, rule_path string, allows boolean")
+    assert {r["verdict"] for r in url_filter.judged(pages, rules).collect()} == {"block"}
 
 
 @pytest.mark.parametrize(("to", "want"), [
@@ -178,20 +211,71 @@ def test_mixing_of_repeated_rows_and_nothing(spark):
     assert mixing.mixed(corpus.frame(spark, [])).count() == mixing.in_order(corpus.frame(spark, [])).count() == 0
 
 
-def test_blocks_stay_within_one_of_the_requested_weights():
-    rng = random.Random(3)
-    cases = [{"a": 1, "b": 0.001}, {"a": 5, "b": 1}, {str(i): rng.random() ** 4 for i in range(60)}, {"a": 0.1, "b": 1e-9, "c": 0.3}]
-    for weights in cases:
-        total = sum(map(Fraction, weights.values()))
-        shares = [Fraction(w) / total for w in weights.values()]
-        jobs = [range(int(30_000 * w) + 1) for w in shares]
-        who, slots = mixing.turns([Fraction(w) for w in weights.values()], jobs)
-        assert Counter(who.tolist()) == {i: len(j) for i, j in enumerate(jobs)} and (slots[1:] > slots[:-1]).all()
-        done = [0] * len(shares)
-        for i, t in zip(who.tolist(), slots.tolist()):
-            k, w = done[i], shares[i]
-            assert k / w // 1 <= t < -(-(k + 1) / w // 1)
+def check_windows(parts, blocks, frame, monkeypatch):
+    """Every block in its window, over the borders of frames; of one frame the same as by plain earliest deadline first."""
+    monkeypatch.setattr(mixing, "FRAME", frame)
+    plan = mixing.Plan.of([Fraction(p) for p in parts], blocks)
+    total, done, used, out = sum(plan.parts), [0] * len(parts), set(), []
+    for _, own in plan.frames().groupby("frame"):
+        who = own["who"].tolist()
+        low, high = int(own["low"].iloc[0]), int(own["high"].iloc[0])
+        local, number, slot = mixing.in_frame([plan.parts[i] for i in who], total, own["first"].tolist(), own["stop"].tolist(), low, high)
+        for i, k, t in zip(local.tolist(), number.tolist(), slot.tolist()):
+            i = who[i]
+            assert low <= t < high and t not in used and k == done[i]
+            assert k * total // plan.parts[i] <= t < -(-(k + 1) * total // plan.parts[i])
+            used.add(t)
             done[i] += 1
+            out.append((i, k, t))
+    assert done == list(blocks)
+    if len(plan.cuts) == 2:
+        assert out == brute.earliest_deadline_first(plan.parts, blocks)
+    return len(plan.cuts)
+
+
+def test_blocks_stay_within_one_of_the_requested_weights(monkeypatch):
+    rng = random.Random(3)
+    cuts = 0
+    for _ in range(400):
+        n, kind = rng.randint(1, 12), rng.randrange(4)
+        parts = [(rng.randint(1, 10), rng.randint(1, 1000), int(10 ** rng.uniform(0, 4)) + 1, rng.randint(1, 1 << 70))[kind] for _ in range(n)]
+        cuts += check_windows(parts, [rng.randint(1, 50) for _ in range(n)], rng.choice([1, 2, 5, 20, 1000]), monkeypatch)
+    assert cuts > 2000
+    for weights in ([1, 0.001], [5, 1], [rng.random() ** 4 for _ in range(60)], [0.1, 1e-5, 0.3]):
+        blocks = [int(30_000 * w / sum(weights)) + 1 for w in weights]
+        assert check_windows([Fraction(w) for w in weights], blocks, 500, monkeypatch) >= 2
+
+
+def test_a_plan_grows_with_frames_not_with_blocks():
+    plan = mixing.Plan.of([Fraction(round(n**0.5 * 1e6)) for n in (10**11, 10**9, 10**8, 5)], [10**11 // 64, 10**9 // 64, 10**8 // 64, 1])
+    assert 1000 < len(plan.frames()) <= 1.01 * mixing.NUMBERS and plan.before[-1].tolist() == [10**11 // 64, 10**9 // 64, 10**8 // 64, 1]
+
+
+def test_registered_mixture_against_brute_force(spark, monkeypatch):
+    """Square roots of the counts, exactly, as registered: block by block the plain schedule; in frames within the windows."""
+    import hashlib
+
+    rng = random.Random(2)
+    sources = {i: rng.choice("aaaaaabbbc") if i % 50 else f"rare{i % 3}" for i in range(1500)}
+    docs = spark.createDataFrame(list(sources.items()), "doc_id long, source string").withColumn("text", F.lit("x"))
+    counts = Counter(sources.values())
+    names = sorted(counts)
+    parts = mixing._shares([Fraction(round(counts[s] ** 0.5 * 1_000_000)) for s in names])
+    lists = {s: sorted((i for i in sources if sources[i] == s), key=lambda i: hashlib.md5(str(i).encode()).hexdigest()) for s in names}
+    for frame in (mixing.FRAME, 60):
+        monkeypatch.setattr(mixing, "FRAME", frame)
+        got = mixing.mixed(docs, block=4).orderBy("position").collect()
+        assert [r["position"] for r in got] == list(range(len(sources)))
+        slots = {(r["source"], r["block"]): r["slot"] for r in got}
+        if frame > 60:
+            plain = brute.earliest_deadline_first(parts, [-(-counts[s] // 4) for s in names])
+            assert slots == {(names[i], k): t for i, k, t in plain}
+        for (s, k), t in slots.items():
+            p = parts[names.index(s)]
+            assert k * sum(parts) // p <= t < -(-(k + 1) * sum(parts) // p)
+        order = [d for (s, k), _ in sorted(slots.items(), key=lambda x: x[1]) for d in lists[s][4 * k : 4 * k + 4]]
+        assert [r["doc_id"] for r in got] == order
+    assert len(slots) > 300
 
 
 def test_mixture_of_requested_weights(spark, monkeypatch):
@@ -221,10 +305,10 @@ def test_many_sources_in_groups(spark, monkeypatch):
     got = mixing.mixed(docs, block=2).orderBy("position").collect()
     assert [r["position"] for r in got] == list(range(len(names)))
     assert Counter(r["source"] for r in got) == Counter(names)
-    root = {s: n**0.5 for s, n in Counter(names).items()}
+    root = {s: round(n**0.5, 6) for s, n in Counter(names).items()}
     for r in got:
         w = root[r["source"]] / sum(root.values())
-        assert abs(r["weight"] - w) < 1e-12 and abs(r["block"] - r["slot"] * w) < 2
+        assert abs(r["weight"] - w) < 1e-9 and abs(r["block"] - r["slot"] * w) < 2
 
 
 # Pipeline
@@ -237,8 +321,9 @@ def test_stages_against_brute_force(spark, scratch):
     from tracelode.llm import packing
 
     docs = corpus.documents(9) + [(1, "1234 ..."), (2, None)]
-    frame = corpus.frame(spark, docs, clashing=False)
+    frame = corpus.frame(spark, docs)
     texts = dict(docs)
+    whole = {r["doc_id"]: r for r in frame.collect()}
 
     def stage(i, rows):
         out = corpus_pipeline.STAGES[i][1](spark, rows, SF_DIR)
@@ -246,6 +331,7 @@ def test_stages_against_brute_force(spark, scratch):
         back = spark.read.parquet(f"{scratch}/{i}")
         if i < 4:
             assert back.columns == frame.columns
+            assert all(r == whole[r["doc_id"]] for r in back.collect())
         return back
 
     one = stage(0, frame)
