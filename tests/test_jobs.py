@@ -10,7 +10,7 @@ from tracelode.operators import silver
 from tracelode.operators.normalize import normalize
 from tracelode.plans import jobs, views
 from tracelode.session import configure
-from tracelode.sources import landing, sinks
+from tracelode.sources import landing, manifest, serving, sinks
 from tracelode.streaming import bronze as bronze_stream
 
 
@@ -257,3 +257,160 @@ def test_redelivery_of_records_without_a_time(spark, scratch):
     again = jobs.read_silver(spark, scratch)
     assert tuple(again["token_costs"].agg(F.sum("cost_units"), F.count("*")).first()) == tuple(spend) and spend[1] == 5
     assert again["sessions"].first().total_responses == 5
+
+
+# Merging of batch folders, retention
+
+
+def stored_rows(spark, root):
+    return {n: sorted(map(repr, t.collect())) for n, t in jobs.read_silver(spark, root).items()}
+
+
+def test_merged_files_hold_the_same_rows(spark, fixture_file, scratch):
+    """Five batches merged in two steps, a late batch after each, gold of changed days, and a stream that goes on."""
+    names = ("late_1.jsonl", "rejects.jsonl", "retries.jsonl", "day.jsonl", "same_tick.jsonl")
+    for name in names:
+        land(fixture_file, scratch, name)
+        step(spark, scratch)
+    before = stored_rows(spark, scratch)
+    first = jobs.run_compaction(spark, scratch)
+    assert stored_rows(spark, scratch) == before
+    newest = spark.read.parquet(f"{scratch}/silver/prompts").agg(F.max("batch_id")).first()[0]
+    now = manifest.snapshot(spark, f"{scratch}/silver/session_parts")
+    assert (now.version, now.upto) == (0, newest - 1)
+    assert first["session_parts"].files_before > first["session_parts"].files_after == 1
+    again = jobs.run_compaction(spark, scratch)
+    assert all(c.version is None and c.files_after == c.files_before for c in again.values())
+    jobs.run_gold(spark, scratch)
+
+    land(fixture_file, scratch, "late_2.jsonl")
+    step(spark, scratch)
+    late = stored_rows(spark, scratch)
+    assert len(late["prompts"]) > len(before["prompts"])
+    jobs.run_compaction(spark, scratch, upto=newest + 1)
+    assert stored_rows(spark, scratch) == late
+    assert manifest.snapshot(spark, f"{scratch}/silver/session_parts").version == 1
+    jobs.run_gold(spark, scratch, since_batch=newest + 1)
+    for name, (df, _) in jobs.gold_tables(jobs.read_silver(spark, scratch)).items():
+        same(spark.read.schema(df.schema).parquet(f"{scratch}/gold/{name}"), df)
+
+
+def test_a_stop_before_the_manifest_changes_nothing(spark, fixture_file, scratch, monkeypatch):
+    for name in ("late_1.jsonl", "rejects.jsonl", "day.jsonl"):
+        land(fixture_file, scratch, name)
+        step(spark, scratch)
+    before = stored_rows(spark, scratch)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    real = manifest.publish
+    monkeypatch.setattr(manifest, "publish", stop)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.run_compaction(spark, scratch)
+    assert list(Path(f"{scratch}/silver").glob("*/_compacted/*"))
+    assert stored_rows(spark, scratch) == before
+    monkeypatch.setattr(manifest, "publish", real)
+    jobs.run_compaction(spark, scratch)
+    assert stored_rows(spark, scratch) == before
+
+
+def test_a_wrong_rewrite_is_not_published(spark, fixture_file, scratch, monkeypatch):
+    for name in ("late_1.jsonl", "rejects.jsonl", "day.jsonl"):
+        land(fixture_file, scratch, name)
+        step(spark, scratch)
+    sums = iter([(1, 2), (1, 3)])
+    monkeypatch.setattr(manifest, "checksum", lambda rows: next(sums))
+    with pytest.raises(RuntimeError):
+        jobs.run_compaction(spark, scratch)
+    assert manifest.snapshot(spark, f"{scratch}/silver/prompts") is None
+
+
+def test_bins_of_files(spark):
+    files = [(f"f{i:02}", size, 1, day) for i, (size, day) in enumerate([(10, "a"), (20, "a"), (90, "a"), (30, "a"), (45, "a"), (5, "b"), (60, "c"), (49, "a")])]
+    got = manifest.plan(spark.createDataFrame(files, "path string, bytes long, rows long, day string"), ["day"], 100).collect()
+    bins = {r.path: r.bin for r in got}
+    assert bins == {"f00": 0, "f01": 0, "f02": None, "f03": 0, "f04": 0, "f05": None, "f06": None, "f07": 1} | {"f07": None}
+
+
+def test_retention_never_takes_what_a_version_names(spark, fixture_file, scratch):
+    from datetime import datetime, timedelta
+
+    for name in ("late_1.jsonl", "rejects.jsonl", "bad.jsonl", "day.jsonl"):
+        land(fixture_file, scratch, name)
+        step(spark, scratch)
+    now = datetime.now()
+    before = stored_rows(spark, scratch)
+    assert not any(jobs.run_retention(spark, scratch, now, dry_run=True).values())
+    jobs.run_compaction(spark, scratch)
+    assert not any(jobs.run_retention(spark, scratch, now, dry_run=True).values())
+    later = now + timedelta(days=31)
+    due = jobs.run_retention(spark, scratch, later, dry_run=True)
+    batches = sorted(r.batch_id for r in spark.read.parquet(f"{scratch}/silver/session_parts").select("batch_id").distinct().collect())
+    newest = batches[-1]
+    assert due["silver/session_parts"] == [f"batch_id={i}" for i in batches[:-1]]
+    assert due["bronze"] and all("malformed=1" in x for x in due["bronze"])
+    assert stored_rows(spark, scratch) == before  # a dry run
+    assert jobs.run_retention(spark, scratch, later, dry_run=False) == due
+    spark.catalog.clearCache()
+    assert not any(jobs.run_retention(spark, scratch, later, dry_run=True).values())
+    assert stored_rows(spark, scratch) == before
+    assert bronze_stream.read_quarantine(spark, f"{scratch}/bronze").count() == 0
+
+    land(fixture_file, scratch, "late_2.jsonl")
+    step(spark, scratch)
+    more = stored_rows(spark, scratch)
+    jobs.run_compaction(spark, scratch, upto=newest + 1)
+    replaced = manifest.expired(spark, f"{scratch}/silver/session_parts", datetime.now() + timedelta(days=1))
+    assert {r.reason for r in replaced.collect()} == {"merged", "replaced"}
+    jobs.run_retention(spark, scratch, later + timedelta(days=2), dry_run=False)
+    assert stored_rows(spark, scratch) == more
+
+
+# Serving of changed days
+
+
+def test_a_late_event_moves_the_days_it_changes(spark, fixture_file, scratch, monkeypatch):
+    land(fixture_file, scratch, "late_1.jsonl")
+    land(fixture_file, scratch, "day.jsonl")
+    step(spark, scratch)
+    jobs.run_gold(spark, scratch)
+    target = f"{scratch}/served"
+    first = jobs.run_sync_changed(spark, scratch, target)
+    assert first["daily_user_metrics"].moved == first["daily_user_metrics"].days >= 2
+    assert all(s.moved == 0 and s.removed == 0 for s in jobs.run_sync_changed(spark, scratch, target).values())
+
+    land(fixture_file, scratch, "late_2.jsonl")
+    step(spark, scratch)
+    newest = jobs.read_silver(spark, scratch)["prompts"].agg(F.max("batch_id")).first()[0]
+    jobs.run_gold(spark, scratch, since_batch=newest)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    df = spark.read.parquet(f"{scratch}/gold/daily_user_metrics").drop("processed_at")
+    before = sorted(map(repr, serving.read(spark, f"{target}/daily_user_metrics", df.schema, "usage_date").collect()))
+    real = serving.publish
+    monkeypatch.setattr(serving, "publish", stop)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.run_sync_changed(spark, scratch, target)
+    assert sorted(map(repr, serving.read(spark, f"{target}/daily_user_metrics", df.schema, "usage_date").collect())) == before
+    monkeypatch.setattr(serving, "publish", real)
+    second = jobs.run_sync_changed(spark, scratch, target)
+    assert second["daily_user_metrics"].moved < first["daily_user_metrics"].days + 2 and second["daily_user_metrics"].moved >= 1
+    for name, (table, date) in jobs.gold_tables(jobs.read_silver(spark, scratch)).items():
+        same(serving.read(spark, f"{target}/{name}", table.schema, date), table)
+
+
+def test_days_without_a_date_and_days_that_go(spark, scratch):
+    import datetime
+
+    day = datetime.date(2026, 3, 2)
+    rows = spark.createDataFrame([(day, 1), (None, 2), (datetime.date(2026, 3, 3), 3)], "day date, v int")
+    assert serving.sync_changed(rows, "day", scratch) == (3, 3, 0)
+    same(serving.read(spark, scratch, rows.schema, "day"), rows)
+    fewer = rows.filter("v != 3").union(spark.createDataFrame([(None, 9)], "day date, v int"))
+    assert serving.sync_changed(fewer, "day", scratch) == (2, 1, 1)
+    same(serving.read(spark, scratch, rows.schema, "day"), fewer)
+    assert serving.sync_changed(rows.limit(0), "day", scratch) == (0, 0, 2)
+    assert serving.read(spark, scratch, rows.schema, "day").count() == 0

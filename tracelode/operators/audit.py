@@ -133,19 +133,32 @@ def masked_transcript(lines: DataFrame) -> DataFrame:
     )
 
 
+# Days after which something falls due.
+RETENTION_DAYS = {"cool": 7, "archive": 90, "quarantine": 30, "stage": 3, "bronze_history": 7, "silver_history": 30}
+
+
+def expired_quarantine(bronze: DataFrame, as_of: date) -> DataFrame:
+    """Folders of malformed lines that are due for deletion: folder, reason. Only partition columns are read."""
+    day = F.make_date("ingest_year", "ingest_month", "ingest_day")
+    old = bronze.filter((F.col("malformed") == 1) & (F.datediff(F.lit(as_of), day) > RETENTION_DAYS["quarantine"]))
+    names = ("batch_id", "malformed", "ingest_year", "ingest_month", "ingest_day")
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in names])
+    return old.select(folder.alias("folder"), F.lit("quarantine").alias("reason")).distinct()
+
+
 def retention(partitions: DataFrame, as_of: Column | date, day: str = "event_date") -> DataFrame:
     """Lifecycle action per day partition: raw tiers, and what is due for deletion elsewhere."""
     end = as_of if isinstance(as_of, Column) else F.lit(as_of)
     aged = partitions.withColumn("age_days", F.datediff(end, day))
     age = F.col("age_days")
-    # 7 days hot, 90 days cool; quarantine 30, stage 3, bronze 7, silver 30 days.
+    due = {name: age > days for name, days in RETENTION_DAYS.items()}
     return aged.withColumns(
         {
-            "raw_tier": F.when(age > 90, "archive").when(age > 7, "cool").otherwise("hot"),
-            "quarantine_action": F.when(age > 30, "purge").otherwise("keep"),
-            "stage_action": F.when(age > 3, "purge").otherwise("keep"),
-            "bronze_history": F.when(age > 7, "vacuum").otherwise("keep"),
-            "silver_history": F.when(age > 30, "vacuum").otherwise("keep"),
+            "raw_tier": F.when(due["archive"], "archive").when(due["cool"], "cool").otherwise("hot"),
+            "quarantine_action": F.when(due["quarantine"], "purge").otherwise("keep"),
+            "stage_action": F.when(due["stage"], "purge").otherwise("keep"),
+            "bronze_history": F.when(due["bronze_history"], "vacuum").otherwise("keep"),
+            "silver_history": F.when(due["silver_history"], "vacuum").otherwise("keep"),
         }
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tracelode import schemas
 from tracelode.operators import audit, gold, silver, usage
 from tracelode.operators.normalize import normalize
 from tracelode.session import configure
-from tracelode.sources import sinks
+from tracelode.sources import manifest, serving, sinks
 from tracelode.streaming import bronze as bronze_stream
 from tracelode.streaming import silver as silver_stream
 
@@ -40,14 +41,47 @@ def run_silver(
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The silver tables. Their schemas are given: a table without rows yet has no files to ask."""
     tables = {
-        name: spark.read.schema(schemas.stored(schema)).parquet(f"{root}/silver/{name}")
-        for name, schema in schemas.SILVER.items()
+        name: manifest.read(spark, f"{root}/silver/{name}", schemas.stored(schema)) for name, schema in schemas.SILVER.items()
     }
     tables["sessions"] = silver_stream.read_sessions(spark, f"{root}/silver/session_parts")
     tables["session_days"] = silver_stream.read_session_days(spark, f"{root}/silver/session_days")
     return tables
 
 
+#: Tables that grow by a folder per micro-batch, and the columns they are partitioned by below it.
+BATCH_TABLES: dict[str, tuple[T.StructType, list[str]]] = {
+    **{name: (schemas.stored(schema), ["event_date"]) for name, schema in schemas.SILVER.items()},
+    "session_parts": (schemas.SESSION_PARTS, []),
+    "session_days": (schemas.SESSION_DAYS, []),
+}
+
+
+def run_compaction(
+    spark: SparkSession, root: str, upto: int | None = None, target_bytes: int = manifest.TARGET_BYTES
+) -> dict[str, manifest.Compaction]:
+    """Merge the small files that the batches of the silver stream have left. Readers and the stream may go on meanwhile."""
+    return {
+        name: manifest.compact(spark, f"{root}/silver/{name}", schema, partitions, upto, target_bytes)
+        for name, (schema, partitions) in BATCH_TABLES.items()
+    }
+
+
+def run_retention(spark: SparkSession, root: str, as_of: datetime, dry_run: bool = True) -> dict[str, list[str]]:
+    """Folders that fall due: replaced silver files after 30 days, quarantined lines after 30 days. A dry run only names them.
+
+    What a version in use names is never among them: the manifest decides, not the age of a folder.
+    """
+    day = audit.RETENTION_DAYS
+    out = {}
+    for name in BATCH_TABLES:
+        path = f"{root}/silver/{name}"
+        due = manifest.expired(spark, path, as_of - timedelta(days=day["silver_history"]))
+        out[f"silver/{name}"] = manifest.delete(spark, path, due, dry_run)
+    quarantine = audit.expired_quarantine(spark.read.parquet(f"{root}/bronze"), as_of.date())
+    out["bronze"] = manifest.delete(spark, f"{root}/bronze", quarantine, dry_run)
+    return out
+
+
 def gold_tables(tables: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
     """Gold tables with the date each is partitioned by. Transcripts are stored masked."""
     lines = _masked_lines(tables["prompts"], tables["responses"])
@@ -102,7 +136,7 @@ def touched_gold(
         cut[name] = _only_days(tables[name], new(tables[name]).select(F.col("event_date").alias("day")), "event_date")
 
     def stored(name: str, schema: T.StructType) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/silver/{name}")
+        return manifest.read(spark, f"{root}/silver/{name}", schema)
 
     parts = stored("session_parts", schemas.SESSION_PARTS)
     changed = new(parts).select("session_id")
@@ -151,7 +185,7 @@ def run_gold(spark: SparkSession, root: str, since_batch: int | None = None) ->
     out = touched_gold(spark, root, tables, since_batch)
     for name, (df, date) in out.items():
         sinks.write_table(df, f"{root}/gold/{name}", [date], only_touched=True, stamp=True)
-    parts = spark.read.schema(schemas.SESSION_PARTS).parquet(f"{root}/silver/session_parts")
+    parts = manifest.read(spark, f"{root}/silver/session_parts", schemas.SESSION_PARTS)
     changed = parts.filter(F.col("batch_id") >= since_batch).select("session_id")
     left = _start_days(parts, changed, since_batch).join(
         tables["sessions"].select(F.to_date("session_start").alias("day")).distinct(), "day", "left_anti"
@@ -173,6 +207,19 @@ def run_sync(
     return sinks.sync_tables(tables, target, format)
 
 
+def run_sync_changed(spark: SparkSession, root: str, target: str) -> dict[str, serving.Synced]:
+    """The same tables to files below ``target``, only the days that differ from what is there."""
+    stored = read_silver(spark, root)
+    out = {}
+    for name, (df, date) in gold_tables(stored).items():
+        table = spark.read.schema(schemas.processed(df.schema)).parquet(f"{root}/gold/{name}").drop("processed_at")
+        out[name] = serving.sync_changed(table, date, f"{target}/{name}")
+    sessions = stored["sessions"].withColumn("start_date", F.to_date("session_start"))
+    out["sessions"] = serving.sync_changed(sessions, "start_date", f"{target}/sessions")
+    out["token_costs"] = serving.sync_changed(stored["token_costs"].drop("processed_at"), "event_date", f"{target}/token_costs")
+    return out
+
+
 def sessions_from_scratch(spark: SparkSession, root: str) -> DataFrame:
     """Sessions recomputed from bronze: what the merged parts must equal."""
     return silver.sessions(normalize(bronze_stream.read_bronze(spark, f"{root}/bronze")))

@@ -30,6 +30,7 @@ def _table(**fields: str) -> T.StructType:
         "ts": T.TimestampNTZType(),
         "date": T.DateType(),
         "variant": T.VariantType(),
+        "binary": T.BinaryType(),
         "instant": T.TimestampType(),
     }
     return T.StructType([T.StructField(name, types[kind], True) for name, kind in fields.items()])
@@ -156,6 +157,8 @@ SESSION_DAYS = _table(
     batch_id="long",
 )
 
+DURATIONS = _table(hour="ts", model="string", durations="binary", requests="long", batch_id="long")
+
 TOOL_COUNTS = _table(
     window_start="ts", window_end="ts", tool_name="string", results="long", duration_ms="long", batch_id="long"
 )

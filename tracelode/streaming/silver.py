@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from tracelode import schemas
 from tracelode.functions.times import as_instant, as_utc
-from tracelode.operators import silver, usage
+from tracelode.operators import silver, sketches, usage
 from tracelode.operators.normalize import normalize
+from tracelode.sources import manifest
 from tracelode.sources.sinks import write_table
 
 # What a re-delivery repeats; ``told_apart`` is the reported time of events without a sequence number.
@@ -78,11 +79,11 @@ def fan_out(
 
 
 def read_sessions(spark: SparkSession, parts: str) -> DataFrame:
-    return silver.merge_sessions(spark.read.schema(schemas.SESSION_PARTS).parquet(parts))
+    return silver.merge_sessions(manifest.read(spark, parts, schemas.SESSION_PARTS))
 
 
 def read_session_days(spark: SparkSession, parts: str) -> DataFrame:
-    return usage.merge_session_days(spark.read.schema(schemas.SESSION_DAYS).parquet(parts))
+    return usage.merge_session_days(manifest.read(spark, parts, schemas.SESSION_DAYS))
 
 
 TOOL_DAY_KEYS = ["window_start", "window_end", "tool_name"]
@@ -126,5 +127,25 @@ def count_tools(events: DataFrame, target: str, checkpoint: str, width: str = "1
 
 
 def read_tool_counts(spark: SparkSession, parts: str) -> DataFrame:
-    found = spark.read.schema(schemas.TOOL_COUNTS).parquet(parts)
+    found = manifest.read(spark, parts, schemas.TOOL_COUNTS)
     return found.groupBy(*TOOL_DAY_KEYS).agg(F.sum("results").alias("results"), F.sum("duration_ms").alias("duration_ms"))
+
+
+def sketch_durations(events: DataFrame, target: str, checkpoint: str) -> None:
+    """Write hourly sketches of the request times of each micro-batch, then stop when all input is done. A late event adds a part."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_table(sketches.duration_hours(batch), f"{target}/batch_id={batch_id}")
+
+    query = (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_durations(spark: SparkSession, parts: str) -> DataFrame:
+    """hour, model, durations and requests: the sketches of all batches, merged."""
+    return sketches.merged_durations(manifest.read(spark, parts, schemas.DURATIONS), "hour", "model")
