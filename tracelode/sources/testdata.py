@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelode.operators.sliced import Running, running, time_slices
+from tracelode.operators.sliced import Running, micros, paired, running, time_slices, unpaired
 
 # Fixed values of the mapping.
 EVENT_NAMES = {
@@ -272,6 +272,8 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
             "language"
         ),
         F.concat(F.lit("2."), (k % 4).cast("string")).alias("app_version"),
+        _pick(("cli", "sdk", "ide"), "user_id").alias("app_entrypoint"),
+        "resource_attributes",
     )
 
 
@@ -304,6 +306,55 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trace_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One span per event: prompts are roots, requests hang below them or, of subagents, below the tool call that started
+    them, tool calls and failed attempts below the request before, executions below their call. What comes before the first prompt
+    of a session has a parent that no span is. The clock of a session ticks 40 ms an event.
+    """
+    kind = F.col("event_name")
+    at = paired(micros(F.col("event_timestamp")), F.col("event_id"))
+
+    def latest(name: str) -> Running:
+        return Running("max", F.when(kind == name, at))
+
+    events = running(
+        canonical(spark, sf_dir),
+        ["session_id"],
+        time_slices("event_timestamp", "event_id"),
+        ["event_timestamp", "event_id"],
+        {
+            "event_sequence": Running("sum", F.lit(1).cast("bigint")),
+            "_prompt": latest("user_prompt"),
+            "_request": latest("assistant_response"),
+            "_call": latest("tool_decision"),
+        },
+    )
+
+    def within(what: str) -> Column:
+        """The latest of a kind, if the prompt has one."""
+        return F.when(F.col("_prompt").isNull() | (F.col(what) > F.col("_prompt")), F.col(what))
+
+    below = (
+        F.when(kind == "user_prompt", F.lit(None))
+        .when((kind == "assistant_response") & (F.col("query_source") == "subagent"), F.coalesce(within("_call"), "_prompt"))
+        .when(kind == "assistant_response", F.col("_prompt"))
+        .when(kind == "tool_result", F.coalesce(within("_call"), "_prompt"))
+        .otherwise(F.coalesce(within("_request"), "_prompt"))
+    )
+    events = events.withColumn("_below", below)
+    parent = F.concat(F.lit("e"), unpaired("_below")[1].cast("string"))
+    took = F.coalesce("latency_ms", "duration_ms", "wait_ms", F.when(kind == "user_prompt", _floor(F.col("value") * 100)), F.lit(0))
+    return events.select(
+        "event_id",
+        "session_id",
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("span_id"),
+        F.when(kind != "user_prompt", F.coalesce(parent, F.concat(F.lit("x"), F.col("session_id")))).alias("parent_id"),
+        (F.col("event_sequence") * 40).alias("start_ms"),
+        took.cast("bigint").alias("duration_ms"),
+        (kind == "api_error").alias("is_retry"),
+    )
+
+
 def transcript_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` as canonical events: a conversation is a session, a user turn a prompt.
 
