@@ -31,7 +31,7 @@ def with_payload(lines: DataFrame) -> DataFrame:
     return parse_lines(lines).withColumn("event_name", event_name(F.col("payload")))
 
 
-def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Batch read of all files, plain or gzip. A gzip file is one task, whatever its size."""
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
@@ -61,8 +61,8 @@ def stream_lines(
     return _with_audit(reader.text(path))
 
 
-def copy_into(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Batch load into (payload, ingested_at, file_name); malformed lines are left out."""
+def copy_into(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """Batch load into (payload, ingested_at, file_name); malformed lines are left out. ``loads`` keeps a history of what was loaded."""
     parsed = with_payload(read_lines(spark, path, glob))
     return parsed.filter(F.col("payload").isNotNull()).select(
         "payload", "ingested_at", F.col("source_file").alias("file_name")
