@@ -45,6 +45,26 @@ CASES = [
     (PEM.format("OPENSSH "), "[REDACTED_PRIVATE_KEY]", "MIIE"),
     (PEM.format("ENCRYPTED "), "[REDACTED_PRIVATE_KEY]", "MIIE"),
     ("-----BEGIN PGP PRIVATE KEY BLOCK-----\nlQOY\n-----END PGP PRIVATE KEY BLOCK-----", "[REDACTED_PRIVATE_KEY]", "lQOY"),
+    ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/bPxRfiCYEXAMPLEKEY", "AWS_SECRET_ACCESS_KEY=[REDACTED_CREDENTIAL]", "wJalr"),
+    ('export AWS_SECRET_ACCESS_KEY="wJalrXUtnFEMI" x', "export AWS_SECRET_ACCESS_KEY=[REDACTED_CREDENTIAL] x", "wJalr"),
+    ("passwd=hunter2", "passwd=[REDACTED_CREDENTIAL]", "hunter2"),
+    ("Server=a;Uid=b;Pwd=abcd;", "Server=a;Uid=b;Pwd=[REDACTED_CREDENTIAL];", "abcd"),
+    ("PWD=/home/user1 OLDPWD=/tmp/a2", "PWD=/home/user1 OLDPWD=/tmp/a2", None),
+    ("SharedAccessKeyName=Root;SharedAccessKey=" + "aB1+" * 10 + "=;E=1", "SharedAccessKeyName=Root;SharedAccessKey=[REDACTED_STORAGE_KEY];E=1", "aB1+"),
+    ("push with ghp_" + "a1B2" * 9, "push with [REDACTED_PROVIDER_TOKEN]", "a1B2"),
+    ("xoxb-123456789012-abcDEF.", "[REDACTED_PROVIDER_TOKEN].", "abcDEF"),
+    ("sk-proj-" + "a1B2" * 6, "[REDACTED_PROVIDER_TOKEN]", "a1B2"),
+    ("the task-scheduler-configuration-of-everything", "the task-scheduler-configuration-of-everything", None),
+    ("curl -s -u user:pass http://x", "curl -s -u user:[REDACTED_CREDENTIAL] http://x", "pass "),
+    ("curl http://x --user='me:p w'", "curl http://x --user='me:[REDACTED_CREDENTIAL] w'", "p w"),
+    ("password: correcthorse\nnext", "password: [REDACTED_CREDENTIAL]\nnext", "correcthorse"),
+    ("password: correcthorse", "password: [REDACTED_CREDENTIAL]", "correcthorse"),
+    ("password: something that prose says", "password: something that prose says", None),
+    ('{"password": "a\\"b1", "x": 1}', '{"password": [REDACTED_CREDENTIAL], "x": 1}', "b1"),
+    ('{\\"password\\": \\"a\\\\\\"b1\\", \\"x\\": 1}', '{\\"password\\": [REDACTED_CREDENTIAL], \\"x\\": 1}', "b1"),
+    ('password="hunter', "password=[REDACTED_CREDENTIAL]", "hunter"),
+    ("-----BEGIN RSA PRIVATE KEY-----\nMIIE\nabc\n", "[REDACTED_PRIVATE_KEY]", "MIIE"),
+    ("input_tokens: 512, token_count: 5, max_tokens=100", "input_tokens: 512, token_count: 5, max_tokens=100", None),
     ("", "", None),
     (None, None, None),
 ]
@@ -102,7 +122,8 @@ def test_random_texts_against_a_plain_fold(spark):
 
     def fold(text):
         for rule in SECRET_RULES:
-            text = re.sub(rule.pattern, rule.replacement.replace("$1", r"\1"), text, flags=re.IGNORECASE | re.ASCII)
+            pattern, put = rule.pattern.replace(r"\z", r"\Z"), rule.replacement.replace("$", "\\")
+            text = re.sub(pattern, put, text, flags=re.IGNORECASE | re.ASCII)
         return text
 
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
@@ -110,3 +131,38 @@ def test_random_texts_against_a_plain_fold(spark):
     for i, text in enumerate(texts):
         assert got[i].out == fold(text)
         assert got[i].flag == ("[REDACTED_" in fold(text))
+
+
+def test_long_values_need_no_stack(spark):
+    long = "x\\\"" * 100_000
+    df = spark.createDataFrame([(f'token = "{long}" end',), (f"secret='{'y' * 300_000}' end",), ("-----BEGIN PRIVATE KEY-----" + "z" * 300_000,)], "text string")
+    got = [r.out for r in df.select(redact("text").alias("out")).collect()]
+    assert got == ["token = [REDACTED_CREDENTIAL] end", "secret=[REDACTED_CREDENTIAL] end", "[REDACTED_PRIVATE_KEY]"]
+
+
+def test_tokens_that_look_random(spark):
+    """Recall on planted strings of several alphabets; names, paths, digests, numbers and long words are left alone."""
+    import math
+    import string
+    from collections import Counter
+
+    from tracelode.functions import entropy
+
+    rng = random.Random(4)
+    alphabets = (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits)
+    planted = ["".join(rng.choices(rng.choice(alphabets), k=rng.randint(24, 90))) for _ in range(800)]
+    clean = [
+        "getElementsByClassNameAndOtherThings", "my_long_identifier_name_2", "internationalization20", "550e8400-e29b-41d4-a716-446655440000",
+        "d41d8cd98f00b204e9800998ecf8427e", "da39a3ee5e6b4b0d3255bfef95601890afd80709", "12345678901234567890123", "/usr/local/lib/python3/site-packages",
+        "Donaudampfschifffahrtsgesellschaft", "AAAAAAAAAAAAAAAAAAAAAAAAAAA1", "2026-03-02T10-00-00-000000", "release/2024-10/build_12345/index",
+    ]
+    df = spark.createDataFrame(list(enumerate(planted + clean)), "id int, token string")
+    got = {r.id: r for r in df.select("id", entropy.relative_entropy(F.col("token")).alias("h"), entropy.looks_random(F.col("token")).alias("yes")).collect()}
+    for i, token in enumerate(planted + clean):
+        n = len(token)
+        assert abs(got[i].h - (1 - sum(k * math.log2(k) for k in Counter(token).values()) / (n * math.log2(n)))) < 1e-9
+    assert sum(got[i].yes for i in range(len(planted))) >= 0.99 * len(planted)
+    assert [t for i, t in enumerate(clean) if got[len(planted) + i].yes] == []
+    text = f"see {planted[0]}, {clean[0]} and\n{planted[1]}."
+    found = spark.createDataFrame([(text,), (None,), ("",)], "text string").select(entropy.unkeyed_secrets("text")).collect()
+    assert [r[0] for r in found] == [planted[:2], None, []]

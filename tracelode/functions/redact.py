@@ -35,6 +35,26 @@ class Rule:
         return reduce(Column.__or__, [F.contains(lowered, F.lit(h)) for h in self.hints]) & found
 
 
+# What a credential is called, by itself or at the end of a longer name, and what may follow the name.
+_KEY = (
+    r"(?:api[_-]?key|access[_-]?key|secret|password|passwd|passphrase|auth_token|token)"
+    r"(?:[_-]?(?:access|key|id|value|token|string|base64|prod|test)){0,3}"
+)
+# A quoted value, with escaped quotes inside; quoted inside JSON text, where every quote and backslash is escaped once more; or cut off by
+# the end of the text. Possessive: a long value is walked through once, without a stack.
+_QUOTED = "(?:" + "|".join(
+    (
+        r"\\\"(?!\\\")[^\"\\]*+(?:\\\\(?:\\.|[^\\])[^\"\\]*+)*+\\\"",
+        r"\\'(?!\\')[^'\\]*+(?:\\\\(?:\\.|[^\\])[^'\\]*+)*+\\'",
+        r"\"(?!\")[^\"\\]*+(?:\\[\s\S][^\"\\]*+)*+\"",
+        r"'(?!')[^'\\]*+(?:\\[\s\S][^'\\]*+)*+'",
+        r"\\?['\"][^\s'\"\\]{3,}\z",
+    )
+) + ")"
+# Borders of a word in ASCII; what a letter is elsewhere does not matter.
+_BEGIN, _END = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
+_BARE = r"[^\s'\"\\,;&(){}\[\]<>]"
+
 # Rule order, tags and what they stand for (all matched without regard to case). A credential may be
 # quoted either way, escaped inside JSON, a JSON member, or bare if it holds a digit.
 CORE_RULES: tuple[Rule, ...] = (
@@ -48,28 +68,39 @@ CORE_RULES: tuple[Rule, ...] = (
     ),
     Rule(
         "credential",
-        r"((?:api[_-]?key|secret|password|auth_token|token)\\?['\"]?\s*[:=]\s*)"
-        r"(?:\\?\"[^\"]+\"|\\?'[^']+'|[^\s'\"\\,;&(){}\[\]<>]*[0-9][^\s'\"\\,;&(){}\[\]<>]*)",
+        rf"({_KEY}\\?['\"]?\s*[:=]\s*)(?:{_QUOTED}|{_BARE}*[0-9]{_BARE}*)",
         "$1[REDACTED_CREDENTIAL]",
-        ("key", "secret", "password", "token"),
+        ("key", "secret", "pass", "token"),
     ),
     Rule("url_credentials", r"https?://[^\s:/@]+:[^\s@/]+@\S+", "[REDACTED_URL_CREDS]", ("://",)),
     Rule(
         "private_key",
-        r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----[\s\S]+?"
-        r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----",
+        r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----[\s\S]*?"
+        r"(?:-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----|\z)",
         "[REDACTED_PRIVATE_KEY]",
         ("-----begin",),
     ),
 )
 
-# Spellings that the list above lets pass: bare assignments without a digit, and authorization headers.
+# Spellings that the list above lets pass: assignments without a digit, authorization headers, command lines.
 HEADER_RULES: tuple[Rule, ...] = (
     Rule(
         "assigned_credential",
-        r"((?:api[_-]?key|secret|password|auth_token|token)=)[^\s'\"\\,;&(){}\[\]<>]{3,}",
+        rf"({_KEY}=){_BARE}{{3,}}",
+        "$1[REDACTED_CREDENTIAL]",
+        ("key", "secret", "pass", "token"),
+    ),
+    Rule(
+        "connection_password",
+        rf"({_BEGIN}pwd\s*=\s*)(?:{_QUOTED}|[A-Za-z0-9!@#%^*_+][^\s'\"\\,;&(){{}}\[\]<>/]{{2,}})",
         "$1[REDACTED_CREDENTIAL]",
-        ("key=", "secret=", "password=", "token="),
+        ("pwd",),
+    ),
+    Rule(
+        "password_line",
+        rf"((?:password|passwd|passphrase)[ \t]*:[ \t]+){_BARE}{{8,}}([ \t]*(?:[\r\n]|\z))",
+        "$1[REDACTED_CREDENTIAL]$2",
+        ("pass",),
     ),
     Rule(
         "auth_header",
@@ -77,16 +108,33 @@ HEADER_RULES: tuple[Rule, ...] = (
         "$1[REDACTED_AUTHORIZATION]",
         ("authorization",),
     ),
-    Rule("bearer_token", r"(\bbearer\s+)[A-Za-z0-9._~+/-]{20,}=*", "$1[REDACTED_BEARER]", ("bearer",)),
+    Rule("bearer_token", rf"({_BEGIN}bearer\s+)[A-Za-z0-9._~+/-]{{20,}}=*", "$1[REDACTED_BEARER]", ("bearer",)),
+    Rule(
+        "command_line_user",
+        rf"({_BEGIN}curl{_END}[^\r\n]{{0,200}}?[ \t](?:-u|--user)[ \t=]*\\?['\"]?[^\s:'\"\\]+:)[^\s'\"\\\[]+",
+        "$1[REDACTED_CREDENTIAL]",
+        ("curl",),
+    ),
+)
+
+# What the tokens of well-known services begin with.
+PROVIDER_RULES: tuple[Rule, ...] = (
+    Rule(
+        "provider_token",
+        _BEGIN + r"(?:gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_-]{20,}|xox[abeprs]-[A-Za-z0-9-]{10,}"
+        r"|sk-(?:[a-z]{2,8}-)?[A-Za-z0-9]{20,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{30,}|hf_[A-Za-z0-9]{30,})",
+        "[REDACTED_PROVIDER_TOKEN]",
+        ("gh", "glpat-", "xox", "sk-", "k_live_", "k_test_", "aiza", "npm_", "hf_"),
+    ),
 )
 
 # Cloud storage keys and connection strings: named in the design, absent from its rule list.
 CLOUD_RULES: tuple[Rule, ...] = (
     Rule(
         "storage_account_key",
-        r"(AccountKey\s*=\s*)[A-Za-z0-9+/]{20,}={0,2}",
+        r"((?:Account|SharedAccess)Key\s*=\s*)[A-Za-z0-9+/]{20,}={0,2}",
         "$1[REDACTED_STORAGE_KEY]",
-        ("accountkey",),
+        ("accountkey", "sharedaccesskey"),
     ),
     Rule(
         "connection_string",
@@ -96,7 +144,8 @@ CLOUD_RULES: tuple[Rule, ...] = (
     ),
 )
 
-SECRET_RULES = CORE_RULES + HEADER_RULES + CLOUD_RULES
+SECRET_RULES = CLOUD_RULES[:1] + CORE_RULES + HEADER_RULES + PROVIDER_RULES + CLOUD_RULES[1:]
+
 
 PERSONAL_RULES: tuple[Rule, ...] = (
     Rule(
