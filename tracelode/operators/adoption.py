@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,6 +190,8 @@ CARDINALITY_FLAGS = {
     "session_id": (True, ("session_id",)),
     "version": (False, ("app_version",)),
     "account_uuid": (True, ("user_account_uuid", "user_email")),
+    "entrypoint": (False, ("app_entrypoint",)),
+    "resource_attributes": (True, ("resource_attributes",)),
 }
 
 
@@ -217,37 +221,32 @@ def cost_by_resource(costs: DataFrame, key: str, attributes: str = "resource_att
     )
 
 
-def spend_forecast(costs: DataFrame, horizon_days: int, quota_usd: float) -> DataFrame:
-    """Least-squares line through each department's daily spend, and the spend it predicts
-    for the next ``horizon_days`` days.
+def spend_forecast(costs: DataFrame, horizon_days: int, quota_usd: float, as_of: Column | date) -> DataFrame:
+    """Least-squares line through each department's daily spend from its first day to ``as_of``, and the spend it
+    predicts for the ``horizon_days`` days after.
 
-    The sums of the fit are exact integers (cents and day numbers); only the quotient is not.
+    A day without spend counts as 0, so a department that has stopped tends to 0. The sums over the calendar have closed forms, and only
+    days with spend are read. They are exact integers (cents and day numbers); only the quotient is not.
     """
-    day = F.datediff(F.to_date("event_timestamp"), F.lit("2020-01-01").cast("date")).cast("bigint")
-    daily = (
-        costs.groupBy("department", day.alias("x"))
-        .agg(F.sum("cost_units").alias("units"))
-        .select("department", "x", F.expr("(units + 500000) div 1000000").alias("y"))
-    )
-    origin = F.col("x") - F.min("x").over(Window.partitionBy("department"))
-    fit = (
-        daily.withColumn("x", origin)
-        .groupBy("department")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum("x").alias("sx"),
-            F.sum("y").alias("sy"),
-            F.sum(F.col("x") * F.col("x")).alias("sxx"),
-            F.sum(F.col("x") * F.col("y")).alias("sxy"),
-            F.max("x").alias("last"),
-        )
+    end = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    since = F.lit("2020-01-01").cast("date")
+    x = F.datediff(F.to_date("event_timestamp"), since).cast("bigint")
+    daily = costs.filter(F.to_date("event_timestamp") <= end).groupBy("department", x.alias("x")).agg(F.sum("cost_units").alias("units"))
+    daily = daily.select("department", "x", F.expr("(units + 500000) div 1000000").alias("y"))
+    fit = daily.groupBy("department").agg(F.min("x").alias("first"), F.sum("y").alias("sy"), F.sum(F.col("x") * F.col("y")).alias("xy"))
+    fit = fit.withColumn("n", F.datediff(end, since).cast("bigint") - F.col("first") + 1).withColumns(
+        {
+            "sx": F.expr("n * (n - 1) div 2"),
+            "sxx": F.expr("(n - 1) * n * (2 * n - 1) div 6"),
+            "sxy": F.col("xy") - F.col("first") * F.col("sy"),
+        }
     )
     slope = F.expr("cast(n * sxy - sx * sy as double) / nullif(cast(n * sxx - sx * sx as double), 0)")
     fitted = fit.withColumn("slope", slope).withColumn(
         "intercept", (F.col("sy").cast("double") - F.col("slope") * F.col("sx").cast("double")) / F.col("n")
     )
-    # Sum of intercept + slope * x for x = last + 1 .. last + horizon.
-    ahead = F.lit(float(horizon_days)) * F.col("last") + F.lit(horizon_days * (horizon_days + 1) / 2)
+    # Sum of intercept + slope * x for x = n .. n + horizon - 1.
+    ahead = F.lit(float(horizon_days)) * (F.col("n") - 1) + F.lit(horizon_days * (horizon_days + 1) / 2)
     predicted = F.col("intercept") * F.lit(float(horizon_days)) + F.col("slope") * ahead
     return fitted.select(
         "department",
