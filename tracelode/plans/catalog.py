@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelode.functions import paths
+from tracelode.functions import entropy, paths
 from tracelode.functions.keys import merge_key, surrogate_key
 from tracelode.functions.measures import usd
 from tracelode.functions.pricing import cost_units
 from tracelode.functions.redact import PERSONAL_RULES, SECRET_RULES, is_flagged, redact
-from tracelode.operators import adoption, audit, corpus, dedupe, gold, kpi, reliability, silver, usage
+from tracelode.operators import adoption, audit, corpus, dedupe, drift, gold, kpi, reliability, silver, sketches, spans, usage
 from tracelode.operators import normalize as norm
-from tracelode.schemas import TOOL_EVENTS
+from tracelode.schemas import SILVER, TOOL_EVENTS, stored
 from tracelode.session import configure, scratch_dir
-from tracelode.sources import landing, sinks
+from tracelode.sources import landing, loads, manifest, serving, sinks
 from tracelode.sources import testdata as td
 from tracelode.streaming import bronze as bronze_stream
 from tracelode.streaming import silver as silver_stream
@@ -227,8 +227,8 @@ def cardinality_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = td.metric_points(spark, sf_dir)
     return adoption.limit_cardinality(
         points,
-        {"session_id": False},
-        ["session_id", "app_version", "user_account_uuid", "user_email", "department", "model"],
+        {"session_id": False, "entrypoint": True, "resource_attributes": False},
+        ["session_id", "app_version", "user_account_uuid", "user_email", "department", "model", "app_entrypoint", "resource_attributes"],
     )
 
 
@@ -496,6 +496,32 @@ def role_executive_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.view_for_role("executive", "department_cost_view", wide)
 
 
+@query
+def unkeyed_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A token planted in every document, of six kinds: how many documents show it as a secret, and how many show something else."""
+    key = F.sha2(F.col("doc_id").cast("string").cast("binary"), 256)
+    random = F.regexp_replace(F.base64(F.unhex(key)), "=", "")
+    kinds = {
+        "base64": random,
+        "upper": F.upper(F.substring(random, 1, 28)),
+        "prefixed": F.concat(F.lit("tok_live-"), F.substring(random, 3, 24)),
+        "digest": key,
+        "name": F.concat(F.lit("configValue_"), F.col("doc_id").cast("string"), F.lit("_forProductionUse")),
+        "path": F.concat(F.lit("/srv/app/release-"), F.col("doc_id").cast("string"), F.lit("/static/bundle")),
+    }
+    names = list(kinds)
+    number = F.pmod("doc_id", F.lit(len(names)))
+    kind = F.element_at(F.array(*map(F.lit, names)), (number + 1).cast("int"))
+    planted = F.coalesce(*[F.when(number == i, kinds[n]) for i, n in enumerate(names)])
+    docs = td.table(spark, sf_dir, "documents", spread=True).select(kind.alias("kind"), planted.alias("planted"), "text")
+    found = docs.withColumn("found", entropy.unkeyed_secrets(F.concat_ws(" ", "text", "planted")))
+    return found.groupBy("kind").agg(
+        F.count("*").alias("documents"),
+        F.count(F.when(F.array_contains("found", F.col("planted")), 1)).alias("caught"),
+        F.count(F.when(F.size(F.array_remove("found", F.col("planted"))) > 0, 1)).alias("others"),
+    )
+
+
 @query
 def retention_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     partitions = td.canonical(spark, sf_dir).groupBy("event_date").agg(F.count("*").alias("events"))
@@ -611,7 +637,38 @@ def token_breakdown_by_agent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_users_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.daily_users_approx(_costs(spark, sf_dir))
+    """Daily users and sessions, exactly, and whether the one-pass sketches are within three times their deviation."""
+    costs = _costs(spark, sf_dir)
+    about = gold.daily_users_approx(costs).withColumnsRenamed({"active_users": "_users", "sessions": "_sessions"})
+    exact = costs.groupBy(F.to_date("event_timestamp").alias("metric_date")).agg(
+        F.count_distinct("user_email").alias("active_users"), F.count_distinct("session_id").alias("sessions")
+    )
+    near = [F.abs(F.col(a) - F.col(e)) <= F.lit(0.06) * F.col(e) + 0.5 for a, e in (("_users", "active_users"), ("_sessions", "sessions"))]
+    return exact.join(about, "metric_date").select("metric_date", "active_users", "sessions", (near[0] & near[1]).alias("near"))
+
+
+@query
+def weekly_users_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of each week, those lost since the week before and those who came back: exactly, and whether the merged sketches of days agree."""
+    events = td.canonical(spark, sf_dir)
+    week = F.to_date(F.date_trunc("week", "day")).alias("week")
+    merged = sketches.merged_users(sketches.user_days(events), week)
+    about = sketches.changed_users(merged, "week", F.date_sub("week", 7)).withColumnsRenamed({c: f"_{c}" for c in ("active", "lost", "returning")})
+    about = about.join(sketches.active_users(merged).select("week", "hll_users"), "week")
+
+    seen = events.select(F.to_date(F.date_trunc("week", "event_date")).alias("week"), "user_email").distinct()
+    both = seen.withColumn("now", F.lit(1)).unionByName(seen.select(F.date_add("week", 7).alias("week"), "user_email", F.lit(0).alias("now")))
+    users = both.groupBy("week", "user_email").agg(F.max("now").alias("now"), F.min("now").alias("new"))
+    exact = users.groupBy("week").agg(
+        F.sum("now").alias("active"),
+        F.count(F.when(F.col("now") == 0, 1)).alias("lost"),
+        F.count(F.when((F.col("now") == 1) & (F.col("new") == 0), 1)).alias("returning"),
+        F.count("*").alias("_all"),
+    )
+    bound = F.col("_all") * (3 / 2 ** (sketches.THETA_LG / 2)) + 0.5
+    near = [(F.abs(F.col(c) - F.col(f"_{c}")) <= bound).alias(f"{c}_near") for c in ("active", "lost", "returning")]
+    hll = F.abs(F.col("hll_users") - F.col("active")) <= F.col("active") * (3 * 1.04 / 2 ** (sketches.HLL_LG / 2)) + 0.5
+    return exact.join(about, "week").select("week", "active", "lost", "returning", *near, hll.alias("hll_near"))
 
 
 @query
@@ -689,7 +746,11 @@ def cost_by_team(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def spend_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adoption.spend_forecast(_costs(spark, sf_dir), 30, 25.0)
+    """The spend of one department ends ten days before the last day; its forecast must fall."""
+    costs = _costs(spark, sf_dir)
+    last = _last_day(spark, sf_dir)
+    stopped = (F.col("department") == "mobile") & (F.to_date("event_timestamp") > F.date_sub(last, 10))
+    return adoption.spend_forecast(costs.filter(F.coalesce(~stopped, F.lit(True))), 30, 25.0, last)
 
 
 @query
@@ -698,6 +759,19 @@ def prompt_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adoption.prompt_complexity(prompts, "text")
 
 
+@query
+def span_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every span with its root, its depth, the time it worked itself, and whether its trace ended with it."""
+    tree = spans.span_tree(td.trace_spans(spark, sf_dir))
+    return tree.select("span_id", "root_id", "depth", "state", "duration_ms", "self_ms", "critical")
+
+
+@query
+def trace_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per trace: spans, levels, own time, time on the critical path, retries and their time."""
+    return spans.trace_summary(spans.span_tree(td.trace_spans(spark, sf_dir)))
+
+
 @query
 def conversation_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adoption.conversation_depth(td.transcript_events(spark, sf_dir))
@@ -883,6 +957,21 @@ def bronze_copy_into(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_columns(landing.copy_into(spark, f"{root}/logs", "*.gz"))
 
 
+@query
+def copy_into_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of a growing folder: each takes what is new; files that come again under other names bring nothing."""
+    root = scratch_dir(spark, "copy_into_history")
+    configure(spark)
+    events = td.canonical(spark, sf_dir)
+    for part in range(3):
+        _land(spark, events.filter(F.col("event_id") % 3 == part), "copy_into_history", root)
+        if part:
+            _land(spark, events.filter(F.col("event_id") % 3 == 0), "copy_into_history", root)
+        loads.load_new(spark, f"{root}/logs", f"{root}/table", "*.gz")
+    rows = loads.read(spark, f"{root}/table").select("load_id", _event_id())
+    return rows.groupBy("load_id").agg(F.count("*").alias("events"), F.sum("event_id").alias("id_sum"), F.count_distinct("event_id").alias("different"))
+
+
 @query
 def bronze_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first half of the month was written before ``model`` and ``department`` existed."""
@@ -896,6 +985,25 @@ def bronze_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_merged(spark, path).select("event_id", "event_name", "model", "department")
 
 
+@query
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields by week of arrival: one that comes from the 10th on, one that widens on the 17th, one that changes its kind on the 24th."""
+    day, k, quote = F.dayofmonth("event_date"), F.col("k").cast("string"), F.lit('"')
+    attributes = (
+        F.when(day >= 10, F.concat(F.lit('"region":"'), "department", quote)),
+        F.concat(F.lit('"score":'), k, F.when(day >= 17, ".5").otherwise("")),
+        F.concat(F.lit('"code":'), F.when(day < 24, k).otherwise(F.concat(quote, "model", quote))),
+    )
+    members = (
+        F.concat(F.lit('"event_id":'), F.col("event_id").cast("string")),
+        F.concat(F.lit('"event_name":"'), "event_name", quote),
+        F.concat(F.lit('"attributes":{'), F.array_join(F.array_compact(F.array(*attributes)), ","), F.lit("}")),
+    )
+    line = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    rows = td.canonical(spark, sf_dir).select(F.to_date(F.date_trunc("week", "event_date")).alias("week"), F.parse_json(line).alias("payload"))
+    return drift.history(drift.field_types(rows, "week")).select(F.col("batch").alias("week"), "field", "type", "records", "known", "change")
+
+
 @query
 def bronze_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = td.raw_lines(td.canonical(spark, sf_dir))
@@ -950,6 +1058,25 @@ def serving_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query
+def sync_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two gold tables sent, sent again after the last tool event by number has come late, and once more: days moved each time."""
+    root = scratch_dir(spark, "sync_changed_days")
+    events = _stored(spark, td.canonical(spark, sf_dir, only=("assistant_response", *TOOL_EVENTS)), "sync_events")
+    late = events.filter(F.col("event_name").isin(*TOOL_EVENTS)).agg(F.max("event_id")).first()[0]
+    out = []
+    for name, make, day in (
+        ("tool_adoption_summary", lambda e: gold.tool_adoption_summary(silver.tool_executions(e, dedupe=False)), "execution_date"),
+        ("department_cost_attribution", lambda e: gold.department_cost_attribution(silver.token_costs(e, dedupe=False)), "cost_date"),
+    ):
+        first = serving.sync_changed(make(events.filter(F.col("event_id") != late)), day, f"{root}/{name}")
+        full = make(events)
+        moved = [serving.sync_changed(full, day, f"{root}/{name}").moved for _ in range(2)]
+        served = serving.read(spark, f"{root}/{name}", full.schema, day)
+        out.append((name, first.moved, *moved, served.count(), manifest.checksum(served) == manifest.checksum(full)))
+    return spark.createDataFrame(out, "table_name string, first long, second long, third long, row_count long, same boolean")
+
+
 @query
 def stage_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stage_export")
@@ -998,6 +1125,42 @@ def stream_silver_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query
+def compact_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed fact tables after their small files have been merged: rows, files, and whether all rows are still the same."""
+    root = _bronze(spark, sf_dir, "compact_silver")
+    events = silver_stream.bronze_events(spark, root, STREAM_FILES)
+    silver_stream.fan_out(events, lambda name: f"{root}_{name}", f"{root}_checkpoint")
+    out = []
+    for name, schema in SILVER.items():
+        path, schema = f"{root}_{name}", stored(schema)
+        newest = spark.read.schema(schema).parquet(path).agg(F.max("batch_id")).first()[0]
+        before = manifest.checksum(manifest.read(spark, path, schema))
+        done = manifest.compact(spark, path, schema, ["event_date"], upto=newest)
+        after = manifest.checksum(manifest.read(spark, path, schema))
+        out.append((name, done.rows, done.files_after, done.files_before > done.files_after, before == after))
+    return spark.createDataFrame(out, "table_name string, row_count long, files long, fewer_files boolean, unchanged boolean")
+
+
+@query
+def stream_latency_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request times per day and model, merged from the hourly sketches of all micro-batches: are the ranks of their quantiles right?"""
+    root = _bronze(spark, sf_dir, "stream_latency_sketches")
+    events = silver_stream.bronze_events(spark, root, STREAM_FILES)
+    silver_stream.sketch_durations(events, f"{root}_durations", f"{root}_checkpoint")
+    hours = silver_stream.read_durations(spark, f"{root}_durations")
+    ranks = {"p50": 0.5, "p95": 0.95}
+    days = sketches.quantiles(sketches.merged_durations(hours, F.to_date("hour").alias("event_date"), "model"), ranks)
+
+    timed = norm.normalize(bronze_stream.read_bronze(spark, root)).filter(F.col("latency_ms").isNotNull())
+    histogram = timed.groupBy("event_date", "model", "latency_ms").agg(F.count("*").alias("n"))
+    near = []
+    for name, rank in ranks.items():
+        below, upto = (F.sum(F.when(F.col("latency_ms") < F.col(name), F.col("n")).otherwise(0)), F.sum(F.when(F.col("latency_ms") <= F.col(name), F.col("n")).otherwise(0)))
+        near.append(((below / F.sum("n") <= rank + 0.02) & (upto / F.sum("n") >= rank - 0.02)).alias(f"{name}_near"))
+    return histogram.join(days, ["event_date", "model"]).groupBy("event_date", "model", "requests").agg(*near)
+
+
 @query
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions merged from the parts of all micro-batches."""

@@ -13,21 +13,36 @@ class Rule(NamedTuple):
 
 # Written out here, not taken from the code: what counts as a secret, and what takes its place.
 _BARE = "[^\\s'\"\\\\,;&(){}\\[\\]<>]"
-_CREDENTIAL_KEY = "(?:api[_-]?key|secret|password|auth_token|token)"
+_NAMED = (
+    "(?:(?:api|access)[_-]?key|secret|passwd|password|passphrase|(?:auth_)?token)"
+    "(?:[_-]?(?:test|prod|base64|string|token|value|id|key|access)){0,3}"
+)
+_VALUES = (
+    '\\\\"(?:[^"\\\\]|\\\\\\\\\\\\.|\\\\\\\\[^\\\\])+\\\\"', "\\\\'(?:[^'\\\\]|\\\\\\\\\\\\.|\\\\\\\\[^\\\\])+\\\\'",
+    '"(?:\\\\[\\s\\S]|[^"\\\\])+"', "'(?:\\\\[\\s\\S]|[^'\\\\])+'", "\\\\?[\"'][^\\s\"'\\\\]{3,}\\z",
+)
+_QUOTED = "(?:" + "|".join(_VALUES) + ")"
 SECRET_RULES = (
+    Rule("storage_account_key", "((?:SharedAccess|Account)Key\\s*=\\s*)[A-Za-z0-9+/]{20,}={0,2}", "$1[REDACTED_STORAGE_KEY]"),
     Rule("aws_key", "AKIA[0-9A-Z]{16}", "[REDACTED_AWS_KEY]"),
     Rule("aws_temp_key", "ASIA[0-9A-Z]{16}", "[REDACTED_AWS_TEMP_KEY]"),
     Rule("jwt", "eyJ[a-zA-Z0-9_-]+\\.eyJ[a-zA-Z0-9_-]+\\.[a-zA-Z0-9_-]+", "[REDACTED_JWT_TOKEN]"),
-    Rule("credential", f"({_CREDENTIAL_KEY}\\\\?['\"]?\\s*[:=]\\s*)"
-         f"(?:\\\\?\"[^\"]+\"|\\\\?'[^']+'|{_BARE}*[0-9]{_BARE}*)", "$1[REDACTED_CREDENTIAL]"),
+    Rule("credential", f"({_NAMED}\\\\?['\"]?\\s*[:=]\\s*)(?:{_QUOTED}|{_BARE}*[0-9]{_BARE}*)", "$1[REDACTED_CREDENTIAL]"),
     Rule("url_credentials", "https?://[^\\s:/@]+:[^\\s@/]+@\\S+", "[REDACTED_URL_CREDS]"),
-    Rule("private_key", "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----[\\s\\S]+?"
-         "-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----", "[REDACTED_PRIVATE_KEY]"),
-    Rule("assigned_credential", f"({_CREDENTIAL_KEY}=){_BARE}{{3,}}", "$1[REDACTED_CREDENTIAL]"),
+    Rule("private_key", "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----[\\s\\S]*?"
+         "(?:-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----|\\z)", "[REDACTED_PRIVATE_KEY]"),
+    Rule("assigned_credential", f"({_NAMED}=){_BARE}{{3,}}", "$1[REDACTED_CREDENTIAL]"),
+    Rule("connection_password", f"(\\bpwd\\s*=\\s*)(?:{_QUOTED}|[A-Za-z0-9!@#%^*_+][^\\s'\"\\\\,;&(){{}}\\[\\]<>/]{{2,}})",
+         "$1[REDACTED_CREDENTIAL]"),
+    Rule("password_line", f"(pass(?:word|wd|phrase)[ \\t]*:[ \\t]+){_BARE}{{8,}}([ \\t]*(?:[\\r\\n]|\\z))", "$1[REDACTED_CREDENTIAL]$2"),
     Rule("auth_header", "(authorization\\\\?['\"]?\\s*[:=]\\s*\\\\?['\"]?(?:bearer|basic|token)\\s+)[A-Za-z0-9._~+/=-]+",
          "$1[REDACTED_AUTHORIZATION]"),
     Rule("bearer_token", "(\\bbearer\\s+)[A-Za-z0-9._~+/-]{20,}=*", "$1[REDACTED_BEARER]"),
-    Rule("storage_account_key", "(AccountKey\\s*=\\s*)[A-Za-z0-9+/]{20,}={0,2}", "$1[REDACTED_STORAGE_KEY]"),
+    Rule("command_line_user", "(\\bcurl\\b[^\\r\\n]{0,200}?[ \\t](?:--user|-u)[ \\t=]*\\\\?['\"]?[^\\s:'\"\\\\]+:)[^\\s'\"\\\\\\[]+",
+         "$1[REDACTED_CREDENTIAL]"),
+    Rule("provider_token", "\\b(?:github_pat_[A-Za-z0-9_]{20,}|gh[pousr]_[A-Za-z0-9]{20,}|glpat-[A-Za-z0-9_-]{20,}|xox[abeprs]-[A-Za-z0-9-]{10,}"
+         "|sk-(?:[a-z]{2,8}-)?[A-Za-z0-9]{20,}|(?:sk|rk)_(?:live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{30,}"
+         "|hf_[A-Za-z0-9]{30,})", "[REDACTED_PROVIDER_TOKEN]"),
     Rule("connection_string",
          "((?:jdbc|postgres(?:ql)?|mysql|mongodb(?:\\+srv)?|redis|amqp)://)[^\\s:/@]+:[^\\s@/]+@", "$1[REDACTED_CONNECTION]@"),
 )
@@ -153,6 +168,7 @@ LAST_DAY = "(SELECT CAST(max(ts) AS DATE) FROM events)"
 METRICS = f"""
 points AS (
   SELECT event_id, event_date, session_id, user_account_uuid, user_email, department, model,
+    {_case("user_id", "cli", "sdk", "ide")} AS app_entrypoint,
     CASE event_name WHEN 'user_prompt' THEN 'session.count' WHEN 'assistant_response' THEN 'lines_of_code.count'
       WHEN 'tool_result' THEN {_case("k", "commit.count", "pull_request.count")}
       WHEN 'tool_decision' THEN 'code_edit_tool.decision' WHEN 'api_error' THEN 'active_time.total' END AS metric,
@@ -215,7 +231,7 @@ def _pattern(rule: Rule) -> str:
 def _redact(text: str, rules: tuple[Rule, ...] = SECRET_RULES) -> str:
     out = text
     for rule in rules:
-        replacement = rule.replacement.replace("$1", "\\1")
+        replacement = rule.replacement.replace("$", "\\")
         out = f"regexp_replace({out}, '{_pattern(rule)}', '{replacement}', 'gi')"
     return out
 
@@ -400,9 +416,30 @@ SELECT event_id, md5(CASE WHEN prompt_text IS NOT NULL THEN CASE WHEN org_id = '
   AS prompt_md5, md5(response_text) AS response_md5,
   CASE WHEN tool_input IS NOT NULL THEN '<REDACTED>' END AS tool_input FROM texted""")
     q["cardinality_control"] = _with(CANON, METRICS, select="""
-SELECT metric, user_account_uuid, user_email, department, model, CAST(sum(points) AS BIGINT) AS points
+SELECT metric, user_account_uuid, user_email, department, model, app_entrypoint, CAST(sum(points) AS BIGINT) AS points
 FROM points GROUP BY ALL""")
 
+    q["unkeyed_secrets"] = """
+WITH d AS (SELECT doc_id % 6 AS i, coalesce(text, '') AS text, sha256(CAST(doc_id AS VARCHAR)) AS h,
+    replace(to_base64(from_hex(sha256(CAST(doc_id AS VARCHAR)))), '=', '') AS r, doc_id FROM documents),
+p AS (SELECT CASE i WHEN 0 THEN 'base64' WHEN 1 THEN 'upper' WHEN 2 THEN 'prefixed' WHEN 3 THEN 'digest' WHEN 4 THEN 'name' ELSE 'path' END AS kind, text,
+    CASE i WHEN 0 THEN r WHEN 1 THEN upper(r[1:28]) WHEN 2 THEN 'tok_live-' || r[3:26] WHEN 3 THEN h
+      WHEN 4 THEN 'configValue_' || doc_id || '_forProductionUse' ELSE '/srv/app/release-' || doc_id || '/static/bundle' END AS planted,
+    row_number() OVER () AS n FROM d),
+t AS (SELECT n, unnest(regexp_extract_all(text || ' ' || planted, '[A-Za-z0-9+/_=-]{20,}')) AS token FROM p),
+c AS (SELECT token, unnest(string_split(token, '')) AS ch FROM (SELECT DISTINCT token FROM t)),
+e AS (SELECT token, sum(k * log2(k)) AS s FROM (SELECT token, ch, CAST(count(*) AS DOUBLE) AS k FROM c WHERE ch <> '' GROUP BY 1, 2) GROUP BY 1),
+f AS (SELECT token FROM (SELECT token, s, CAST(length(token) AS DOUBLE) AS l FROM e)
+  WHERE 1 - s / (l * log2(l)) >= 0.8 * least(1.0, 5.0 / log2(l)) AND regexp_matches(token, '[A-Za-z]') AND regexp_matches(token, '[0-9]')
+    AND NOT regexp_matches(token, '^(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})$')
+    AND NOT regexp_matches(token, '^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$')
+    AND NOT (regexp_matches(token, '^(?:[A-Z]?[a-z]{2,}|[A-Z]+|[0-9]+|[_/+=-]+)*$') AND NOT regexp_matches(token, '[A-Z]{6}')
+      AND len(regexp_extract_all(token, '[0-9]+')) <= greatest(2, length(token) // 10))),
+s AS (SELECT t.n, list(token) AS found FROM t JOIN f USING (token) GROUP BY t.n)
+SELECT kind, count(*) AS documents, count(CASE WHEN list_contains(found, planted) THEN 1 END) AS caught,
+  count(CASE WHEN len(list_filter(found, lambda x: x <> planted)) > 0 THEN 1 END) AS others
+FROM p LEFT JOIN s USING (n) GROUP BY kind"""
+
     # gold and views
     q["daily_user_metrics"] = _with(CANON, SESSIONS, select="""
 SELECT CAST(session_start AS DATE) AS usage_date, user_email, department, count(*) AS total_sessions,
@@ -649,6 +686,38 @@ calls AS (SELECT tool_use_id, max(CASE WHEN event_name = 'tool_decision' THEN to
 g AS (SELECT tool_name, count(*) AS calls, count(execute_ms) AS executed_calls, CAST(sum(wait_ms) AS BIGINT) AS wait_ms,
   CAST(sum(execute_ms) AS BIGINT) AS execute_ms FROM calls GROUP BY 1)""", select=f"""
 SELECT *, {_ratio("wait_ms", "wait_ms + execute_ms", 2, 100)} AS wait_share_pct FROM g""")
+    # Children merged by a running maximum of their ends; the way down from the roots by recursion.
+    tree = """
+s AS (SELECT *, row_number() OVER o AS seq, max(CASE WHEN event_name = 'user_prompt' THEN event_sequence END) OVER o AS p,
+    max(CASE WHEN event_name = 'assistant_response' THEN event_sequence END) OVER o AS r,
+    max(CASE WHEN event_name = 'tool_decision' THEN event_sequence END) OVER o AS d
+  FROM ordered WINDOW o AS (PARTITION BY session_id ORDER BY event_sequence ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+b AS (SELECT *, CASE WHEN event_name = 'user_prompt' THEN NULL
+    WHEN event_name = 'assistant_response' AND query_source <> 'subagent' THEN p
+    WHEN event_name IN ('assistant_response', 'tool_result') THEN CASE WHEN d > coalesce(p, 0) THEN d ELSE p END
+    ELSE CASE WHEN r > coalesce(p, 0) THEN r ELSE p END END AS up,
+    event_sequence * 40 AS lo, event_sequence * 40 + coalesce(latency_ms, duration_ms, wait_ms,
+      CASE WHEN event_name = 'user_prompt' THEN CAST(floor(value * 100) AS BIGINT) END, 0) AS hi FROM s),
+n AS (SELECT b.session_id, b.event_sequence AS seq, 'e' || b.event_id AS span_id, b.lo, b.hi, b.event_name, b.up, u.lo AS ulo, u.hi AS uhi
+  FROM b LEFT JOIN b u ON u.session_id = b.session_id AND u.event_sequence = b.up),
+ch AS (SELECT session_id, up, greatest(lo, ulo) AS lo, least(hi, uhi) AS hi FROM n WHERE up IS NOT NULL AND greatest(lo, ulo) < least(hi, uhi)),
+cv AS (SELECT session_id, up, CAST(sum(greatest(0, hi - greatest(lo, coalesce(before, lo)))) AS BIGINT) AS covered FROM (
+    SELECT *, max(hi) OVER (PARTITION BY session_id, up ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM ch)
+  GROUP BY session_id, up),
+la AS (SELECT session_id, seq FROM n WHERE up IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY session_id, up ORDER BY hi DESC, lo DESC, span_id) = 1),
+w(session_id, seq, root_id, depth, critical, state) AS (
+  SELECT session_id, seq, span_id, CAST(0 AS BIGINT), true, CASE WHEN event_name = 'user_prompt' THEN 'rooted' ELSE 'orphan' END FROM n WHERE up IS NULL
+  UNION ALL SELECT n.session_id, n.seq, w.root_id, w.depth + 1, w.critical AND la.seq IS NOT NULL, 'rooted'
+  FROM w JOIN n ON n.session_id = w.session_id AND n.up = w.seq LEFT JOIN la ON la.session_id = n.session_id AND la.seq = n.seq),
+t AS (SELECT n.span_id, w.root_id, w.depth, w.state, n.hi - n.lo AS duration_ms, n.hi - n.lo - coalesce(covered, 0) AS self_ms, w.critical, n.event_name
+  FROM n JOIN w USING (session_id, seq) LEFT JOIN cv ON cv.session_id = n.session_id AND cv.up = n.seq)"""
+    q["span_tree"] = "WITH RECURSIVE " + _with(CANON, ORDERED, tree, select="""
+SELECT span_id, root_id, depth, state, duration_ms, self_ms, critical FROM t""").lstrip()[len("WITH"):]
+    q["trace_summary"] = "WITH RECURSIVE " + _with(CANON, ORDERED, tree, select="""
+SELECT root_id, min(CASE WHEN depth = 0 THEN state END) AS state, count(*) AS spans, max(depth) AS levels, CAST(sum(self_ms) AS BIGINT) AS self_ms,
+  CAST(sum(CASE WHEN critical THEN self_ms ELSE 0 END) AS BIGINT) AS critical_ms, count(*) FILTER (WHERE event_name = 'api_error') AS retries,
+  CAST(sum(CASE WHEN event_name = 'api_error' THEN duration_ms ELSE 0 END) AS BIGINT) AS retry_ms FROM t GROUP BY root_id""").lstrip()[len("WITH"):]
     q["token_breakdown"] = _with(CANON, COSTS, select=" UNION ALL ".join(
         f"SELECT department, model AS model_name, user_email, '{n}' AS token_type, CAST(sum({c}) AS BIGINT) AS tokens "
         "FROM costs GROUP BY 1, 2, 3"
@@ -657,6 +726,15 @@ SELECT *, {_ratio("wait_ms", "wait_ms + execute_ms", 2, 100)} AS wait_share_pct
         f"SELECT skill_name, agent_name, plugin_name, '{n}' AS token_type, CAST(sum({c}) AS BIGINT) AS tokens "
         "FROM costs GROUP BY 1, 2, 3"
         for n, c in (("input", "i"), ("output", "o"), ("cache_read", "cr"), ("cache_creation", "cc"))))
+    q["daily_users_approx"] = _with(CANON, select="""
+SELECT event_date AS metric_date, count(DISTINCT user_email) AS active_users, count(DISTINCT session_id) AS sessions, true AS near
+FROM canon WHERE event_name = 'assistant_response' GROUP BY 1""")
+    q["weekly_users_sketched"] = _with(CANON, """
+u AS (SELECT DISTINCT CAST(date_trunc('week', event_date) AS DATE) AS week, user_email FROM canon)""", select="""
+SELECT week, count(*) AS active, (SELECT count(*) FROM u p WHERE p.week + 7 = a.week AND NOT EXISTS (
+    SELECT 1 FROM u c WHERE c.week = a.week AND c.user_email = p.user_email)) AS lost,
+  count(CASE WHEN EXISTS (SELECT 1 FROM u p WHERE p.week + 7 = a.week AND p.user_email = a.user_email) THEN 1 END) AS returning,
+  true AS active_near, true AS lost_near, true AS returning_near, true AS hll_near FROM u a GROUP BY week""")
     q["session_adoption"] = _with(CANON, METRICS, select="""
 SELECT event_date, count(*) AS sessions, count(*) FILTER (WHERE start_type = 'fresh') AS fresh_sessions,
   count(DISTINCT user_email) AS users
@@ -708,14 +786,16 @@ SELECT {} AS {}, count(*) AS requests, CAST(sum(cost_units) AS BIGINT) AS cost_u
     q["cost_by_cost_center"] = _with(CANON, COSTS, select=grouped.format("'eng-' || (user_id % 7)", "cost_center"))
     q["cost_by_team"] = _with(CANON, COSTS, select=grouped.format("'team ' || (user_id % 4)", "team_id"))
     q["spend_forecast"] = _with(CANON, COSTS, """
-d AS (SELECT department, date_diff('day', DATE '2020-01-01', event_date) AS x0, (sum(cost_units) + 500000) // 1000000 AS y
-  FROM costs GROUP BY 1, 2),
-e AS (SELECT department, x0 - min(x0) OVER (PARTITION BY department) AS x, y FROM d),
-f AS (SELECT department, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, max(x) AS last
-  FROM e GROUP BY 1),
+a AS (SELECT max(CAST(ts AS DATE)) AS last FROM events),
+k AS (SELECT * FROM costs, a WHERE NOT (coalesce(department, '') = 'mobile' AND event_date > last - 10)),
+g AS (SELECT department, last, min(event_date) AS first FROM k GROUP BY 1, 2),
+c AS (SELECT department, CAST(x AS BIGINT) AS x, first + CAST(x AS INTEGER) AS day FROM g, range(0, 400) r(x) WHERE first + CAST(x AS INTEGER) <= last),
+y AS (SELECT department, event_date AS day, (sum(cost_units) + 500000) // 1000000 AS y FROM k GROUP BY 1, 2),
+e AS (SELECT c.department, x, coalesce(y, 0) AS y FROM c LEFT JOIN y ON c.department IS NOT DISTINCT FROM y.department AND c.day = y.day),
+f AS (SELECT department, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy FROM e GROUP BY 1),
 s AS (SELECT *, CAST(n * sxy - sx * sy AS DOUBLE) / nullif(CAST(n * sxx - sx * sx AS DOUBLE), 0) AS slope FROM f),
 i AS (SELECT *, (CAST(sy AS DOUBLE) - slope * CAST(sx AS DOUBLE)) / n AS intercept FROM s),
-p AS (SELECT *, intercept * 30.0::DOUBLE + slope * (30.0::DOUBLE * last + 465.0::DOUBLE) AS predicted FROM i)""", select="""
+p AS (SELECT *, intercept * 30.0::DOUBLE + slope * (30.0::DOUBLE * (n - 1) + 465.0::DOUBLE) AS predicted FROM i)""", select="""
 SELECT department, n AS days, CAST(sy AS BIGINT) AS spend_cents, round(slope, 4) AS slope_cents_per_day,
   round(predicted, 2) AS forecast_cents, predicted > 2500.0 AS over_quota FROM p""")
     q["prompt_complexity"] = r"""
@@ -781,10 +861,27 @@ SELECT page_id, rel, NOT (page_id % 5 = 0 AND page_id % 2 <> 0) AS ok FROM paged
     good = " WHERE event_id % 97 <> 0"
     q["bronze_ingest"] = _with(CANON, select=LANDED + good)
     q["bronze_copy_into"] = q["bronze_ingest"]
+    q["copy_into_history"] = """
+SELECT event_id % 3 AS load_id, count(*) AS events, CAST(sum(event_id) AS BIGINT) AS id_sum, count(DISTINCT event_id) AS different
+FROM events WHERE event_id % 97 <> 0 GROUP BY 1"""
     q["bronze_quarantine"] = "SELECT event_id FROM events WHERE event_id % 97 = 0"
     q["bronze_schema_merge"] = _with(CANON, select="""
 SELECT event_id, event_name, CASE WHEN event_timestamp >= TIMESTAMP '2024-01-16' THEN model END AS model,
   CASE WHEN event_timestamp >= TIMESTAMP '2024-01-16' THEN department END AS department FROM canon""")
+    q["schema_drift"] = _with(CANON, """
+d AS (SELECT *, day(event_date) AS dom, CAST(date_trunc('week', event_date) AS DATE) AS week FROM canon),
+v AS (SELECT week, 'event_id' AS field, 'BIGINT' AS kind FROM d UNION ALL SELECT week, 'event_name', 'STRING' FROM d
+  UNION ALL SELECT week, 'attributes.region', 'STRING' FROM d WHERE dom >= 10 AND department IS NOT NULL
+  UNION ALL SELECT week, 'attributes.score', CASE WHEN dom >= 17 THEN 'DECIMAL' ELSE 'BIGINT' END FROM d
+  UNION ALL SELECT week, 'attributes.code', CASE WHEN dom < 24 THEN 'BIGINT' ELSE 'STRING' END FROM d),
+g AS (SELECT week, field, count(*) AS records, max(CASE WHEN kind = 'BIGINT' THEN 1 ELSE 0 END) AS i, max(CASE WHEN kind = 'DECIMAL' THEN 1 ELSE 0 END) AS d,
+  max(CASE WHEN kind = 'STRING' THEN 1 ELSE 0 END) AS s FROM v GROUP BY 1, 2),
+c AS (SELECT *, max(i) OVER w AS ci, max(d) OVER w AS cd, max(s) OVER w AS cs FROM g WINDOW w AS (PARTITION BY field ORDER BY week)),
+n AS (SELECT week, field, records, CASE WHEN s > 0 AND i + d > 0 THEN 'VARIANT' WHEN s > 0 THEN 'STRING' WHEN d > 0 THEN 'DECIMAL' ELSE 'BIGINT' END AS type,
+  CASE WHEN cs > 0 AND ci + cd > 0 THEN 'VARIANT' WHEN cs > 0 THEN 'STRING' WHEN cd > 0 THEN 'DECIMAL' ELSE 'BIGINT' END AS known FROM c),
+b AS (SELECT *, lag(known) OVER (PARTITION BY field ORDER BY week) AS before FROM n)""", select="""
+SELECT week, field, type, records, known, CASE WHEN before IS NULL AND type <> 'VARIANT' THEN 'new' WHEN known = before THEN 'same'
+  WHEN known = 'VARIANT' THEN 'conflict' ELSE 'widened' END AS change FROM b""")
     q["bronze_rescued"] = _with(CANON, select="""
 SELECT event_id, CASE WHEN event_id % 4 < 2 AND attempt IS NOT NULL THEN 'attempt=' || attempt || ';' ELSE '' END
   || 'event_id=' || event_id AS rescued FROM canon""")
@@ -799,6 +896,13 @@ UNION ALL SELECT 'department_cost_attribution', count(*) FROM ({q["department_co
 UNION ALL SELECT 'security_leak_alerts', count(*) FROM ({alerts})
 UNION ALL SELECT 'sessions', count(*) FROM sessions UNION ALL SELECT 'token_costs', count(*) FROM costs
 UNION ALL SELECT 'daily_user_usage', count(*) FROM daily_usage""")
+    q["sync_changed_days"] = _with(CANON, """
+t AS (SELECT event_date, tool_name, event_id = max(event_id) OVER () AS late FROM canon WHERE event_name LIKE 'tool%'),
+c AS (SELECT event_date, department, model FROM canon WHERE event_name = 'assistant_response')""", select="""
+SELECT 'tool_adoption_summary' AS table_name, count(DISTINCT CASE WHEN NOT late THEN event_date END) AS first, CAST(1 AS BIGINT) AS second,
+  CAST(0 AS BIGINT) AS third, (SELECT count(*) FROM (SELECT DISTINCT event_date, tool_name FROM t)) AS row_count, true AS same FROM t
+UNION ALL SELECT 'department_cost_attribution', count(DISTINCT event_date), 0, 0,
+  (SELECT count(*) FROM (SELECT DISTINCT event_date, department, model FROM c)), true FROM c""")
     q["stage_export"] = _with(CANON, select="""
 SELECT event_date AS execution_date, tool_name, count(*) AS total_executions, CAST(year(event_date) AS INTEGER) AS year,
   CAST(month(event_date) AS INTEGER) AS month, CAST(day(event_date) AS INTEGER) AS day
@@ -808,6 +912,13 @@ SELECT session_id, event_name, event_sequence, CASE WHEN event_id % 7 <> 0 THEN
 FROM ordered{good}""")
     landed = f"landed AS (SELECT * FROM canon{good})"
     q["stream_silver_fanout"] = _with(CANON, landed, select=fan_out.format("landed"))
+    q["stream_latency_sketches"] = _with(CANON, landed, select="""
+SELECT event_date, model, count(*) AS requests, true AS p50_near, true AS p95_near FROM landed WHERE latency_ms IS NOT NULL GROUP BY 1, 2""")
+    q["compact_silver"] = _with(CANON, landed, select=" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT event_date) AS files, true AS fewer_files, true AS unchanged "
+        f"FROM landed WHERE event_name {kind}"
+        for t, kind in (("prompts", "= 'user_prompt'"), ("responses", "= 'assistant_response'"), ("tool_executions", "LIKE 'tool%'"),
+                        ("token_costs", "= 'assistant_response'"))))
     q["stream_sessions"] = _with(CANON, landed, SESSIONS.replace("FROM canon", "FROM landed"), select="SELECT * FROM sessions")
     q["stream_tool_counts"] = _with(CANON, f"r AS (SELECT * FROM canon{good} AND event_name = 'tool_result')", select="""
 SELECT CAST(event_date AS TIMESTAMP) AS window_start, CAST(event_date + 1 AS TIMESTAMP) AS window_end, tool_name,
