@@ -19,6 +19,7 @@ from tracelode.session import configure, scratch_dir
 from tracelode.sources import landing, loads, manifest, serving, sinks
 from tracelode.sources import testdata as td
 from tracelode.streaming import bronze as bronze_stream
+from tracelode.streaming import followup
 from tracelode.streaming import silver as silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1170,6 +1171,14 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_stream.read_sessions(spark, f"{root}_session_parts")
 
 
+@query
+def stream_followup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last report of every session that ran out of retries, from a stream with a timer for each."""
+    root = _bronze(spark, sf_dir, "stream_followup")
+    followup.follow_up(silver_stream.bronze_events(spark, root, STREAM_FILES), f"{root}_reports", f"{root}_checkpoint")
+    return followup.read_reports(spark, f"{root}_reports")
+
+
 @query
 def stream_tool_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily counts, added up over the parts of all micro-batches."""

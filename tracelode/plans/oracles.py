@@ -914,6 +914,13 @@ FROM ordered{good}""")
     q["stream_silver_fanout"] = _with(CANON, landed, select=fan_out.format("landed"))
     q["stream_latency_sketches"] = _with(CANON, landed, select="""
 SELECT event_date, model, count(*) AS requests, true AS p50_near, true AS p95_near FROM landed WHERE latency_ms IS NOT NULL GROUP BY 1, 2""")
+    q["stream_followup"] = _with(CANON, landed, """
+w AS (SELECT session_id, event_timestamp, event_name = 'api_error' AS failed FROM landed
+  WHERE event_name = 'assistant_response' OR event_name = 'api_error' AND attempt >= 11),
+e AS (SELECT session_id, max(CASE WHEN failed THEN event_timestamp END) AS f, max(CASE WHEN NOT failed THEN event_timestamp END) AS s FROM w GROUP BY 1)""",
+        select="""
+SELECT session_id, f AS last_exhausted_at, CASE WHEN s > f THEN 'recovered'
+  WHEN epoch_ms(f) + 3600000 <= (SELECT epoch_ms(max(event_timestamp)) FROM w) THEN 'stalled' ELSE 'open' END AS status FROM e WHERE f IS NOT NULL""")
     q["compact_silver"] = _with(CANON, landed, select=" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT event_date) AS files, true AS fewer_files, true AS unchanged "
         f"FROM landed WHERE event_name {kind}"
