@@ -1139,8 +1139,8 @@ def compact_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         before = manifest.checksum(manifest.read(spark, path, schema))
         done = manifest.compact(spark, path, schema, ["event_date"], upto=newest)
         after = manifest.checksum(manifest.read(spark, path, schema))
-        out.append((name, done.rows, done.files_after, done.files_before > done.files_after, before == after))
-    return spark.createDataFrame(out, "table_name string, row_count long, files long, fewer_files boolean, unchanged boolean")
+        out.append((name, done.rows, done.files_after, done.files_before >= done.files_after, before == after))
+    return spark.createDataFrame(out, "table_name string, row_count long, files long, no_more_files boolean, unchanged boolean")
 
 
 @query

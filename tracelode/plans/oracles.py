@@ -922,7 +922,7 @@ e AS (SELECT session_id, max(CASE WHEN failed THEN event_timestamp END) AS f, ma
 SELECT session_id, f AS last_exhausted_at, CASE WHEN s > f THEN 'recovered'
   WHEN epoch_ms(f) + 3600000 <= (SELECT epoch_ms(max(event_timestamp)) FROM w) THEN 'stalled' ELSE 'open' END AS status FROM e WHERE f IS NOT NULL""")
     q["compact_silver"] = _with(CANON, landed, select=" UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT event_date) AS files, true AS fewer_files, true AS unchanged "
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT event_date) AS files, true AS no_more_files, true AS unchanged "
         f"FROM landed WHERE event_name {kind}"
         for t, kind in (("prompts", "= 'user_prompt'"), ("responses", "= 'assistant_response'"), ("tool_executions", "LIKE 'tool%'"),
                         ("token_costs", "= 'assistant_response'"))))
