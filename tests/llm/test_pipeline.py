@@ -297,18 +297,22 @@ def test_mixture_of_requested_weights(spark, monkeypatch):
 
 
 def test_many_sources_in_groups(spark, monkeypatch):
-    rng = random.Random(4)
-    names = [f"s{i}" for i in range(40) for _ in range(rng.randint(1, 12) + 200 * (i == 7))]
+    """Within two blocks of the weights while all sources last; a source that has run out leaves its turns to its group."""
+    names = [f"s{i}" for i in range(40) for _ in range(300 if i == 7 else 24 + i % 3)]
     docs = spark.createDataFrame(list(enumerate(names)), "doc_id long, source string").withColumn("text", F.lit("x"))
     monkeypatch.setattr(mixing, "SOURCES", 10)
     monkeypatch.setattr(mixing, "GROUPS", 6)
     got = mixing.mixed(docs, block=2).orderBy("position").collect()
     assert [r["position"] for r in got] == list(range(len(names)))
-    assert Counter(r["source"] for r in got) == Counter(names)
-    root = {s: round(n**0.5, 6) for s, n in Counter(names).items()}
+    counts = Counter(names)
+    assert Counter(r["source"] for r in got) == counts
+    root = {s: round(n**0.5, 6) for s, n in counts.items()}
+    share = {s: w / sum(root.values()) for s, w in root.items()}
+    last = min(-(-n // 2) / share[s] for s, n in counts.items())
+    assert last > 400
     for r in got:
-        w = root[r["source"]] / sum(root.values())
-        assert abs(r["weight"] - w) < 1e-9 and abs(r["block"] - r["slot"] * w) < 2
+        w = share[r["source"]]
+        assert abs(r["weight"] - w) < 1e-9 and (r["slot"] >= last - 2 / w or abs(r["block"] - r["slot"] * w) < 2)
 
 
 # Pipeline
