@@ -441,10 +441,6 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, links: bool
     held = cells.groupBy("row").agg(F.sum("held").alias("sum")).select("row", (F.col("sum") + F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / (1 << 20)).alias("central"))
     held = stored(held, "held")
     light = rows.select("row", "n_shingles")
-    ids = leaders.join(held, "row", "left_semi").select("row", document().alias("document"))
-    texts = docs.select("doc_id", text_key(), "text").select(document().alias("document"), "text")
-    texts = stored(texts.join(ids, "document").dropDuplicates(["row"]).select("row", "text"), "texts")
-
     # Parts: what may link with a head, or with what may. Not compared yet, but hardly larger than the groups.
     open_ = cells.drop("held").join(held, "row").withColumn("part", F.col("row"))
     near = None
@@ -458,11 +454,18 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, links: bool
         if open_.isEmpty():
             break
 
+    apart = open_.select("gram", "row", "part", "rest").join(rows.select("row", "n_shingles", *PARITY), "row")
+    pairs = stored(_plausible(_met(apart, num, den), rows, num, den), "pairs")
+
+    # Only the texts of rows that may link are kept.
+    wanted = parts.select("row").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    ids = leaders.join(wanted, "row", "left_semi").select("row", document().alias("document"))
+    texts = docs.select("doc_id", text_key(), "text").select(document().alias("document"), "text")
+    texts = stored(texts.join(ids, "document").dropDuplicates(["row"]).select("row", "text"), "texts")
+
     # Links inside parts, and of rows of different parts.
     inside = parts.select("row", F.col("component").alias("part")).join(light, "row").join(classes.select("row", "n"), "row")
     inside = stored(_inside(inside, texts, n, num, den, links), "inside")
-    apart = open_.select("gram", "row", "part", "rest").join(rows.select("row", "n_shingles", *PARITY), "row")
-    pairs = stored(_plausible(_met(apart, num, den), rows, num, den), "pairs")
     across = stored(_linked(pairs, light, texts, n, num, den), "links")
     edges = across.union(inside.filter("a is not null").select("a", "b", "overlap"))
     label = components(edges.select("a", "b")).withColumnRenamed("node", "row")
