@@ -118,7 +118,9 @@ class WordTokens:
     @staticmethod
     def _ends_in_latin(stem: str) -> bool:
         """Whether the tokenizer sees a Latin letter at the end. Other letters may be taken apart by composition, and a mark that is left joins the tail."""
-        last = normalize("NFC", stem).lower()[-1]
+        last = stem[-1]
+        if not last.isascii():  # nothing is composed into an ASCII letter from before
+            last = normalize("NFC", stem).lower()[-1]
         return last < "\u0250" and last.isalpha()
 
     def _part(self, part: str) -> list[int]:
