@@ -20,7 +20,7 @@ EVENT_KEY = ["session_id", "event_name", "prompt_id", "message_uuid", "event_seq
 
 
 def bronze_events(spark: SparkSession, bronze: str, max_files: int = 1000) -> DataFrame:
-    """New bronze rows as canonical events."""
+    """New bronze rows as canonical events. Files of malformed lines are not listed, so none of ``max_files`` is one."""
     schema = T.StructType(
         [
             T.StructField("payload", T.VariantType()),
@@ -29,8 +29,8 @@ def bronze_events(spark: SparkSession, bronze: str, max_files: int = 1000) -> Da
             T.StructField("malformed", T.IntegerType()),
         ]
     )
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files)).parquet(bronze)
-    return normalize(rows.filter("malformed = 0").drop("malformed"))
+    reader = spark.readStream.schema(schema).option("basePath", bronze).option("maxFilesPerTrigger", str(max_files))
+    return normalize(reader.parquet(f"{bronze}/batch_id=*/malformed=0").drop("malformed"))
 
 
 def once(events: DataFrame, watermark: str, keys: list[str] = EVENT_KEY) -> DataFrame:
