@@ -13,8 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -31,7 +30,7 @@ _NONE = -(2**62)
 
 
 class FollowUp(StatefulProcessor):
-    """Times are microseconds since the epoch."""
+    """Times are microseconds since the epoch. Takes rows, not frames: most sessions have a row or two in a batch."""
 
     def __init__(self, silence_seconds: int):
         self.silence = silence_seconds * 1_000_000
@@ -43,24 +42,30 @@ class FollowUp(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _report(self, key: Any, old: tuple, failed: int, served: int, status: str) -> Iterator[pd.DataFrame]:
+    def _report(self, key: Any, old: tuple, failed: int, served: int, status: str) -> Iterator[Row]:
         """What is new of a session: its status, or a later failure."""
         before, _, said, change = old
         changed = (status, failed) != (said, before)
-        self.state.update((failed, served, status, change + changed))
+        self._keep(old, (failed, served, status, change + changed))
         if changed:
-            yield pd.DataFrame({"session_id": [key[0]], "change": [change + 1], "status": [status], "failed_at": [failed]})
+            yield Row(session_id=key[0], change=change + 1, status=status, failed_at=failed)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        old = self.state.get() if self.state.exists() else (_NONE, _NONE, "", 0)
+    def _keep(self, old: tuple, new: tuple) -> None:
+        if new != old:
+            self.state.update(new)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        old = tuple(self.state.get() or (_NONE, _NONE, "", 0))
         before, served, status, change = old
         failed = before
-        for part in rows:
-            times, fails = part["at"], part["failed"]
-            failed = max(failed, int(times[fails].max()) if fails.any() else _NONE)
-            served = max(served, int(times[~fails].max()) if (~fails).any() else _NONE)
+        for row in rows:
+            at, fails = row["at"], row["failed"]
+            if fails:
+                failed = max(failed, at)
+            else:
+                served = max(served, at)
         if failed == _NONE:
-            self.state.update((failed, served, status, change))
+            self._keep(old, (failed, served, status, change))
             return
         if failed > before:
             self.handle.registerTimer((failed + self.silence) // 1000)
@@ -70,8 +75,8 @@ class FollowUp(StatefulProcessor):
             now = "stalled" if status == "stalled" and failed == before else "open"
         yield from self._report(key, old, failed, served, now)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        old = self.state.get()
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        old = tuple(self.state.get())
         failed, served, status, _ = old
         if status == "open" and (failed + self.silence) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
             yield from self._report(key, old, failed, served, "stalled")
@@ -93,7 +98,7 @@ def follow_up(
     wanted, failed = _relevant(events, max_retries)
     clocked = wanted.withColumn("clock", as_instant(F.col("event_timestamp"))).withWatermark("clock", "0 seconds")
     rows = clocked.select("session_id", micros(F.col("event_timestamp")).alias("at"), failed.alias("failed"))
-    reports = rows.groupBy("session_id").transformWithStateInPandas(
+    reports = rows.groupBy("session_id").transformWithState(
         FollowUp(silence_seconds), outputStructType=REPORT, outputMode="Update", timeMode="EventTime"
     )
 
