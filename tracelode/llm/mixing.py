@@ -7,9 +7,10 @@ first. Then no source is ever a whole block ahead of or behind its weight. Weigh
 The line of slots is cut into frames of about FRAME blocks (``borders``). At a border each source's block that is under way counts as
 before or after it, as many before as there are slots left, chosen so that all release times and deadlines on both sides can still be met. So
 each frame is scheduled in a task of its own, and the driver handles one number per frame and source, never a block. A frame is no shorter than
-the time in which the source of least weight has a block, so weights a million times apart make frames of a million blocks. More than SOURCES
-sources are scheduled in groups: a group's borders and frames in tasks, and the groups against each other as sources are; a source then
-stays within two blocks of its weight, and one that has run out leaves its turns to the others of its group.
+the time in which the source of least weight has a block, so weights a million times apart make frames of a million blocks. The driver plans
+with one number per source, however many there are. A caller with more of them than it can hold asks for ``grouped``: a group's borders and
+frames are made in tasks, and the groups are scheduled against each other as sources are; a source then stays within two blocks of its weight,
+and one that has run out leaves its turns to the others of its group. Which of the two it is never depends on the input.
 
 A caller who names a ``period`` gets weights rounded to its parts instead, and a schedule that repeats after it.
 
@@ -23,6 +24,7 @@ they are. Two blocks that are due at once go by the names of their sources.
 from __future__ import annotations
 
 import heapq
+import warnings
 from collections.abc import Callable, Sequence
 from fractions import Fraction
 from math import gcd, lcm
@@ -40,7 +42,7 @@ from tracelode.llm.tables import stored, text_key, whole, whole_document
 BLOCK = 64
 #: Blocks of a frame, about, and most numbers (frames times sources) that the driver makes; frames are longer then.
 FRAME, NUMBERS = 1 << 15, 1 << 20
-#: Most sources that are scheduled one by one; more are scheduled in so many groups.
+#: With more sources than this the driver's share is worth a warning; ``grouped`` makes so many groups.
 SOURCES, GROUPS = 2000, 1024
 #: Running totals are cut every so many keys.
 _SPAN = 4096
@@ -342,7 +344,7 @@ def _periodic(rows: DataFrame, counts: dict[str, int], weights: dict[str, float]
     return _running(stored(blocks, "blocks"), "slot", "n").select("source", "block", "slot", "weight", "before")
 
 
-def mixed(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int | None = None) -> DataFrame:
+def mixed(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, period: int | None = None, grouped: bool = False) -> DataFrame:
     """doc_id, text_key, source, weight, block, slot, position (0, 1, 2, ... in the mixture) of every row.
 
     ``weights`` by default are the square roots of the sources' document counts, to a millionth. A source that has none given has weight 0.
@@ -353,7 +355,11 @@ def mixed(docs: DataFrame, weights: dict[str, float] | None = None, block: int =
     if not n_sources:
         return rows.selectExpr("doc_id", "text_key", "source", "0D AS weight", "k AS block", "k AS slot", "k AS position")
     rows = rows.withColumn("block", F.floor(F.col("k") / block))
-    if n_sources > SOURCES and period is None:
+    if grouped and period is not None:
+        raise ValueError("a period has no groups")
+    if n_sources > SOURCES and not grouped:
+        warnings.warn(f"{n_sources} sources are scheduled by the driver, one by one", stacklevel=2)
+    if grouped:
         blocks = _scheduled_in_groups(per_source, weights, block)
     else:
         counts = {r["source"]: r["n"] for r in per_source.orderBy("source").collect()}
