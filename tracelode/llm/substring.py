@@ -36,7 +36,7 @@ from tracelode.llm.tables import document, stored, text_key
 from tracelode.llm.words import chunks, hash_words, mix, signed, split, windows
 
 WINDOW = 35
-#: Words of a seed, at most; not more than half a window.
+#: Words of a seed, at most; not more than half a window, but one.
 SEED = 16
 
 
@@ -248,9 +248,9 @@ def _cut(texts: DataFrame, window: int, seed: int, top: int, with_text: bool) ->
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """doc_id, text_key, n_words, n_removed, kept_sha256, spans, kept_text (null unless ``with_text`` and words went)."""
-    if window < 2:
-        raise ValueError("a window has two words at least")
-    seed = min(SEED, window // 2)
+    if window < 1:
+        raise ValueError("a window has a word at least")
+    seed = max(1, min(SEED, window // 2))
     lengths = levels(window, seed)
     top = lengths[-1]
     survey = _surveyed(docs, window, seed).withColumn("row", F.monotonically_increasing_id())
