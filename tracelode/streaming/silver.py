@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from tracelode import schemas
 from tracelode.functions.times import as_instant, as_utc
 from tracelode.operators import silver, sketches, usage
 from tracelode.operators.normalize import normalize
+from tracelode.session import together
 from tracelode.sources import manifest
 from tracelode.sources.sinks import write_table
+from tracelode.streaming.bronze import PARTITIONS as BRONZE_PARTITIONS
 
 # What a re-delivery repeats; ``told_apart`` is the reported time of events without a sequence number.
 EVENT_KEY = ["session_id", "event_name", "prompt_id", "message_uuid", "event_sequence", "told_apart"]
@@ -48,8 +51,9 @@ def fan_out(
     """Write the silver tables from each micro-batch, then stop when all input is done.
 
     The batch is normalised once and kept while its writes run, on disk where memory does not
-    hold it; the source bounds a batch by files or bytes. Every write replaces the
-    batch's own folder, so a repeated batch changes nothing. ``session_parts`` and
+    hold it, without the columns of bronze that no silver table has. It is read a few times only, so packing it
+    costs more than it saves. The source bounds a batch by files or bytes. The first write fills what is kept, the others
+    then run at the same time. Every write replaces the batch's own folder, so a repeated batch changes nothing. ``session_parts`` and
     ``session_days`` hold mergeable measures per batch: a late event adds a part, and no
     session is recomputed.
 
@@ -58,14 +62,18 @@ def fan_out(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        batch.sparkSession.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")  # the stream's own session
+        kept = batch.drop("source_file", "batch_id", *BRONZE_PARTITIONS).persist()
         try:
+            writes = []
+            for name, parts in (("session_parts", silver.session_parts(kept)), ("session_days", usage.session_days(kept))):
+                writes.append(partial(write_table, parts, f"{target(name)}/batch_id={batch_id}"))
             for name, facts in silver.facts(kept, dedupe=False).items():
                 dated = facts.withColumn("event_date", F.to_date("event_timestamp"))
                 folder = f"{target(name)}/batch_id={batch_id}"
-                write_table(dated, folder, ["event_date"], files_per_partition=files_per_day, stamp=True)
-            write_table(silver.session_parts(kept), f"{target('session_parts')}/batch_id={batch_id}")
-            write_table(usage.session_days(kept), f"{target('session_days')}/batch_id={batch_id}")
+                writes.append(partial(write_table, dated, folder, ["event_date"], files_per_partition=files_per_day, stamp=True))
+            writes[0]()
+            together(batch.sparkSession, writes[1:])
         finally:
             kept.unpersist()
 
