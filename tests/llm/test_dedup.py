@@ -1,13 +1,14 @@
 """Operators 1, 4 and 9, and connected components, against brute force."""
 
 import random
+import re
 
 import brute
 import corpus
 import pytest
 from pyspark.sql import functions as F
 
-from tracelode.llm import components, exact, ngram_join, substring
+from tracelode.llm import components, exact, ngram_join, substring, tables
 
 
 def rows(df, *columns):
@@ -94,6 +95,31 @@ def test_groups_without_a_common_head(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({w[2] for w in want})
 
 
+def test_texts_of_documents_in_no_group_are_not_moved(spark, monkeypatch):
+    """Of the texts only those of groups go through a shuffle, once; a filter of few bits, which lets many pass, changes nothing."""
+    docs = [(i, " ".join(f"d{i}x{k}" for k in range(30))) for i in range(300)]
+    docs += [(400 + i, t + " tail") for i, t in docs[:10]] + docs[:3] + [(None, docs[20][1]), (None, "lone row"), (None, "lone row"), (None, None), (None, None), (8, " ")]
+    want = sorted([*docs[:300], (None, "lone row"), (None, None), (None, None), (8, " ")], key=repr)
+    seen, sifted = [], tables.sifted
+    monkeypatch.setattr(ngram_join, "sifted", lambda *a: seen.append(sifted(*a)) or seen[-1])
+    kept = ngram_join.keep_one_of_each(corpus.frame(spark, docs), 3, 80, 100)
+    assert rows(kept, "doc_id", "text") == want
+    texts, moved = seen[-2:]
+    assert 20 <= texts.filter("maybe").count() < 40 and 20 <= moved.filter("maybe").count() < 40
+    monkeypatch.setattr(tables, "FILTER_BITS", 64)
+    assert rows(ngram_join.keep_one_of_each(corpus.frame(spark, docs), 3, 80, 100), "doc_id", "text") == want
+
+
+def test_a_text_is_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for keep in (exact.keep_one, ngram_join.keep_one_of_each):
+            plan = keep(corpus.frame(spark, corpus.documents(1)))._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall(r"Exchange hashpartitioning\([^\n]*document#", plan)) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_overlaps_are_exact(monkeypatch):
     import numpy as np
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelode.llm.components import components
-from tracelode.llm.tables import document, stored, text_key, whole, whole_document
+from tracelode.llm.tables import document, sifted, stored, text_key, whole, whole_document
 from tracelode.llm.words import LOWER, chunks, hash_words, mix, signed, split, windows
 
 #: Frequent n-grams that are put last, at most: 16 bytes each are sent to every executor.
@@ -422,7 +422,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, links: bool
     """Members and links. Rows link when ``den * overlap >= num * union``.
 
     Members, one row per row: doc_id, text_key, n_shingles, class (the same for equal sets), n_links (other rows it links with),
-    component_id (the smallest doc_id reachable by links), first (the one row of its group that stays).
+    component_id (the smallest doc_id reachable by links), first (the one row of its group that stays), alone (its group has no other row).
     Links: a, b, overlap of each two classes that link, once; rows of one class link with each other besides. None if they are not wanted.
     """
     rows = _rows(docs, n, num, den, frequent_grams(docs, n)).withColumn("row", F.monotonically_increasing_id())
@@ -430,7 +430,10 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, links: bool
     lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("lowest")
     classes = rows.filter("n_shingles > 0").groupBy("same").agg(lowest, F.count("*").alias("n"))
     classes = stored(classes.select("same", F.col("lowest.row").alias("row"), "lowest", "n"), "classes")
-    leaders = rows.join(classes.select("same", "row"), ["same", "row"], "left_semi")
+    # Only the rows of classes of several are looked up.
+    worded = sifted(rows.filter("n_shingles > 0"), "same", classes.filter("n > 1").select("same"))
+    led = worded.filter("maybe").join(classes.select("same", "row"), ["same", "row"], "left_semi")
+    leaders = worded.filter("not maybe").unionByName(led)
 
     # The product's columns: n-grams that stand in the prefix of two classes. ``i`` is the place in the prefix.
     cells = leaders.select("row", "n_shingles", F.posexplode("prefix").alias("i", "gram"))
@@ -459,8 +462,9 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, links: bool
 
     # Only the texts of rows that may link are kept.
     wanted = parts.select("row").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    ids = leaders.join(wanted, "row", "left_semi").select("row", document().alias("document"))
+    ids = stored(rows.join(wanted, "row", "left_semi").select("row", document().alias("document")), "ids")
     texts = docs.select("doc_id", text_key(), "text").select(document().alias("document"), "text")
+    texts = sifted(texts, "document", ids.select("document")).filter("maybe")
     texts = stored(texts.join(ids, "document").dropDuplicates(["row"]).select("row", "text"), "texts")
 
     # Links inside parts, and of rows of different parts.
@@ -476,7 +480,9 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, links: bool
     grouped = classes.join(label, "row", "left").withColumn("group", F.coalesce("component", "row"))
     first = grouped.groupBy("group").agg(F.min("lowest").alias("best"))
     n_links = F.col("n") - 1 + F.coalesce("others", F.lit(0))
-    grouped = grouped.join(first, "group").join(others, "row", "left").select("same", F.col("row").alias("class"), "best", n_links.alias("n_links"))
+    alone = (F.col("n") == 1) & F.col("component").isNull()
+    grouped = grouped.join(first, "group").join(others, "row", "left")
+    grouped = grouped.select("same", F.col("row").alias("class"), "best", n_links.alias("n_links"), alone.alias("alone"))
     out = rows.select("doc_id", "text_key", "n_shingles", "same", "row").join(grouped, "same", "left")
     members = out.select(
         "doc_id",
@@ -486,6 +492,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, links: bool
         F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
         F.when(F.col("n_shingles") > 0, F.col("best.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n_shingles") > 0, F.col("best.row") == F.col("row")).otherwise(True).alias("first"),
+        F.when(F.col("n_shingles") > 0, F.col("alone")).otherwise(True).alias("alone"),
     )
     return members, edges if links else None
 
@@ -498,10 +505,13 @@ def ngram_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) ->
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row of each group, the one with the smallest doc_id, all columns. Rows without words all stay."""
     groups = join(docs, n, num, den, links=False)[0]
-    stay = groups.filter("first and n_shingles > 0").select(document().alias("stays")).distinct()
-    rows = whole(docs).withColumn("document", whole_document())
+    # Only the texts of documents in groups of several rows are moved; the others stay where they are.
+    settled = groups.filter("not alone").groupBy(document().alias("settled")).agg(F.max("first").alias("stays"))
+    settled = stored(settled, "settled")
+    rows = sifted(whole(docs).withColumn("document", whole_document()), "document", settled.select("settled"))
     bare = F.regexp_replace(F.coalesce("row.text", F.lit("")), "[ \\x09-\\x0D]", "") == ""
-    few = rows.filter(~bare).join(stay, F.col("document") == F.col("stays"))
-    # A document stored twice comes twice. The join has brought its rows together, so this needs no shuffle.
+    moved = F.col("maybe") & ~bare
+    few = rows.filter(moved).join(settled, F.col("document") == F.col("settled"), "left").filter("coalesce(stays, true)")
+    # A document stored twice comes twice, and then it is one of a group.
     numbered = few.withColumn("copy", F.row_number().over(Window.partitionBy("document").orderBy("document")))
-    return rows.filter(bare).select("row.*").unionByName(numbered.filter("copy = 1").select("row.*"))
+    return rows.filter(~moved).select("row.*").unionByName(numbered.filter("copy = 1").select("row.*"))
