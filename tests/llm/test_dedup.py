@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import brute
 import corpus
@@ -120,6 +121,20 @@ def test_a_text_is_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_storing_leaves_no_shuffle_files(spark):
+    from pathlib import Path
+
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {p for d in dirs for p in Path(d).rglob("shuffle_*")}
+    before, setting = files(), spark.conf.get(tables._CLEANUP)
+    got = tables.stored(spark.range(1000).repartition(7).groupBy("id").count(), "counts")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and got.count() == 1000 and spark.conf.get(tables._CLEANUP) == setting
+
+
 def test_overlaps_are_exact(monkeypatch):
     import numpy as np
 
